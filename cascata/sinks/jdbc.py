@@ -18,8 +18,10 @@ QUERY_TIMEOUT_SECONDS = 30
 class JdbcChangelogSink:
     def __init__(self, url: str, table: str, properties: dict | None = None,
                  query_timeout: int = QUERY_TIMEOUT_SECONDS, audit: bool = True,
-                 batch_column: str = "batch_id") -> None:
+                 batch_column: str = "batch_id", quote: str = '"') -> None:
         self.url = url
+        # Spark's writer creates quoted column names; quote the same way here
+        self.quote = quote
         self.table = table
         self.properties = dict(properties or {})
         self.query_timeout = query_timeout
@@ -41,7 +43,8 @@ class JdbcChangelogSink:
             names = {self.table, self.table.upper(), self.table.lower()}
             if not any(meta.getTables(None, None, n, None).next() for n in names):
                 return
-            stmt = conn.prepareStatement(f"DELETE FROM {self.table} WHERE {self.batch_column} = ?")
+            column = f"{self.quote}{self.batch_column}{self.quote}"
+            stmt = conn.prepareStatement(f"DELETE FROM {self.table} WHERE {column} = ?")
             stmt.setLong(1, int(batch_id))
             stmt.setQueryTimeout(self.query_timeout)
             stmt.executeUpdate()
