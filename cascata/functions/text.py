@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 TOKEN_SEPARATOR = ","          # tokens are split on a comma
 RECORD_SEPARATOR = "|"         # delimited records join fields with a bar
 NULL_TEXT = "null"             # how a missing value is rendered in text
-LINE_BREAK = r"\r\n|\n|\r"     # line terminators recognised when splitting text
 
 
 def _col(c: Column | str) -> Column:
@@ -26,10 +25,18 @@ def split_tokens(line: Column | str) -> Column:
     ``"a,b,,"`` -> ``[a, b]``, ``""`` -> ``[""]``, ``","`` -> ``[]``,
     ``",a"`` -> ``["", a]``, ``"a,,b"`` -> ``[a, "", b]``.  A null line gives
     null (no rows once exploded).  No trimming, no case folding.
+
+    Built from a trailing trim and a single-character split (no regular
+    expression is evaluated per line).
     """
     line = _col(line)
-    only_separators = line.rlike(r"^" + TOKEN_SEPARATOR + r"+\z")
-    kept = F.regexp_replace(line, TOKEN_SEPARATOR + r"+\z", "")
+    return tokens_of_trimmed(line, F.rtrim(line, F.lit(TOKEN_SEPARATOR)))
+
+
+def tokens_of_trimmed(line: Column | str, kept: Column | str) -> Column:
+    """``split_tokens`` given ``kept`` = ``line`` without its trailing separators."""
+    line, kept = _col(line), _col(kept)
+    only_separators = (kept == F.lit("")) & (line != F.lit(""))
     return (F.when(line.isNull(), F.lit(None).cast("array<string>"))
             .when(only_separators, F.array().cast("array<string>"))
             .otherwise(F.split(kept, TOKEN_SEPARATOR, -1)))
@@ -39,13 +46,26 @@ def split_lines(text: Column | str) -> Column:
     """Lines of a text the way a line reader returns them.
 
     Terminators are ``\\n``, ``\\r\\n`` and ``\\r``; one final terminator does
-    not start an extra empty line and an empty text has no lines.
+    not start an extra empty line and an empty text has no lines.  Texts
+    without ``\\r`` (the usual case) take a single-character split; only the
+    others are normalised with a regular expression first.
     """
+    return drop_final_empty(line_parts(text))
+
+
+def line_parts(text: Column | str) -> Column:
+    """Text split at every line terminator (an empty text gives no parts)."""
     text = _col(text)
-    body = F.regexp_replace(text, r"(" + LINE_BREAK + r")\z", "")
-    return (F.when(text.isNull(), F.lit(None).cast("array<string>"))
-            .when(text == F.lit(""), F.array().cast("array<string>"))
-            .otherwise(F.split(body, LINE_BREAK, -1)))
+    normal = (F.when(F.instr(text, "\r") > 0, F.regexp_replace(text, "\r\n?", "\n"))
+              .otherwise(text))
+    return F.when(text == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(normal, "\n", -1))
+
+
+def drop_final_empty(parts: Column | str) -> Column:
+    """Drop the empty part a final line terminator leaves behind."""
+    parts = _col(parts)
+    return (F.when(F.try_element_at(parts, F.lit(-1)) == F.lit(""), F.slice(parts, 1, F.size(parts) - 1))
+            .otherwise(parts))
 
 
 def decode_utf8(payload: Column | str) -> Column:

@@ -7,17 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cascata.functions.text import split_lines, split_tokens
+from cascata.functions.text import TOKEN_SEPARATOR, drop_final_empty, line_parts, tokens_of_trimmed
 
 
 def lines(df: DataFrame, text_col: str, keep: Sequence[str] = (), name: str = "line") -> DataFrame:
     """One row per line of ``text_col`` (whole texts, every line)."""
-    return df.select(*keep, F.explode(split_lines(text_col)).alias(name))
+    # split once into a column, then trim: the split is not re-evaluated per branch
+    parts = df.select(*keep, line_parts(text_col).alias("_parts"))
+    return parts.select(*keep, F.explode(drop_final_empty("_parts")).alias(name))
 
 
 def tokens(df: DataFrame, line_col: str, keep: Sequence[str] = (), name: str = "word") -> DataFrame:
     """One row per comma token of ``line_col`` (flat-map with JVM split rules)."""
-    return df.select(*keep, F.explode(split_tokens(line_col)).alias(name))
+    trimmed = df.select(*keep, F.col(line_col).alias("_line"),
+                        F.rtrim(line_col, F.lit(TOKEN_SEPARATOR)).alias("_kept"))
+    return trimmed.select(*keep, F.explode(tokens_of_trimmed("_line", "_kept")).alias(name))
 
 
 def rename(df: DataFrame, source: str, target: str, keep: Sequence[str] = ()) -> DataFrame:
