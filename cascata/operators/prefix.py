@@ -19,6 +19,10 @@ task holding a third of the data.
    group.  This table has (#groups x B) rows;
 4. join the offsets back on ``(group..., bucket)`` and add.
 
+Cost: a count and a sampled sketch for the boundaries, one hash shuffle of
+the rows for the window, a narrow re-read combined map-side for the bucket
+totals, and a shuffle or broadcast of the (#groups x B)-row offsets table.
+
 The order columns must give a total order inside each group (ties would make
 any running value, including the plain window's, arbitrary).
 """
@@ -33,10 +37,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
+GROUP = "_group"
 # Rows per (group, bucket) window partition we aim for on a cluster.  Bucket
 # count is ceil(rows / ROWS_PER_BUCKET), but never below the cluster's default
 # parallelism so small inputs still use every core.
 ROWS_PER_BUCKET = 4_000_000
+# Sampled keys per bucket when sketching boundaries (enough for ~+-25% balance).
+SAMPLES_PER_BUCKET = 64
 
 
 def _order_value(df: DataFrame, column: str) -> Column:
@@ -52,30 +59,32 @@ def _order_value(df: DataFrame, column: str) -> Column:
 
 
 def bucket_boundaries(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_BUCKET,
-                      min_buckets: int | None = None) -> list[float]:
+                      min_buckets: int | None = None, samples_per_bucket: int = SAMPLES_PER_BUCKET,
+                      seed: int = 7) -> list[float]:
     """Approximate equi-depth boundaries of ``order_col`` (sorted, distinct).
 
-    One pass computes the row count and a grid of ``min_buckets`` quantiles;
-    a second pass with a finer grid runs only when the data needs more
-    buckets than that (large inputs).
+    Pass 1 counts the rows and fixes the bucket count B.  Pass 2 sketches
+    quantiles of a *sample* of about ``samples_per_bucket * B`` keys, so the
+    sketches merged in the final aggregation stay proportional to B instead
+    of to the number of map tasks times the sketch accuracy.  Boundaries only
+    have to balance the buckets roughly; results do not depend on them.
     """
     spark = df.sparkSession
     if min_buckets is None:
         min_buckets = max(2, spark.sparkContext.defaultParallelism)
     key = df.select(_order_value(df, order_col).alias("_k"))
-
-    def quantiles(n_buckets: int):
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        accuracy = max(10_000, 20 * n_buckets)
-        return F.percentile_approx("_k", probs, accuracy)
-
-    row = key.agg(F.count(F.lit(1)).alias("n"), quantiles(min_buckets).alias("q")).first()
-    n, q = row["n"], row["q"]
-    if not n:
+    n = key.count()
+    if n == 0:
         return []
-    wanted = max(min_buckets, math.ceil(n / rows_per_bucket))
-    if wanted > min_buckets:
-        q = key.agg(quantiles(wanted).alias("q")).first()["q"]
+    buckets = max(1, min(n, max(min_buckets, math.ceil(n / rows_per_bucket))))
+    if buckets == 1:
+        return []
+    fraction = samples_per_bucket * buckets / n
+    if fraction < 1.0:
+        key = key.sample(withReplacement=False, fraction=fraction, seed=seed)
+    probs = [i / buckets for i in range(1, buckets)]
+    accuracy = max(10_000, 4 * buckets)
+    q = key.agg(F.percentile_approx("_k", probs, accuracy).alias("q")).first()["q"]
     return sorted({float(x) for x in (q or []) if x is not None and not math.isinf(float(x))})
 
 
@@ -87,7 +96,9 @@ def with_bucket(df: DataFrame, order_col: str, boundaries: Sequence[float]) -> D
     bucketizer = Bucketizer(splits=[float("-inf"), *boundaries, float("inf")],
                             inputCol=tmp, outputCol=BUCKET)
     keyed = df.withColumn(tmp, _order_value(df, order_col))
-    return bucketizer.transform(keyed).withColumn(BUCKET, F.col(BUCKET).cast("int")).drop(tmp)
+    # non-nullable, so joins on it infer no extra filter that re-runs the search
+    bucket = F.coalesce(F.col(BUCKET).cast("int"), F.lit(0))
+    return bucketizer.transform(keyed).withColumn(BUCKET, bucket).drop(tmp)
 
 
 def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Sequence[str],
@@ -100,6 +111,13 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
     counts as 0, so ``{"n": F.lit(1)}`` is a 1-based running count.
     ``initial`` (optional) holds carried offsets per group — columns
     ``partition_by`` + the output names — as left by earlier micro-batches.
+
+    Plan: the rows are hash-shuffled once on ``(group, bucket)`` for the
+    window; the bucket totals come from a narrow second read aggregated
+    map-side; the join back on ``(group, bucket)`` keeps the rows where the
+    window left them (only the small offsets table moves).  The group key is
+    ``struct(partition_by)``: never null, and equal when the fields are equal
+    or both null, so null groups join like any other.
     """
     order_by = list(order_by)
     partition_by = list(partition_by)
@@ -108,22 +126,24 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
                for n, e in sums.items()}
     if boundaries is None:
         boundaries = bucket_boundaries(df, order_by[0], rows_per_bucket, min_buckets)
-    base = with_bucket(df.withColumns(addends), order_by[0], boundaries)
-    keys = [*partition_by, BUCKET]
+    group = F.struct(*partition_by) if partition_by else F.lit(0)
+    base = with_bucket(df.withColumns(addends).withColumn(GROUP, group), order_by[0], boundaries)
+    keys = [GROUP, BUCKET]
 
     frame = (Window.partitionBy(*keys).orderBy(*order_by)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.withColumns({n: F.sum(f"_v_{n}").over(frame) for n in names})
 
+    # narrow second read: only key, bucket and addends, combined map-side
     totals = base.groupBy(*keys).agg(*(F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names))
-    earlier = (Window.partitionBy(*partition_by).orderBy(BUCKET)
+    earlier = (Window.partitionBy(GROUP).orderBy(BUCKET)
                .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*keys, *(F.coalesce(F.sum(f"_t_{n}").over(earlier),
                                                 F.lit(0)).alias(f"_o_{n}") for n in names))
     if initial is not None:
-        carried = initial.select(*partition_by, *(F.col(n).alias(f"_c_{n}") for n in names))
+        carried = initial.select(group.alias(GROUP), *(F.col(n).alias(f"_c_{n}") for n in names))
         if partition_by:
-            offsets = offsets.join(carried, partition_by, "left")
+            offsets = offsets.join(carried, GROUP, "left")
         else:
             # a single carried row: read it as literals instead of joining
             row = carried.first()
@@ -135,9 +155,6 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
         # one row per bucket: size bounded by the bucket count chosen above
         offsets = F.broadcast(offsets)
 
-    # null-safe key equality: a null group is a group like any other
-    offsets = offsets.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    cond = [local[k].eqNullSafe(offsets[f"_k_{k}"]) for k in keys]
-    out = local.join(offsets, cond, "inner")
+    out = local.join(offsets, keys, "inner")
     out = out.withColumns({n: F.col(n) + F.col(f"_o_{n}") for n in names})
     return out.select(*(c for c in df.columns if c not in names), *names)
