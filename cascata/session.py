@@ -48,8 +48,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming state.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a fresh temporary folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``; only a local-mode
+    session (tests, benchmarks) without it gets a fresh temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +59,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for checkpoints "
+                           "(a machine-local folder is not visible to other executors)")
     local = tempfile.mkdtemp(prefix="cascata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
