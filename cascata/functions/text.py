@@ -83,11 +83,50 @@ def as_text(value: Column | str) -> Column:
     return F.coalesce(_col(value).cast("string"), F.lit(NULL_TEXT))
 
 
+def utc_timestamp_text(ts: Column | str) -> Column:
+    """``yyyy-MM-dd HH:mm:ss[.ffffff]`` of a timestamp's UTC wall clock.
+
+    Built from epoch microseconds, so it does not depend on the session time
+    zone (a plain cast renders in the session zone).  Fractional seconds are
+    shown without trailing zeros, as a cast shows them.
+    """
+    micros = F.unix_micros(_col(ts))
+    day = F.floor(micros / F.lit(86_400_000_000)).cast("int")
+    of_day = micros - day.cast("bigint") * F.lit(86_400_000_000)
+    secs = F.floor(of_day / F.lit(1_000_000)).cast("bigint")
+    frac = of_day - secs * F.lit(1_000_000)
+
+    def two(x):
+        return F.lpad(x.cast("string"), 2, "0")
+
+    clock = F.concat_ws(":", two(F.floor(secs / 3600)), two(F.floor(secs / 60) % 60), two(secs % 60))
+    fraction = F.when(frac == 0, F.lit("")).otherwise(
+        F.concat(F.lit("."), F.rtrim(F.lpad(frac.cast("string"), 6, "0"), F.lit("0"))))
+    return F.concat(F.date_from_unix_date(day).cast("string"), F.lit(" "), clock, fraction)
+
+
+def column_text(dtype: str, c: Column | str) -> Column:
+    """Text of a column given its Spark type name (timestamps in UTC, nulls as ``null``)."""
+    if dtype == "timestamp":
+        return F.coalesce(utc_timestamp_text(c), F.lit(NULL_TEXT))
+    return as_text(c)
+
+
 def prefixed(prefix: str, value: Column | str) -> Column:
     """``prefix + value`` with string-concatenation rules (null -> ``null``)."""
     return F.concat(F.lit(prefix), as_text(value))
 
 
 def delimited(*fields: Column | str, sep: str = RECORD_SEPARATOR) -> Column:
-    """Fields joined with ``sep``; no quoting or escaping, null -> ``null``."""
-    return F.concat_ws(sep, *(as_text(f) for f in fields))
+    """Fields joined with ``sep``; no quoting or escaping, null -> ``null``.
+
+    Fields are rendered with ``as_text``; pass ``column_text`` results to
+    render timestamps in UTC.
+    """
+    return F.concat_ws(sep, *(f if isinstance(f, Column) else as_text(f) for f in fields))
+
+
+def delimited_columns(df, fields=None, sep: str = RECORD_SEPARATOR) -> Column:
+    """``delimited`` over columns of ``df``, each rendered by its type."""
+    types = dict(df.dtypes)
+    return delimited(*(column_text(types[f], f) for f in (fields or df.columns)), sep=sep)

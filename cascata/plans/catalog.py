@@ -289,7 +289,7 @@ _ORDER_FIELDS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
        + ") AS record FROM orders")
 def delimited_record(spark, base):
     orders = read_table(spark, base, "orders")
-    return orders.select("o_orderkey", X.delimited(*_ORDER_FIELDS).alias("record"))
+    return orders.select("o_orderkey", X.delimited_columns(orders, list(_ORDER_FIELDS)).alias("record"))
 
 
 @query("latest_per_key", """

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cascata.functions.text import delimited
+from cascata.functions.text import delimited_columns
 
 # Fixed values that must equal the reference's for right results.
 ROLL_BYTES = 5 * 1024 * 1024   # a new file is started at 5 MB
@@ -39,7 +39,7 @@ def records_per_file(mean_record_bytes: float, roll_bytes: int = ROLL_BYTES) ->
 
 def delimited_records(df: DataFrame, fields: list[str] | None = None, sep: str = "|") -> DataFrame:
     """One text column ``value``: the fields joined by ``sep`` (no escaping, null -> ``null``)."""
-    return df.select(delimited(*(fields or df.columns), sep=sep).alias("value"))
+    return df.select(delimited_columns(df, fields, sep=sep).alias("value"))
 
 
 def write_rolling_text(df: DataFrame, path: str, max_records_per_file: int, mode: str = "append") -> None:

@@ -54,3 +54,15 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(ocols, orows)
+
+
+def test_rendering_does_not_depend_on_session_zone(spark, con):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = E.queries()["delimited_record"](spark, BASE)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = con.execute(E.oracle_sql()["delimited_record"])
+    assert _digest(df.columns, rows) == _digest([d[0] for d in res.description], res.fetchall())

@@ -60,3 +60,16 @@ def test_prefixed_and_delimited_render_null(spark):
     assert row.p == "add user:a" and row.q == "add user:null"
     assert row.d == "a|null"
     assert row.e == "a|x|y"      # no escaping
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_utc_timestamp_text_ignores_session_zone(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.createDataFrame([(0,), (1_700_000_000_500_000,), (-1,), (86_399_999_999,), (None,)], "us bigint")
+        got = [r.t for r in df.select(X.utc_timestamp_text(F.timestamp_micros("us")).alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == ["1970-01-01 00:00:00", "2023-11-14 22:13:20.5", "1969-12-31 23:59:59.999999",
+                   "1970-01-01 23:59:59.999999", None]
