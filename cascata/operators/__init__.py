@@ -2,6 +2,7 @@
 
 from cascata.operators.counting import lines, rename, tokenize_text, tokens, word_count
 from cascata.operators.keyed import key_value, latest_per_key
+from cascata.operators.lineage import materialize
 from cascata.operators.prefix import bucket_boundaries, running_totals, with_bucket
 from cascata.operators.requests import FunctionRegistry, default_registry, respond
 from cascata.operators.routing import outcome_counts, receipts, split_outcomes, with_outcome
@@ -13,7 +14,7 @@ from cascata.operators.sharding import (merged_shard_total, replicated_running_s
 
 __all__ = [
     "FunctionRegistry", "bucket_boundaries", "default_registry", "distinct_keys", "key_value",
-    "keyed_sequence", "latest_per_key", "lines", "merged_shard_total", "outcome_counts", "receipts",
+    "keyed_sequence", "latest_per_key", "lines", "materialize", "merged_shard_total", "outcome_counts", "receipts",
     "rename", "replicate", "replicated_running_sum", "replicated_source_sharded_sum", "respond",
     "running_count", "running_sum", "running_sum_with_outcome", "running_totals", "sequence_number",
     "shard_task", "sharded_running_sum", "snapshot_per_event", "split_outcomes", "tokenize_text",

@@ -242,6 +242,36 @@ def replicated_source_sharded_sum(spark, base):
     return out.select("event_id", "instance", "task", "num", "running_sum")
 
 
+@query("replicated_source_two_tasks", f"""
+SELECT event_id, instance, task, num,
+       CAST(sum(num) OVER (PARTITION BY task ORDER BY event_id, instance
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
+FROM (SELECT e.event_id, CAST(i.instance AS INTEGER) AS instance, e.user_id AS num,
+             CAST(((e.event_id * {SOURCE_COPIES} + i.instance) % {SOURCE_COPIES} + {SOURCE_COPIES})
+                  % {SOURCE_COPIES} AS INTEGER) AS task
+      FROM events e CROSS JOIN range({SOURCE_COPIES}) i(instance))""")
+def replicated_source_two_tasks(spark, base):
+    """Two source instances into a 2-task sum (one task per instance copy)."""
+    ev = _events(spark, base).select("event_id", F.col("user_id").alias("num"))
+    out = O.replicated_source_sharded_sum(ev, "num", "event_id", SOURCE_COPIES, SOURCE_COPIES)
+    return out.select("event_id", "instance", "task", "num", "running_sum")
+
+
+@query("flag_shard_running_sum", f"""
+SELECT num, flag, CAST(flag % {N_SHARDS} AS INTEGER) AS task,
+       CAST(sum(num) OVER (PARTITION BY flag % {N_SHARDS} ORDER BY num
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
+FROM (SELECT num, (num - 1) % 2 AS flag
+      FROM (SELECT row_number() OVER (ORDER BY event_id) AS num FROM events))""")
+def flag_shard_running_sum(spark, base):
+    """Keyed sequence (flag, num) routed by ``flag`` to 3 tasks, one sum per task."""
+    seq = O.keyed_sequence(_events(spark, base).select("event_id"), ["event_id"], modulus=2)
+    # the sum below reads its input four times: cut the lineage of the inner sequence
+    seq = O.materialize(seq.select("num", "flag"))
+    out = O.sharded_running_sum(seq, "num", ["num"], O.shard_task("flag", N_SHARDS))
+    return out.select("num", "flag", "task", "running_sum")
+
+
 @query("merged_shard_total", f"""
 SELECT CAST(coalesce(sum(last_sum), 0) AS BIGINT) AS total FROM (
   SELECT task, arg_max(running_sum, event_id) AS last_sum FROM (
