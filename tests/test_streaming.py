@@ -213,3 +213,23 @@ def test_stream_message_decode(spark, tmp_path):
     _run(S.start(spark.readStream.schema(MESSAGE_SCHEMA).parquet(d), S.message_router(rec2, ok2, dead2, strict=True),
                  str(tmp_path / "ck2"), available_now=True))
     assert sorted(r.offset for r in spark.read.parquet(dead2).collect()) == [1, 2]
+
+
+def test_stream_sharded_and_replicated_sums(spark, event_slices, tmp_path):
+    """Shuffle grouping (3 tasks) and all grouping (3 replicas) as streams."""
+    ev = spark.read.parquet(f"{BASE}/events.parquet").select("event_id", F.col("user_id").alias("num"))
+    task = O.shard_task("event_id", 3)
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    writer = S.RunningTotalsWriter({"running_sum": "num"}, ["event_id"], out, state, partition_by=["task"])
+    stream = _events_stream(spark, event_slices).select("event_id", F.col("user_id").alias("num"))
+    _run(S.start_running_totals(stream.withColumn("task", task), writer, str(tmp_path / "ck"), available_now=True))
+    expected = O.sharded_running_sum(ev, "num", ["event_id"], task)
+    assert _same(spark.read.parquet(out).drop("batch_id").select(*expected.columns), expected)
+
+    out2, state2 = str(tmp_path / "out2"), str(tmp_path / "state2")
+    writer2 = S.RunningTotalsWriter({"running_sum": "num"}, ["event_id"], out2, state2, partition_by=["task"])
+    replicas = O.replicate(_events_stream(spark, event_slices).select("event_id", F.col("user_id").alias("num")),
+                           3, "task")
+    _run(S.start_running_totals(replicas, writer2, str(tmp_path / "ck2"), available_now=True))
+    expected2 = O.replicated_running_sum(ev, "num", ["event_id"], 3)
+    assert _same(spark.read.parquet(out2).drop("batch_id").select(*expected2.columns), expected2)
