@@ -44,6 +44,8 @@ GROUP = "_group"
 ROWS_PER_BUCKET = 4_000_000
 # Sampled keys per bucket when sketching boundaries (enough for ~+-25% balance).
 SAMPLES_PER_BUCKET = 64
+# Partial quantile sketches merged by the final aggregate at most.
+SKETCH_FAN_IN = 64
 
 
 def _order_value(df: DataFrame, column: str) -> Column:
@@ -82,6 +84,11 @@ def bucket_boundaries(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS
     fraction = samples_per_bucket * buckets / n
     if fraction < 1.0:
         key = key.sample(withReplacement=False, fraction=fraction, seed=seed)
+        # The final aggregate merges one partial sketch per task, one at a
+        # time; shuffle the (small) sample to a few tasks so that fan-in stays
+        # bounded however many input splits the scan has.
+        if key.rdd.getNumPartitions() > SKETCH_FAN_IN:
+            key = key.repartition(SKETCH_FAN_IN)
     probs = [i / buckets for i in range(1, buckets)]
     accuracy = max(10_000, 4 * buckets)
     q = key.agg(F.percentile_approx("_k", probs, accuracy).alias("q")).first()["q"]

@@ -64,3 +64,19 @@ def test_timestamp_order_column(events):
     ev = events.select("ts", "event_id", "user_id")
     got = running_totals(ev, {"rs": "user_id"}, ["ts", "event_id"], min_buckets=5)
     assert _same(got, _window(ev, "user_id", ["ts", "event_id"], []))
+
+
+def test_hot_key_window_partitions_are_bounded(spark):
+    """One key holds ~40% of the rows; no (group, bucket) partition exceeds ~2x the target."""
+    from cascata.operators.prefix import BUCKET, with_bucket
+
+    n, target = 400_000, 10_000
+    df = spark.range(0, n, numPartitions=16).select(
+        F.col("id").alias("seq"),
+        F.when(F.col("id") % 5 < 2, F.lit("hot")).otherwise((F.col("id") % 97).cast("string")).alias("k"))
+    b = bucket_boundaries(df, "seq", rows_per_bucket=target, min_buckets=4)
+    assert len(b) >= n // target - 5
+    sizes = with_bucket(df, "seq", b).groupBy("k", BUCKET).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 2 * target * 0.4 + 1
+    hot = sizes.where("k = 'hot'")
+    assert hot.count() >= n // target - 5          # the hot key is spread over all buckets
