@@ -56,6 +56,11 @@ def _order_value(df: DataFrame, column: str) -> Column:
         c = F.unix_micros(c.cast("timestamp"))
     elif dtype == "date":
         c = F.unix_date(c)
+    elif dtype == "string":
+        # strings compare by UTF-8 bytes: the first 6 bytes as a 48-bit
+        # number are monotone in that order and exact as a double
+        prefix = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
+        c = F.conv(prefix, 16, 10)
     # nulls sort first in an ascending window: put them in the first bucket
     return F.coalesce(c.cast("double"), F.lit(float("-inf")))
 

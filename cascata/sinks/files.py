@@ -11,7 +11,6 @@ from cascata.functions.text import delimited_columns
 
 # Fixed values that must equal the reference's for right results.
 ROLL_BYTES = 5 * 1024 * 1024   # a new file is started at 5 MB
-FLUSH_RECORDS = 100            # records per flush (a micro-batch commit here)
 
 
 class BatchPartitionSink:
@@ -37,6 +36,16 @@ def records_per_file(mean_record_bytes: float, roll_bytes: int = ROLL_BYTES) ->
     return max(1, math.floor(roll_bytes / max(1.0, float(mean_record_bytes))))
 
 
+def mean_record_bytes(records: DataFrame, column: str = "value", fraction: float = 0.01,
+                      seed: int = 11) -> float:
+    """Mean UTF-8 size of a line (record + newline) from a sample (one small aggregate)."""
+    sample = records.sample(withReplacement=False, fraction=fraction, seed=seed) if fraction < 1 else records
+    row = sample.agg(F.avg(F.octet_length(column) + F.lit(1)).alias("m")).first()
+    if row["m"] is None and fraction < 1:
+        row = records.agg(F.avg(F.octet_length(column) + F.lit(1)).alias("m")).first()
+    return float(row["m"] or 1.0)
+
+
 def delimited_records(df: DataFrame, fields: list[str] | None = None, sep: str = "|") -> DataFrame:
     """One text column ``value``: the fields joined by ``sep`` (no escaping, null -> ``null``)."""
     return df.select(delimited_columns(df, fields, sep=sep).alias("value"))

@@ -61,3 +61,13 @@ def test_rolling_text_batch_twin(spark, tmp_path):
     parts = [p for p in (tmp_path / "files").iterdir() if p.name.startswith("part-")]
     assert len(parts) == 3
     assert spark.read.text(out).count() == 10_000
+
+
+def test_mean_record_bytes_sizes_files(spark):
+    from cascata.sinks import mean_record_bytes
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    recs = delimited_records(orders)
+    m = mean_record_bytes(recs, fraction=1.0)
+    exact = recs.selectExpr("avg(octet_length(value) + 1)").first()[0]
+    assert abs(m - exact) < 1e-9
+    assert records_per_file(m) == int(5 * 1024 * 1024 // m)

@@ -80,3 +80,13 @@ def test_hot_key_window_partitions_are_bounded(spark):
     assert sizes.agg(F.max("count")).first()[0] <= 2 * target * 0.4 + 1
     hot = sizes.where("k = 'hot'")
     assert hot.count() >= n // target - 5          # the hot key is spread over all buckets
+
+
+def test_string_order_column_is_bucketed(spark):
+    words = ["apple", "b", "banana", "ba", "zz", "é", "a", "", "apples", "Apple", "日本", "zzz"]
+    rows = [(f"{w}{i:04d}", i % 3, i) for i, w in enumerate(words * 30)]
+    df = spark.createDataFrame(rows, "s string, k int, v bigint")
+    b = bucket_boundaries(df, "s", min_buckets=6)
+    assert len(b) >= 4
+    got = running_totals(df, {"rs": "v"}, ["s"], ["k"], boundaries=b)
+    assert _same(got, _window(df, "v", ["s"], ["k"]))
