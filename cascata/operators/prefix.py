@@ -35,6 +35,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKET = "_bucket"
 GROUP = "_group"
@@ -113,6 +114,51 @@ def with_bucket(df: DataFrame, order_col: str, boundaries: Sequence[float]) -> D
     return bucketizer.transform(keyed).withColumn(BUCKET, bucket).drop(tmp)
 
 
+def _zero(dtype: T.DataType) -> Column | None:
+    """A non-null stand-in value of ``dtype`` (None for complex types)."""
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        zero = F.lit(0) if isinstance(dtype, T.NumericType) else F.lit("1970-01-01")
+        return zero.cast(dtype)
+    if isinstance(dtype, T.BinaryType):
+        return F.lit(bytearray())
+    return None
+
+
+def group_keys(df: DataFrame, partition_by: Sequence[str], schema: T.StructType | None = None
+               ) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Null-safe key columns for ``partition_by`` and how to rebuild the originals.
+
+    Joins need plain equality to reuse a hash partitioning, and plain
+    equality drops null keys.  A non-nullable column is its own key; a
+    nullable one becomes ``(coalesce(c, zero), isnull(c))``; a complex type
+    is wrapped in a struct (never null, equal when fields are equal).
+    ``schema`` (default: ``df``'s) decides the form, so a second frame can
+    be keyed exactly like the first.
+    """
+    keys: dict[str, Column] = {}
+    restore: dict[str, Column] = {}
+    schema = schema or df.schema
+    for c in partition_by:
+        field = schema[c]
+        if not field.nullable:
+            keys[c] = F.col(c)
+            continue
+        zero = _zero(field.dataType)
+        if zero is None:
+            keys[f"_ks_{c}"] = F.struct(F.col(c).alias("v"))
+            restore[c] = F.col(f"_ks_{c}").getField("v")
+        else:
+            keys[f"_kc_{c}"] = F.coalesce(F.col(c), zero)
+            keys[f"_kn_{c}"] = F.col(c).isNull()
+            restore[c] = (F.when(F.col(f"_kn_{c}"), F.lit(None).cast(field.dataType))
+                          .otherwise(F.col(f"_kc_{c}")))
+    return keys, restore
+
+
 def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Sequence[str],
                    partition_by: Sequence[str] = (), *, initial: DataFrame | None = None,
                    boundaries: Sequence[float] | None = None,
@@ -124,12 +170,11 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
     ``initial`` (optional) holds carried offsets per group — columns
     ``partition_by`` + the output names — as left by earlier micro-batches.
 
-    Plan: the rows are hash-shuffled once on ``(group, bucket)`` for the
+    Plan: the rows are hash-shuffled once on ``(group keys, bucket)`` for the
     window; the bucket totals come from a narrow second read aggregated
-    map-side; the join back on ``(group, bucket)`` keeps the rows where the
-    window left them (only the small offsets table moves).  The group key is
-    ``struct(partition_by)``: never null, and equal when the fields are equal
-    or both null, so null groups join like any other.
+    map-side; the join back on the same keys keeps the rows where the window
+    left them (only the small offsets table moves).  Group keys are made
+    null-safe by ``group_keys`` so that the join can use plain equality.
     """
     order_by = list(order_by)
     partition_by = list(partition_by)
@@ -138,29 +183,34 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
                for n, e in sums.items()}
     if boundaries is None:
         boundaries = bucket_boundaries(df, order_by[0], rows_per_bucket, min_buckets)
-    group = F.struct(*partition_by) if partition_by else F.lit(0)
-    base = with_bucket(df.withColumns(addends).withColumn(GROUP, group), order_by[0], boundaries)
-    keys = [GROUP, BUCKET]
+    gkeys, restore = group_keys(df, partition_by)
+    if not gkeys:
+        gkeys = {GROUP: F.lit(0)}
+    group = list(gkeys)
+    base = with_bucket(df.withColumns(addends).withColumns(gkeys), order_by[0], boundaries)
+    base = base.drop(*restore)          # rebuilt from the key columns after the join
+    keys = [*group, BUCKET]
 
     frame = (Window.partitionBy(*keys).orderBy(*order_by)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.withColumns({n: F.sum(f"_v_{n}").over(frame) for n in names})
 
-    # narrow second read: only key, bucket and addends, combined map-side
+    # narrow second read: only keys, bucket and addends, combined map-side
     totals = base.groupBy(*keys).agg(*(F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names))
-    earlier = (Window.partitionBy(GROUP).orderBy(BUCKET)
+    earlier = (Window.partitionBy(*group).orderBy(BUCKET)
                .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*keys, *(F.coalesce(F.sum(f"_t_{n}").over(earlier),
                                                 F.lit(0)).alias(f"_o_{n}") for n in names))
     if initial is not None:
-        carried = initial.select(group.alias(GROUP), *(F.col(n).alias(f"_c_{n}") for n in names))
         if partition_by:
-            offsets = offsets.join(carried, GROUP, "left")
+            ikeys, _ = group_keys(initial, partition_by, df.schema)
+            carried = initial.select(*(e.alias(k) for k, e in ikeys.items()),
+                                     *(F.col(n).alias(f"_c_{n}") for n in names))
+            offsets = offsets.join(carried, group, "left")
         else:
             # a single carried row: read it as literals instead of joining
-            row = carried.first()
-            offsets = offsets.withColumns({f"_c_{n}": F.lit(row[f"_c_{n}"] if row else 0)
-                                           for n in names})
+            row = initial.select(*names).first()
+            offsets = offsets.withColumns({f"_c_{n}": F.lit(row[n] if row else 0) for n in names})
         offsets = offsets.withColumns({f"_o_{n}": F.col(f"_o_{n}") + F.coalesce(F.col(f"_c_{n}"), F.lit(0))
                                        for n in names}).drop(*(f"_c_{n}" for n in names))
     if not partition_by:
@@ -168,5 +218,5 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
         offsets = F.broadcast(offsets)
 
     out = local.join(offsets, keys, "inner")
-    out = out.withColumns({n: F.col(n) + F.col(f"_o_{n}") for n in names})
+    out = out.withColumns({n: F.col(n) + F.col(f"_o_{n}") for n in names}).withColumns(restore)
     return out.select(*(c for c in df.columns if c not in names), *names)

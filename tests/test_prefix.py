@@ -90,3 +90,22 @@ def test_string_order_column_is_bucketed(spark):
     assert len(b) >= 4
     got = running_totals(df, {"rs": "v"}, ["s"], ["k"], boundaries=b)
     assert _same(got, _window(df, "v", ["s"], ["k"]))
+
+
+def test_key_forms_non_nullable_and_complex(spark):
+    base = spark.range(1, 301).select(F.col("id").alias("seq"), F.col("id").bitwiseAND(3).alias("k"),
+                                      F.col("id").alias("v"))
+    assert not base.schema["k"].nullable
+    got = running_totals(base, {"rs": "v"}, ["seq"], ["k"], min_buckets=5)
+    assert _same(got, _window(base, "v", ["seq"], ["k"]))
+    arr = base.withColumn("a", F.when(F.col("k") == 0, F.lit(None)).otherwise(F.array("k")))
+    got = running_totals(arr, {"rs": "v"}, ["seq"], ["a"], min_buckets=5)
+    assert _same(got, _window(arr, "v", ["seq"], ["a"]))
+
+
+def test_carried_offsets_with_non_nullable_key(spark):
+    df = spark.range(1, 11).select(F.col("id").alias("seq"), F.col("id").bitwiseAND(1).alias("k"), F.col("id").alias("v"))
+    init = spark.createDataFrame([(1, 100), (None, 7)], "k bigint, rs bigint")
+    got = {r.seq: r.rs for r in running_totals(df, {"rs": "v"}, ["seq"], ["k"], initial=init, min_buckets=3).collect()}
+    assert got[1] == 101 and got[3] == 104 and got[2] == 2 and got[10] == 30
+    assert not df.schema["k"].nullable
