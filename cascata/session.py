@@ -21,6 +21,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # remove checkpoint files once the DataFrame that wrote them is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -8,12 +8,15 @@ backend keeps the store as a parquet table hash-partitioned into buckets:
 * only the buckets that batch touches are read (partition pruning), merged
   with a full outer join on the key — a change wins when its sequence is not
   older than the stored one, which makes re-applying a batch harmless;
-* the merged buckets are cut from their lineage with ``checkpoint()`` (into
-  the cluster's checkpoint folder) and replace just those bucket partitions.
+* the merged buckets are written to a staging table in the cluster's
+  checkpoint folder (a lineage cut: the overwrite must not read what it
+  replaces), replace just those bucket partitions, and the staging table is
+  removed.
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +53,6 @@ class ParquetKeyedStore:
 
     def upsert(self, changes: DataFrame, batch_id: int | None = None) -> None:
         spark = changes.sparkSession
-        checkpoint_root(spark)
         k, v, s = self.key, self.value, self.seq
         latest = (latest_per_key(changes.select(k, F.col(v).cast("string").alias(v), F.col(s).cast("bigint").alias(s)),
                                  k, v, s, keep_seq=True)
@@ -69,9 +71,15 @@ class ParquetKeyedStore:
                 F.coalesce(F.col(BUCKET), F.col("_cb")).alias(BUCKET))
         else:
             merged = latest.select(k, v, s, BUCKET)
-        staged = merged.checkpoint(eager=True)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(self.path))
+        # Cut the lineage through a written table in the shared checkpoint
+        # folder: the overwrite below must not read the buckets it replaces.
+        staging = f"{checkpoint_root(spark).rstrip('/')}/keyed-store-staging/{uuid.uuid4().hex}"
+        merged.write.mode("overwrite").parquet(staging)
+        try:
+            (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BUCKET).parquet(self.path))
+        finally:
+            paths.delete(spark, staging)
 
     def __call__(self, changes: DataFrame, batch_id: int) -> None:
         self.upsert(changes, batch_id)
