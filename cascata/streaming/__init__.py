@@ -1,10 +1,10 @@
 """Structured Streaming jobs."""
 
 from cascata.streaming.jobs import (OutcomeRouter, ResponseWriter, count_changes, decode_messages,
-                                    message_router, range_router, resolve_dead_letters, responses_for, start,
-                                    word_count_stream)
+                                    message_router, range_router, replay_dead_letters, resolve_dead_letters, responses_for,
+                                    start, unresolved_dead_letters, word_count_stream)
 from cascata.streaming.running import RunningTotalsWriter, start_running_totals
 
 __all__ = ["OutcomeRouter", "ResponseWriter", "RunningTotalsWriter", "count_changes", "decode_messages",
-           "message_router", "range_router", "resolve_dead_letters", "responses_for", "start",
-           "start_running_totals", "word_count_stream"]
+           "message_router", "range_router", "replay_dead_letters", "resolve_dead_letters", "responses_for", "start",
+           "start_running_totals", "unresolved_dead_letters", "word_count_stream"]

@@ -17,13 +17,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cascata.functions.routing import ACK, decode_outcome, range_outcome
 from cascata.functions.text import decode_utf8
 from cascata.operators.counting import tokens, word_count
 from cascata.operators.requests import FunctionRegistry, respond
+from cascata.sinks import paths
 from cascata.sinks.files import BatchPartitionSink
 
 
@@ -102,6 +103,36 @@ def resolve_dead_letters(dead: DataFrame, outcome: Callable[[DataFrame], Column]
     return ok, still
 
 
+def unresolved_dead_letters(spark: SparkSession, dead_path: str, resolved_path: str,
+                            id_cols: list[str]) -> DataFrame:
+    """Dead letters not yet resolved by a replay (anti-join on the message id)."""
+    dead = spark.read.parquet(dead_path)
+    if paths.exists(spark, resolved_path):
+        resolved = spark.read.parquet(resolved_path).select(*id_cols)
+        dead = dead.join(resolved, id_cols, "left_anti")
+    return dead
+
+
+def replay_dead_letters(spark: SparkSession, dead_path: str, resolved_path: str, id_cols: list[str],
+                        outcome: Callable[[DataFrame], Column], ok_sink, replay_id: int) -> int:
+    """Re-route the unresolved dead letters; those that now succeed go to ``ok_sink``.
+
+    Resolutions are appended to ``resolved_path`` (partition ``replay_id``),
+    so the dead-letter table itself is never rewritten and re-running a
+    replay id replaces its own rows.  Returns the number resolved.
+    """
+    pending = unresolved_dead_letters(spark, dead_path, resolved_path, id_cols)
+    ok, _ = resolve_dead_letters(pending, outcome)
+    ok = ok.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sink = BatchPartitionSink(ok_sink, column="replay_id") if isinstance(ok_sink, str) else ok_sink
+        sink(ok, replay_id)
+        BatchPartitionSink(resolved_path, column="replay_id")(ok.select(*id_cols), replay_id)
+        return ok.count()
+    finally:
+        ok.unpersist()
+
+
 # ---- messages -------------------------------------------------------------------
 
 def decode_messages(messages: DataFrame, strict: bool = False) -> DataFrame:
