@@ -71,22 +71,44 @@ def bucket_boundaries(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS
                       seed: int = 7) -> list[float]:
     """Approximate equi-depth boundaries of ``order_col`` (sorted, distinct).
 
-    Pass 1 counts the rows and fixes the bucket count B.  Pass 2 sketches
-    quantiles of a *sample* of about ``samples_per_bucket * B`` keys, so the
-    sketches merged in the final aggregation stay proportional to B instead
-    of to the number of map tasks times the sketch accuracy.  Boundaries only
-    have to balance the buckets roughly; results do not depend on them.
+    The bucket count is ``B = max(min_buckets, ceil(rows / rows_per_bucket))``.
+
+    * Few input splits (<= ``SKETCH_FAN_IN``): one pass returns the row count
+      and a ``min_buckets`` quantile grid; the merge of that many default-size
+      sketches is cheap.  It is enough unless the data needs more buckets.
+    * Otherwise: pass 1 counts; pass 2 sketches a *sample* of about
+      ``samples_per_bucket * B`` keys, moved to at most ``SKETCH_FAN_IN``
+      tasks first, so the final aggregate merges a bounded number of sketches
+      whose size grows with B, not with the data.
+
+    Boundaries only have to balance the buckets roughly; results never
+    depend on them.
     """
     spark = df.sparkSession
     if min_buckets is None:
         min_buckets = max(2, spark.sparkContext.defaultParallelism)
     key = df.select(_order_value(df, order_col).alias("_k"))
-    n = key.count()
+
+    def grid(buckets: int):
+        probs = [i / buckets for i in range(1, buckets)]
+        return F.percentile_approx("_k", probs, max(10_000, 4 * buckets)).alias("q")
+
+    def clean(q) -> list[float]:
+        return sorted({float(x) for x in (q or []) if x is not None and not math.isinf(float(x))})
+
+    q = None
+    if key.rdd.getNumPartitions() <= SKETCH_FAN_IN and min_buckets > 1:
+        row = key.agg(F.count(F.lit(1)).alias("n"), grid(min_buckets)).first()
+        n, q = row["n"], row["q"]
+    else:
+        n = key.count()
     if n == 0:
         return []
     buckets = max(1, min(n, max(min_buckets, math.ceil(n / rows_per_bucket))))
     if buckets == 1:
         return []
+    if q is not None and buckets <= min_buckets:
+        return clean(q)
     fraction = samples_per_bucket * buckets / n
     if fraction < 1.0:
         key = key.sample(withReplacement=False, fraction=fraction, seed=seed)
@@ -95,10 +117,7 @@ def bucket_boundaries(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS
         # bounded however many input splits the scan has.
         if key.rdd.getNumPartitions() > SKETCH_FAN_IN:
             key = key.repartition(SKETCH_FAN_IN)
-    probs = [i / buckets for i in range(1, buckets)]
-    accuracy = max(10_000, 4 * buckets)
-    q = key.agg(F.percentile_approx("_k", probs, accuracy).alias("q")).first()["q"]
-    return sorted({float(x) for x in (q or []) if x is not None and not math.isinf(float(x))})
+    return clean(key.agg(grid(buckets)).first()["q"])
 
 
 def with_bucket(df: DataFrame, order_col: str, boundaries: Sequence[float]) -> DataFrame:
