@@ -125,8 +125,9 @@ def with_bucket(df: DataFrame, order_col: str, boundaries: Sequence[float]) -> D
     if not boundaries:
         return df.withColumn(BUCKET, F.lit(0))
     tmp = "_bucket_key"
+    # NaN sorts after every number in Spark: "keep" puts it in one extra last bucket
     bucketizer = Bucketizer(splits=[float("-inf"), *boundaries, float("inf")],
-                            inputCol=tmp, outputCol=BUCKET)
+                            inputCol=tmp, outputCol=BUCKET, handleInvalid="keep")
     keyed = df.withColumn(tmp, _order_value(df, order_col))
     # non-nullable, so joins on it infer no extra filter that re-runs the search
     bucket = F.coalesce(F.col(BUCKET).cast("int"), F.lit(0))

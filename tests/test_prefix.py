@@ -109,3 +109,10 @@ def test_carried_offsets_with_non_nullable_key(spark):
     got = {r.seq: r.rs for r in running_totals(df, {"rs": "v"}, ["seq"], ["k"], initial=init, min_buckets=3).collect()}
     assert got[1] == 101 and got[3] == 104 and got[2] == 2 and got[10] == 30
     assert not df.schema["k"].nullable
+
+
+def test_double_order_column_with_nan_and_null(spark):
+    rows = [(float(i) if i % 17 else float("nan"), i % 3, i) for i in range(1, 400)] + [(None, 1, 5), (None, 2, 6)]
+    df = spark.createDataFrame(rows, "x double, k int, v bigint").withColumn("i", F.col("v") * 1000 + F.col("k"))
+    got = running_totals(df, {"rs": "v"}, ["x", "i"], ["k"], min_buckets=6)
+    assert _same(got, _window(df, "v", ["x", "i"], ["k"]))
