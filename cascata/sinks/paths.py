@@ -20,6 +20,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p) and fs.getFileStatus(p).isFile())
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct children of ``path`` ([] when it does not exist)."""
     fs, p = _fs(spark, path)

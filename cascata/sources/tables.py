@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from cascata.sinks import paths
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -49,3 +51,21 @@ def stream_table(spark: SparkSession, directory: str, name: str, schema: str | S
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(directory)
+
+
+def stream_parquet(spark: SparkSession, path: str, schema: str | StructType | None = None,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming read of a parquet folder, or of one parquet file.
+
+    A file source only accepts folders, so a single file is read as its
+    parent folder filtered to that file name.  Without ``schema`` the schema
+    is taken from a batch read of the same path (its footers only).
+    """
+    schema = schema if schema is not None else spark.read.parquet(path).schema
+    reader = spark.readStream.format("parquet").schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if paths.is_file(spark, path):
+        parent, _, name = path.rstrip("/").rpartition("/")
+        return reader.option("pathGlobFilter", name).load(parent)
+    return reader.load(path)

@@ -33,7 +33,11 @@ class RunningTotalsWriter:
 
     def __init__(self, sums: Mapping[str, Column | str], order_by: Sequence[str],
                  sink: Callable[[DataFrame, int], None] | str, state_path: str,
-                 partition_by: Sequence[str] = (), retain: int = 2) -> None:
+                 partition_by: Sequence[str] = (), retain: int = 2,
+                 prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        # ``prepare`` runs on each micro-batch before it is persisted (e.g. to
+        # number rows, which a streaming frame cannot do)
+        self.prepare = prepare
         self.sums = dict(sums)
         self.order_by = list(order_by)
         self.partition_by = list(partition_by)
@@ -69,7 +73,7 @@ class RunningTotalsWriter:
     # -- foreachBatch ---------------------------------------------------------------
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+        batch = (self.prepare(batch_df) if self.prepare else batch_df).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             prev = self.state_before(spark, batch_id)
             out = running_totals(batch, self.sums, self.order_by, self.partition_by, initial=prev)
