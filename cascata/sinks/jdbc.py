@@ -18,8 +18,13 @@ QUERY_TIMEOUT_SECONDS = 30
 class JdbcChangelogSink:
     def __init__(self, url: str, table: str, properties: dict | None = None,
                  query_timeout: int = QUERY_TIMEOUT_SECONDS, audit: bool = True,
-                 batch_column: str = "batch_id", quote: str = '"') -> None:
+                 batch_column: str = "batch_id", quote: str = '"', max_connections: int | None = None,
+                 batch_size: int = 1000) -> None:
         self.url = url
+        # Spark's writer opens one connection per partition; ``numPartitions``
+        # caps that (it coalesces, no shuffle) and ``batchsize`` groups inserts
+        self.max_connections = max_connections
+        self.batch_size = batch_size
         # Spark's writer creates quoted column names; quote the same way here
         self.quote = quote
         self.table = table
@@ -57,8 +62,10 @@ class JdbcChangelogSink:
         if self.audit:
             out = df.withColumn(self.batch_column, F.lit(batch_id).cast("bigint"))
             self._delete_batch(df.sparkSession, batch_id)
-        (out.write.option("queryTimeout", self.query_timeout)
-         .jdbc(self.url, self.table, mode="append", properties=self.properties))
+        writer = out.write.option("queryTimeout", self.query_timeout).option("batchsize", self.batch_size)
+        if self.max_connections:
+            writer = writer.option("numPartitions", self.max_connections)
+        writer.jdbc(self.url, self.table, mode="append", properties=self.properties)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> DataFrame:

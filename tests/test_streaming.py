@@ -148,7 +148,7 @@ def test_stream_dead_letter(spark, event_slices, tmp_path):
 def test_stream_jdbc_changelog(spark, event_slices, tmp_path):
     url = f"jdbc:derby:memory:wc{uuid.uuid4().hex[:8]};create=true"
     props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    sink = JdbcChangelogSink(url, "wc", props)
+    sink = JdbcChangelogSink(url, "wc", props, max_connections=2)
     writer = S.RunningTotalsWriter({"word_count": F.lit(1)}, ["event_id"],
                                    lambda df, b: sink(df.select("word", "word_count"), b),
                                    str(tmp_path / "state"), partition_by=["word"])
