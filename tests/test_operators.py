@@ -106,3 +106,14 @@ def test_split_outcomes_keeps_every_row(spark):
     ok, bad = O.split_outcomes(routed)
     assert ok.count() + bad.count() == 4
     assert sorted(r.msg_id for r in bad.collect()) == [0, 2]
+
+
+def test_last_running_value_is_the_total(spark, events):
+    ev = events.select("event_id", "user_id", "event_type")
+    total = O.total_sum(ev, "user_id").first().total
+    rs = O.running_sum(ev, "user_id", ["event_id"])
+    assert rs.orderBy(F.desc("event_id")).first().running_sum == total
+    per_key = O.running_sum(ev, "user_id", ["event_id"], partition_by=["event_type"])
+    last = per_key.groupBy("event_type").agg(F.max_by("running_sum", "event_id").alias("last"))
+    assert last.agg(F.sum("last")).first()[0] == total
+    assert O.merged_shard_total(ev, "user_id", O.shard_task("event_id", 3)).first().total == total

@@ -36,8 +36,8 @@ def event_slices(spark, tmp_path_factory):
     return d
 
 
-def _events_stream(spark, d):
-    return stream_table(spark, d, "events", max_files_per_trigger=1, glob="*.parquet")
+def _events_stream(spark, d, files_per_batch=1):
+    return stream_table(spark, d, "events", max_files_per_trigger=files_per_batch, glob="*.parquet")
 
 
 def _run(query):
@@ -250,3 +250,15 @@ def test_dead_letter_replay_is_idempotent(spark, event_slices, tmp_path):
     # a second replay finds nothing new; re-running replay 0 replaces its own rows
     assert S.replay_dead_letters(spark, dead, resolved, ["event_id"], wider, str(tmp_path / "ok2"), 1) == 0
     assert spark.read.parquet(resolved).count() == fixable
+
+
+@pytest.mark.parametrize("files_per_batch,batches", [(4, 1), (2, 2), (1, 4)])
+def test_stream_equals_batch_for_1_2_k_batches(spark, event_slices, tmp_path, files_per_batch, batches):
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    writer = S.RunningTotalsWriter({"rs": "user_id"}, ["event_id"], out, state, partition_by=["event_type"])
+    stream = _events_stream(spark, event_slices, files_per_batch).select("event_id", "event_type", "user_id")
+    _run(S.start_running_totals(stream, writer, str(tmp_path / "ck"), available_now=True))
+    got = spark.read.parquet(out)
+    assert got.select("batch_id").distinct().count() == batches
+    ev = spark.read.parquet(f"{BASE}/events.parquet").select("event_id", "event_type", "user_id")
+    assert _same(got.drop("batch_id"), O.running_sum(ev, "user_id", ["event_id"], "rs", ["event_type"]))
