@@ -15,18 +15,22 @@ available with ``--available-now``.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
-from pyspark.sql import functions as F
+if __package__ in (None, ""):       # run as a file (spark-submit cascata/cli.py): make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cascata import operators as O
-from cascata import streaming as S
-from cascata.session import get_session
-from cascata.sinks import BatchPartitionSink, JdbcChangelogSink, ParquetKeyedStore, delimited_records
-from cascata.sinks.files import mean_record_bytes, records_per_file, start_rolling_text
-from cascata.sources.messages import MESSAGE_SCHEMA, kafka_options, read_kafka
-from cascata.sources.tables import stream_parquet
-from cascata.sources.text import directory_lines
+from pyspark.sql import functions as F  # noqa: E402
+
+from cascata import operators as O  # noqa: E402
+from cascata import streaming as S  # noqa: E402
+from cascata.session import get_session  # noqa: E402
+from cascata.sinks import BatchPartitionSink, JdbcChangelogSink, ParquetKeyedStore, delimited_records  # noqa: E402
+from cascata.sinks.files import mean_record_bytes, records_per_file, start_rolling_text  # noqa: E402
+from cascata.sources.messages import MESSAGE_SCHEMA, kafka_options, read_kafka  # noqa: E402
+from cascata.sources.tables import stream_parquet  # noqa: E402
+from cascata.sources.text import directory_lines  # noqa: E402
 
 
 def _trigger(args) -> dict:
