@@ -9,13 +9,15 @@ backend keeps the store as a parquet table hash-partitioned into buckets:
   with a full outer join on the key — a change wins when its sequence is not
   older than the stored one, which makes re-applying a batch harmless;
 * the merged buckets are written to a staging table in the cluster's
-  checkpoint folder (a lineage cut: the overwrite must not read what it
-  replaces), replace just those bucket partitions, and the staging table is
-  removed.
+  checkpoint folder, named after the batch (a lineage cut: the overwrite
+  must not read what it replaces), then replace just those bucket
+  partitions; a replayed batch re-applies a complete staging table, so a
+  swap interrupted half way is finished rather than lost.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from typing import Protocol
 
@@ -51,35 +53,52 @@ class ParquetKeyedStore:
             return spark.createDataFrame([], f"{self.key} string, {self.value} string, {self.seq} bigint")
         return spark.read.parquet(self.path).select(self.key, self.value, self.seq)
 
-    def upsert(self, changes: DataFrame, batch_id: int | None = None) -> None:
+    def _staging(self, spark: SparkSession, batch_id: int | None) -> str:
+        root = f"{checkpoint_root(spark).rstrip('/')}/keyed-store-staging"
+        if batch_id is None:
+            return f"{root}/{uuid.uuid4().hex}"
+        store = hashlib.sha1(self.path.encode()).hexdigest()[:16]
+        return f"{root}/{store}/batch={batch_id}"
+
+    def _merged(self, changes: DataFrame) -> DataFrame:
+        """The touched buckets after applying ``changes`` (lazy)."""
         spark = changes.sparkSession
         k, v, s = self.key, self.value, self.seq
-        latest = (latest_per_key(changes.select(k, F.col(v).cast("string").alias(v), F.col(s).cast("bigint").alias(s)),
-                                 k, v, s, keep_seq=True)
+        latest = (latest_per_key(changes.select(k, F.col(v).cast("string").alias(v),
+                                                F.col(s).cast("bigint").alias(s)), k, v, s, keep_seq=True)
                   .withColumn(BUCKET, self._bucket()))
-        if paths.exists(spark, self.path):
-            touched = [r[0] for r in latest.select(BUCKET).distinct().collect()]  # <= n_buckets values
-            current = spark.read.parquet(self.path).where(F.col(BUCKET).isin(touched))
-            c = current.select(F.col(k).alias("_ck"), F.col(v).alias("_cv"), F.col(s).alias("_cs"),
-                               F.col(BUCKET).alias("_cb"))
-            merged = c.join(latest, c["_ck"].eqNullSafe(latest[k]), "full_outer")
-            newer = F.col(s).isNotNull() & (F.col("_cs").isNull() | (F.col(s) >= F.col("_cs")))
-            merged = merged.select(
-                F.when(newer, F.col(k)).otherwise(F.col("_ck")).alias(k),
-                F.when(newer, F.col(v)).otherwise(F.col("_cv")).alias(v),
-                F.when(newer, F.col(s)).otherwise(F.col("_cs")).alias(s),
-                F.coalesce(F.col(BUCKET), F.col("_cb")).alias(BUCKET))
-        else:
-            merged = latest.select(k, v, s, BUCKET)
-        # Cut the lineage through a written table in the shared checkpoint
-        # folder: the overwrite below must not read the buckets it replaces.
-        staging = f"{checkpoint_root(spark).rstrip('/')}/keyed-store-staging/{uuid.uuid4().hex}"
-        merged.write.mode("overwrite").parquet(staging)
-        try:
-            (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BUCKET).parquet(self.path))
-        finally:
-            paths.delete(spark, staging)
+        if not paths.exists(spark, self.path):
+            return latest.select(k, v, s, BUCKET)
+        touched = [r[0] for r in latest.select(BUCKET).distinct().collect()]  # <= n_buckets values
+        current = spark.read.parquet(self.path).where(F.col(BUCKET).isin(touched))
+        c = current.select(F.col(k).alias("_ck"), F.col(v).alias("_cv"), F.col(s).alias("_cs"),
+                           F.col(BUCKET).alias("_cb"))
+        merged = c.join(latest, c["_ck"].eqNullSafe(latest[k]), "full_outer")
+        newer = F.col(s).isNotNull() & (F.col("_cs").isNull() | (F.col(s) >= F.col("_cs")))
+        return merged.select(
+            F.when(newer, F.col(k)).otherwise(F.col("_ck")).alias(k),
+            F.when(newer, F.col(v)).otherwise(F.col("_cv")).alias(v),
+            F.when(newer, F.col(s)).otherwise(F.col("_cs")).alias(s),
+            F.coalesce(F.col(BUCKET), F.col("_cb")).alias(BUCKET))
+
+    def upsert(self, changes: DataFrame, batch_id: int | None = None) -> None:
+        """Apply ``changes`` (``key, value, seq``); idempotent per ``batch_id``.
+
+        The swap replaces bucket folders one by one, so a crash can leave it
+        half done; a replay of the same batch then finds the complete staging
+        table and applies it again instead of merging against the damaged
+        store.  The staging table is removed once the swap has finished.
+        Staging is named by store path and batch id: a store fed by a new
+        stream checkpoint (batch ids restarting at 0) must not inherit the
+        staging folder of an abandoned one.
+        """
+        spark = changes.sparkSession
+        staging = self._staging(spark, batch_id)
+        if not paths.exists(spark, f"{staging}/_SUCCESS"):
+            self._merged(changes).write.mode("overwrite").parquet(staging)
+        (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET).parquet(self.path))
+        paths.delete(spark, staging)
 
     def __call__(self, changes: DataFrame, batch_id: int) -> None:
         self.upsert(changes, batch_id)

@@ -262,3 +262,22 @@ def test_stream_equals_batch_for_1_2_k_batches(spark, event_slices, tmp_path, fi
     assert got.select("batch_id").distinct().count() == batches
     ev = spark.read.parquet(f"{BASE}/events.parquet").select("event_id", "event_type", "user_id")
     assert _same(got.drop("batch_id"), O.running_sum(ev, "user_id", ["event_id"], "rs", ["event_type"]))
+
+
+def test_keyed_store_repairs_an_interrupted_swap(spark, tmp_path):
+    store = ParquetKeyedStore(str(tmp_path / "store"), n_buckets=4)
+    first = spark.createDataFrame([(f"k{i}", str(i), 0) for i in range(40)], "key string, value string, seq bigint")
+    store.upsert(first, 0)
+    change = spark.createDataFrame([("k1", "100", 1), ("k2", "200", 1)], "key string, value string, seq bigint")
+    # batch 1 is staged, then the swap dies after deleting one bucket folder
+    staging = store._staging(spark, 1)
+    store._merged(change).write.mode("overwrite").parquet(staging)
+    touched = sorted(r.bucket for r in spark.read.parquet(staging).select("bucket").distinct().collect())
+    paths.delete(spark, f"{store.path}/bucket={touched[0]}")
+    # the replay of batch 1 finishes the swap from the staging table
+    store.upsert(change, 1)
+    got = {r.key: r.value for r in store.read(spark).collect()}
+    expected = {f"k{i}": str(i) for i in range(40)}
+    expected.update({"k1": "100", "k2": "200"})
+    assert got == expected
+    assert not paths.exists(spark, staging)
