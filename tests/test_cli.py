@@ -62,3 +62,32 @@ def test_rolling_files_and_requests_jobs(spark, tmp_path):
     cli.main(["requests", "--input", reqs, "--output", str(tmp_path / "resp"), "--checkpoint",
               str(tmp_path / "ck2"), "--available-now"])
     assert spark.read.parquet(str(tmp_path / "resp" / "responses")).count() == 150
+
+
+def test_decode_messages_job(spark, tmp_path):
+    from cascata.sources.messages import MESSAGE_SCHEMA
+    msgs = spark.createDataFrame([(None, b"ok", "t", 0, 0, None, 0), (None, None, "t", 0, 1, None, 0)], MESSAGE_SCHEMA)
+    src = str(tmp_path / "msgs")
+    msgs.write.parquet(src)
+    out = tmp_path / "out"
+    cli.main(["decode-messages", "--input", src, "--output", str(out), "--checkpoint", str(tmp_path / "ck"),
+              "--available-now"])
+    assert [r.text for r in spark.read.parquet(str(out / "ok")).collect()] == ["ok"]
+    assert [r.offset for r in spark.read.parquet(str(out / "dead")).collect()] == [1]
+    assert spark.read.parquet(str(out / "receipts")).count() == 2
+
+
+def test_running_count_job_into_jdbc(spark, tmp_path):
+    import uuid
+
+    from cascata.sinks import read_jdbc
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("apple\norange\napple\n")
+    url = f"jdbc:derby:memory:cli{uuid.uuid4().hex[:8]};create=true"
+    driver = "org.apache.derby.jdbc.EmbeddedDriver"
+    cli.main(["running-count", "--input", str(src), "--output", str(tmp_path / "unused"), "--state",
+              str(tmp_path / "state"), "--checkpoint", str(tmp_path / "ck"), "--available-now",
+              "--jdbc-url", url, "--jdbc-driver", driver])
+    rows = read_jdbc(spark, url, "wc", {"driver": driver}).collect()
+    assert sorted((r.word, r.word_count) for r in rows) == [("apple", 1), ("apple", 2), ("orange", 1)]
