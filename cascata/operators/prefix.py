@@ -37,6 +37,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cascata.operators.lineage import materialize as materialize_frame
+
 BUCKET = "_bucket"
 GROUP = "_group"
 # Rows per (group, bucket) window partition we aim for on a cluster.  Bucket
@@ -71,53 +73,33 @@ def bucket_boundaries(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS
                       seed: int = 7) -> list[float]:
     """Approximate equi-depth boundaries of ``order_col`` (sorted, distinct).
 
-    The bucket count is ``B = max(min_buckets, ceil(rows / rows_per_bucket))``.
-
-    * Few input splits (<= ``SKETCH_FAN_IN``): one pass returns the row count
-      and a ``min_buckets`` quantile grid; the merge of that many default-size
-      sketches is cheap.  It is enough unless the data needs more buckets.
-    * Otherwise: pass 1 counts; pass 2 sketches a *sample* of about
-      ``samples_per_bucket * B`` keys, moved to at most ``SKETCH_FAN_IN``
-      tasks first, so the final aggregate merges a bounded number of sketches
-      whose size grows with B, not with the data.
-
-    Boundaries only have to balance the buckets roughly; results never
-    depend on them.
+    Pass 1 counts the rows, which fixes ``B = max(min_buckets,
+    ceil(rows / rows_per_bucket))``.  Pass 2 sketches the quantiles of at
+    most ``samples_per_bucket * B`` keys (a sample when the input is larger),
+    moved to at most ``SKETCH_FAN_IN`` (and at most the cluster's default
+    parallelism) tasks first: the final aggregate
+    merges partial sketches one at a time, so this bounds both the fan-in
+    and the sketch size however many splits the input has.  Boundaries only
+    have to balance the buckets roughly; results never depend on them.
     """
     spark = df.sparkSession
     if min_buckets is None:
         min_buckets = max(2, spark.sparkContext.defaultParallelism)
     key = df.select(_order_value(df, order_col).alias("_k"))
-
-    def grid(buckets: int):
-        probs = [i / buckets for i in range(1, buckets)]
-        return F.percentile_approx("_k", probs, max(10_000, 4 * buckets)).alias("q")
-
-    def clean(q) -> list[float]:
-        return sorted({float(x) for x in (q or []) if x is not None and not math.isinf(float(x))})
-
-    q = None
-    if key.rdd.getNumPartitions() <= SKETCH_FAN_IN and min_buckets > 1:
-        row = key.agg(F.count(F.lit(1)).alias("n"), grid(min_buckets)).first()
-        n, q = row["n"], row["q"]
-    else:
-        n = key.count()
+    n = key.count()
     if n == 0:
         return []
     buckets = max(1, min(n, max(min_buckets, math.ceil(n / rows_per_bucket))))
     if buckets == 1:
         return []
-    if q is not None and buckets <= min_buckets:
-        return clean(q)
     fraction = samples_per_bucket * buckets / n
     if fraction < 1.0:
         key = key.sample(withReplacement=False, fraction=fraction, seed=seed)
-        # The final aggregate merges one partial sketch per task, one at a
-        # time; shuffle the (small) sample to a few tasks so that fan-in stays
-        # bounded however many input splits the scan has.
-        if key.rdd.getNumPartitions() > SKETCH_FAN_IN:
-            key = key.repartition(SKETCH_FAN_IN)
-    return clean(key.agg(grid(buckets)).first()["q"])
+    probs = [i / buckets for i in range(1, buckets)]
+    fan_in = max(1, min(SKETCH_FAN_IN, spark.sparkContext.defaultParallelism))
+    q = (key.repartition(fan_in)
+         .agg(F.percentile_approx("_k", probs, max(10_000, 4 * buckets)).alias("q")).first()["q"])
+    return sorted({float(x) for x in (q or []) if x is not None and not math.isinf(float(x))})
 
 
 def with_bucket(df: DataFrame, order_col: str, boundaries: Sequence[float]) -> DataFrame:
@@ -182,7 +164,8 @@ def group_keys(df: DataFrame, partition_by: Sequence[str], schema: T.StructType
 def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Sequence[str],
                    partition_by: Sequence[str] = (), *, initial: DataFrame | None = None,
                    boundaries: Sequence[float] | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET, min_buckets: int | None = None) -> DataFrame:
+                   rows_per_bucket: int = ROWS_PER_BUCKET, min_buckets: int | None = None,
+                   materialize: bool = False) -> DataFrame:
     """Add one running-sum column per entry of ``sums``.
 
     ``sums`` maps output name -> addend (column or column name); a null addend
@@ -190,6 +173,11 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
     ``initial`` (optional) holds carried offsets per group — columns
     ``partition_by`` + the output names — as left by earlier micro-batches.
 
+    The input is read four times (count, boundary sample, window, totals);
+    pass ``materialize=True`` when it is expensive to recompute (joins,
+    aggregations, another running total) to write it once to the checkpoint
+    folder and read that instead.
+
     Plan: the rows are hash-shuffled once on ``(group keys, bucket)`` for the
     window; the bucket totals come from a narrow second read aggregated
     map-side; the join back on the same keys keeps the rows where the window
@@ -199,6 +187,8 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
     order_by = list(order_by)
     partition_by = list(partition_by)
     names = list(sums)
+    if materialize:
+        df = materialize_frame(df)
     addends = {f"_v_{n}": F.coalesce(F.col(e) if isinstance(e, str) else e, F.lit(0))
                for n, e in sums.items()}
     if boundaries is None:
