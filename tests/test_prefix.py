@@ -116,3 +116,10 @@ def test_double_order_column_with_nan_and_null(spark):
     df = spark.createDataFrame(rows, "x double, k int, v bigint").withColumn("i", F.col("v") * 1000 + F.col("k"))
     got = running_totals(df, {"rs": "v"}, ["x", "i"], ["k"], min_buckets=6)
     assert _same(got, _window(df, "v", ["x", "i"], ["k"]))
+
+
+def test_decimal_addend_is_exact(spark, events):
+    ev = events.select("event_id", "event_type", F.col("value").cast("decimal(12,2)").alias("v"))
+    got = running_totals(ev, {"rs": "v"}, ["event_id"], ["event_type"], min_buckets=7)
+    assert dict(got.dtypes)["rs"].startswith("decimal")
+    assert _same(got, _window(ev, "v", ["event_id"], ["event_type"]))
