@@ -59,11 +59,15 @@ def _order_value(df: DataFrame, column: str) -> Column:
         c = F.unix_micros(c.cast("timestamp"))
     elif dtype == "date":
         c = F.unix_date(c)
-    elif dtype == "string":
-        # strings compare by UTF-8 bytes: the first 6 bytes as a 48-bit
-        # number are monotone in that order and exact as a double
-        prefix = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
-        c = F.conv(prefix, 16, 10)
+    elif dtype in ("string", "binary"):
+        # strings compare by UTF-8 bytes, binaries by bytes: the first 6 bytes
+        # as a 48-bit number are monotone in that order and exact as a double
+        raw = F.encode(c, "UTF-8") if dtype == "string" else c
+        c = F.conv(F.rpad(F.hex(F.substring(raw, 1, 6)), 12, "0"), 16, 10)
+    elif not (dtype in ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double")
+              or dtype.startswith("decimal")):
+        raise ValueError(f"order column {column!r} of type {dtype} cannot be range-bucketed; "
+                         "order by a number, date, timestamp, string or binary column")
     # nulls sort first in an ascending window: put them in the first bucket
     return F.coalesce(c.cast("double"), F.lit(float("-inf")))
 

@@ -123,3 +123,13 @@ def test_decimal_addend_is_exact(spark, events):
     got = running_totals(ev, {"rs": "v"}, ["event_id"], ["event_type"], min_buckets=7)
     assert dict(got.dtypes)["rs"].startswith("decimal")
     assert _same(got, _window(ev, "v", ["event_id"], ["event_type"]))
+
+
+def test_binary_order_column_and_unsupported_types(spark):
+    rows = [(bytes([i % 7, i // 7, 3]), i % 2, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "b binary, k int, v bigint")
+    got = running_totals(df, {"rs": "v"}, ["b"], ["k"], min_buckets=5)
+    assert _same(got, _window(df, "v", ["b"], ["k"]))
+    arr = spark.createDataFrame([([1], 1)], "a array<int>, v bigint")
+    with pytest.raises(ValueError):
+        running_totals(arr, {"rs": "v"}, ["a"])
