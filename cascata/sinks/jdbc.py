@@ -45,8 +45,10 @@ class JdbcChangelogSink:
         conn = jvm.java.sql.DriverManager.getConnection(self.url, props)
         try:
             meta = conn.getMetaData()
-            names = {self.table, self.table.upper(), self.table.lower()}
-            if not any(meta.getTables(None, None, n, None).next() for n in names):
+            schema, _, name = self.table.rpartition(".")
+            schemas = {schema, schema.upper(), schema.lower()} if schema else {None}
+            names = {name, name.upper(), name.lower()}
+            if not any(meta.getTables(None, sp, n, None).next() for sp in schemas for n in names):
                 return
             column = f"{self.quote}{self.batch_column}{self.quote}"
             stmt = conn.prepareStatement(f"DELETE FROM {self.table} WHERE {column} = ?")

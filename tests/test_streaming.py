@@ -281,3 +281,13 @@ def test_keyed_store_repairs_an_interrupted_swap(spark, tmp_path):
     expected.update({"k1": "100", "k2": "200"})
     assert got == expected
     assert not paths.exists(spark, staging)
+
+
+def test_jdbc_sink_with_schema_qualified_table(spark):
+    url = f"jdbc:derby:memory:q{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    sink = JdbcChangelogSink(url, "app.wc2", props)
+    rows = spark.createDataFrame([("a", 1), ("b", 1)], "word string, word_count bigint")
+    sink(rows, 3)
+    sink(rows, 3)          # a retried batch replaces its rows
+    assert read_jdbc(spark, url, "app.wc2", props).count() == 2
