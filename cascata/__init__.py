@@ -11,6 +11,7 @@ sources     readers for tables, text directories and message topics
 sinks       JDBC changelog, keyed upsert store, rolling delimited files
 streaming   Structured Streaming jobs built on the operators
 plans       the named query catalog and its SQL oracles
+cli         command-line jobs (``spark-submit cascata/cli.py <job>``)
 """
 
 from cascata.session import checkpoint_root, get_session
