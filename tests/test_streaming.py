@@ -291,3 +291,29 @@ def test_jdbc_sink_with_schema_qualified_table(spark):
     sink(rows, 3)
     sink(rows, 3)          # a retried batch replaces its rows
     assert read_jdbc(spark, url, "app.wc2", props).count() == 2
+
+
+def test_stream_sequence_numbers_and_replicated_source(spark, event_slices, tmp_path):
+    ev = spark.read.parquet(f"{BASE}/events.parquet").select("event_id", F.col("user_id").alias("num"))
+    # S4/S5: numbering continues across micro-batches; the flag is derived in the sink
+    out = str(tmp_path / "seq")
+
+    def flagged(df, b):
+        BatchPartitionSink(out)(df.withColumn("flag", F.pmod(F.col("seq") - 1, F.lit(2))), b)
+
+    writer = S.RunningTotalsWriter({"seq": F.lit(1)}, ["event_id"], flagged, str(tmp_path / "state"))
+    _run(S.start_running_totals(_events_stream(spark, event_slices).select("event_id"), writer,
+                                str(tmp_path / "ck"), available_now=True))
+    expected = O.keyed_sequence(ev.select("event_id"), ["event_id"], num="seq")
+    assert _same(spark.read.parquet(out).drop("batch_id").select(*expected.columns), expected)
+
+    # G5: two source instances into four tasks
+    out2 = str(tmp_path / "g5")
+    copies = O.replicate(_events_stream(spark, event_slices).select("event_id", F.col("user_id").alias("num")),
+                         2, "instance")
+    tasks = copies.withColumn("task", O.shard_task(F.col("event_id") * 2 + F.col("instance"), 4))
+    writer2 = S.RunningTotalsWriter({"running_sum": "num"}, ["event_id", "instance"], out2,
+                                    str(tmp_path / "state2"), partition_by=["task"])
+    _run(S.start_running_totals(tasks, writer2, str(tmp_path / "ck2"), available_now=True))
+    expected2 = O.replicated_source_sharded_sum(ev, "num", "event_id", 2, 4)
+    assert _same(spark.read.parquet(out2).drop("batch_id").select(*expected2.columns), expected2)
