@@ -54,21 +54,17 @@ class RunningTotalsWriter:
         return spark.read.parquet(f"{self.state_path}/v={earlier[-1]}")
 
     def _next_state(self, batch: DataFrame, prev: DataFrame | None) -> DataFrame:
+        """Totals per group after this batch: earlier totals plus this batch's.
+
+        One aggregation over (previous state rows + batch rows), combined
+        map-side; a null group is a group like any other.
+        """
         names = list(self.sums)
         keys = self.partition_by
-        totals = batch.groupBy(*keys).agg(*(F.sum(_addend(e)).alias(n) for n, e in self.sums.items()))
-        if prev is None:
-            return totals
-        if not keys:
-            row = prev.first()
-            return totals.select(*((F.coalesce(F.col(n), F.lit(0)) + F.lit(row[n] if row else 0)).alias(n)
-                                   for n in names))
-        p = prev.select(*(F.col(k).alias(f"_p_{k}") for k in keys), *(F.col(n).alias(f"_p_{n}") for n in names))
-        cond = [p[f"_p_{k}"].eqNullSafe(totals[k]) for k in keys]
-        merged = p.join(totals, cond, "full_outer")
-        return merged.select(*(F.coalesce(F.col(k), F.col(f"_p_{k}")).alias(k) for k in keys),
-                             *((F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_p_{n}"), F.lit(0))).alias(n)
-                               for n in names))
+        rows = batch.select(*keys, *(_addend(e).alias(n) for n, e in self.sums.items()))
+        if prev is not None:
+            rows = rows.unionByName(prev.select(*keys, *names))
+        return rows.groupBy(*keys).agg(*(F.sum(n).alias(n) for n in names))
 
     # -- foreachBatch ---------------------------------------------------------------
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
