@@ -80,6 +80,17 @@ def tokenize(spark, base):
     return O.tokenize_text(docs, "text", keep=["doc_id"])
 
 
+@query("document_lines", r"""
+SELECT doc_id,
+       unnest(CASE WHEN text = '' THEN []::VARCHAR[]
+                   ELSE string_split_regex(regexp_replace(text, '(\r\n|\n|\r)$', ''), '\r\n|\n|\r')
+              END) AS line
+FROM documents""")
+def document_lines(spark, base):
+    """The line source over whole document texts (batch twin of the directory source)."""
+    return O.lines(read_table(spark, base, "documents"), "text", keep=["doc_id"])
+
+
 # ---- sequence numbering -----------------------------------------------------
 
 @query("sequence_number",
@@ -301,6 +312,32 @@ def decode_outcome(spark, base):
     return payload.select("doc_id", X.decode_outcome("value").alias("outcome"))
 
 
+@query("decode_outcome_strict", """
+SELECT doc_id, CASE WHEN text IS NULL THEN 'fail' ELSE 'ack' END AS outcome FROM documents""")
+def decode_outcome_strict(spark, base):
+    """Strict decoding: malformed UTF-8 fails too (parquet text is always well formed)."""
+    docs = read_table(spark, base, "documents")
+    payload = docs.select("doc_id", F.encode("text", "UTF-8").alias("value"))
+    return payload.select("doc_id", X.decode_outcome("value", strict=True).alias("outcome"))
+
+
+def _segment_requests(spark, base):
+    """Requests derived from customers: the market segment names the function
+    (segment BUILDING calls addUser, every other segment an unknown one)."""
+    cust = read_table(spark, base, "customer")
+    func = F.when(F.col("c_mktsegment") == F.lit("BUILDING"), F.lit(O.requests.ADD_USER)).otherwise(
+        F.col("c_mktsegment"))
+    return cust.select(F.col("c_custkey").alias("id"), func.alias("func"), F.col("c_name").alias("args"))
+
+
+@query("request_dead_letter", """
+SELECT c_custkey AS id, c_mktsegment AS func, c_name AS args, 'unknown function' AS reason
+FROM customer WHERE c_mktsegment IS DISTINCT FROM 'BUILDING'""")
+def request_dead_letter(spark, base):
+    _, dead = O.respond(_segment_requests(spark, base))
+    return dead
+
+
 @query("request_response", """
 SELECT c_custkey AS id, 'add user:' || coalesce(c_name, 'null') AS result FROM customer""")
 def request_response(spark, base):
