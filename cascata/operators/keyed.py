@@ -15,7 +15,12 @@ def key_value(df: DataFrame, key: Column | str, value: Column | str, seq: str) -
 
 def latest_per_key(changes: DataFrame, key: str = "key", value: str = "value", seq: str = "seq",
                    keep_seq: bool = False) -> DataFrame:
-    """Last value per key by ``seq`` (partial ``max_by`` before the shuffle)."""
+    """Last value per key by ``seq`` (partial ``max_by`` before the shuffle).
+
+    With a fixed-width value (a number) Spark aggregates by hash; a string
+    value makes it sort each partition first, so reduce before rendering
+    text when the value starts out numeric.
+    """
     cols = [F.max_by(value, seq).alias(value)]
     if keep_seq:
         cols.append(F.max(seq).alias(seq))

@@ -368,4 +368,8 @@ SELECT key, arg_max(value, seq) AS value FROM (
 def latest_per_key(spark, base):
     words = O.rename(_events(spark, base), "event_type", "word", keep=["event_id"])
     changelog = O.running_count(words, "word", ["event_id"], "count")
-    return O.latest_per_key(O.key_value(changelog, "word", "count", "event_id"))
+    # reduce on the numeric count (fixed-width buffer: hash aggregation), then
+    # render the value as text; the last write per key is the same either way
+    latest = O.latest_per_key(changelog.select(F.col("word").alias("key"), F.col("count").alias("value"),
+                                               F.col("event_id").alias("seq")))
+    return latest.select("key", F.col("value").cast("string").alias("value"))
