@@ -64,3 +64,16 @@ def test_no_cross_join_anywhere(spark):
     for name, fn in E.queries().items():
         text = plan(fn(spark, BASE))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_single_partition_exchanges_only_carry_aggregates(spark):
+    """A SinglePartition exchange may only move already-aggregated rows (bucket
+    totals or one partial per task), never input rows; no slow-path operators."""
+    for name, fn in E.queries().items():
+        lines = plan(fn(spark, BASE)).splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                assert "HashAggregate" in lines[i + 1], (name, lines[i + 1])
+        text = "\n".join(lines)
+        for slow in ("SortAggregate", "BatchEvalPython", "ArrowEvalPython", "ObjectHashAggregate"):
+            assert slow not in text, (name, slow)
