@@ -373,3 +373,53 @@ def latest_per_key(spark, base):
     latest = O.latest_per_key(changelog.select(F.col("word").alias("key"), F.col("count").alias("value"),
                                                F.col("event_id").alias("seq")))
     return latest.select("key", F.col("value").cast("string").alias("value"))
+
+
+# ---- the same results computed by streaming jobs ---------------------------------
+#
+# These run the Structured Streaming job over the table's files (one
+# micro-batch per file, ``availableNow``) into a fresh folder under the
+# checkpoint root, and return what the job wrote.  Their oracle is the batch
+# query's: a stream must give the batch result.
+
+STREAMED = ("stream_running_count_by_key", "stream_word_count")
+
+
+def _stream_scratch(spark) -> str:
+    import uuid
+
+    from cascata.session import checkpoint_root
+    return f"{checkpoint_root(spark).rstrip('/')}/streamed-queries/{uuid.uuid4().hex}"
+
+
+@query("stream_running_count_by_key", _ORACLES["running_count_by_key"])
+def stream_running_count_by_key(spark, base):
+    from cascata import streaming as S
+    from cascata.sources.tables import stream_table
+
+    scratch = _stream_scratch(spark)
+    events = stream_table(spark, base, "events", max_files_per_trigger=1)
+    writer = S.RunningTotalsWriter({"word_count": F.lit(1)}, ["event_id"], f"{scratch}/out", f"{scratch}/state",
+                                   partition_by=["word"])
+    q = S.start_running_totals(events.select("event_id", F.col("event_type").alias("word")), writer,
+                               f"{scratch}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{scratch}/out").select("event_id", "word", "word_count")
+
+
+@query("stream_word_count", _ORACLES["word_count"])
+def stream_word_count(spark, base):
+    from cascata import streaming as S
+    from cascata.sources.tables import stream_table
+
+    scratch = _stream_scratch(spark)
+    docs = stream_table(spark, base, "documents", max_files_per_trigger=1)
+    counts = S.word_count_stream(O.lines(docs, "text"))
+
+    def snapshot(df, batch_id):
+        # complete mode: every micro-batch carries the whole table
+        df.write.mode("overwrite").parquet(f"{scratch}/out")
+
+    q = S.start(counts, snapshot, f"{scratch}/checkpoint", output_mode="complete", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{scratch}/out").select("word", "word_count")
