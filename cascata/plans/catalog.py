@@ -382,7 +382,8 @@ def latest_per_key(spark, base):
 # checkpoint root, and return what the job wrote.  Their oracle is the batch
 # query's: a stream must give the batch result.
 
-STREAMED = ("stream_running_count_by_key", "stream_word_count")
+STREAMED = ("stream_running_count_by_key", "stream_word_count", "stream_running_sum", "stream_dead_letter",
+            "stream_request_response")
 
 
 def _stream_scratch(spark) -> str:
@@ -423,3 +424,46 @@ def stream_word_count(spark, base):
     q = S.start(counts, snapshot, f"{scratch}/checkpoint", output_mode="complete", available_now=True)
     q.awaitTermination()
     return spark.read.parquet(f"{scratch}/out").select("word", "word_count")
+
+
+@query("stream_running_sum", _ORACLES["running_sum"])
+def stream_running_sum(spark, base):
+    from cascata import streaming as S
+    from cascata.sources.tables import stream_table
+
+    scratch = _stream_scratch(spark)
+    events = stream_table(spark, base, "events", max_files_per_trigger=1)
+    writer = S.RunningTotalsWriter({"running_sum": "user_id"}, ["event_id"], f"{scratch}/out", f"{scratch}/state")
+    q = S.start_running_totals(events.select("event_id", "user_id"), writer, f"{scratch}/checkpoint",
+                               available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{scratch}/out").select("event_id", "running_sum")
+
+
+@query("stream_dead_letter", _ORACLES["dead_letter"])
+def stream_dead_letter(spark, base):
+    from cascata import streaming as S
+    from cascata.sources.tables import stream_table
+
+    scratch = _stream_scratch(spark)
+    events = stream_table(spark, base, "events", max_files_per_trigger=1)
+    router = S.range_router("msg_id", "num", f"{scratch}/receipts", f"{scratch}/ok", f"{scratch}/dead")
+    q = S.start(events.select(F.col("event_id").alias("msg_id"), F.col("user_id").alias("num")), router,
+                f"{scratch}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{scratch}/dead").select("msg_id", "num", "reason")
+
+
+@query("stream_request_response", _ORACLES["request_response"])
+def stream_request_response(spark, base):
+    from cascata import streaming as S
+    from cascata.sources.tables import stream_table
+
+    scratch = _stream_scratch(spark)
+    customers = stream_table(spark, base, "customer", max_files_per_trigger=1)
+    requests = customers.select(F.col("c_custkey").alias("id"), F.lit(O.requests.ADD_USER).alias("func"),
+                                F.col("c_name").alias("args"))
+    q = S.start(requests, S.ResponseWriter(f"{scratch}/responses", f"{scratch}/dead"), f"{scratch}/checkpoint",
+                available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{scratch}/responses").select("id", "result")
