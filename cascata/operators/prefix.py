@@ -32,6 +32,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,6 +50,8 @@ ROWS_PER_BUCKET = 4_000_000
 SAMPLES_PER_BUCKET = 64
 # Partial quantile sketches merged by the final aggregate at most.
 SKETCH_FAN_IN = 64
+# Above this many buckets the quantiles are computed in two levels.
+SINGLE_LEVEL_BUCKETS = 2048
 
 
 def _order_value(df: DataFrame, column: str) -> Column:
@@ -72,6 +75,14 @@ def _order_value(df: DataFrame, column: str) -> Column:
     return F.coalesce(c.cast("double"), F.lit(float("-inf")))
 
 
+def _grid(buckets: int) -> list[float]:
+    return [i / buckets for i in range(1, buckets)]
+
+
+def _clean(values) -> list[float]:
+    return sorted({float(x) for x in (values or []) if x is not None and not math.isinf(float(x))})
+
+
 def bucket_boundaries(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_BUCKET,
                       min_buckets: int | None = None, samples_per_bucket: int = SAMPLES_PER_BUCKET,
                       seed: int = 7) -> list[float]:
@@ -81,10 +92,13 @@ def bucket_boundaries(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS
     ceil(rows / rows_per_bucket))``.  Pass 2 sketches the quantiles of at
     most ``samples_per_bucket * B`` keys (a sample when the input is larger),
     moved to at most ``SKETCH_FAN_IN`` (and at most the cluster's default
-    parallelism) tasks first: the final aggregate
-    merges partial sketches one at a time, so this bounds both the fan-in
-    and the sketch size however many splits the input has.  Boundaries only
-    have to balance the buckets roughly; results never depend on them.
+    parallelism) tasks first: the final aggregate merges partial sketches one
+    at a time, so this bounds both the fan-in and the sketch size however
+    many splits the input has.  Above ``SINGLE_LEVEL_BUCKETS`` buckets the
+    quantiles come in two levels (about sqrt(B) coarse ranges, then about
+    sqrt(B) quantiles inside each range, grouped by range), so no plan holds a
+    literal list of B probabilities.  Boundaries only have to balance the
+    buckets roughly; results never depend on them.
     """
     spark = df.sparkSession
     if min_buckets is None:
@@ -99,11 +113,23 @@ def bucket_boundaries(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS
     fraction = samples_per_bucket * buckets / n
     if fraction < 1.0:
         key = key.sample(withReplacement=False, fraction=fraction, seed=seed)
-    probs = [i / buckets for i in range(1, buckets)]
     fan_in = max(1, min(SKETCH_FAN_IN, spark.sparkContext.defaultParallelism))
-    q = (key.repartition(fan_in)
-         .agg(F.percentile_approx("_k", probs, max(10_000, 4 * buckets)).alias("q")).first()["q"])
-    return sorted({float(x) for x in (q or []) if x is not None and not math.isinf(float(x))})
+    sample = key.repartition(fan_in)
+    if buckets <= SINGLE_LEVEL_BUCKETS:
+        q = sample.agg(F.percentile_approx("_k", _grid(buckets), max(10_000, 4 * buckets)).alias("q")).first()["q"]
+        return _clean(q)
+
+    coarse = math.ceil(math.sqrt(buckets))
+    fine = math.ceil(buckets / coarse)
+    sample = sample.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        top = _clean(sample.agg(F.percentile_approx("_k", _grid(coarse), max(10_000, 4 * coarse)).alias("q"))
+                     .first()["q"])
+        inner = (with_bucket(sample, "_k", top).groupBy(BUCKET)
+                 .agg(F.percentile_approx("_k", _grid(fine), max(10_000, 4 * fine)).alias("q")).collect())
+    finally:
+        sample.unpersist()
+    return _clean([*top, *(x for row in inner for x in (row["q"] or []))])
 
 
 def with_bucket(df: DataFrame, order_col: str, boundaries: Sequence[float]) -> DataFrame:
