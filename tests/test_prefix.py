@@ -156,3 +156,17 @@ def test_randomised_cases_against_pandas(spark):
     merged = got.merge(pdf, on=["case", "o"], suffixes=("", "_want"))
     assert len(merged) == len(rows) == len(got)
     assert (merged["rs"] == merged["rs_want"]).all()
+
+
+def test_two_level_boundaries_for_many_buckets(spark):
+    from cascata.operators.prefix import BUCKET, SINGLE_LEVEL_BUCKETS, with_bucket
+
+    n, target = 100_000, 20
+    df = spark.range(0, n, numPartitions=8).select(((F.col("id") * 7919) % n).alias("seq"),
+                                                   (F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    b = bucket_boundaries(df, "seq", rows_per_bucket=target, min_buckets=4)
+    assert len(b) + 1 > SINGLE_LEVEL_BUCKETS            # the two-level path ran
+    sizes = with_bucket(df, "seq", b).groupBy(BUCKET).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 3 * target
+    got = running_totals(df, {"rs": "v"}, ["seq"], ["k"], boundaries=b)
+    assert _same(got, _window(df, "v", ["seq"], ["k"]))
