@@ -11,6 +11,7 @@ summed and ``event_type`` the word/key being counted.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 
 from cascata import functions as X
 from cascata import operators as O
-from cascata.sources.tables import read_table
+from cascata import streaming as S
+from cascata.session import checkpoint_root
+from cascata.sources.tables import read_table, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -387,17 +390,11 @@ STREAMED = ("stream_running_count_by_key", "stream_word_count", "stream_running_
 
 
 def _stream_scratch(spark) -> str:
-    import uuid
-
-    from cascata.session import checkpoint_root
     return f"{checkpoint_root(spark).rstrip('/')}/streamed-queries/{uuid.uuid4().hex}"
 
 
 @query("stream_running_count_by_key", _ORACLES["running_count_by_key"])
 def stream_running_count_by_key(spark, base):
-    from cascata import streaming as S
-    from cascata.sources.tables import stream_table
-
     scratch = _stream_scratch(spark)
     events = stream_table(spark, base, "events", max_files_per_trigger=1)
     writer = S.RunningTotalsWriter({"word_count": F.lit(1)}, ["event_id"], f"{scratch}/out", f"{scratch}/state",
@@ -410,9 +407,6 @@ def stream_running_count_by_key(spark, base):
 
 @query("stream_word_count", _ORACLES["word_count"])
 def stream_word_count(spark, base):
-    from cascata import streaming as S
-    from cascata.sources.tables import stream_table
-
     scratch = _stream_scratch(spark)
     docs = stream_table(spark, base, "documents", max_files_per_trigger=1)
     counts = S.word_count_stream(O.lines(docs, "text"))
@@ -428,9 +422,6 @@ def stream_word_count(spark, base):
 
 @query("stream_running_sum", _ORACLES["running_sum"])
 def stream_running_sum(spark, base):
-    from cascata import streaming as S
-    from cascata.sources.tables import stream_table
-
     scratch = _stream_scratch(spark)
     events = stream_table(spark, base, "events", max_files_per_trigger=1)
     writer = S.RunningTotalsWriter({"running_sum": "user_id"}, ["event_id"], f"{scratch}/out", f"{scratch}/state")
@@ -442,9 +433,6 @@ def stream_running_sum(spark, base):
 
 @query("stream_dead_letter", _ORACLES["dead_letter"])
 def stream_dead_letter(spark, base):
-    from cascata import streaming as S
-    from cascata.sources.tables import stream_table
-
     scratch = _stream_scratch(spark)
     events = stream_table(spark, base, "events", max_files_per_trigger=1)
     router = S.range_router("msg_id", "num", f"{scratch}/receipts", f"{scratch}/ok", f"{scratch}/dead")
@@ -456,9 +444,6 @@ def stream_dead_letter(spark, base):
 
 @query("stream_request_response", _ORACLES["request_response"])
 def stream_request_response(spark, base):
-    from cascata import streaming as S
-    from cascata.sources.tables import stream_table
-
     scratch = _stream_scratch(spark)
     customers = stream_table(spark, base, "customer", max_files_per_trigger=1)
     requests = customers.select(F.col("c_custkey").alias("id"), F.lit(O.requests.ADD_USER).alias("func"),
