@@ -47,7 +47,7 @@ def main(argv):
                                                            "spark.driver.memory": "16g"})
     ev = spark.read.parquet(f"{base}/events.parquet").select("event_id", "user_id", "event_type")
     big = (ev.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-           .select((F.col("copy") * F.lit(10_000_000) + F.col("event_id")).alias("seq"),
+           .select((F.col("copy").cast("bigint") * F.lit(10_000_000) + F.col("event_id")).alias("seq"),
                    "user_id", "event_type"))
 
     def timed(label, build, runs=2):
