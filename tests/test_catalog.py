@@ -66,3 +66,18 @@ def test_rendering_does_not_depend_on_session_zone(spark, con):
         spark.conf.set("spark.sql.session.timeZone", old)
     res = con.execute(E.oracle_sql()["delimited_record"])
     assert _digest(df.columns, rows) == _digest([d[0] for d in res.description], res.fetchall())
+
+
+def test_results_do_not_depend_on_ansi_mode(spark, con):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    names = ["word_count", "document_lines", "decode_bytes", "delimited_record", "running_sum_by_key",
+             "snapshot_per_event", "request_dead_letter"]
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        got = {n: (E.queries()[n](spark, BASE)) for n in names}
+        got = {n: (df.columns, [tuple(r) for r in df.collect()]) for n, df in got.items()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    for n, (cols, rows) in got.items():
+        res = con.execute(E.oracle_sql()[n])
+        assert _digest(cols, rows) == _digest([d[0] for d in res.description], res.fetchall()), n
