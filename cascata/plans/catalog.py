@@ -21,6 +21,7 @@ from cascata import functions as X
 from cascata import operators as O
 from cascata import streaming as S
 from cascata.session import checkpoint_root
+from cascata.sinks import ParquetKeyedStore
 from cascata.sources.tables import read_table, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -386,7 +387,7 @@ def latest_per_key(spark, base):
 # query's: a stream must give the batch result.
 
 STREAMED = ("stream_running_count_by_key", "stream_word_count", "stream_running_sum", "stream_dead_letter",
-            "stream_request_response")
+            "stream_request_response", "stream_latest_per_key")
 
 
 def _stream_scratch(spark) -> str:
@@ -452,3 +453,22 @@ def stream_request_response(spark, base):
                 available_now=True)
     q.awaitTermination()
     return spark.read.parquet(f"{scratch}/responses").select("id", "result")
+
+
+@query("stream_latest_per_key", _ORACLES["latest_per_key"])
+def stream_latest_per_key(spark, base):
+    """Running-count changelog upserted into the keyed store, batch by batch."""
+    scratch = _stream_scratch(spark)
+    store = ParquetKeyedStore(f"{scratch}/store", n_buckets=8)
+
+    def upsert(changelog, batch_id):
+        store.upsert(changelog.select(F.col("word").alias("key"), F.col("count").cast("string").alias("value"),
+                                      F.col("event_id").alias("seq")), batch_id)
+
+    events = stream_table(spark, base, "events", max_files_per_trigger=1)
+    writer = S.RunningTotalsWriter({"count": F.lit(1)}, ["event_id"], upsert, f"{scratch}/state",
+                                   partition_by=["word"])
+    q = S.start_running_totals(events.select("event_id", F.col("event_type").alias("word")), writer,
+                               f"{scratch}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return store.read(spark).select("key", "value")
