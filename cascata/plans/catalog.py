@@ -387,7 +387,7 @@ def latest_per_key(spark, base):
 # query's: a stream must give the batch result.
 
 STREAMED = ("stream_running_count_by_key", "stream_word_count", "stream_running_sum", "stream_dead_letter",
-            "stream_request_response", "stream_latest_per_key")
+            "stream_request_response", "stream_latest_per_key", "stream_sharded_running_sum")
 
 
 def _stream_scratch(spark) -> str:
@@ -472,3 +472,17 @@ def stream_latest_per_key(spark, base):
                                f"{scratch}/checkpoint", available_now=True)
     q.awaitTermination()
     return store.read(spark).select("key", "value")
+
+
+@query("stream_sharded_running_sum", _ORACLES["sharded_running_sum"])
+def stream_sharded_running_sum(spark, base):
+    """Shuffle grouping over 3 tasks, each task's sum carried across micro-batches."""
+    scratch = _stream_scratch(spark)
+    events = stream_table(spark, base, "events", max_files_per_trigger=1)
+    tasks = events.select("event_id", F.col("user_id").alias("num"),
+                          O.shard_task("event_id", N_SHARDS).alias("task"))
+    writer = S.RunningTotalsWriter({"running_sum": "num"}, ["event_id"], f"{scratch}/out", f"{scratch}/state",
+                                   partition_by=["task"])
+    q = S.start_running_totals(tasks, writer, f"{scratch}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{scratch}/out").select("event_id", "task", "num", "running_sum")
