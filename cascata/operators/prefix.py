@@ -52,6 +52,8 @@ SAMPLES_PER_BUCKET = 64
 SKETCH_FAN_IN = 64
 # Above this many buckets the quantiles are computed in two levels.
 SINGLE_LEVEL_BUCKETS = 2048
+# Largest ungrouped offsets table (one row per bucket, ~24 bytes) broadcast explicitly.
+BROADCAST_MAX_BUCKETS = 1_000_000
 
 
 def _order_value(df: DataFrame, column: str) -> Column:
@@ -253,8 +255,9 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
             offsets = offsets.withColumns({f"_c_{n}": F.lit(row[n] if row else 0) for n in names})
         offsets = offsets.withColumns({f"_o_{n}": F.col(f"_o_{n}") + F.coalesce(F.col(f"_c_{n}"), F.lit(0))
                                        for n in names}).drop(*(f"_c_{n}" for n in names))
-    if not partition_by:
-        # one row per bucket: size bounded by the bucket count chosen above
+    if not partition_by and len(boundaries) + 1 <= BROADCAST_MAX_BUCKETS:
+        # one row per bucket: the size is known before the join and checked here;
+        # beyond the limit Spark (AQE) decides from the measured size
         offsets = F.broadcast(offsets)
 
     out = local.join(offsets, keys, "inner")
