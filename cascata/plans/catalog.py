@@ -74,12 +74,14 @@ doc_tokens AS (
 
 @query("word_count", _TOKENS_SQL + "SELECT word, count(*) AS word_count FROM doc_tokens GROUP BY word")
 def word_count(spark, base):
+    """P1 + A4: comma tokens of every document line, counted per word (flagship)."""
     docs = read_table(spark, base, "documents")
     return O.word_count(O.tokenize_text(docs, "text"), "word", "word_count")
 
 
 @query("tokenize", _TOKENS_SQL + "SELECT doc_id, word FROM doc_tokens")
 def tokenize(spark, base):
+    """P1: one row per comma token of every document line."""
     docs = read_table(spark, base, "documents")
     return O.tokenize_text(docs, "text", keep=["doc_id"])
 
@@ -100,6 +102,7 @@ def document_lines(spark, base):
 @query("sequence_number",
        "SELECT event_id, row_number() OVER (ORDER BY event_id) AS num FROM events")
 def sequence_number(spark, base):
+    """S4: dense 1-based numbers in event order."""
     return O.sequence_number(_events(spark, base).select("event_id"), ["event_id"], "num")
 
 
@@ -107,6 +110,7 @@ def sequence_number(spark, base):
 SELECT (num - 1) % 2 AS flag, num
 FROM (SELECT row_number() OVER (ORDER BY event_id) AS num FROM events)""")
 def keyed_sequence(spark, base):
+    """S5: sequence number and flag = (num - 1) % 2."""
     seq = O.keyed_sequence(_events(spark, base).select("event_id"), ["event_id"], modulus=2)
     return seq.select("flag", "num")
 
@@ -119,12 +123,14 @@ SELECT event_id,
             AS BIGINT) AS running_sum
 FROM events""")
 def running_sum(spark, base):
+    """A1: running global sum in event order."""
     ev = _events(spark, base).select("event_id", "user_id")
     return O.running_sum(ev, "user_id", ["event_id"]).select("event_id", "running_sum")
 
 
 @query("total_sum", "SELECT CAST(coalesce(sum(user_id), 0) AS BIGINT) AS total FROM events")
 def total_sum(spark, base):
+    """A2: final total of the running sum."""
     return O.total_sum(_events(spark, base), "user_id", "total")
 
 
@@ -134,6 +140,7 @@ SELECT event_id, event_type AS word,
                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS word_count
 FROM events""")
 def running_count_by_key(spark, base):
+    """P2 + A3: per-record changelog of the count per key."""
     words = O.rename(_events(spark, base), "event_type", "word", keep=["event_id"])
     return O.running_count(words, "word", ["event_id"], "word_count").select("event_id", "word", "word_count")
 
@@ -144,6 +151,7 @@ SELECT event_id, event_type AS word,
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
 FROM events""")
 def running_sum_by_key(spark, base):
+    """G2 (per-key form): running sum per key."""
     ev = _events(spark, base).select("event_id", F.col("event_type").alias("word"), "user_id")
     return O.running_sum(ev, "user_id", ["event_id"], partition_by=["word"]).select(
         "event_id", "word", "running_sum")
@@ -158,6 +166,7 @@ SELECT event_id, word, word_count FROM (
   FROM events e CROSS JOIN (SELECT DISTINCT event_type AS word FROM events) k)
 WHERE word_count > 0""")
 def snapshot_per_event(spark, base):
+    """A5: the whole count map after every event."""
     ev = _events(spark, base).select("event_id", "event_type")
     return O.snapshot_per_event(ev, "event_type", ["event_id"], name="word_count", key_name="word")
 
@@ -169,6 +178,7 @@ SELECT event_id,
             AS BIGINT) AS running_sum
 FROM events""")
 def running_sum_with_outcome(spark, base):
+    """A6: running sum over all rows with each row's range outcome."""
     ev = _events(spark, base).select("event_id", "user_id")
     return O.running_sum_with_outcome(ev, "user_id", ["event_id"]).select(
         "event_id", "outcome", "running_sum")
@@ -181,6 +191,7 @@ SELECT event_id AS msg_id, user_id AS num,
        CASE WHEN user_id > 0 AND user_id <= 10 THEN 'ack' ELSE 'fail' END AS outcome
 FROM events""")
 def outcome_routing(spark, base):
+    """F1 + T2/T3: a receipt (msg_id, outcome) for every message."""
     ev = _events(spark, base)
     return ev.select(F.col("event_id").alias("msg_id"), F.col("user_id").alias("num"),
                      X.range_outcome("user_id").alias("outcome"))
@@ -190,6 +201,7 @@ def outcome_routing(spark, base):
 SELECT event_id AS msg_id, user_id AS num, 'fail' AS reason
 FROM events WHERE NOT (user_id > 0 AND user_id <= 10) OR user_id IS NULL""")
 def dead_letter(spark, base):
+    """T4: messages that failed the range check, with a reason."""
     routed = _events(spark, base).select(F.col("event_id").alias("msg_id"), F.col("user_id").alias("num"),
                                          X.range_outcome("user_id").alias("outcome"))
     _, dead = O.split_outcomes(routed)
@@ -201,6 +213,7 @@ SELECT CASE WHEN l_quantity > 0 AND l_quantity <= 10 THEN 'ack' ELSE 'fail' END
        count(*) AS n
 FROM lineitem GROUP BY 1""")
 def outcome_counts(spark, base):
+    """messages per outcome."""
     return O.outcome_counts(read_table(spark, base, "lineitem"), "l_quantity", "n")
 
 
@@ -214,6 +227,7 @@ SELECT event_id, CAST(((event_id % {N_SHARDS}) + {N_SHARDS}) % {N_SHARDS} AS INT
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
 FROM events""")
 def sharded_running_sum(spark, base):
+    """G1: shuffle grouping over 3 tasks, one running sum per task."""
     ev = _events(spark, base).select("event_id", F.col("user_id").alias("num"))
     out = O.sharded_running_sum(ev, "num", ["event_id"], O.shard_task("event_id", N_SHARDS))
     return out.select("event_id", "task", "num", "running_sum")
@@ -227,6 +241,7 @@ SELECT event_id, CAST(((user_id % {N_SHARDS}) + {N_SHARDS}) % {N_SHARDS} AS INTE
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
 FROM events""")
 def keyed_shard_running_sum(spark, base):
+    """G2: fields grouping over 3 tasks (keys sharing a task share its sum)."""
     ev = _events(spark, base).select("event_id", F.col("user_id").alias("num"))
     out = O.sharded_running_sum(ev, "num", ["event_id"], O.shard_task("num", N_SHARDS))
     return out.select("event_id", "task", "num", "running_sum")
@@ -238,6 +253,7 @@ SELECT e.event_id, CAST(t.task AS INTEGER) AS task, e.user_id AS num,
                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
 FROM events e CROSS JOIN range({N_SHARDS}) t(task)""")
 def replicated_running_sum(spark, base):
+    """G3: all grouping, every task sees every row."""
     ev = _events(spark, base).select("event_id", F.col("user_id").alias("num"))
     out = O.replicated_running_sum(ev, "num", ["event_id"], N_SHARDS)
     return out.select("event_id", "task", "num", "running_sum")
@@ -252,6 +268,7 @@ FROM (SELECT e.event_id, CAST(i.instance AS INTEGER) AS instance, e.user_id AS n
                   % {COPIES_TASKS} AS INTEGER) AS task
       FROM events e CROSS JOIN range({SOURCE_COPIES}) i(instance))""")
 def replicated_source_sharded_sum(spark, base):
+    """S6 + G5: two source instances into four tasks."""
     ev = _events(spark, base).select("event_id", F.col("user_id").alias("num"))
     out = O.replicated_source_sharded_sum(ev, "num", "event_id", SOURCE_COPIES, COPIES_TASKS)
     return out.select("event_id", "instance", "task", "num", "running_sum")
@@ -295,6 +312,7 @@ SELECT CAST(coalesce(sum(last_sum), 0) AS BIGINT) AS total FROM (
                               ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_sum
     FROM events) GROUP BY task)""")
 def merged_shard_total(spark, base):
+    """G6: sum over tasks of each task's final running value."""
     ev = _events(spark, base)
     return O.merged_shard_total(ev, "user_id", O.shard_task("event_id", N_SHARDS))
 
@@ -303,6 +321,7 @@ def merged_shard_total(spark, base):
 
 @query("decode_bytes", "SELECT doc_id, decode(encode(text)) AS text FROM documents")
 def decode_bytes(spark, base):
+    """S3 (downstream) + P3: bytes to text with U+FFFD for malformed input."""
     docs = read_table(spark, base, "documents")
     payload = docs.select("doc_id", F.encode("text", "UTF-8").alias("value"))
     return payload.select("doc_id", X.decode_utf8("value").alias("text"))
@@ -311,6 +330,7 @@ def decode_bytes(spark, base):
 @query("decode_outcome", """
 SELECT doc_id, CASE WHEN text IS NULL THEN 'fail' ELSE 'ack' END AS outcome FROM documents""")
 def decode_outcome(spark, base):
+    """decoding outcome (a missing payload fails)."""
     docs = read_table(spark, base, "documents")
     payload = docs.select("doc_id", F.encode("text", "UTF-8").alias("value"))
     return payload.select("doc_id", X.decode_outcome("value").alias("outcome"))
@@ -345,6 +365,7 @@ def request_dead_letter(spark, base):
 @query("request_response", """
 SELECT c_custkey AS id, 'add user:' || coalesce(c_name, 'null') AS result FROM customer""")
 def request_response(spark, base):
+    """S7 + P4 + K4: requests answered by the function registry."""
     cust = read_table(spark, base, "customer")
     requests = cust.select(F.col("c_custkey").alias("id"), F.lit(O.requests.ADD_USER).alias("func"),
                            F.col("c_name").alias("args"))
@@ -359,6 +380,7 @@ _ORDER_FIELDS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
        + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in _ORDER_FIELDS)
        + ") AS record FROM orders")
 def delimited_record(spark, base):
+    """P8 / K3: '|'-delimited record per order, null rendered as text."""
     orders = read_table(spark, base, "orders")
     return orders.select("o_orderkey", X.delimited_columns(orders, list(_ORDER_FIELDS)).alias("record"))
 
@@ -370,6 +392,7 @@ SELECT key, arg_max(value, seq) AS value FROM (
                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS VARCHAR) AS value
   FROM events) GROUP BY key""")
 def latest_per_key(spark, base):
+    """P5 + K2: last value per key of the running-count changelog."""
     words = O.rename(_events(spark, base), "event_type", "word", keep=["event_id"])
     changelog = O.running_count(words, "word", ["event_id"], "count")
     # reduce on the numeric count (fixed-width buffer: hash aggregation), then
