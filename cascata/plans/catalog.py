@@ -358,6 +358,7 @@ def _segment_requests(spark, base):
 SELECT c_custkey AS id, c_mktsegment AS func, c_name AS args, 'unknown function' AS reason
 FROM customer WHERE c_mktsegment IS DISTINCT FROM 'BUILDING'""")
 def request_dead_letter(spark, base):
+    """S7 + K4: requests naming an unknown function go to the dead letters."""
     _, dead = O.respond(_segment_requests(spark, base))
     return dead
 
@@ -419,6 +420,7 @@ def _stream_scratch(spark) -> str:
 
 @query("stream_running_count_by_key", _ORACLES["running_count_by_key"])
 def stream_running_count_by_key(spark, base):
+    """A3 + T1 as a stream: the running-count changelog carried across micro-batches."""
     scratch = _stream_scratch(spark)
     events = stream_table(spark, base, "events", max_files_per_trigger=1)
     writer = S.RunningTotalsWriter({"word_count": F.lit(1)}, ["event_id"], f"{scratch}/out", f"{scratch}/state",
@@ -431,6 +433,7 @@ def stream_running_count_by_key(spark, base):
 
 @query("stream_word_count", _ORACLES["word_count"])
 def stream_word_count(spark, base):
+    """S1-style stream + A4/A5: word counts in complete mode (a snapshot per micro-batch)."""
     scratch = _stream_scratch(spark)
     docs = stream_table(spark, base, "documents", max_files_per_trigger=1)
     counts = S.word_count_stream(O.lines(docs, "text"))
@@ -446,6 +449,7 @@ def stream_word_count(spark, base):
 
 @query("stream_running_sum", _ORACLES["running_sum"])
 def stream_running_sum(spark, base):
+    """A1 + T1 as a stream: the global running sum carried across micro-batches."""
     scratch = _stream_scratch(spark)
     events = stream_table(spark, base, "events", max_files_per_trigger=1)
     writer = S.RunningTotalsWriter({"running_sum": "user_id"}, ["event_id"], f"{scratch}/out", f"{scratch}/state")
@@ -457,6 +461,7 @@ def stream_running_sum(spark, base):
 
 @query("stream_dead_letter", _ORACLES["dead_letter"])
 def stream_dead_letter(spark, base):
+    """T3/T4 as a stream: receipts, acknowledged rows and dead letters per micro-batch."""
     scratch = _stream_scratch(spark)
     events = stream_table(spark, base, "events", max_files_per_trigger=1)
     router = S.range_router("msg_id", "num", f"{scratch}/receipts", f"{scratch}/ok", f"{scratch}/dead")
@@ -468,6 +473,7 @@ def stream_dead_letter(spark, base):
 
 @query("stream_request_response", _ORACLES["request_response"])
 def stream_request_response(spark, base):
+    """S7/K4 as a stream: responses per micro-batch, idempotent by batch id."""
     scratch = _stream_scratch(spark)
     customers = stream_table(spark, base, "customer", max_files_per_trigger=1)
     requests = customers.select(F.col("c_custkey").alias("id"), F.lit(O.requests.ADD_USER).alias("func"),
