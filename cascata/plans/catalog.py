@@ -433,7 +433,7 @@ def stream_running_count_by_key(spark, base):
 
 @query("stream_word_count", _ORACLES["word_count"])
 def stream_word_count(spark, base):
-    """S1-style stream + A4/A5: word counts in complete mode (a snapshot per micro-batch)."""
+    """A4/A5 as a stream: word counts of document lines in complete mode (a snapshot per micro-batch)."""
     scratch = _stream_scratch(spark)
     docs = stream_table(spark, base, "documents", max_files_per_trigger=1)
     counts = S.word_count_stream(O.lines(docs, "text"))
