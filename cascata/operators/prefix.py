@@ -87,7 +87,7 @@ def _clean(values) -> list[float]:
 
 def bucket_boundaries(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_BUCKET,
                       min_buckets: int | None = None, samples_per_bucket: int = SAMPLES_PER_BUCKET,
-                      seed: int = 7) -> list[float]:
+                      seed: int = 7, bounded_input: bool = False) -> list[float]:
     """Approximate equi-depth boundaries of ``order_col`` (sorted, distinct).
 
     Pass 1 counts the rows, which fixes ``B = max(min_buckets,
@@ -101,17 +101,30 @@ def bucket_boundaries(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS
     sqrt(B) quantiles inside each range, grouped by range), so no plan holds a
     literal list of B probabilities.  Boundaries only have to balance the
     buckets roughly; results never depend on them.
+
+    ``bounded_input=True`` is for input that is cheap to read and has few
+    partitions (a persisted micro-batch): the count and a ``min_buckets``
+    grid then come from one aggregate, and the sampled pass runs only when
+    the data needs more buckets than that.
     """
     spark = df.sparkSession
     if min_buckets is None:
         min_buckets = max(2, spark.sparkContext.defaultParallelism)
     key = df.select(_order_value(df, order_col).alias("_k"))
-    n = key.count()
+    first = None
+    if bounded_input and min_buckets > 1:
+        row = key.agg(F.count(F.lit(1)).alias("n"),
+                      F.percentile_approx("_k", _grid(min_buckets), max(10_000, 4 * min_buckets)).alias("q")).first()
+        n, first = row["n"], row["q"]
+    else:
+        n = key.count()
     if n == 0:
         return []
     buckets = max(1, min(n, max(min_buckets, math.ceil(n / rows_per_bucket))))
     if buckets == 1:
         return []
+    if first is not None and buckets <= min_buckets:
+        return _clean(first)
     fraction = samples_per_bucket * buckets / n
     if fraction < 1.0:
         key = key.sample(withReplacement=False, fraction=fraction, seed=seed)

@@ -19,7 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascata.operators.prefix import running_totals
+from cascata.operators.prefix import bucket_boundaries, running_totals
 from cascata.sinks import paths
 from cascata.sinks.files import BatchPartitionSink
 
@@ -72,7 +72,10 @@ class RunningTotalsWriter:
         batch = (self.prepare(batch_df) if self.prepare else batch_df).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             prev = self.state_before(spark, batch_id)
-            out = running_totals(batch, self.sums, self.order_by, self.partition_by, initial=prev)
+            # the persisted batch is cheap to re-read: count and boundaries in one pass
+            bounds = bucket_boundaries(batch, self.order_by[0], bounded_input=True)
+            out = running_totals(batch, self.sums, self.order_by, self.partition_by, initial=prev,
+                                 boundaries=bounds)
             self.sink(out, batch_id)
             self._next_state(batch, prev).write.mode("overwrite").parquet(f"{self.state_path}/v={batch_id}")
             paths.prune_versions(spark, self.state_path, self.retain)
