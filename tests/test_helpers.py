@@ -71,3 +71,44 @@ def test_mean_record_bytes_sizes_files(spark):
     exact = recs.selectExpr("avg(octet_length(value) + 1)").first()[0]
     assert abs(m - exact) < 1e-9
     assert records_per_file(m) == int(5 * 1024 * 1024 // m)
+
+
+class _Conf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _Context:
+    def __init__(self, master, conf):
+        self.master, self._conf, self.dir = master, conf, None
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, d):
+        self.dir = d
+
+    def getConf(self):
+        return _Conf(self._conf)
+
+
+class _Session:
+    def __init__(self, master, conf):
+        self.sparkContext = _Context(master, conf)
+        self.conf = _Conf(conf)
+
+
+def test_checkpoint_root_never_invents_a_local_folder_on_a_cluster():
+    import pytest
+
+    from cascata.session import checkpoint_root
+
+    with pytest.raises(RuntimeError):
+        checkpoint_root(_Session("yarn", {}))
+    shared = _Session("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ckpt"})
+    assert checkpoint_root(shared) == "hdfs:///shared/ckpt"
+    local = checkpoint_root(_Session("local[2]", {}))
+    assert local.startswith("/") and "cascata-ckpt-" in local
