@@ -48,7 +48,13 @@ class RunningTotalsWriter:
 
     # -- state ------------------------------------------------------------------
     def state_before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        earlier = [v for v in paths.versions(spark, self.state_path) if v < batch_id]
+        found = paths.versions(spark, self.state_path)
+        if any(v > batch_id for v in found):
+            # Spark replays at most the latest batch, so a newer version can
+            # only come from another run: refuse rather than prune it as stale
+            raise RuntimeError(f"state folder {self.state_path} holds versions after batch {batch_id}: "
+                               "it belongs to another stream checkpoint")
+        earlier = [v for v in found if v < batch_id]
         if not earlier:
             return None
         return spark.read.parquet(f"{self.state_path}/v={earlier[-1]}")

@@ -317,3 +317,12 @@ def test_stream_sequence_numbers_and_replicated_source(spark, event_slices, tmp_
     _run(S.start_running_totals(tasks, writer2, str(tmp_path / "ck2"), available_now=True))
     expected2 = O.replicated_source_sharded_sum(ev, "num", "event_id", 2, 4)
     assert _same(spark.read.parquet(out2).drop("batch_id").select(*expected2.columns), expected2)
+
+
+def test_running_writer_refuses_a_state_folder_of_another_run(spark, tmp_path):
+    state = tmp_path / "state"
+    (state / "v=7").mkdir(parents=True)
+    writer = S.RunningTotalsWriter({"n": F.lit(1)}, ["seq"], str(tmp_path / "out"), str(state))
+    batch = spark.createDataFrame([(1,), (2,)], "seq bigint")
+    with pytest.raises(RuntimeError):
+        writer(batch, 0)
