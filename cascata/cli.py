@@ -89,7 +89,11 @@ def running_sum(spark, args):
 
 def decode_messages(spark, args):
     if args.kafka_servers:
+        if not args.topic:
+            raise SystemExit("decode-messages: --topic is required with --kafka-servers")
         messages = read_kafka(spark, kafka_options(args.kafka_servers, args.topic))
+    elif not args.input:
+        raise SystemExit("decode-messages: give --kafka-servers/--topic or --input")
     else:
         messages = stream_parquet(spark, args.input, MESSAGE_SCHEMA)
     router = S.message_router(f"{args.output}/receipts", f"{args.output}/ok", f"{args.output}/dead", args.strict)
@@ -107,9 +111,9 @@ def parser() -> argparse.ArgumentParser:
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     sub = p.add_subparsers(dest="job", required=True)
 
-    def streaming(name, fn, **kw):
+    def streaming(name, fn, input_required=True, **kw):
         s = sub.add_parser(name, **kw)
-        s.add_argument("--input", required=True)
+        s.add_argument("--input", required=input_required)
         s.add_argument("--output", required=True)
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--available-now", action="store_true")
@@ -130,7 +134,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--jdbc-driver")
     s = streaming("rolling-files", rolling_files)
     s.add_argument("--records-per-file", type=int)
-    s = streaming("decode-messages", decode_messages)
+    s = streaming("decode-messages", decode_messages, input_required=False)
     s.add_argument("--kafka-servers")
     s.add_argument("--topic")
     s.add_argument("--strict", action="store_true")
