@@ -21,7 +21,7 @@ from cascata import functions as X
 from cascata import operators as O
 from cascata import streaming as S
 from cascata.session import checkpoint_root
-from cascata.sinks import ParquetKeyedStore
+from cascata.sinks import ParquetKeyedStore, start_rolling_text
 from cascata.sources.tables import read_table, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -411,7 +411,8 @@ def latest_per_key(spark, base):
 # query's: a stream must give the batch result.
 
 STREAMED = ("stream_running_count_by_key", "stream_word_count", "stream_running_sum", "stream_dead_letter",
-            "stream_request_response", "stream_latest_per_key", "stream_sharded_running_sum")
+            "stream_request_response", "stream_latest_per_key", "stream_sharded_running_sum",
+            "stream_delimited_record")
 
 
 def _stream_scratch(spark) -> str:
@@ -515,3 +516,17 @@ def stream_sharded_running_sum(spark, base):
     q = S.start_running_totals(tasks, writer, f"{scratch}/checkpoint", available_now=True)
     q.awaitTermination()
     return spark.read.parquet(f"{scratch}/out").select("event_id", "task", "num", "running_sum")
+
+
+@query("stream_delimited_record", _ORACLES["delimited_record"])
+def stream_delimited_record(spark, base):
+    """K3 as a stream: '|'-delimited order records through the rolling text sink, read back."""
+    scratch = _stream_scratch(spark)
+    orders = stream_table(spark, base, "orders", max_files_per_trigger=1)
+    records = orders.select(X.delimited_columns(orders, list(_ORDER_FIELDS)).alias("value"))
+    q = start_rolling_text(records, f"{scratch}/files", f"{scratch}/checkpoint", max_records_per_file=4000,
+                           available_now=True)
+    q.awaitTermination()
+    text = spark.read.text(f"{scratch}/files")
+    return text.select(F.split("value", r"\|", 2).getItem(0).cast("bigint").alias("o_orderkey"),
+                       F.col("value").alias("record"))
