@@ -47,3 +47,25 @@ def test_shard_and_replica_sums_brute_force(spark):
     got = {(r.seq, r.instance, r.task, r.running_sum)
            for r in O.replicated_source_sharded_sum(df, "v", "seq", 2, 4, min_buckets=6).collect()}
     assert got == brute(lambda s, i: (2 * s + i) % 4, copies=2)
+
+
+def test_outcome_sum_sequence_and_latest_brute_force(spark):
+    rows = _events(3, 300)
+    df = spark.createDataFrame(rows, "seq bigint, k string, v bigint")
+    ordered = sorted(rows)
+    got = {(r.seq, r.outcome, r.running_sum)
+           for r in O.running_sum_with_outcome(df, "v", ["seq"], min_buckets=5).collect()}
+    want, total = set(), 0
+    for seq, _, v in ordered:
+        total += v
+        want.add((seq, "ack" if 0 < v <= 10 else "fail", total))
+    assert got == want
+    got = {(r.seq, r.num, r.flag) for r in O.keyed_sequence(df.select("seq"), ["seq"], min_buckets=5).collect()}
+    assert got == {(seq, i + 1, i % 2) for i, (seq, _, _) in enumerate(ordered)}
+    log = O.running_count(df, "k", ["seq"], "n", min_buckets=5)
+    latest = {r.key: r.value for r in O.latest_per_key(
+        log.select(log.k.alias("key"), log.n.alias("value"), log.seq.alias("seq"))).collect()}
+    counts = defaultdict(int)
+    for _, k, _ in ordered:
+        counts[k] += 1
+    assert latest == dict(counts)
