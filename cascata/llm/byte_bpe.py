@@ -88,24 +88,27 @@ class PerfectHash:
         return self.values[slot] if self.keys[slot] == key else None
 
 
-def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+NO_RANK = 1 << 40
+
+
+def merge_bytes(piece: bytes, ranks: dict[bytes, int], byte_pairs: list[int]) -> list[int]:
     """Ids of one pre-token that is no vocabulary entry: merge the adjacent pair of lowest rank until none is left.
 
-    Heap entries are rank * 2^k + start in one integer, so equal ranks come out leftmost first.
+    ``byte_pairs`` has the rank of each pair of bytes (or ``NO_RANK``).  Heap entries are rank * 2^k + start in one
+    integer, so equal ranks come out leftmost first; a rank is the merged part's id.
     """
     n = len(piece)
     bits = n.bit_length()
     mask = (1 << bits) - 1
+    limit = NO_RANK << bits
     get, push, pop = ranks.get, heapq.heappush, heapq.heappop
-    ends = list(range(1, n + 1))            # ends[i]: end of the part that starts at i; 0 once it is merged away
+    ends = list(range(1, n + 1))            # ends[i]: end of the part that starts at i
     before = list(range(-1, n))
-    pair = [-1] * n                         # the live heap entry of the pair that starts at i
-    heap = []
-    for i in range(n - 1):
-        r = get(piece[i:i + 2])
-        if r is not None:
-            pair[i] = entry = r << bits | i
-            heap.append(entry)
+    # the live heap entry of the pair that starts at i
+    pair = [byte_pairs[a << 8 | b] << bits | i for i, (a, b) in enumerate(zip(piece, piece[1:]))]
+    heap = [entry for entry in pair if entry < limit]
+    pair.append(-1)
+    ids: dict[int, int] = {}                # start -> id of a merged part
     heapq.heapify(heap)
     while heap:
         entry = pop(heap)
@@ -113,9 +116,9 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         if pair[i] != entry:
             continue
         j = ends[i]
+        ids[i] = entry >> bits
         pair[j] = -1
         end = ends[i] = ends[j]
-        ends[j] = 0
         before[end] = i
         r = get(piece[i:ends[end]]) if end < n else None
         if r is None:
@@ -133,8 +136,9 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
                 push(heap, entry)
     out, i = [], 0
     while i < n:
-        out.append(ranks[piece[i:ends[i]]])
-        i = ends[i]
+        end = ends[i]
+        out.append(ids[i] if end - i > 1 else ranks[piece[i:end]])
+        i = end
     return out
 
 
@@ -144,6 +148,7 @@ class ByteBpe:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in f if line.strip())}
+        self.byte_pairs = [self.ranks.get(bytes((a, b)), NO_RANK) for a in range(256) for b in range(256)]
         self.table = {r: t for t, r in self.ranks.items()}
         self.whole = PerfectHash(list(self.ranks), list(self.ranks.values()))
         self.find = regex.compile(pattern).findall
@@ -157,7 +162,7 @@ class ByteBpe:
             if known is not None:
                 ids.append(known)
             else:
-                ids.extend(merge_bytes(raw, self.ranks))
+                ids.extend(merge_bytes(raw, self.ranks, self.byte_pairs))
         return array("I", ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:

@@ -23,7 +23,7 @@ _SPACE_CUT = re.compile(r"(?<=\S)(?= )")
 _CUT = re.compile(r"(?<=[^\W_])(?=[.,!?;:\n])|(?<=\S\n)(?=\S)")
 # Longer words are encoded but not remembered.
 MEMO_CHARS = 64
-MEMO_WORDS = 500_000
+MEMO_WORDS = 800_000
 
 
 class TwoGenerations(dict):
@@ -36,14 +36,12 @@ class TwoGenerations(dict):
 
     def recall(self, keys: Iterable) -> list:
         """The keys that neither generation has; those of the older move to the newer."""
-        lacking = []
-        for k in keys:
-            v = self.old.get(k)
-            if v is None:
-                lacking.append(k)
-            else:
-                self[k] = v
-        return lacking
+        keys = set(keys)
+        if not self.old:
+            return list(keys)
+        again = keys.intersection(self.old)
+        self.update((k, self.old[k]) for k in again)
+        return list(keys - again)
 
     def settle(self) -> None:
         if len(self) > self.half:
@@ -52,51 +50,62 @@ class TwoGenerations(dict):
 
 
 class ChunkMemo:
-    """``encode_many`` maps strings to bytes; ``texts`` gives each whole text's bytes by way of its words."""
+    """``encode_many`` maps strings to bytes; ``texts`` gives each whole text's bytes by way of its words.
+
+    A word's key is the word; its bytes are those of a space and the word.  A cut that does not start with a space is
+    kept under its own text behind ``_BARE``; texts that hold that character are encoded without the memo.
+    """
+
+    _BARE = "\x00"
 
     def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = MEMO_WORDS):
         self.encode_many = encode_many
-        self.spaced = TwoGenerations(limit)      # word -> bytes of " " + word
-        self.cuts = TwoGenerations(limit // 2)   # cut as it stands -> bytes
+        self.known = TwoGenerations(limit)
+
+    def _keys(self, text: str) -> list[str]:
+        """The keys of a text's cuts."""
+        return [c[1:] if c[0] == " " else self._BARE + c for c in _CUT.split(text) if c]
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
-        plain: list[list[str] | None] = []       # cuts of texts with runs of white space
-        words: list[list[str]] = []
-        heads: list[str] = []
+        known = self.known
+        known.settle()
+        words: list[list[str]] = []     # per text: the words after its first space
+        heads: list[list[str] | None] = []      # keys of what comes before; of all if it has runs of white space
         for t in texts:
-            if t and _AFTER_SPACE.search(t):
-                plain.append([c for s in _SPACE_CUT.split(t) for c in _CUT.split(s)])
+            if t and self._BARE in t:
+                heads.append(None)      # encoded whole, below
+                words.append([])
+            elif t and _AFTER_SPACE.search(t):
+                heads.append([k for s in _SPACE_CUT.split(t) for k in self._keys(s)])
                 words.append([])
-                heads.append("")
             else:
                 first, *rest = (t or "").split(" ")
-                plain.append(None)
+                heads.append(self._keys(first))
                 words.append(rest)
-                heads.append(first)
-        self.spaced.settle()
-        self.cuts.settle()
-        wanted = self.spaced.recall(set().union(*words).difference(self.spaced))
-        parts = {w: _CUT.split(" " + w) for w in wanted}
-        lone = {h: _CUT.split(h) for h in set(heads) if h}
-        need = {c for cuts in parts.values() for c in cuts} | {c for cuts in lone.values() for c in cuts}
-        need.update(c for cuts in plain if cuts for c in cuts)
-        need = self.cuts.recall(need.difference(self.cuts))
-        known = self.cuts
-        known.update(zip(need, self.encode_many(need)))
-        long_cuts = [c for c in need if len(c) > MEMO_CHARS]
-        spaced = self.spaced
-        for w, cuts in parts.items():
-            spaced[w] = b"".join([known[c] for c in cuts])
-        out = []
-        for cuts, head, rest in zip(plain, heads, words):
-            if cuts is not None:
-                out.append(b"".join([known[c] for c in cuts]))
-            else:
-                start = b"".join([known[c] for c in lone[head]]) if head else b""
-                out.append(start + b"".join(map(spaced.__getitem__, rest)))
+        wanted = known.recall(set().union(*words).difference(known))
+        cut = {}                        # words of more than one cut -> their keys
+        lone = set()
         for w in wanted:
+            if w.isalpha():
+                lone.add(w)
+            else:
+                keys = self._keys(" " + w)
+                if len(keys) > 1:
+                    cut[w] = keys
+                else:
+                    lone.update(keys)
+        need = lone.union(*filter(None, heads), *cut.values())
+        need = known.recall(need.difference(known))
+        known.update(zip(need, self.encode_many([k[1:] if k[:1] == self._BARE else " " + k for k in need])))
+        get = known.__getitem__
+        for w, keys in cut.items():
+            known[w] = b"".join(map(get, keys))
+        out = [self.encode_many([t])[0] if head is None else b"".join(map(get, head)) + b"".join(map(get, rest))
+               for t, head, rest in zip(texts, heads, words)]
+        for k in need:
+            if len(k) > MEMO_CHARS:
+                del known[k]
+        for w in cut:
             if len(w) > MEMO_CHARS:
-                del spaced[w]
-        for c in long_cuts:
-            del known[c]
+                known.pop(w, None)
         return out

@@ -41,7 +41,7 @@ from cascata.llm.common import prepare
 MARK = "▁"
 UNK_PENALTY = 10.0
 MEMO_CHARS = 64
-MEMO_SEGMENTS = 500_000
+MEMO_SEGMENTS = 800_000
 
 
 def vocabulary(path: str) -> list[tuple[str, float]]:
