@@ -11,7 +11,11 @@
    is exact).  Prefix postings are narrow rows (shingle, class, size); shingles
    with one class drop out.
 3. Search cells: each shingle's smallest class (the pivot) with its other
-   classes, at most ``CELL`` at a time.  In a cell an inverted index over its
+   classes, at most ``CELL`` at a time.  A cell first sees its sets' histograms
+   (counts per range of shingle hashes, 1/32 of a set's bytes): the sum of the
+   smaller counts is an upper bound of an overlap, so sets without a partner
+   that could reach the threshold leave before any set is fetched.  Then an
+   inverted index over its
    sets is searched with each set by T-occurrence: the longest lists are set
    aside, the short ones heap-merged, survivors binary-probed in the long
    ones, and those that reach the required overlap are links.  Pairs already
@@ -42,7 +46,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -52,6 +55,8 @@ from cascata.llm.common import prepare, written
 from cascata.llm.components import connected_components
 
 CELL = 48
+# Ids of the documents whose sets a search fetches, 8 bytes each, up to which they are broadcast.
+BROADCAST_IDS = 2_000_000
 # Most frequent shingles that are ordered by their counts; 16 bytes each are broadcast.
 FREQUENT = 200_000
 FREQUENT_IN_TASK = 4
@@ -87,6 +92,33 @@ class Shingler:
         return np.unique(out)
 
 
+def histogram(hashes: np.ndarray) -> bytes:
+    """Counts of a set's hashes in 2^b equal ranges, about 2 to a range; the first byte is the counts' width."""
+    bits = max(0, len(hashes).bit_length() - 2)
+    ranges = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+    counts = np.bincount(ranges, minlength=1 << bits)
+    width = 1 if counts.max() < 256 else 4
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1)
+
+
+def could_link(histograms: list[np.ndarray], threshold: int) -> np.ndarray:
+    """Matrix of the pairs whose histograms leave the threshold within reach."""
+    n = len(histograms)
+    # fold the finer ones: a range of the coarsest is the sum of its parts
+    width = min(map(len, histograms))
+    folded = np.stack([h.reshape(width, -1).sum(axis=1, dtype=np.int32) for h in histograms])
+    sizes = folded.sum(axis=1, dtype=np.int64)
+    out = np.zeros((n, n), bool)
+    for i in range(n - 1):
+        most = np.minimum(folded[i], folded[i + 1:]).sum(axis=1, dtype=np.int64)
+        out[i, i + 1:] = 100 * most >= threshold * (sizes[i] + sizes[i + 1:] - most)
+    return out | out.T
+
+
 def overlap_needed(a: int, b: int, threshold: int) -> int:
     """Least intersection of sets of a and b shingles with 100 * intersection >= threshold * union."""
     return -(-threshold * (a + b) // (100 + threshold))
@@ -185,7 +217,7 @@ def search(sets: list[np.ndarray], threshold: int, group: list[int] | None = Non
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """Rows (id, n, digest_a, digest_b) per document and (shingle, seen) per frequent shingle of a task, one table."""
+    """Rows (id, n, digest_a, digest_b, ranges) per document and (shingle, seen) per frequent shingle of a task."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,9 +230,10 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
             often = seen >= FREQUENT_IN_TASK
             values, seen = values[often].astype(np.uint64).view(np.int64), seen[often].astype(np.int64)
             none = pa.nulls(len(values), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(values), pa.array(seen)], names)
+            return pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(values), pa.binary()),
+                                               pa.array(values), pa.array(seen)], names)
 
-        names = ["id", "n", "digest_a", "digest_b", "shingle", "seen"]
+        names = ["id", "n", "digest_a", "digest_b", "ranges", "shingle", "seen"]
         for batch in batches:
             sets = [make.hashes(t) for t in batch.column("text").to_pylist()]
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
@@ -208,7 +241,7 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
             none = pa.nulls(len(sets), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(pairs[:, 0]),
-                 pa.array(pairs[:, 1]), none, none], names)
+                 pa.array(pairs[:, 1]), pa.array([histogram(s) if len(s) else None for s in sets], pa.binary()), none, none], names)
             held += sets
             size += sum(map(len, sets))
             if size > COUNT_BUFFER:
@@ -217,34 +250,76 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
         yield counts()
 
     return docs.select("id", "text").mapInArrow(
-        run, "id long, n long, digest_a long, digest_b long, shingle long, seen long")
+        run, "id long, n long, digest_a long, digest_b long, ranges binary, shingle long, seen long")
 
 
 def prefixes(docs: DataFrame, k: int, threshold: int, frequent) -> DataFrame:
-    """(shingle, id, n): each set's first shingles under the global order."""
+    """(shingle, digest_a, digest_b, n): each document's first shingles under the global order, by its set's digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Shingler(k)
         known, rank = frequent.value
         for batch in batches:
-            ids, shingles, sizes = [], [], []
-            for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+            digests, shingles, sizes = [], [], []
+            for text in batch.column("text").to_pylist():
                 own = make.hashes(text)
                 n = len(own)
                 if not n:
                     continue
+                digest = xxhash.xxh3_128_digest(own.tobytes())
                 take = prefix_size(n, threshold)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, own), len(known) - 1)
                     place = np.where(known[at] == own, rank[at] + 1, 0)
                     own = own[np.lexsort((own, place))]
-                ids.append(np.full(take, i, np.int64))
+                digests.append(np.tile(np.frombuffer(digest, "<i8"), (take, 1)))
                 shingles.append(own[:take].view(np.int64))
                 sizes.append(np.full(take, n, np.int32))
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (shingles, ids, sizes)],
-                                                 ["shingle", "id", "n"])
+            if shingles:
+                pairs = np.concatenate(digests)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(shingles)), pa.array(pairs[:, 0]), pa.array(pairs[:, 1]),
+                     pa.array(np.concatenate(sizes))], ["shingle", "digest_a", "digest_b", "n"])
+
+    return docs.select("text").mapInArrow(run, "shingle long, digest_a long, digest_b long, n int")
+
+
+def _by_cell(rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work(members)`` for each cell of ``rows`` (cell, id, grp, data); members are (id, grp, data), ids distinct.
+
+    Cells are small and many, so a partition runs through its sorted cells instead of being grouped row by row.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, members, out = None, {}, []
+        for batch in batches:
+            for cell, i, g, data in zip(*(batch.column(c).to_pylist() for c in ("cell", "id", "grp", "data"))):
+                if cell != current:
+                    out += [(current, *r) for r in work(list(members.values()))] if members else []
+                    current, members = cell, {}
+                members[i] = (i, g, data)
+            if len(out) > 10_000:
+                yield _rows(out)
+                out = []
+        out += [(current, *r) for r in work(list(members.values()))] if members else []
+        yield _rows(out)
+
+    def _rows(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out)) if out else [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns[:4]], ["cell", "a", "b", "c"])
+
+    ordered = rows.select("cell", "id", "grp", "data").repartition("cell").sortWithinPartitions("cell", "id")
+    names = schema.split(", ")
+    return ordered.mapInArrow(run, "cell long, a long, b long, c long").toDF("cell", *names)
+
+
+def hopeful(cells: DataFrame, histograms: DataFrame, threshold: int) -> DataFrame:
+    """The rows of ``cells`` (cell, id, grp) that have a partner of another ``grp`` within reach."""
+    def work(members: list[tuple]) -> list[tuple]:
+        grp = np.array([g for _, g, _ in members])
+        reach = could_link([_counts(d) for _, _, d in members], threshold) & (grp[:, None] != grp[None, :])
+        return [(i, g, 0) for (i, g, _), r in zip(members, reach.any(axis=1)) if r]
 
-    return docs.select("id", "text").mapInArrow(run, "shingle long, id long, n int")
+    rows = cells.join(histograms.select("id", F.col("ranges").alias("data")), "id")
+    return _by_cell(rows, work, "id, grp, none").select("cell", "id", "grp")
 
 
 def search_cells(cells: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
@@ -253,24 +328,24 @@ def search_cells(cells: DataFrame, docs: DataFrame, k: int, threshold: int) -> D
     ``grp`` numbers members known to be connected, or equals the id.
     """
     members = cells.select("id").distinct()
-    sets = docs.join(members, "id", "left_semi")
+    side = F.broadcast(members) if members.count() <= BROADCAST_IDS else members
+    sets = docs.join(side, "id", "left_semi")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Shingler(k)
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([make.hashes(t).tobytes() for t in batch.column("text").to_pylist()],
-                                              pa.binary())], ["id", "shingles"])
+                                              pa.binary())], ["id", "data"])
 
-    sets = sets.select("id", "text").mapInArrow(hashed, "id long, shingles binary")
+    sets = sets.select("id", "text").mapInArrow(hashed, "id long, data binary")
 
-    def cell(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("id").sort_values("id")
-        ids = frame["id"].tolist()
-        links = search([np.frombuffer(s, np.uint64) for s in frame["shingles"]], threshold, frame["grp"].tolist())
-        return pd.DataFrame([(ids[i], ids[j], c) for i, j, c in links], columns=["a", "b", "overlap"])
+    def work(members: list[tuple]) -> list[tuple]:
+        ids = [i for i, _, _ in members]
+        links = search([np.frombuffer(d, np.uint64) for _, _, d in members], threshold, [g for _, g, _ in members])
+        return [(ids[i], ids[j], c) for i, j, c in links]
 
-    return cells.join(sets, "id").groupBy("cell").applyInPandas(cell, "a long, b long, overlap long")
+    return _by_cell(cells.join(sets, "id"), work, "a, b, overlap").select("a", "b", "overlap")
 
 
 def join(docs: DataFrame, k: int = 3, threshold: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,6 +356,7 @@ def join(docs: DataFrame, k: int = 3, threshold: int = 90, id_col: str = "doc_id
     spark = docs.sparkSession
     prepare(spark)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    # the texts are read three times: for the sets' digests, for their prefixes, and those of the cells for their sets
     first = written(shingle_sets(base, k), "shingle-sets")
     sets = first.where("n is not null").select("id", "n", "digest_a", "digest_b")
     frequent = (first.where("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen"))
@@ -291,13 +367,16 @@ def join(docs: DataFrame, k: int = 3, threshold: int = 90, id_col: str = "doc_id
     sent = spark.sparkContext.broadcast((known[order], by_count[order]))
 
     usable = sets.where("id is not null and n > 0")
-    classes = usable.groupBy("digest_a", "digest_b", "n").agg(F.min("id").alias("class_id"))
-    representatives = base.join(classes.select(F.col("class_id").alias("id")), "id", "left_semi")
+    classes = written(usable.groupBy("digest_a", "digest_b", "n").agg(F.min("id").alias("class_id")), "classes")
     grouped = Window.partitionBy("shingle")
-    shared = (prefixes(representatives, k, threshold, sent).distinct()
-              .withColumn("m", F.count(F.lit(1)).over(grouped)).where("m > 1")
-              .withColumn("pivot", F.min("id").over(grouped)).select("shingle", "id", "n", "m", "pivot"))
-    shared = written(shared, "shared-prefixes")
+    keys = ["digest_a", "digest_b", "n"]
+    shared = (prefixes(base.where("id is not null"), k, threshold, sent).distinct()
+              .withColumn("m", F.count(F.lit(1)).over(grouped)).where("m > 1").join(classes, keys)
+              .withColumnRenamed("class_id", "id"))
+    shared = written(shared.select("shingle", "id", "n", "m", F.min("id").over(grouped).alias("pivot")),
+                     "shared-prefixes")
+    histograms = (first.select("id", "n", "ranges").join(classes.select(F.col("class_id").alias("id")), "id", "left_semi")
+                  .dropDuplicates(["id"]))
 
     # pivots with their classes, a bounded cell at a time
     sizes = shared.groupBy("id").agg(F.first("n").alias("pivot_n")).withColumnRenamed("id", "pivot")
@@ -305,10 +384,10 @@ def join(docs: DataFrame, k: int = 3, threshold: int = 90, id_col: str = "doc_id
     spokes = spokes.where(F.least("n", "pivot_n") * 100 >= threshold * F.greatest("n", "pivot_n"))
     number = F.row_number().over(Window.partitionBy("pivot").orderBy("n", "id"))
     spokes = spokes.select("pivot", "id", F.floor((number - 1) / CELL).alias("part"))
-    cells = spokes.select(F.struct("pivot", "part").alias("cell"), "id").unionAll(
-        spokes.select(F.struct("pivot", "part").alias("cell"), F.col("pivot").alias("id")).distinct())
-    links = written(search_cells(cells.withColumn("grp", F.col("id")), representatives, k, threshold)
-                    .select("a", "b"), "links")
+    cells = spokes.select(F.xxhash64("pivot", "part").alias("cell"), "id").unionAll(
+        spokes.select(F.xxhash64("pivot", "part").alias("cell"), F.col("pivot").alias("id")).distinct())
+    cells = written(hopeful(cells.withColumn("grp", F.col("id")), histograms, threshold), "cells")
+    links = written(search_cells(cells, base, k, threshold).select("a", "b"), "links")
     parts = written(connected_components(links, "a", "b"), "components")
 
     # shingles whose classes aren't all connected, and had pairs without their pivot
@@ -333,7 +412,8 @@ def join(docs: DataFrame, k: int = 3, threshold: int = 90, id_col: str = "doc_id
     listed = listed.where(F.size(F.array_distinct("members.grp")) > 1).select("members").distinct()
     cells = listed.select(F.xxhash64("members").alias("cell"), F.explode("members").alias("m")).select(
         "cell", "m.id", "m.grp")
-    more = written(search_cells(cells, representatives, k, threshold).select("a", "b"), "more-links")
+    cells = written(hopeful(cells, histograms, threshold), "more-cells")
+    more = written(search_cells(cells, base, k, threshold).select("a", "b"), "more-links")
     if not more.isEmpty():
         parts = written(connected_components(links.unionAll(more), "a", "b"), "components")
 
