@@ -23,8 +23,10 @@
    one edge per set.
 4. Links become components.  Where a shingle's classes still lie in more than
    one component, pairs that met no pivot remain: its classes are cut into
-   blocks, and every pair of blocks is a cell of the same search.  So each pair
-   that shares a prefix shingle is either searched or already connected.
+   blocks, every pair of blocks is a cell, and the pairs of different components
+   that their histograms leave within reach are searched, each once.  So each
+   pair that shares a prefix shingle is searched, already connected, or ruled
+   out by its histograms.
 
 Nothing is collected but the bounded list of frequent shingles.  A group of
 thousands of near copies costs cells in proportion to its size, as its pivots
@@ -322,6 +324,17 @@ def hopeful(cells: DataFrame, histograms: DataFrame, threshold: int) -> DataFram
     return _by_cell(rows, work, "id, grp, none").select("cell", "id", "grp")
 
 
+def hopeful_pairs(cells: DataFrame, histograms: DataFrame, threshold: int) -> DataFrame:
+    """(a, b), a < b: the distinct pairs of different ``grp`` within reach that some cell of ``cells`` holds."""
+    def work(members: list[tuple]) -> list[tuple]:
+        grp = np.array([g for _, g, _ in members])
+        reach = could_link([_counts(d) for _, _, d in members], threshold) & (grp[:, None] != grp[None, :])
+        return [(members[i][0], members[j][0], 0) for i, j in zip(*np.nonzero(np.triu(reach)))]
+
+    rows = cells.join(histograms.select("id", F.col("ranges").alias("data")), "id")
+    return _by_cell(rows, work, "x, y, none").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def search_cells(cells: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
     """(a, b, overlap): connecting links of every cell; ``cells`` has (cell, id, grp), a row per member.
 
@@ -412,7 +425,12 @@ def join(docs: DataFrame, k: int = 3, threshold: int = 90, id_col: str = "doc_id
     listed = listed.where(F.size(F.array_distinct("members.grp")) > 1).select("members").distinct()
     cells = listed.select(F.xxhash64("members").alias("cell"), F.explode("members").alias("m")).select(
         "cell", "m.id", "m.grp")
-    cells = written(hopeful(cells, histograms, threshold), "more-cells")
+    # the same pair meets under many shingles: it is searched once, with others of its smaller id
+    pairs = written(hopeful_pairs(cells, histograms, threshold), "more-pairs")
+    number = F.row_number().over(Window.partitionBy("a").orderBy("b"))
+    pairs = pairs.select(F.xxhash64("a", F.floor((number - 1) / CELL)).alias("cell"), "a", "b")
+    cells = pairs.select("cell", F.col("b").alias("id")).unionAll(pairs.select("cell", F.col("a").alias("id")).distinct())
+    cells = cells.withColumn("grp", F.col("id"))
     more = written(search_cells(cells, base, k, threshold).select("a", "b"), "more-links")
     if not more.isEmpty():
         parts = written(connected_components(links.unionAll(more), "a", "b"), "components")
