@@ -77,9 +77,11 @@ def running_sum(spark, args):
     if args.grouping == "key":
         out = O.running_sum(df, args.value, [args.order], partition_by=[args.key])
     elif args.grouping == "shuffle":
-        out = O.sharded_running_sum(df, args.value, [args.order], O.shard_task(args.order, args.tasks))
+        out = O.shuffled_running_sum(df, args.value, [args.order], args.tasks)
     elif args.grouping == "fields":
-        out = O.sharded_running_sum(df, args.value, [args.order], O.shard_task(args.key, args.tasks))
+        out = O.sharded_running_sum(df, args.value, [args.order], O.key_task(df, args.key, args.tasks))
+    elif args.grouping == "replicated-source":
+        out = O.replicated_source_sharded_sum(df, args.value, args.order, args.copies, args.tasks)
     elif args.grouping == "all":
         out = O.replicated_running_sum(df, args.value, [args.order], args.tasks)
     else:
@@ -146,8 +148,10 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--order", required=True)
     b.add_argument("--value", required=True)
     b.add_argument("--key")
-    b.add_argument("--grouping", choices=["global", "key", "shuffle", "fields", "all"], default="global")
+    b.add_argument("--grouping", choices=["global", "key", "shuffle", "fields", "all", "replicated-source"],
+                   default="global")
     b.add_argument("--tasks", type=int, default=3)
+    b.add_argument("--copies", type=int, default=2, help="source instances of replicated-source")
     b.set_defaults(run=running_sum)
     return p
 

@@ -8,12 +8,16 @@ task holding a third of the data.
 
 ``running_totals`` splits every group by *range buckets of the order key*:
 
-1. bucket boundaries: ``percentile_approx`` of the (first) order column,
-   collected once as literals, so bucket assignment is deterministic when a
-   lost task is recomputed;
+1. bucket boundaries, collected once as literals, so bucket assignment is
+   deterministic when a lost task is recomputed: ``percentile_approx`` where
+   one number, date or timestamp is the whole order, else order tuples of a
+   sorted sample (``ranges``), so that a first column with few values and long
+   common prefixes are split by what follows;
 2. local running value: window over ``(group..., bucket)`` ordered by the
    order columns — every window partition holds at most ~N/B rows whatever
-   the key skew;
+   the key skew.  Only groups that a sample shows to hold half a bucket or
+   more are cut into buckets; smaller ones are one window partition, and with
+   none to cut the plan is the plain keyed window;
 3. bucket totals: ``groupBy(group..., bucket).sum`` (partial aggregation
    before the shuffle), then an *exclusive* running sum over buckets per
    group.  This table has (#groups x B) rows;
@@ -39,9 +43,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cascata.operators.lineage import materialize as materialize_frame
+from cascata.operators.ranges import tuple_boundaries, with_tuple_bucket
 
 BUCKET = "_bucket"
 GROUP = "_group"
+HOT = "_hot"
 # Rows per (group, bucket) window partition we aim for on a cluster.  Bucket
 # count is ceil(rows / ROWS_PER_BUCKET), but never below the cluster's default
 # parallelism so small inputs still use every core.
@@ -161,6 +167,31 @@ def with_bucket(df: DataFrame, order_col: str, boundaries: Sequence[float]) -> D
     return bucketizer.transform(keyed).withColumn(BUCKET, bucket).drop(tmp)
 
 
+def dense_boundaries(n: int, rows_per_bucket: int = ROWS_PER_BUCKET, min_buckets: int = 2) -> list[float]:
+    """Boundaries of the dense numbers 1..n: arithmetic, nothing is read."""
+    buckets = max(1, min(n, max(min_buckets, math.ceil(n / rows_per_bucket))))
+    return sorted({float(i * n // buckets + 1) for i in range(1, buckets)})
+
+
+def order_boundaries(df: DataFrame, order_by: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET,
+                     min_buckets: int | None = None) -> list:
+    """Boundaries over the whole order: numbers for a single numeric order column, else order tuples."""
+    dtype = dict(df.dtypes)[order_by[0]]
+    if len(order_by) == 1 and dtype not in ("string", "binary"):
+        return bucket_boundaries(df, order_by[0], rows_per_bucket, min_buckets)
+    if min_buckets is None:
+        min_buckets = max(2, df.sparkSession.sparkContext.defaultParallelism)
+    n = df.count()
+    return tuple_boundaries(df, order_by, max(1, min(n, max(min_buckets, math.ceil(n / rows_per_bucket)))))
+
+
+def with_order_bucket(df: DataFrame, order_by: Sequence[str], boundaries: Sequence) -> DataFrame:
+    """Adds ``_bucket`` for boundaries from ``order_boundaries`` or ``bucket_boundaries``."""
+    if boundaries and isinstance(boundaries[0], tuple):
+        return with_tuple_bucket(df, order_by, boundaries, BUCKET)
+    return with_bucket(df, order_by[0], boundaries)
+
+
 def _zero(dtype: T.DataType) -> Column | None:
     """A non-null stand-in value of ``dtype`` (None for complex types)."""
     if isinstance(dtype, T.StringType):
@@ -206,11 +237,30 @@ def group_keys(df: DataFrame, partition_by: Sequence[str], schema: T.StructType
     return keys, restore
 
 
+def hot_groups(df: DataFrame, keys: Mapping[str, Column], buckets: int,
+               samples_per_bucket: int = SAMPLES_PER_BUCKET, seed: int = 11) -> list[int]:
+    """Hashes of the groups that hold half a bucket of rows or more, as far as a sample tells.
+
+    At most ``2 * buckets`` values come back.  A group missed or named by mistake is only computed the other way,
+    with the same result.
+    """
+    n = df.count()
+    if n == 0 or buckets <= 1:
+        return []
+    rows = df.select(F.xxhash64(*keys.values()).alias("_h"))
+    share = samples_per_bucket * buckets / n
+    if share < 1.0:
+        rows = rows.sample(withReplacement=False, fraction=share, seed=seed)
+    least = min(share, 1.0) * n / buckets / 2
+    found = rows.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
+    return sorted(r["_h"] for r in found.limit(4 * buckets).collect())
+
+
 def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Sequence[str],
                    partition_by: Sequence[str] = (), *, initial: DataFrame | None = None,
-                   boundaries: Sequence[float] | None = None,
+                   boundaries: Sequence | None = None,
                    rows_per_bucket: int = ROWS_PER_BUCKET, min_buckets: int | None = None,
-                   materialize: bool = False) -> DataFrame:
+                   materialize: bool = False, split_all: bool = False) -> DataFrame:
     """Add one running-sum column per entry of ``sums``.
 
     ``sums`` maps output name -> addend (column or column name); a null addend
@@ -218,7 +268,11 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
     ``initial`` (optional) holds carried offsets per group — columns
     ``partition_by`` + the output names — as left by earlier micro-batches.
 
-    The input is read four times (count, boundary sample, window, totals);
+    ``split_all`` says that every group is large (tasks, not keys), so that no
+    sample of the groups is taken.
+
+    The input is read four times (count, boundary sample, window, totals), and
+    twice more, its group columns only, where there are groups to tell apart;
     pass ``materialize=True`` when it is expensive to recompute (joins,
     aggregations, another running total) to write it once to the checkpoint
     folder and read that instead.
@@ -237,21 +291,35 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
     addends = {f"_v_{n}": F.coalesce(F.col(e) if isinstance(e, str) else e, F.lit(0))
                for n, e in sums.items()}
     if boundaries is None:
-        boundaries = bucket_boundaries(df, order_by[0], rows_per_bucket, min_buckets)
+        boundaries = order_boundaries(df, order_by, rows_per_bucket, min_buckets)
     gkeys, restore = group_keys(df, partition_by)
     if not gkeys:
         gkeys = {GROUP: F.lit(0)}
     group = list(gkeys)
-    base = with_bucket(df.withColumns(addends).withColumns(gkeys), order_by[0], boundaries)
+    base = df.withColumns(addends).withColumns(gkeys)
+    hot = None
+    if partition_by and initial is None and boundaries and not split_all:
+        hot = hot_groups(df, gkeys, len(boundaries) + 1)
+    if hot == []:
+        base = base.withColumn(BUCKET, F.lit(0))
+    else:
+        base = with_order_bucket(base, order_by, boundaries)
+    if hot:
+        # groups of less than half a bucket stay whole: one window partition each, no offsets
+        base = base.withColumn(HOT, F.xxhash64(*group).isin(hot))
+        base = base.withColumn(BUCKET, F.when(F.col(HOT), F.col(BUCKET)).otherwise(F.lit(0)))
     base = base.drop(*restore)          # rebuilt from the key columns after the join
     keys = [*group, BUCKET]
 
     frame = (Window.partitionBy(*keys).orderBy(*order_by)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.withColumns({n: F.sum(f"_v_{n}").over(frame) for n in names})
+    columns = [*(c for c in df.columns if c not in names), *names]
+    if hot == []:
+        return local.withColumns(restore).select(*columns)
 
     # narrow second read: only keys, bucket and addends, combined map-side
-    totals = base.groupBy(*keys).agg(*(F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names))
+    totals = (base.where(HOT) if hot else base).groupBy(*keys).agg(*(F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names))
     earlier = (Window.partitionBy(*group).orderBy(BUCKET)
                .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*keys, *(F.coalesce(F.sum(f"_t_{n}").over(earlier),
@@ -273,6 +341,6 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
         # beyond the limit Spark (AQE) decides from the measured size
         offsets = F.broadcast(offsets)
 
-    out = local.join(offsets, keys, "inner")
-    out = out.withColumns({n: F.col(n) + F.col(f"_o_{n}") for n in names}).withColumns(restore)
-    return out.select(*(c for c in df.columns if c not in names), *names)
+    out = local.join(offsets, keys, "left" if hot else "inner")
+    out = out.withColumns({n: F.col(n) + F.coalesce(F.col(f"_o_{n}"), F.lit(0)) for n in names}).withColumns(restore)
+    return out.select(*columns)

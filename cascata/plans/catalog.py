@@ -11,7 +11,6 @@ summed and ``event_type`` the word/key being counted.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +19,10 @@ from pyspark.sql import functions as F
 from cascata import functions as X
 from cascata import operators as O
 from cascata import streaming as S
-from cascata.session import checkpoint_root
-from cascata.sinks import ParquetKeyedStore, start_rolling_text
+from cascata.session import scratch_folder
+from cascata.sinks import ParquetKeyedStore, paths, records_per_file, start_rolling_text
 from cascata.sources.tables import read_table, stream_table
+from cascata.sources.text import directory_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -220,19 +220,44 @@ def outcome_counts(spark, base):
 # ---- per-task state -----------------------------------------------------------
 
 @query("sharded_running_sum", f"""
-SELECT event_id, CAST(((event_id % {N_SHARDS}) + {N_SHARDS}) % {N_SHARDS} AS INTEGER) AS task,
-       user_id AS num,
-       CAST(sum(user_id) OVER (PARTITION BY ((event_id % {N_SHARDS}) + {N_SHARDS}) % {N_SHARDS}
-                               ORDER BY event_id
+SELECT event_id, CAST(n % {N_SHARDS} AS INTEGER) AS task, user_id AS num,
+       CAST(sum(user_id) OVER (PARTITION BY n % {N_SHARDS} ORDER BY event_id
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
-FROM events""")
+FROM (SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) AS n FROM events)""")
 def sharded_running_sum(spark, base):
-    """G1: shuffle grouping over 3 tasks, one running sum per task."""
+    """G1: shuffle grouping (dense number mod 3), one running sum per task."""
     ev = _events(spark, base).select("event_id", F.col("user_id").alias("num"))
-    out = O.sharded_running_sum(ev, "num", ["event_id"], O.shard_task("event_id", N_SHARDS))
+    out = O.shuffled_running_sum(ev, "num", ["event_id"], N_SHARDS)
     return out.select("event_id", "task", "num", "running_sum")
 
 
+@query("sparse_sharded_running_sum", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, CAST(n % {N_SHARDS} AS INTEGER) AS task,
+       CAST(sum(l_partkey) OVER (PARTITION BY n % {N_SHARDS} ORDER BY n
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
+FROM (SELECT l_orderkey, l_linenumber, l_partkey,
+             row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey) AS n
+      FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem))""")
+def sparse_sharded_running_sum(spark, base):
+    """G1 over a sparse order of several columns: the split is even all the same."""
+    li = read_table(spark, base, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").distinct()
+    out = O.shuffled_running_sum(O.materialize(li), "l_partkey", ["l_orderkey", "l_linenumber", "l_partkey"], N_SHARDS)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "task", "running_sum")
+
+
+@query("text_key_shard_running_sum", f"""
+SELECT event_id, event_type, CAST(t AS INTEGER) AS task,
+       CAST(sum(user_id) OVER (PARTITION BY t ORDER BY event_id
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
+FROM (SELECT event_id, event_type, user_id,
+             CAST(concat('0x', substr(md5(coalesce(event_type, '')), 1, 8)) AS BIGINT) % {N_SHARDS} AS t FROM events)""")
+def text_key_shard_running_sum(spark, base):
+    """G2 on a text key: tasks by the key's hash, one running sum per task."""
+    ev = _events(spark, base).select("event_id", "event_type", "user_id")
+    out = O.sharded_running_sum(ev, "user_id", ["event_id"], O.key_task(ev, "event_type", N_SHARDS))
+    return out.select("event_id", "event_type", "task", "running_sum")
+
+
 @query("keyed_shard_running_sum", f"""
 SELECT event_id, CAST(((user_id % {N_SHARDS}) + {N_SHARDS}) % {N_SHARDS} AS INTEGER) AS task,
        user_id AS num,
@@ -264,9 +289,9 @@ SELECT event_id, instance, task, num,
        CAST(sum(num) OVER (PARTITION BY task ORDER BY event_id, instance
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
 FROM (SELECT e.event_id, CAST(i.instance AS INTEGER) AS instance, e.user_id AS num,
-             CAST(((e.event_id * {SOURCE_COPIES} + i.instance) % {COPIES_TASKS} + {COPIES_TASKS})
-                  % {COPIES_TASKS} AS INTEGER) AS task
-      FROM events e CROSS JOIN range({SOURCE_COPIES}) i(instance))""")
+             CAST(((e.n - 1) * {SOURCE_COPIES} + i.instance) % {COPIES_TASKS} AS INTEGER) AS task
+      FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS n FROM events) e
+      CROSS JOIN range({SOURCE_COPIES}) i(instance))""")
 def replicated_source_sharded_sum(spark, base):
     """S6 + G5: two source instances into four tasks."""
     ev = _events(spark, base).select("event_id", F.col("user_id").alias("num"))
@@ -279,9 +304,9 @@ SELECT event_id, instance, task, num,
        CAST(sum(num) OVER (PARTITION BY task ORDER BY event_id, instance
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
 FROM (SELECT e.event_id, CAST(i.instance AS INTEGER) AS instance, e.user_id AS num,
-             CAST(((e.event_id * {SOURCE_COPIES} + i.instance) % {SOURCE_COPIES} + {SOURCE_COPIES})
-                  % {SOURCE_COPIES} AS INTEGER) AS task
-      FROM events e CROSS JOIN range({SOURCE_COPIES}) i(instance))""")
+             CAST(((e.n - 1) * {SOURCE_COPIES} + i.instance) % {SOURCE_COPIES} AS INTEGER) AS task
+      FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS n FROM events) e
+      CROSS JOIN range({SOURCE_COPIES}) i(instance))""")
 def replicated_source_two_tasks(spark, base):
     """Two source instances into a 2-task sum (one task per instance copy)."""
     ev = _events(spark, base).select("event_id", F.col("user_id").alias("num"))
@@ -297,52 +322,88 @@ FROM (SELECT num, (num - 1) % 2 AS flag
       FROM (SELECT row_number() OVER (ORDER BY event_id) AS num FROM events))""")
 def flag_shard_running_sum(spark, base):
     """Keyed sequence (flag, num) routed by ``flag`` to 3 tasks, one sum per task."""
-    seq = O.keyed_sequence(_events(spark, base).select("event_id"), ["event_id"], modulus=2)
-    # the sum below reads its input four times: cut the lineage of the inner sequence
-    seq = O.materialize(seq.select("num", "flag"))
-    out = O.sharded_running_sum(seq, "num", ["num"], O.shard_task("flag", N_SHARDS))
+    events = _events(spark, base).select("event_id")
+    seq = O.keyed_sequence(events, ["event_id"], modulus=2).select("num", "flag")
+    # num is 1..N without gaps: its boundaries are arithmetic, the sum reads the sequence twice and no sample of it
+    bounds = O.dense_boundaries(events.count(), min_buckets=max(2, spark.sparkContext.defaultParallelism))
+    out = O.running_totals(seq.withColumn("task", O.shard_task("flag", N_SHARDS)), {"running_sum": "num"}, ["num"],
+                           ["task"], boundaries=bounds, split_all=True)
     return out.select("num", "flag", "task", "running_sum")
 
 
 @query("merged_shard_total", f"""
 SELECT CAST(coalesce(sum(last_sum), 0) AS BIGINT) AS total FROM (
   SELECT task, arg_max(running_sum, event_id) AS last_sum FROM (
-    SELECT event_id, ((event_id % {N_SHARDS}) + {N_SHARDS}) % {N_SHARDS} AS task,
-           sum(user_id) OVER (PARTITION BY ((event_id % {N_SHARDS}) + {N_SHARDS}) % {N_SHARDS}
+    SELECT event_id, n % {N_SHARDS} AS task,
+           sum(user_id) OVER (PARTITION BY n % {N_SHARDS}
                               ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_sum
-    FROM events) GROUP BY task)""")
+    FROM (SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) AS n FROM events)) GROUP BY task)""")
 def merged_shard_total(spark, base):
-    """G6: sum over tasks of each task's final running value."""
-    ev = _events(spark, base)
-    return O.merged_shard_total(ev, "user_id", O.shard_task("event_id", N_SHARDS))
+    """G6: sum over tasks of each task's last running value."""
+    return O.merged_shard_total(sharded_running_sum(spark, base), ["event_id"])
+
+
+@query("sequence_by_name",
+       "SELECT c_custkey, row_number() OVER (ORDER BY c_name, c_custkey) AS num FROM customer")
+def sequence_by_name(spark, base):
+    """S4 ordered by names with a long common prefix."""
+    cust = read_table(spark, base, "customer").select("c_custkey", "c_name")
+    return O.sequence_number(cust, ["c_name", "c_custkey"], "num").select("c_custkey", "num")
+
+
+@query("sequence_by_day_and_id",
+       "SELECT event_id, row_number() OVER (ORDER BY CAST(ts AS DATE), event_id DESC) AS num FROM events")
+def sequence_by_day_and_id(spark, base):
+    """S4 ordered by a first column of few values (the day), then by a second."""
+    ev = _events(spark, base).select("event_id", F.to_date("ts").alias("day"), (-F.col("event_id")).alias("late"))
+    return O.sequence_number(ev, ["day", "late"], "num").select("event_id", "num")
+
+
+@query("snapshot_per_event_many_keys", """
+SELECT event_id, user_id, n FROM (
+  SELECT e.event_id, k.user_id,
+         CAST(sum(CASE WHEN e.user_id IS NOT DISTINCT FROM k.user_id THEN 1 ELSE 0 END)
+              OVER (PARTITION BY k.user_id ORDER BY e.event_id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS n
+  FROM events e CROSS JOIN (SELECT DISTINCT user_id FROM events) k)
+WHERE n > 0""")
+def snapshot_per_event_many_keys(spark, base):
+    """A5 keyed by user: the count map after every event, 150 keys."""
+    ev = _events(spark, base).select("event_id", "user_id")
+    return O.snapshot_per_event(ev, "user_id", ["event_id"], name="n")
 
 
 # ---- decoding, requests, rendering, keyed store --------------------------------
 
-@query("decode_bytes", "SELECT doc_id, decode(encode(text)) AS text FROM documents")
+def _payloads(spark, base):
+    """Message payloads: the document's bytes; every 7th id ends in a malformed byte, every 11th has none."""
+    docs = read_table(spark, base, "documents")
+    raw = F.encode("text", "UTF-8")
+    broken = F.when(F.col("doc_id") % 7 == 0, F.concat(raw, F.lit(b"\xff"))).otherwise(raw)
+    return docs.select("doc_id", F.when(F.col("doc_id") % 11 != 0, broken).alias("value"))
+
+
+@query("decode_bytes", """
+SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN text || chr(65533) ELSE text END AS text
+FROM documents""")
 def decode_bytes(spark, base):
     """S3 (downstream) + P3: bytes to text with U+FFFD for malformed input."""
-    docs = read_table(spark, base, "documents")
-    payload = docs.select("doc_id", F.encode("text", "UTF-8").alias("value"))
-    return payload.select("doc_id", X.decode_utf8("value").alias("text"))
+    return _payloads(spark, base).select("doc_id", X.decode_utf8("value").alias("text"))
 
 
 @query("decode_outcome", """
-SELECT doc_id, CASE WHEN text IS NULL THEN 'fail' ELSE 'ack' END AS outcome FROM documents""")
+SELECT doc_id, CASE WHEN text IS NULL OR doc_id % 11 = 0 THEN 'fail' ELSE 'ack' END AS outcome FROM documents""")
 def decode_outcome(spark, base):
     """decoding outcome (a missing payload fails)."""
-    docs = read_table(spark, base, "documents")
-    payload = docs.select("doc_id", F.encode("text", "UTF-8").alias("value"))
-    return payload.select("doc_id", X.decode_outcome("value").alias("outcome"))
+    return _payloads(spark, base).select("doc_id", X.decode_outcome("value").alias("outcome"))
 
 
 @query("decode_outcome_strict", """
-SELECT doc_id, CASE WHEN text IS NULL THEN 'fail' ELSE 'ack' END AS outcome FROM documents""")
+SELECT doc_id, CASE WHEN text IS NULL OR doc_id % 11 = 0 OR doc_id % 7 = 0 THEN 'fail' ELSE 'ack' END AS outcome
+FROM documents""")
 def decode_outcome_strict(spark, base):
-    """Strict decoding: malformed UTF-8 fails too (parquet text is always well formed)."""
-    docs = read_table(spark, base, "documents")
-    payload = docs.select("doc_id", F.encode("text", "UTF-8").alias("value"))
-    return payload.select("doc_id", X.decode_outcome("value", strict=True).alias("outcome"))
+    """F2, strict: malformed UTF-8 fails too."""
+    return _payloads(spark, base).select("doc_id", X.decode_outcome("value", strict=True).alias("outcome"))
 
 
 def _segment_requests(spark, base):
@@ -405,128 +466,187 @@ def latest_per_key(spark, base):
 
 # ---- the same results computed by streaming jobs ---------------------------------
 #
-# These run the Structured Streaming job over the table's files (one
-# micro-batch per file, ``availableNow``) into a fresh folder under the
-# checkpoint root, and return what the job wrote.  Their oracle is the batch
-# query's: a stream must give the batch result.
+# These let the table arrive in ``SLICES`` parts, in order; after each part the
+# Structured Streaming job runs over what is new (``availableNow``, the same
+# checkpoint), so totals are carried over micro-batches and restarts.  They
+# return what the job wrote.  Their oracle is the batch query's: a stream must
+# give the batch result.
 
 STREAMED = ("stream_running_count_by_key", "stream_word_count", "stream_running_sum", "stream_dead_letter",
             "stream_request_response", "stream_latest_per_key", "stream_sharded_running_sum",
-            "stream_delimited_record")
+            "stream_delimited_record", "stream_directory_lines")
+
+
+SLICES = 4
 
 
-def _stream_scratch(spark) -> str:
-    return f"{checkpoint_root(spark).rstrip('/')}/streamed-queries/{uuid.uuid4().hex}"
+def _in_slices(spark, base, table, order, run) -> str:
+    """``run(stream, scratch)`` starts the job; it is run to its end after each slice.  Returns the scratch folder."""
+    scratch = scratch_folder(spark, "streamed")
+    rows = read_table(spark, base, table)
+    cuts = rows.agg(F.percentile_approx(order, [i / SLICES for i in range(1, SLICES)])).first()[0] or []
+    edges = [None, *sorted(set(cuts)), None]
+    for lo, hi in zip(edges, edges[1:]):
+        inside = F.lit(True)
+        if lo is not None:
+            inside = inside & (F.col(order) > lo)
+        if hi is not None:
+            inside = inside & (F.col(order) <= hi)
+        rows.where(inside).write.mode("append").parquet(f"{scratch}/slices")
+        run(stream_table(spark, f"{scratch}/slices", table, glob="*.parquet"), scratch).awaitTermination()
+    return scratch
 
 
 @query("stream_running_count_by_key", _ORACLES["running_count_by_key"])
 def stream_running_count_by_key(spark, base):
     """A3 + T1 as a stream: the running-count changelog carried across micro-batches."""
-    scratch = _stream_scratch(spark)
-    events = stream_table(spark, base, "events", max_files_per_trigger=1)
-    writer = S.RunningTotalsWriter({"word_count": F.lit(1)}, ["event_id"], f"{scratch}/out", f"{scratch}/state",
-                                   partition_by=["word"])
-    q = S.start_running_totals(events.select("event_id", F.col("event_type").alias("word")), writer,
-                               f"{scratch}/checkpoint", available_now=True)
-    q.awaitTermination()
+    def run(events, scratch):
+        writer = S.RunningTotalsWriter({"word_count": F.lit(1)}, ["event_id"], f"{scratch}/out", f"{scratch}/state",
+                                       partition_by=["word"])
+        return S.start_running_totals(events.select("event_id", F.col("event_type").alias("word")), writer,
+                                      f"{scratch}/checkpoint", available_now=True)
+
+    scratch = _in_slices(spark, base, "events", "event_id", run)
     return spark.read.parquet(f"{scratch}/out").select("event_id", "word", "word_count")
 
 
 @query("stream_word_count", _ORACLES["word_count"])
 def stream_word_count(spark, base):
-    """A4/A5 as a stream: word counts of document lines in complete mode (a snapshot per micro-batch)."""
-    scratch = _stream_scratch(spark)
-    docs = stream_table(spark, base, "documents", max_files_per_trigger=1)
-    counts = S.word_count_stream(O.lines(docs, "text"))
+    """A4 as a stream: word counts of document lines in complete mode, a new version of the table per micro-batch."""
+    def run(docs, scratch):
+        def snapshot(df, batch_id):
+            df.write.mode("overwrite").parquet(f"{scratch}/out/v={batch_id}")
+            paths.prune_versions(spark, f"{scratch}/out", 2)
 
-    def snapshot(df, batch_id):
-        # complete mode: every micro-batch carries the whole table
-        df.write.mode("overwrite").parquet(f"{scratch}/out")
+        return S.start(S.word_count_stream(O.lines(docs, "text")), snapshot, f"{scratch}/checkpoint",
+                       output_mode="complete", available_now=True)
 
-    q = S.start(counts, snapshot, f"{scratch}/checkpoint", output_mode="complete", available_now=True)
-    q.awaitTermination()
-    return spark.read.parquet(f"{scratch}/out").select("word", "word_count")
+    out = f"{_in_slices(spark, base, 'documents', 'doc_id', run)}/out"
+    return spark.read.parquet(f"{out}/v={paths.versions(spark, out)[-1]}").select("word", "word_count")
 
 
 @query("stream_running_sum", _ORACLES["running_sum"])
 def stream_running_sum(spark, base):
     """A1 + T1 as a stream: the global running sum carried across micro-batches."""
-    scratch = _stream_scratch(spark)
-    events = stream_table(spark, base, "events", max_files_per_trigger=1)
-    writer = S.RunningTotalsWriter({"running_sum": "user_id"}, ["event_id"], f"{scratch}/out", f"{scratch}/state")
-    q = S.start_running_totals(events.select("event_id", "user_id"), writer, f"{scratch}/checkpoint",
-                               available_now=True)
-    q.awaitTermination()
+    def run(events, scratch):
+        writer = S.RunningTotalsWriter({"running_sum": "user_id"}, ["event_id"], f"{scratch}/out", f"{scratch}/state")
+        return S.start_running_totals(events.select("event_id", "user_id"), writer, f"{scratch}/checkpoint",
+                                      available_now=True)
+
+    scratch = _in_slices(spark, base, "events", "event_id", run)
     return spark.read.parquet(f"{scratch}/out").select("event_id", "running_sum")
 
 
 @query("stream_dead_letter", _ORACLES["dead_letter"])
 def stream_dead_letter(spark, base):
     """T3/T4 as a stream: receipts, acknowledged rows and dead letters per micro-batch."""
-    scratch = _stream_scratch(spark)
-    events = stream_table(spark, base, "events", max_files_per_trigger=1)
-    router = S.range_router("msg_id", "num", f"{scratch}/receipts", f"{scratch}/ok", f"{scratch}/dead")
-    q = S.start(events.select(F.col("event_id").alias("msg_id"), F.col("user_id").alias("num")), router,
-                f"{scratch}/checkpoint", available_now=True)
-    q.awaitTermination()
+    def run(events, scratch):
+        router = S.range_router("msg_id", "num", f"{scratch}/receipts", f"{scratch}/ok", f"{scratch}/dead")
+        return S.start(events.select(F.col("event_id").alias("msg_id"), F.col("user_id").alias("num")), router,
+                       f"{scratch}/checkpoint", available_now=True)
+
+    scratch = _in_slices(spark, base, "events", "event_id", run)
     return spark.read.parquet(f"{scratch}/dead").select("msg_id", "num", "reason")
 
 
 @query("stream_request_response", _ORACLES["request_response"])
 def stream_request_response(spark, base):
     """S7/K4 as a stream: responses per micro-batch, idempotent by batch id."""
-    scratch = _stream_scratch(spark)
-    customers = stream_table(spark, base, "customer", max_files_per_trigger=1)
-    requests = customers.select(F.col("c_custkey").alias("id"), F.lit(O.requests.ADD_USER).alias("func"),
-                                F.col("c_name").alias("args"))
-    q = S.start(requests, S.ResponseWriter(f"{scratch}/responses", f"{scratch}/dead"), f"{scratch}/checkpoint",
-                available_now=True)
-    q.awaitTermination()
+    def run(customers, scratch):
+        requests = customers.select(F.col("c_custkey").alias("id"), F.lit(O.requests.ADD_USER).alias("func"),
+                                    F.col("c_name").alias("args"))
+        return S.start(requests, S.ResponseWriter(f"{scratch}/responses", f"{scratch}/dead"), f"{scratch}/checkpoint",
+                       available_now=True)
+
+    scratch = _in_slices(spark, base, "customer", "c_custkey", run)
     return spark.read.parquet(f"{scratch}/responses").select("id", "result")
 
 
 @query("stream_latest_per_key", _ORACLES["latest_per_key"])
 def stream_latest_per_key(spark, base):
-    """Running-count changelog upserted into the keyed store, batch by batch."""
-    scratch = _stream_scratch(spark)
-    store = ParquetKeyedStore(f"{scratch}/store", n_buckets=8)
+    """K2: the running-count changelog upserted into the keyed store, batch by batch."""
+    def run(events, scratch):
+        store = ParquetKeyedStore(f"{scratch}/store", n_buckets=8)
+
+        def upsert(changelog, batch_id):
+            store.upsert(changelog.select(F.col("word").alias("key"), F.col("count").cast("string").alias("value"),
+                                          F.col("event_id").alias("seq")), batch_id)
 
-    def upsert(changelog, batch_id):
-        store.upsert(changelog.select(F.col("word").alias("key"), F.col("count").cast("string").alias("value"),
-                                      F.col("event_id").alias("seq")), batch_id)
+        writer = S.RunningTotalsWriter({"count": F.lit(1)}, ["event_id"], upsert, f"{scratch}/state",
+                                       partition_by=["word"])
+        return S.start_running_totals(events.select("event_id", F.col("event_type").alias("word")), writer,
+                                      f"{scratch}/checkpoint", available_now=True)
 
-    events = stream_table(spark, base, "events", max_files_per_trigger=1)
-    writer = S.RunningTotalsWriter({"count": F.lit(1)}, ["event_id"], upsert, f"{scratch}/state",
-                                   partition_by=["word"])
-    q = S.start_running_totals(events.select("event_id", F.col("event_type").alias("word")), writer,
-                               f"{scratch}/checkpoint", available_now=True)
-    q.awaitTermination()
-    return store.read(spark).select("key", "value")
+    scratch = _in_slices(spark, base, "events", "event_id", run)
+    return ParquetKeyedStore(f"{scratch}/store").read(spark).select("key", "value")
 
 
 @query("stream_sharded_running_sum", _ORACLES["sharded_running_sum"])
 def stream_sharded_running_sum(spark, base):
-    """Shuffle grouping over 3 tasks, each task's sum carried across micro-batches."""
-    scratch = _stream_scratch(spark)
-    events = stream_table(spark, base, "events", max_files_per_trigger=1)
-    tasks = events.select("event_id", F.col("user_id").alias("num"),
-                          O.shard_task("event_id", N_SHARDS).alias("task"))
-    writer = S.RunningTotalsWriter({"running_sum": "num"}, ["event_id"], f"{scratch}/out", f"{scratch}/state",
-                                   partition_by=["task"])
-    q = S.start_running_totals(tasks, writer, f"{scratch}/checkpoint", available_now=True)
-    q.awaitTermination()
+    """Shuffle grouping over 3 tasks, each task's sum carried across micro-batches.
+
+    The stream's ids are dense from 0, so its dense number is id + 1.
+    """
+    def run(events, scratch):
+        tasks = events.select("event_id", F.col("user_id").alias("num"),
+                              O.shard_task(F.col("event_id") + 1, N_SHARDS).alias("task"))
+        writer = S.RunningTotalsWriter({"running_sum": "num"}, ["event_id"], f"{scratch}/out", f"{scratch}/state",
+                                       partition_by=["task"])
+        return S.start_running_totals(tasks, writer, f"{scratch}/checkpoint", available_now=True)
+
+    scratch = _in_slices(spark, base, "events", "event_id", run)
     return spark.read.parquet(f"{scratch}/out").select("event_id", "task", "num", "running_sum")
 
 
 @query("stream_delimited_record", _ORACLES["delimited_record"])
 def stream_delimited_record(spark, base):
-    """K3 as a stream: '|'-delimited order records through the rolling text sink, read back."""
-    scratch = _stream_scratch(spark)
-    orders = stream_table(spark, base, "orders", max_files_per_trigger=1)
-    records = orders.select(X.delimited_columns(orders, list(_ORDER_FIELDS)).alias("value"))
-    q = start_rolling_text(records, f"{scratch}/files", f"{scratch}/checkpoint", max_records_per_file=4000,
-                           available_now=True)
-    q.awaitTermination()
+    """K3 as a stream: '|'-delimited order records through the rolling text sink (the 5 MB rule), read back."""
+    def run(orders, scratch):
+        records = orders.select(X.delimited_columns(orders, list(_ORDER_FIELDS)).alias("value"))
+        mean = delimited_record(spark, base).agg(F.avg(F.octet_length("record") + 1)).first()[0] or 1.0
+        return start_rolling_text(records, f"{scratch}/files", f"{scratch}/checkpoint",
+                                  max_records_per_file=records_per_file(mean), available_now=True)
+
+    scratch = _in_slices(spark, base, "orders", "o_orderkey", run)
     text = spark.read.text(f"{scratch}/files")
     return text.select(F.split("value", r"\|", 2).getItem(0).cast("bigint").alias("o_orderkey"),
                        F.col("value").alias("record"))
+
+
+@query("stream_directory_lines", _ORACLES["document_lines"].replace("SELECT doc_id,", "SELECT").replace(
+    "FROM documents", "FROM documents WHERE text IS NOT NULL"))
+def stream_directory_lines(spark, base):
+    """S1 + S2 + F3: documents written as .txt files among decoys, streamed twice on one checkpoint."""
+    scratch = scratch_folder(spark, "directory")
+    docs = read_table(spark, base, "documents").where(F.col("text").isNotNull())
+    docs.select("text").write.option("lineSep", "\n").text(f"{scratch}/in/texts")          # part-*.txt
+    decoys = docs.select(F.lit("decoy").alias("value")).limit(3)
+    for name in ("a.TXT", "b.txt123"):
+        decoys.write.text(f"{scratch}/in/{name}")
+    paths.rename_parts(spark, f"{scratch}/in/a.TXT", ".TXT")
+    paths.rename_parts(spark, f"{scratch}/in/b.txt123", ".txt123")
+
+    def keep(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{scratch}/out/batch_id={batch_id}")
+
+    for _ in range(2):      # the second run finds nothing new
+        lines = directory_lines(spark, f"{scratch}/in")
+        S.start(lines, keep, f"{scratch}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{scratch}/out").select("line")
+
+
+@query("dead_letter_replay", """
+SELECT event_id AS msg_id, user_id AS num FROM events WHERE user_id > 10 AND user_id <= 20""")
+def dead_letter_replay(spark, base):
+    """T4: dead letters replayed under a wider range; the messages that this resolves, with their numbers."""
+    scratch = scratch_folder(spark, "replay")
+    router = S.range_router("msg_id", "num", f"{scratch}/receipts", f"{scratch}/ok", f"{scratch}/dead")
+    router(_events(spark, base).select(F.col("event_id").alias("msg_id"), F.col("user_id").alias("num")), 0)
+
+    def wider(df):
+        return F.when((F.col("num") > 0) & (F.col("num") <= 20), F.lit("ack")).otherwise(F.lit("fail"))
+
+    for replay_id in (0, 1):        # the second replay finds nothing left that it could resolve
+        S.replay_dead_letters(spark, f"{scratch}/dead", f"{scratch}/resolved", ["msg_id"], wider, f"{scratch}/replayed",
+                              replay_id)
+    return spark.read.parquet(f"{scratch}/replayed").select("msg_id", "num")

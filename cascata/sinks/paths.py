@@ -6,6 +6,8 @@ files); nothing here reads data, it only lists, tests and removes folders.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -52,3 +54,37 @@ def prune_versions(spark: SparkSession, path: str, keep: int, prefix: str = "v="
     """Remove all but the newest ``keep`` versions."""
     for v in versions(spark, path, prefix)[:-keep] if keep > 0 else []:
         delete(spark, f"{path.rstrip('/')}/{prefix}{v}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under a temporary name and rename it into place; an existing file is an error."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    part = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+    out = fs.create(part, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if fs.exists(p) or not fs.rename(part, p):
+        fs.delete(part, False)
+        raise RuntimeError(f"{path} exists already: another writer was faster")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def rename_parts(spark: SparkSession, folder: str, extension: str) -> None:
+    """Give the part files of a folder another extension."""
+    for name in children(spark, folder):
+        if name.startswith("part-"):
+            fs, p = _fs(spark, f"{folder}/{name}")
+            _, q = _fs(spark, f"{folder}/{name.rsplit('.', 1)[0]}{extension}")
+            fs.rename(p, q)

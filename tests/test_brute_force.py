@@ -46,7 +46,11 @@ def test_shard_and_replica_sums_brute_force(spark):
     assert got == want
     got = {(r.seq, r.instance, r.task, r.running_sum)
            for r in O.replicated_source_sharded_sum(df, "v", "seq", 2, 4, min_buckets=6).collect()}
-    assert got == brute(lambda s, i: (2 * s + i) % 4, copies=2)
+    place = {seq: n for n, (seq, _, _) in enumerate(ordered)}
+    assert got == brute(lambda s, i: (2 * place[s] + i) % 4, copies=2)
+    got = {(r.seq, 0, r.task, r.running_sum)
+           for r in O.shuffled_running_sum(df, "v", ["seq"], 3, min_buckets=6).collect()}
+    assert got == brute(lambda s, i: (place[s] + 1) % 3)
 
 
 def test_outcome_sum_sequence_and_latest_brute_force(spark):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cascata import cli
 from cascata import operators as O
+from cascata.sinks import ParquetKeyedStore
 
 BASE = "/root/testdata/sf0.001"
 # Fixed input: the reference's sample word file (4 lines, no final newline).
@@ -21,7 +22,7 @@ def test_word_count_jobs(spark, tmp_path):
     store = str(tmp_path / "store")
     assert cli.main(["word-count", "--input", str(src), "--output", store, "--checkpoint",
                      str(tmp_path / "ck"), "--available-now"]) == 0
-    got = {r.key: r.value for r in spark.read.parquet(store).collect()}
+    got = {r.key: r.value for r in ParquetKeyedStore(store).read(spark).collect()}
     assert got["111"] == "3" and len(got) == 9
     snap = str(tmp_path / "snap")
     cli.main(["word-count", "--mode", "complete", "--input", str(src), "--output", snap, "--checkpoint",
@@ -48,6 +49,13 @@ def test_running_sum_job(spark, tmp_path):
     ev = spark.read.parquet(f"{BASE}/events.parquet")
     expected = O.sharded_running_sum(ev, "user_id", ["event_id"], O.shard_task("user_id", 3))
     assert _same(spark.read.parquet(out).select(*expected.columns), expected)
+    for grouping, order in (("shuffle", "ts"), ("replicated-source", "event_id"), ("fields", "event_id")):
+        cli.main(["running-sum", "--input", f"{BASE}/events.parquet", "--output", out, "--order", order,
+                  "--value", "user_id", "--grouping", grouping, "--key", "event_type", "--tasks", "4"])
+        got = spark.read.parquet(out)
+        assert got.count() == ev.count() * (2 if grouping == "replicated-source" else 1)
+        total = got.groupBy("task").agg(F.max("running_sum").alias("m")).agg(F.sum("m")).first()[0]
+        assert total == ev.agg(F.sum("user_id")).first()[0] * (2 if grouping == "replicated-source" else 1)
 
 
 def test_rolling_files_and_requests_jobs(spark, tmp_path):

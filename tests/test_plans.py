@@ -4,7 +4,10 @@ import contextlib
 import io
 import re
 
-import __spark_entry__ as E
+from pyspark.sql import functions as F
+
+from cascata.operators import prefix
+from cascata.plans import catalog
 
 BASE = "/root/testdata/sf0.001"
 
@@ -25,12 +28,14 @@ def _row_windows(text):
 RUNNING = ["sequence_number", "keyed_sequence", "running_sum", "running_count_by_key", "running_sum_by_key",
            "snapshot_per_event", "running_sum_with_outcome", "sharded_running_sum", "keyed_shard_running_sum",
            "replicated_running_sum", "replicated_source_sharded_sum", "replicated_source_two_tasks",
-           "flag_shard_running_sum", "latest_per_key"]
+           "flag_shard_running_sum", "latest_per_key", "sequence_by_name", "sequence_by_day_and_id",
+           "sparse_sharded_running_sum", "text_key_shard_running_sum", "snapshot_per_event_many_keys"]
 
 
-def test_every_row_level_window_is_split_by_range_bucket(spark):
+def test_every_row_level_window_is_split_by_range_bucket(spark, monkeypatch):
+    monkeypatch.setattr(prefix, "hot_groups", lambda *args, **kw: None)       # every group counts as large
     for name in RUNNING:
-        text = plan(E.queries()[name](spark, BASE))
+        text = plan(catalog.queries()[name](spark, BASE))
         windows = _row_windows(text)
         assert windows, name
         for line in windows:
@@ -39,29 +44,29 @@ def test_every_row_level_window_is_split_by_range_bucket(spark):
 
 
 def test_scans_read_only_the_used_columns(spark):
-    text = plan(E.queries()["running_sum"](spark, BASE))
+    text = plan(catalog.queries()["running_sum"](spark, BASE))
     schemas = set(re.findall(r"ReadSchema: (struct<[^>]*>)", text))
     assert schemas == {"struct<event_id:bigint,user_id:bigint>"}
-    text = plan(E.queries()["outcome_counts"](spark, BASE))
+    text = plan(catalog.queries()["outcome_counts"](spark, BASE))
     assert set(re.findall(r"ReadSchema: (struct<[^>]*>)", text)) == {"struct<l_quantity:double>"}
 
 
 def test_counts_aggregate_before_the_shuffle(spark):
     for name, fn in [("word_count", "partial_count"), ("outcome_counts", "partial_count"),
-                     ("merged_shard_total", "partial_sum"), ("latest_per_key", "partial_max_by")]:
-        assert fn in plan(E.queries()[name](spark, BASE)), name
+                     ("merged_shard_total", "partial_max_by"), ("latest_per_key", "partial_max_by")]:
+        assert fn in plan(catalog.queries()[name](spark, BASE)), name
 
 
-def test_replication_and_snapshot_expand_after_the_window(spark):
-    for name in ["replicated_running_sum", "snapshot_per_event"]:
-        lines = plan(E.queries()[name](spark, BASE)).splitlines()
+def test_replication_expands_after_the_window(spark):
+    for name in ["replicated_running_sum"]:
+        lines = plan(catalog.queries()[name](spark, BASE)).splitlines()
         generate = min(i for i, line in enumerate(lines) if "Generate explode" in line)
         window = min(i for i, line in enumerate(lines) if "Window [" in line)
         assert generate < window, name          # printed top-down: the generator sits above the window
 
 
 def test_no_cross_join_anywhere(spark):
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         text = plan(fn(spark, BASE))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
@@ -69,7 +74,7 @@ def test_no_cross_join_anywhere(spark):
 def test_single_partition_exchanges_only_carry_aggregates(spark):
     """A SinglePartition exchange may only move already-aggregated rows (bucket
     totals or one partial per task), never input rows; no slow-path operators."""
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         lines = plan(fn(spark, BASE)).splitlines()
         for i, line in enumerate(lines):
             if "Exchange SinglePartition" in line:
@@ -77,3 +82,14 @@ def test_single_partition_exchanges_only_carry_aggregates(spark):
         text = "\n".join(lines)
         for slow in ("SortAggregate", "BatchEvalPython", "ArrowEvalPython", "ObjectHashAggregate"):
             assert slow not in text, (name, slow)
+
+
+def test_small_groups_get_the_plain_keyed_window(spark):
+    from cascata import operators as O
+    df = spark.range(0, 20_000).select("id", (F.col("id") % 5_000).alias("k"))
+    text = plan(O.running_count(df, "k", ["id"], "n"))
+    assert "_bucket" not in text and "Join" not in text
+    mixed = spark.range(0, 20_000).select("id", F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"))
+    got = O.running_count(mixed, "k", ["id"], "n")
+    assert "_bucket" in plan(got)
+    assert got.groupBy("k").agg(F.max("n").alias("m"), F.count("*").alias("c")).where("m <> c").count() == 0

@@ -264,23 +264,48 @@ def test_stream_equals_batch_for_1_2_k_batches(spark, event_slices, tmp_path, fi
     assert _same(got.drop("batch_id"), O.running_sum(ev, "user_id", ["event_id"], "rs", ["event_type"]))
 
 
-def test_keyed_store_repairs_an_interrupted_swap(spark, tmp_path):
+def _store_rows(rows):
+    return [(f"k{i}", str(i), 0) for i in range(rows)]
+
+
+def test_keyed_store_survives_a_crash_before_the_manifest(spark, tmp_path, monkeypatch):
     store = ParquetKeyedStore(str(tmp_path / "store"), n_buckets=4)
-    first = spark.createDataFrame([(f"k{i}", str(i), 0) for i in range(40)], "key string, value string, seq bigint")
-    store.upsert(first, 0)
-    change = spark.createDataFrame([("k1", "100", 1), ("k2", "200", 1)], "key string, value string, seq bigint")
-    # batch 1 is staged, then the swap dies after deleting one bucket folder
-    staging = store._staging(spark, 1)
-    store._merged(change).write.mode("overwrite").parquet(staging)
-    touched = sorted(r.bucket for r in spark.read.parquet(staging).select("bucket").distinct().collect())
-    paths.delete(spark, f"{store.path}/bucket={touched[0]}")
-    # the replay of batch 1 finishes the swap from the staging table
-    store.upsert(change, 1)
-    got = {r.key: r.value for r in store.read(spark).collect()}
-    expected = {f"k{i}": str(i) for i in range(40)}
-    expected.update({"k1": "100", "k2": "200"})
-    assert got == expected
-    assert not paths.exists(spark, staging)
+    schema = "key string, value string, seq bigint"
+    store.upsert(spark.createDataFrame(_store_rows(40), schema), 0)
+    change = spark.createDataFrame([("k1", "100", 1), ("k2", "200", 1)], schema)
+
+    def crash(*_):
+        raise OSError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(paths, "write_text", crash)
+        with pytest.raises(OSError):
+            store.upsert(change, 1)
+    # the store is as it was, for any process; the replay applies the batch
+    again = ParquetKeyedStore(str(tmp_path / "store"), n_buckets=4)
+    assert {r.key: r.value for r in again.read(spark).collect()} == {k: v for k, v, _ in _store_rows(40)}
+    again.upsert(change, 1)
+    again.upsert(change, 1)
+    want = {k: v for k, v, _ in _store_rows(40)} | {"k1": "100", "k2": "200"}
+    assert {r.key: r.value for r in again.read(spark).collect()} == want
+    assert again.read(spark).count() == 40
+
+
+def test_keyed_store_keeps_its_bucket_count(spark, tmp_path):
+    schema = "key string, value string, seq bigint"
+    ParquetKeyedStore(str(tmp_path / "s"), n_buckets=8).upsert(spark.createDataFrame(_store_rows(20), schema), 0)
+    wider = ParquetKeyedStore(str(tmp_path / "s"), n_buckets=64)
+    wider.upsert(spark.createDataFrame(_store_rows(20), schema), 1)
+    assert wider.read(spark).count() == 20
+
+
+def test_keyed_store_of_a_new_stream_applies_its_own_batches(spark, tmp_path):
+    store = ParquetKeyedStore(str(tmp_path / "s"), n_buckets=2)
+    schema = "key string, value string, seq bigint"
+    for value in ("1", "2", "3", "4", "5", "6"):         # batch ids start again: nothing of an earlier run is reused
+        store.upsert(spark.createDataFrame([("k", value, int(value)), (None, value, 0)], schema), 0)
+    assert {(r.key, r.value) for r in store.read(spark).collect()} == {("k", "6"), (None, "6")}
+    assert len(paths.children(spark, f"{store.path}/manifests")) <= 4
 
 
 def test_jdbc_sink_with_schema_qualified_table(spark):
@@ -326,3 +351,17 @@ def test_running_writer_refuses_a_state_folder_of_another_run(spark, tmp_path):
     batch = spark.createDataFrame([(1,), (2,)], "seq bigint")
     with pytest.raises(RuntimeError):
         writer(batch, 0)
+
+
+def test_a_small_batch_rewrites_only_its_state_buckets(spark, tmp_path):
+    state = str(tmp_path / "state")
+    writer = S.RunningTotalsWriter({"n": F.lit(1)}, ["seq"], str(tmp_path / "out"), state, partition_by=["k"],
+                                   state_buckets=16)
+    writer(spark.range(0, 20_000).select(F.col("id").alias("seq"), F.col("id").cast("string").alias("k")), 0)
+    assert len([f for f in paths.children(spark, f"{state}/v=0") if f.startswith("bucket=")]) == 16
+    writer(spark.createDataFrame([(20_000, "7"), (20_001, "7"), (20_002, "new")], "seq bigint, k string"), 1)
+    assert 1 <= len([f for f in paths.children(spark, f"{state}/v=1") if f.startswith("bucket=")]) <= 2
+    writer(spark.createDataFrame([(20_003, "7"), (20_004, "19999"), (20_005, None)], "seq bigint, k string"), 2)
+    writer(spark.createDataFrame([(20_006, None), (20_007, "new")], "seq bigint, k string"), 3)
+    got = {r.seq: r.n for r in spark.read.parquet(str(tmp_path / "out")).where("seq >= 20000").collect()}
+    assert got == {20_000: 2, 20_001: 3, 20_002: 1, 20_003: 4, 20_004: 2, 20_005: 1, 20_006: 2, 20_007: 2}
