@@ -57,6 +57,8 @@ from cascata.llm.common import prepare, written
 from cascata.llm.components import connected_components
 
 CELL = 48
+# Classes of a shingle that are compared by their histograms at a time.
+BLOCK = 256
 # Ids of the documents whose sets a search fetches, 8 bytes each, up to which they are broadcast.
 BROADCAST_IDS = 2_000_000
 # Most frequent shingles that are ordered by their counts; 16 bytes each are broadcast.
@@ -107,18 +109,25 @@ def _counts(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, f"<u{packed[0]}", offset=1)
 
 
-def could_link(histograms: list[np.ndarray], threshold: int) -> np.ndarray:
-    """Matrix of the pairs whose histograms leave the threshold within reach."""
-    n = len(histograms)
-    # fold the finer ones: a range of the coarsest is the sum of its parts
-    width = min(map(len, histograms))
-    folded = np.stack([h.reshape(width, -1).sum(axis=1, dtype=np.int32) for h in histograms])
-    sizes = folded.sum(axis=1, dtype=np.int64)
-    out = np.zeros((n, n), bool)
-    for i in range(n - 1):
-        most = np.minimum(folded[i], folded[i + 1:]).sum(axis=1, dtype=np.int64)
-        out[i, i + 1:] = 100 * most >= threshold * (sizes[i] + sizes[i + 1:] - most)
-    return out | out.T
+def could_link(histograms: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
+    """The pairs whose sizes and histograms leave the threshold within reach."""
+    sizes = np.array([int(h.sum()) for h in histograms])
+    order = np.argsort(sizes, kind="stable")
+    ascending = sizes[order]
+    # partners of larger size, as far as the sizes allow
+    last = np.searchsorted(100 * ascending, 100 * (100 * ascending // threshold), side="right")
+    out = []
+    for p, i in enumerate(order):
+        others = order[p + 1:last[p]]
+        if not len(others):
+            continue
+        own = histograms[i].astype(np.int32)
+        # fold the finer ones: a range of the smaller set's histogram is the sum of its parts
+        folded = np.stack([histograms[j].reshape(len(own), -1).sum(axis=1, dtype=np.int32) for j in others])
+        most = np.minimum(own, folded).sum(axis=1, dtype=np.int64)
+        within = 100 * most >= threshold * (sizes[i] + sizes[others] - most)
+        out += [(int(i), int(j)) for j in others[within]]
+    return out
 
 
 def overlap_needed(a: int, b: int, threshold: int) -> int:
@@ -314,11 +323,10 @@ def _by_cell(rows: DataFrame, work, schema: str) -> DataFrame:
 
 
 def hopeful(cells: DataFrame, histograms: DataFrame, threshold: int) -> DataFrame:
-    """The rows of ``cells`` (cell, id, grp) that have a partner of another ``grp`` within reach."""
+    """The rows of ``cells`` (cell, id, grp) that have a partner within reach."""
     def work(members: list[tuple]) -> list[tuple]:
-        grp = np.array([g for _, g, _ in members])
-        reach = could_link([_counts(d) for _, _, d in members], threshold) & (grp[:, None] != grp[None, :])
-        return [(i, g, 0) for (i, g, _), r in zip(members, reach.any(axis=1)) if r]
+        pairs = could_link([_counts(d) for _, _, d in members], threshold)
+        return [(*members[i][:2], 0) for i in sorted({x for p in pairs for x in p})]
 
     rows = cells.join(histograms.select("id", F.col("ranges").alias("data")), "id")
     return _by_cell(rows, work, "id, grp, none").select("cell", "id", "grp")
@@ -327,9 +335,8 @@ def hopeful(cells: DataFrame, histograms: DataFrame, threshold: int) -> DataFram
 def hopeful_pairs(cells: DataFrame, histograms: DataFrame, threshold: int) -> DataFrame:
     """(a, b), a < b: the distinct pairs of different ``grp`` within reach that some cell of ``cells`` holds."""
     def work(members: list[tuple]) -> list[tuple]:
-        grp = np.array([g for _, g, _ in members])
-        reach = could_link([_counts(d) for _, _, d in members], threshold) & (grp[:, None] != grp[None, :])
-        return [(members[i][0], members[j][0], 0) for i, j in zip(*np.nonzero(np.triu(reach)))]
+        return [(members[i][0], members[j][0], 0) for i, j in could_link([_counts(d) for _, _, d in members], threshold)
+                if members[i][1] != members[j][1]]
 
     rows = cells.join(histograms.select("id", F.col("ranges").alias("data")), "id")
     return _by_cell(rows, work, "x, y, none").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -409,7 +416,7 @@ def join(docs: DataFrame, k: int = 3, threshold: int = 90, id_col: str = "doc_id
     open_ = placed.groupBy("shingle").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi")
     rest = placed.join(open_.select("shingle"), "shingle")
     number = F.row_number().over(Window.partitionBy("shingle").orderBy("n", "id"))
-    rest = rest.withColumn("block", F.floor((number - 1) / CELL)).withColumn(
+    rest = rest.withColumn("block", F.floor((number - 1) / BLOCK)).withColumn(
         "last", F.max("block").over(Window.partitionBy("shingle")))
     rest = written(rest.select("shingle", "id", "n", "grp", "block", "last"), "open-shingles")
     # blocks are by size: only pairs of blocks whose sizes can reach the threshold

@@ -59,6 +59,7 @@ def near_copies(seed, n_base, copies, words=60):
 @pytest.mark.parametrize("k,threshold", [(3, 90), (5, 80), (1, 50)])
 def test_join_equals_all_pairs(spark, k, threshold, monkeypatch):
     monkeypatch.setattr(ngram_join, "CELL", 4)          # many cells and pairs of blocks
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
     rows = near_copies(k, 25, 9) + [(10_000, None), (10_001, ""), (10_002, " \n\t "), (10_003, "a b"), (10_004, "A  b"),
                                     (10_005, "one"), (10_006, "x " * 50), (10_007, "x " * 70)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
@@ -118,6 +119,24 @@ def test_divide_skip_counts_what_sets_share():
             assert set(got) == {p for p, _ in want}
 
 
+def test_histograms_never_rule_out_a_link():
+    rng = np.random.default_rng(4)
+    sets = []
+    for n in (1, 2, 3, 7, 40, 41, 500, 530, 3000):
+        base = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+        for drop in (0, 1, n // 30, n // 12, n // 4):
+            sets.append(np.unique(np.concatenate([base[drop:], rng.integers(0, 1 << 63, drop // 2).astype(np.uint64)])))
+    sets = [s for s in sets if len(s)]
+    for threshold in (50, 80, 90, 100):
+        within = {tuple(sorted(p)) for p in ngram_join.could_link(
+            [ngram_join._counts(ngram_join.histogram(s)) for s in sets], threshold)}
+        for i in range(len(sets)):
+            for j in range(i + 1, len(sets)):
+                inter = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * inter >= threshold * (len(sets[i]) + len(sets[j]) - inter):
+                    assert (i, j) in within
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, x) for x in range(200, 260)] + [(7, 7)]
     got = connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b")
