@@ -4,10 +4,19 @@ Per language, the words of a bounded sample of labelled texts become a
 zstandard raw-content dictionary: rarest first, so the commonest are nearest
 to the text, and without words that another language uses more than twice as
 often (a wrongly labelled copy of a text would otherwise compress its
-original).  A text is normalised (lower case, letters only),
-cut into blocks, and each block is compressed once with every dictionary; the
-language with the smallest total wins.  When the runner-up needs less than
-``min_margin`` more bytes, the text is rejected.
+original).  Frequencies are shares of the language's sample texts, shrunk as if
+``SMOOTHING`` more texts without the word had been seen, so that a label with a
+single text takes no common word from the others.  A text is normalised (lower
+case, letters only), cut into blocks, and each block is compressed once with
+every dictionary and once without.
+
+Each language keeps its own words up to ``DICTIONARY_BYTES`` bytes, whatever the
+others have.  What a dictionary saves by chance grows with its length, so each
+is charged its own allowance: the share it saves on the commonest words of the
+other languages.  The language with the smallest size, allowance added, wins;
+where no language saves more than its allowance, the smallest size as it is.
+When the runner-up needs less than ``min_margin`` more bytes, the text is
+rejected.
 
 The training sample is the ``per_language`` labelled rows of lowest id hash
 per language (a documented bound: at most per_language excerpts of
@@ -40,6 +49,11 @@ UND = "und"
 PER_LANGUAGE = 1000
 EXCERPT = 400
 DICTIONARY_BYTES = 110_000
+# Texts without the word that a language's frequencies are shrunk by.
+SMOOTHING = 20
+# Words of other languages that an allowance is measured on, in characters, and from how many languages.
+FOREIGN_CHARS = 2 * 2048
+FOREIGN_LANGUAGES = 16
 BLOCK_CHARS = 2048
 LEVEL = 9
 # Short texts give few bytes to compare: a deeper match search.
@@ -78,16 +92,26 @@ def train(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", t
 def dictionaries(texts: dict[str, list[str]], size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """language -> dictionary content made of its sample texts' words."""
     counts = {lang: Counter(w for t in own for w in set(t.split())) for lang, own in texts.items()}
-    top: Counter = Counter()
-    for lang, words in counts.items():
-        for w, n in words.items():
-            top[w] = max(top[w], n / len(texts[lang]))
+    share = {lang: {w: n / (len(texts[lang]) + SMOOTHING) for w, n in words.items()} for lang, words in counts.items()}
+    top: dict[str, float] = {}
+    for words in share.values():
+        for w, f in words.items():
+            top[w] = max(top.get(w, 0.0), f)
     content = {}
-    for lang, words in counts.items():
-        own = [w for w, n in words.items() if 2 * n / len(texts[lang]) >= top[w]]
-        content[lang] = " ".join(sorted(own, key=lambda w: (words[w], w))) + " "
-    size = min([size, *map(len, content.values())])      # equal shares: no language gains by length
-    return {lang: content[lang][-size:].encode() for lang in sorted(content)}
+    for lang in sorted(counts):
+        kept, length = [], 0
+        for n, w in sorted(((n, w) for w, n in counts[lang].items() if 2 * share[lang][w] >= top[w]), reverse=True):
+            length += len(w.encode()) + 1
+            if length > size:
+                break
+            kept.append((n, w))
+        content[lang] = _content(kept)
+    return content
+
+
+def _content(words: list[tuple[int, str]]) -> bytes:
+    """The counted words, commonest last."""
+    return "".join(f"{w} " for _, w in sorted(words)).encode()
 
 
 class Compressors:
@@ -95,28 +119,55 @@ class Compressors:
         self.languages = sorted(contents)
         self.plain, self.short = ([self._compressor(contents[lang], level) for lang in self.languages]
                                   for level in (LEVEL, SHORT_LEVEL))
+        self.bare = [self._compressor(b"", level) for level in (LEVEL, SHORT_LEVEL)]
+        self.allowances = self._allowances(contents)
 
     @staticmethod
     def _compressor(content: bytes, level: int) -> zstandard.ZstdCompressor:
+        kind = {"level": level, "write_checksum": False, "write_content_size": False, "write_dict_id": False}
+        if not content:
+            return zstandard.ZstdCompressor(**kind)
         words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         words.precompute_compress(level=level)
-        return zstandard.ZstdCompressor(dict_data=words, level=level, write_checksum=False,
-                                        write_content_size=False, write_dict_id=False)
-
-    def sizes(self, text: str) -> list[int]:
-        """Total compressed bytes of all blocks of a normalised text, per language."""
+        return zstandard.ZstdCompressor(dict_data=words, **kind)
+
+    def _allowances(self, contents: dict[str, bytes]) -> list[float]:
+        """Per language, the share that its dictionary saves on the commonest words of the others."""
+        step = max(1, len(self.languages) // FOREIGN_LANGUAGES)
+        # of at most about twice FOREIGN_LANGUAGES languages, evenly chosen
+        samples = {lang: contents[lang][-FOREIGN_CHARS:].decode(errors="ignore") for lang in self.languages[::step]}
+        out = []
+        for i, lang in enumerate(self.languages):
+            own = bare = 0
+            for other, sample in samples.items():
+                if other != lang and sample:
+                    sizes, without = self.sizes(sample, [i])
+                    own += sizes[0]
+                    bare += without
+            out.append(max(0.0, 1.0 - own / bare) if bare else 0.0)
+        return out
+
+    def sizes(self, text: str, which: list[int] | None = None) -> tuple[list[int], int]:
+        """Total compressed bytes of all blocks of a normalised text: per language, and without a dictionary."""
         blocks = [text[i:i + BLOCK_CHARS].encode() for i in range(0, len(text), BLOCK_CHARS)]
-        return [sum(len(c.compress(b)) for b in blocks)
-                for c in (self.short if len(text) < SHORT_CHARS else self.plain)]
+        short = len(text) < SHORT_CHARS
+        chosen = self.short if short else self.plain
+        if which is not None:
+            chosen = [chosen[i] for i in which]
+        bare = self.bare[short]
+        return [sum(len(c.compress(b)) for b in blocks) for c in chosen], sum(len(bare.compress(b)) for b in blocks)
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """(best language, score 0..1, margin to the runner-up as a share of the best size)."""
         plain = normalise(text)
         if not plain or not self.languages:
             return UND, 0.0, 0.0
-        sizes = self.sizes(plain)
+        raw, bare = self.sizes(plain)
+        sizes = [s + a * bare for s, a in zip(raw, self.allowances)]
+        if min(sizes) >= bare:          # nothing is saved but by chance
+            sizes = raw
         best = min(range(len(sizes)), key=sizes.__getitem__)
-        score = 1.0 / sum(2.0 ** (-8.0 * (s - sizes[best]) / SCORE_BITS) for s in sizes)
+        score = 1.0 / sum(2.0 ** min(0.0, -8.0 * (s - sizes[best]) / SCORE_BITS) for s in sizes)
         others = [s for i, s in enumerate(sizes) if i != best]
         margin = (min(others) - sizes[best]) / sizes[best] if others else 1.0
         return self.languages[best], score, margin

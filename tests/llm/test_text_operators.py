@@ -176,6 +176,33 @@ def test_narrow_margins_are_rejected(spark):
     assert row["lang"] is None and row["lang_best"] == "x" and row["margin"] == 0.0
 
 
+def spoken(prefix, n_texts, seed, head="", common=()):
+    """Texts of one invented language: a few hundred words, the earlier the commoner."""
+    rng = random.Random(seed)
+    words = [prefix + "".join(rng.choice("aeioustnrl") for _ in range(rng.randint(2, 6))) for _ in range(300)]
+    return [head + " ".join(words[int(len(words) * rng.random() ** 2)] if rng.random() < 0.7 or not common
+                            else rng.choice(common) for _ in range(60)) for _ in range(n_texts)]
+
+
+def test_a_rare_label_leaves_the_other_dictionaries_whole():
+    texts = {"x": spoken("k", 80, 1, common=["the", "of"]), "y": spoken("m", 80, 2, common=["der", "von"])}
+    alone = compression_langid.dictionaries({lang: own[:60] for lang, own in texts.items()})
+    got = compression_langid.dictionaries({lang: own[:60] for lang, own in texts.items()} | {"aa": ["the der foo"]})
+    assert {lang: got[lang] for lang in alone} == alone and min(map(len, alone.values())) > 1000
+    assert got["aa"] == b"foo "
+    model = compression_langid.Compressors(got)
+    for lang, own in texts.items():
+        assert [model.predict(t)[0] for t in own[60:]] == [lang] * 20
+
+
+def test_a_language_of_few_texts_wins_its_own():
+    texts = {"x": spoken("k", 300, 1), "y": spoken("m", 40, 2)}
+    got = compression_langid.dictionaries({"x": texts["x"], "y": texts["y"][:3]})
+    assert len(got["y"]) < len(got["x"])
+    model = compression_langid.Compressors(got)
+    assert [model.predict(t)[0] for t in texts["y"][3:]] == ["y"] * 37
+
+
 # --- quality -------------------------------------------------------------------------------------------------
 
 
