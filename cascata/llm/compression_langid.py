@@ -18,13 +18,13 @@ where no language saves more than its allowance, the smallest size as it is.
 When the runner-up needs less than ``min_margin`` more bytes, the text is
 rejected.
 
-The training sample is the ``per_language`` labelled rows of lowest id hash
-per language (a documented bound: at most per_language excerpts of
-``excerpt`` characters each); ranking is pruned before the shuffle, so a hot
-language costs each map task at most ``per_language`` rows.  Prediction is a
-map over Arrow batches with the dictionaries broadcast: languages x
-``per_language`` x ``excerpt`` characters at most; the number of languages is
-checked against ``MAX_LANGUAGES``.
+The training sample is the ``per_language`` distinct labelled rows of lowest id
+hash per language (a documented bound on rows); ranking is over hashes and is
+pruned before the shuffle, so a hot language costs each map task at most
+``per_language`` rows.  The sampled rows' whole texts are counted inside tasks,
+and the driver gets the words that fit the dictionaries: languages x
+``DICTIONARY_BYTES`` at most, which are broadcast for prediction, a map over
+Arrow batches; the number of languages is checked against ``MAX_LANGUAGES``.
 
 Defined results: null texts, texts without a letter and every text when no
 label was learned give ``und`` with score 0; equal sizes go to the first
@@ -43,11 +43,10 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cascata.llm.common import prepare
+from cascata.llm.common import prepare, written
 
 UND = "und"
 PER_LANGUAGE = 1000
-EXCERPT = 400
 DICTIONARY_BYTES = 110_000
 # Texts without the word that a language's frequencies are shrunk by.
 SMOOTHING = 20
@@ -61,6 +60,8 @@ SHORT_CHARS = 512
 SHORT_LEVEL = 12
 MIN_MARGIN = 0.02
 MAX_LANGUAGES = 1000
+# Distinct words counted at a time within a task.
+COUNT_BUFFER = 500_000
 # Bits of size difference that make the runner-up half as likely, for the score.
 SCORE_BITS = 64.0
 
@@ -72,25 +73,62 @@ def normalise(text: str | None) -> str:
     return _NO_LETTER.sub(" ", text.lower()).strip() if text else ""
 
 
-def train(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
-          per_language: int = PER_LANGUAGE, excerpt: int = EXCERPT) -> dict[str, bytes]:
-    """language -> dictionary content, from a bounded sample of the rows with a label and a text."""
+def word_counts(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
+                per_language: int = PER_LANGUAGE) -> DataFrame:
+    """(lang, word, n): in how many of a language's sampled texts a word occurs; the word '' counts the texts."""
+    prepare(labelled.sparkSession)
+    text = F.col(text_col).cast("string")
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col)).alias("h"),
-                           F.substring(F.col(text_col).cast("string"), 1, excerpt).alias("text"))
+                           F.xxhash64(text).alias("t"), text.alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    sample = rows.withColumn("r", rank).where(F.col("r") <= per_language).drop("r", "h")
-    languages = sample.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))
+    keys = rows.select("lang", "h", "t").distinct().withColumn("r", rank).where(F.col("r") <= per_language).drop("r")
+    keys = written(keys, "language-sample")
+    languages = keys.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
     if languages > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages: raise the bound if that is meant")
-    texts: dict[str, list[str]] = {}
-    for row in sample.collect():
-        texts.setdefault(row["lang"], []).append(normalise(row["text"]))
-    return dictionaries(texts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+
+        def counted() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()),
+                 pa.array(list(seen.values()), pa.int64())], ["lang", "word", "n"])
+
+        for batch in batches:
+            for lang, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                seen.update((lang, w) for w in {"", *normalise(t).split()})
+            if len(seen) > COUNT_BUFFER:
+                yield counted()
+                seen = Counter()
+        yield counted()
+
+    sample = rows.join(F.broadcast(keys), ["lang", "h", "t"], "left_semi").groupBy("lang", "h", "t").agg(
+        F.first("text").alias("text"))
+    counts = sample.select("lang", "text").mapInArrow(run, "lang string, word string, n long")
+    return counts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def train(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
+          per_language: int = PER_LANGUAGE, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
+    """language -> dictionary content, from the whole texts of a bounded sample of the rows with a label and a text."""
+    counts = written(word_counts(labelled, lang_col, id_col, text_col, per_language), "language-words")
+    texts = counts.where("word = ''").select("lang", F.col("n").alias("texts"))
+    words = counts.where("word <> ''").join(F.broadcast(texts), "lang").withColumn(
+        "f", F.col("n") / (F.col("texts") + SMOOTHING))
+    own = words.withColumn("top", F.max("f").over(Window.partitionBy("word"))).where(2 * F.col("f") >= F.col("top"))
+    # the commonest words that fit
+    length = F.sum(F.octet_length("word") + 1).over(Window.partitionBy("lang").orderBy(F.desc("n"), F.desc("word")))
+    kept = own.withColumn("bytes", length).where(F.col("bytes") <= size)
+    found: dict[str, list[tuple[int, str]]] = {r["lang"]: [] for r in texts.collect()}
+    for r in kept.select("lang", "n", "word").toLocalIterator():
+        found[r["lang"]].append((r["n"], r["word"]))
+    return {lang: _content(found[lang]) for lang in sorted(found)}
 
 
 def dictionaries(texts: dict[str, list[str]], size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
-    """language -> dictionary content made of its sample texts' words."""
+    """``train`` for a few normalised texts at hand."""
     counts = {lang: Counter(w for t in own for w in set(t.split())) for lang, own in texts.items()}
     share = {lang: {w: n / (len(texts[lang]) + SMOOTHING) for w, n in words.items()} for lang, words in counts.items()}
     top: dict[str, float] = {}

@@ -203,6 +203,20 @@ def test_a_language_of_few_texts_wins_its_own():
     assert [model.predict(t)[0] for t in texts["y"][3:]] == ["y"] * 37
 
 
+def test_training_reads_whole_texts(spark):
+    head = "12345 #### " * 60                                  # no letter for more than 400 characters
+    texts = {"x": spoken("k", 30, 1, head), "y": spoken("m", 30, 2, head)}
+    rows = [(i, t, lang) for lang, own in texts.items() for i, t in enumerate(own)]
+    docs = spark.createDataFrame(rows + rows[:5], "doc_id long, text string, lang string").repartition(4)
+    want = compression_langid.dictionaries({lang: [compression_langid.normalise(t) for t in own]
+                                            for lang, own in texts.items()})
+    assert len(want["x"]) > 1000 and compression_langid.train(docs) == want
+    small = compression_langid.train(docs, size=200)
+    assert all(len(c) <= 200 and want[lang].endswith(c) for lang, c in small.items())
+    few = compression_langid.train(docs, per_language=3)
+    assert all(0 < len(few[lang]) < len(want[lang]) for lang in want)
+
+
 # --- quality -------------------------------------------------------------------------------------------------
 
 
