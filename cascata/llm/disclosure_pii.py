@@ -1,35 +1,38 @@
 """Personal data: fixed patterns, and terms that give the protected entities away.
 
 Base spans are emails, ip addresses, card and phone numbers.  Every distinct
-value is a protected entity e.  The corpus says how much a term t near it
-reveals: over the distinct contexts of e (``WINDOW`` words on each side; copies
-of a context count once),
-
-    PMI(t, e) = log2( n(t, e) * N / (n(t) * n(e)) ),   IC(e) = log2(N / n(e))
-
-where n(t, e) counts e's contexts that hold t, n(e) its contexts, n(t) the
-documents that hold t and N all documents.  disclosure = PMI / IC is 1 for a
-term that occurs nowhere but beside e.  With at least ``MIN_SUPPORT`` contexts
-behind it, a term at or over ``GENERALISE`` is replaced by a placeholder in
-every document that holds e, one at or over ``REMOVE`` is deleted.
-
-Jobs: (1) a map that emits (entity, term, context) of documents with base
-spans, written once; (2) partial counts of those; (3) a map over all whole
-texts that counts the documents of the supported terms, whose hashes are
-broadcast at most ``TERMS_PER_PASS`` at a time, in as many passes as that takes;
-(4) a map over all texts with each document's disclosing terms joined by its
-key (broadcast while they are counted to be few, else shuffled).  A hot entity
-costs distinct (entity, term, context) rows, combined before the shuffle.
-
-Defined results: a null or empty text has no spans; repeated rows are counted
-as documents and judged alike; an empty table gives none; other columns are
-not read (``sanitise`` passes them through).
+value is a protected entity e.  The corpus says how much a term t (a word of at
+least two characters outside the base spans) reveals of it.  All counts are of
+distinct texts, so copies count once, and of whole texts:
+
+    PMI(t, e) = log2( P(e | t) * N / n(e) ),   IC(e) = log2(N / n(e)),
+    P(e | t) = ( n(t, e) + SMOOTHING * n(e) / N ) / ( n(t) + SMOOTHING )
+
+where n(t, e) counts the texts that hold both, n(e) and n(t) those that hold
+one, and N all.  disclosure = PMI / IC comes close to 1 for a term that occurs
+nowhere but beside e; the smoothing, as of texts with t that hold e as often as
+any, keeps a few sightings from proving too much.  No entity or term is left
+out.  A term at or over ``GENERALISE`` is replaced by a placeholder in every
+document that holds e and t, one at or over ``REMOVE`` is deleted.
+
+Jobs: (1) digests of the texts, to find those with copies; (2) a map over each
+distinct text that writes (text, entity, term) of those with base spans, and
+the counts of all terms, combined within the task; (3) sums by (entity, term),
+by entity and by term, joined by shuffle; nothing but counts of rows passes the
+driver; (4) a map over all texts with each one's disclosing terms joined by its
+digest (broadcast while they are counted to be few, else shuffled).  A distinct
+text with base spans costs its entities times its distinct words in rows.
+
+Defined results: a null or empty text has no spans; repeated rows count once
+and are judged alike; an empty table gives none; other columns are not read
+(``sanitise`` passes them through).  Texts are told apart by 128 bits of hash.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,8 +48,13 @@ MIN_SUPPORT = 3
 GENERALISE = 0.8
 REMOVE = 0.95
 TERMS_PER_PASS = 1_000_000
-# Documents with disclosing terms, about 500 bytes each, up to which they are broadcast.
-BROADCAST_ROWS = 100_000
+# Texts with a term that hold the entity as often as any, added to those seen.
+SMOOTHING = 2.0
+# Terms of texts, about 40 bytes each, and digests of texts with copies up to which they are broadcast.
+BROADCAST_ROWS = 1_000_000
+# Distinct terms counted, and rows held, at a time within a task.
+COUNT_BUFFER = 500_000
+ROW_BUFFER = 50_000
 
 KINDS = ("email", "ip", "card", "phone", "term")
 # The base patterns.  Possessive runs and the look-behind only spare retries that cannot match.
@@ -162,7 +170,7 @@ def contexts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def document_counts(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, n_docs) for each of the distinct ``terms``: in how many documents it occurs."""
+    """(term, n_docs) for each of the distinct ``terms``: in how many documents it occurs.  See ``disclosures``."""
     spark = docs.sparkSession
     prepare(spark)
     total = terms.count()
@@ -191,7 +199,10 @@ def document_counts(docs: DataFrame, terms: DataFrame, text_col: str = "text") -
 
 def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", min_support: int = MIN_SUPPORT,
                 threshold: float = GENERALISE) -> DataFrame:
-    """(entity, term, support, disclosure) of the terms over the threshold; ``found`` are the corpus's contexts."""
+    """(entity, term, support, disclosure) of the terms over the threshold; ``found`` are the corpus's contexts.
+
+    An older measure over contexts of ``WINDOW`` words; ``find`` and ``sanitise`` use ``scores``.
+    """
     n_docs = docs.count()
     of_entity = (found.select("entity", "context").distinct().groupBy("entity")
                  .agg(F.count(F.lit(1)).alias("n_e")))
@@ -234,16 +245,87 @@ def cleaned(text: str, spans: list[tuple[int, int, int]], terms: dict[str, float
     return "".join(out) + text[at:]
 
 
-def _with_terms(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with ``_terms``: the disclosing terms of the entities each document holds, with their disclosure."""
-    found = written(contexts(docs, id_col, text_col), "contexts")
-    telling = disclosures(docs, found, text_col)
-    per_doc = (found.select("key", "entity").distinct().join(telling, "entity")
-               .groupBy(F.col("key").alias("_key"), "term").agg(F.max("disclosure").alias("d"))
-               .groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("term", "d"))).alias("_terms")))
-    per_doc = written(per_doc, "disclosing-terms")
-    side = F.broadcast(per_doc) if per_doc.count() <= BROADCAST_ROWS else per_doc
-    return docs.join(side, _key(id_col, text_col) == F.col("_key"), "left").drop("_key")
+def _digests(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("a"), F.xxhash64(F.lit("b"), text).alias("b")]
+
+
+def distinct_texts(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, int]:
+    """((a, b, text) of each distinct text that is not null, by its digest a, b; how many)."""
+    rows = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null")
+    rows = rows.select(*_digests(F.col("text")), "text")
+    classes = written(rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("m")), "text-digests")
+    copied = classes.where("m > 1").select("a", "b")
+    side = F.broadcast(copied) if copied.count() <= BROADCAST_ROWS else copied
+    # only texts with copies are shuffled
+    once = rows.join(side, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.first("text").alias("text"))
+    return rows.join(side, ["a", "b"], "left_anti").unionAll(once), classes.count()
+
+
+def holdings(texts: DataFrame) -> DataFrame:
+    """Of distinct texts: (a, b, entity, term) for all that hold an entity, a row without term for each entity;
+    and (term, n), the texts with a term, in parts to be summed."""
+    prepare(texts.sparkSession)
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+    names = ["a", "b", "entity", "term", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+
+        def made(columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+        def counted() -> pa.RecordBatch:
+            none = [None] * len(seen)
+            return made((none, none, none, list(seen), list(seen.values())))
+
+        for batch in batches:
+            for a, b, text in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text"))):
+                spans = base_spans(text)
+                if spans:
+                    terms = {w for _, _, w in _outside(_words(text), spans) if len(w) > 1}
+                    held = [None, *terms]
+                    for e in {entity(k, text[x:y]) for x, k, y in spans}:
+                        for i in range(0, len(held), ROW_BUFFER):
+                            part = held[i:i + ROW_BUFFER]
+                            yield made(([a] * len(part), [b] * len(part), [e] * len(part), part, [None] * len(part)))
+                else:
+                    terms = {w.lower() for w in set(_WORD.findall(text)) if len(w.lower()) > 1}
+                seen.update(terms)
+            if len(seen) > COUNT_BUFFER:
+                yield counted()
+                seen = Counter()
+        yield counted()
+
+    return texts.select("a", "b", "text").mapInArrow(run, "a long, b long, entity long, term string, n long")
+
+
+def scores(held: DataFrame, n_texts: int, threshold: float = GENERALISE) -> DataFrame:
+    """(entity, term, support, disclosure) of the terms over the threshold; ``held`` are the ``holdings``."""
+    of_entity = held.where("entity is not null and term is null").groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    of_term = held.where("entity is null").groupBy("term").agg(F.sum("n").alias("n_t"))
+    pairs = (held.where("entity is not null and term is not null").groupBy("entity", "term")
+             .agg(F.count(F.lit(1)).alias("support")))
+    n = F.lit(float(n_texts))
+    p = (F.col("support") + SMOOTHING * F.col("n_e") / n) / (F.col("n_t") + SMOOTHING)
+    ic = F.log2(n / F.col("n_e"))
+    rows = pairs.join(of_entity, "entity").join(of_term, "term").withColumn(
+        "disclosure", F.when(ic > 0, F.log2(p * n / F.col("n_e")) / ic).otherwise(0.0))
+    return rows.where(F.col("disclosure") >= threshold).select("entity", "term", "support", "disclosure")
+
+
+def _with_terms(docs: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` with ``_terms``: its disclosing terms of the entities each document holds, with their disclosure."""
+    texts, n_texts = distinct_texts(docs, text_col)
+    held = written(holdings(texts), "holdings")
+    telling = scores(held, n_texts).select("entity", "term", "disclosure")
+    per_text = written(held.where("entity is not null").select("a", "b", "entity", "term").join(telling, ["entity", "term"])
+                       .groupBy("a", "b", "term").agg(F.max("disclosure").alias("d")), "disclosing-terms")
+    few = per_text.count() <= BROADCAST_ROWS
+    per_text = per_text.groupBy(F.col("a").alias("_a"), F.col("b").alias("_b")).agg(
+        F.sort_array(F.collect_list(F.struct("term", "d"))).alias("_terms"))
+    a, b = _digests(F.col(text_col).cast("string"))
+    return docs.join(F.broadcast(per_text) if few else per_text, (a == F.col("_a")) & (b == F.col("_b")), "left").drop(
+        "_a", "_b")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -266,7 +348,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                  pa.array([render(e) for e in every], pa.string()), counts[4]],
                 ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_term"])
 
-    return _with_terms(rows, "doc_id", "text").mapInArrow(
+    return _with_terms(rows, "text").mapInArrow(
         run, f"doc_id {dtype}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, "
              "n_term long")
 
@@ -286,4 +368,4 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if c == text_col else batch.column(c)
                                               for c in names], names)
 
-    return _with_terms(docs, id_col, text_col).mapInArrow(run, docs.schema)
+    return _with_terms(docs, text_col).mapInArrow(run, docs.schema)

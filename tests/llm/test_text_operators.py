@@ -333,6 +333,84 @@ def test_disclosure_equals_brute_force_in_several_passes(spark, monkeypatch):
     assert got == want
 
 
+def class_scores(rows):
+    """{(entity, term): disclosure} over distinct whole texts, by the definition."""
+    texts = {t for _, t in rows if t is not None}
+    own = {}
+    for t in texts:
+        spans = disclosure_pii.base_spans(t)
+        words = disclosure_pii._outside(disclosure_pii._words(t), spans)
+        own[t] = ({disclosure_pii.entity(k, t[a:b]) for a, k, b in spans}, {w for _, _, w in words if len(w) > 1})
+    n, a, out = len(texts), disclosure_pii.SMOOTHING, {}
+    for e in set().union(*(es for es, _ in own.values())):
+        n_e = sum(e in es for es, _ in own.values())
+        for w in set().union(*(ws for es, ws in own.values() if e in es)):
+            both = sum(e in es and w in ws for es, ws in own.values())
+            n_t = sum(w in ws for _, ws in own.values())
+            p = (both + a * n_e / n) / (n_t + a)
+            out[e, w] = float(np.log2(p * n / n_e) / np.log2(n / n_e)) if n_e < n else 0.0
+    return out
+
+
+def scored(docs, threshold):
+    texts, n = disclosure_pii.distinct_texts(docs)
+    return {(r["entity"], r["term"]): r["disclosure"]
+            for r in disclosure_pii.scores(disclosure_pii.holdings(texts), n, threshold).collect()}
+
+
+def test_scores_equal_brute_force_from_one_text_on(spark):
+    rows = corpus_with_secret() + [(3000, None), (3001, ""), (3002, "Far " + "w1 " * 40 + "aim Once@only.org, +1 202 555 0143")]
+    got = scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), -99.0)
+    want = class_scores(rows)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert (disclosure_pii.entity(0, "once@only.org"), "far") in got            # one text, and 40 words off
+
+
+def test_a_value_in_one_or_two_texts_has_disclosing_terms(spark):
+    rows = [(i, f"plain text number n{i} of m{i % 7}") for i in range(600)]
+    rows += [(1000, "plain zanzibar text of one@only.org"), (1001, "plain quokka text of two@two.org"),
+             (1002, "text by quokka number n5 and two@two.org")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    clean = {r["doc_id"]: r["text"] for r in disclosure_pii.sanitise(docs).collect()}
+    assert clean[1000] == "plain [TERM] text of [EMAIL]" and clean[1001] == "plain [TERM] text of [EMAIL]"
+    assert clean[1002].startswith("text [TERM] [TERM] number n5 ") and clean[5] == rows[5][1]
+
+
+def test_term_spans_on_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    telling = {}
+    for (e, w), d in class_scores_of_few(rows).items():
+        if d >= disclosure_pii.GENERALISE:
+            telling.setdefault(e, set()).add(w)
+    want = 0
+    for _, t in rows:
+        spans = disclosure_pii.base_spans(t)
+        terms = set().union(*(telling.get(disclosure_pii.entity(k, t[a:b]), ()) for a, k, b in spans))
+        want += sum(w in terms for _, _, w in disclosure_pii._outside(disclosure_pii._words(t), spans)) if terms else 0
+    got = sum(r["n_term"] for r in disclosure_pii.find(docs).collect())
+    assert got == want > 1000
+
+
+def class_scores_of_few(rows):
+    """``class_scores`` with the terms' counts taken once, as the table is larger."""
+    count, held = {}, {}
+    texts = {t for _, t in rows if t is not None}
+    for t in texts:
+        spans = disclosure_pii.base_spans(t)
+        words = {w for _, _, w in disclosure_pii._outside(disclosure_pii._words(t), spans) if len(w) > 1}
+        for w in words:
+            count[w] = count.get(w, 0) + 1
+        for e in {disclosure_pii.entity(k, t[a:b]) for a, k, b in spans}:
+            held.setdefault(e, []).append(words)
+    n, a, out = len(texts), disclosure_pii.SMOOTHING, {}
+    for e, sets in held.items():
+        for w in set().union(*sets):
+            p = (sum(w in s for s in sets) + a * len(sets) / n) / (count[w] + a)
+            out[e, w] = float(np.log2(p * n / len(sets)) / np.log2(n / len(sets)))
+    return out
+
+
 def test_personal_data_of_odd_rows(spark):
     rows = [(1, None), (1, None), (2, ""), (None, "a@b.cc"), (3, "a@b.cc " * 2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("clash"))
