@@ -411,6 +411,19 @@ def class_scores_of_few(rows):
     return out
 
 
+def test_copies_of_disclosing_contexts_do_not_hide_them(spark):
+    rows = [(i, f"plain text number n{i} of m{i % 7}") for i in range(600)]
+    for c in range(3):
+        rows += [(1000 + 50 * c + i, f"plain zanzibar text x{c} of spy@agency.org") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    e = disclosure_pii.entity(0, "spy@agency.org")
+    got = scored(docs, disclosure_pii.GENERALISE)
+    assert got[e, "zanzibar"] == pytest.approx(class_scores(rows)[e, "zanzibar"])
+    once = scored(docs.dropDuplicates(["text"]), disclosure_pii.GENERALISE)
+    assert got == pytest.approx(once)
+    assert all("zanzibar" not in r["text"] for r in disclosure_pii.sanitise(docs).collect())
+
+
 def test_personal_data_of_odd_rows(spark):
     rows = [(1, None), (1, None), (2, ""), (None, "a@b.cc"), (3, "a@b.cc " * 2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("clash"))
