@@ -424,6 +424,21 @@ def test_copies_of_disclosing_contexts_do_not_hide_them(spark):
     assert all("zanzibar" not in r["text"] for r in disclosure_pii.sanitise(docs).collect())
 
 
+def test_scores_pass_no_term_through_the_driver(spark, monkeypatch):
+    docs = spark.createDataFrame(corpus_with_secret(), "doc_id long, text string").repartition(4)
+    want = sorted((r["doc_id"], r["spans"]) for r in disclosure_pii.find(docs).collect())
+    assert any("term:" in s for _, s in want)
+    monkeypatch.setattr(disclosure_pii, "COUNT_BUFFER", 3)
+    monkeypatch.setattr(disclosure_pii, "ROW_BUFFER", 2)
+    monkeypatch.setattr(disclosure_pii, "BROADCAST_ROWS", 0)        # all joins by shuffle
+    with monkeypatch.context() as m:
+        for name in ("collect", "toPandas", "toLocalIterator"):
+            m.setattr(type(docs), name, lambda *_: pytest.fail("rows collected"))
+        m.setattr(type(spark.sparkContext), "broadcast", lambda *_: pytest.fail("broadcast from the driver"))
+        got = disclosure_pii.find(docs)
+    assert sorted((r["doc_id"], r["spans"]) for r in got.collect()) == want
+
+
 def test_personal_data_of_odd_rows(spark):
     rows = [(1, None), (1, None), (2, ""), (None, "a@b.cc"), (3, "a@b.cc " * 2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("clash"))
