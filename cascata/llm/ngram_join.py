@@ -27,10 +27,17 @@
    that their histograms leave within reach are searched, each once.  So each
    pair that shares a prefix shingle is searched, already connected, or ruled
    out by its histograms.
-
-Nothing is collected but the bounded list of frequent shingles.  A group of
-thousands of near copies costs cells in proportion to its size, as its pivots
-connect it.
+5. Where all links are asked for (``linked``, the links counted by ``join``):
+   a link lies within a component, so each component's classes are dealt by
+   hash to blocks of about ``LINK_BLOCK``, every pair of blocks is a cell, and
+   each pair of classes meets in one cell, whatever connects it.  There the
+   inverted lists of a cell's sets are counted whole for each set.  Counts of
+   links are summed within the cell; pairs leave it only for ``linked``.
+
+Nothing is collected but the bounded list of frequent shingles.  For components
+alone, a group of thousands of near copies costs cells in proportion to its
+size, as its pivots connect it; its links number up to the square of its
+size, and so do the comparisons and the rows of ``linked`` (the counts don't).
 
 Words are runs of characters other than space and \\t \\n \\v \\f \\r, A-Z in lower
 case.  Defined results: a text with fewer than k words is one shingle of all
@@ -46,6 +53,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +67,8 @@ from cascata.llm.components import connected_components
 CELL = 48
 # Classes of a shingle that are compared by their histograms at a time.
 BLOCK = 256
+# Classes of a component in a block of the search for all its links.
+LINK_BLOCK = 512
 # Ids of the documents whose sets a search fetches, 8 bytes each, up to which they are broadcast.
 BROADCAST_IDS = 2_000_000
 # Most frequent shingles that are ordered by their counts; 16 bytes each are broadcast.
@@ -342,11 +352,16 @@ def hopeful_pairs(cells: DataFrame, histograms: DataFrame, threshold: int) -> Da
     return _by_cell(rows, work, "x, y, none").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def search_cells(cells: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
-    """(a, b, overlap): connecting links of every cell; ``cells`` has (cell, id, grp), a row per member.
+class Found(NamedTuple):
+    """What the search for components leaves: (id, text), documents' sets, classes and linked classes' components."""
+    base: DataFrame
+    sets: DataFrame
+    classes: DataFrame
+    parts: DataFrame
 
-    ``grp`` numbers members known to be connected, or equals the id.
-    """
+
+def _with_sets(cells: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """``cells`` (cell, id, grp) with each member's shingles as ``data``."""
     members = cells.select("id").distinct()
     side = F.broadcast(members) if members.count() <= BROADCAST_IDS else members
     sets = docs.join(side, "id", "left_semi")
@@ -358,21 +373,72 @@ def search_cells(cells: DataFrame, docs: DataFrame, k: int, threshold: int) -> D
                 [batch.column("id"), pa.array([make.hashes(t).tobytes() for t in batch.column("text").to_pylist()],
                                               pa.binary())], ["id", "data"])
 
-    sets = sets.select("id", "text").mapInArrow(hashed, "id long, data binary")
+    return cells.join(sets.select("id", "text").mapInArrow(hashed, "id long, data binary"), "id")
+
 
+def search_cells(cells: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
+    """(a, b, overlap): connecting links of every cell; ``cells`` has (cell, id, grp), a row per member.
+
+    ``grp`` numbers members known to be connected, or equals the id.
+    """
     def work(members: list[tuple]) -> list[tuple]:
         ids = [i for i, _, _ in members]
         links = search([np.frombuffer(d, np.uint64) for _, _, d in members], threshold, [g for _, g, _ in members])
         return [(ids[i], ids[j], c) for i, j, c in links]
 
-    return _by_cell(cells.join(sets, "id"), work, "a, b, overlap").select("a", "b", "overlap")
+    return _by_cell(_with_sets(cells, docs, k), work, "a, b, overlap").select("a", "b", "overlap")
 
 
-def join(docs: DataFrame, k: int = 3, threshold: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id) of every document; ``threshold`` in hundredths.
+def all_links(sets: list[np.ndarray], sides: list[int], threshold: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(i, others, overlaps): every link of the sets, once; only those across, where there are two sides."""
+    sizes = np.array([len(s) for s in sets])
+    side = np.array(sides)
+    two = bool((side != side[0]).any())
+    values, local, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    # the inverted lists, one after the other
+    holders = np.repeat(np.arange(len(sets)), sizes)[np.argsort(local, kind="stable")]
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    for i in range(len(sets)):
+        if two and side[i]:
+            continue
+        own = local[at[i]:at[i + 1]]
+        own = own[counts[own] > 1]
+        if not len(own):
+            continue
+        seen = np.bincount(np.concatenate([holders[ends[v]:ends[v + 1]] for v in own.tolist()]), minlength=len(sets))
+        seen[side == 0 if two else np.arange(len(sets)) <= i] = 0
+        others = np.flatnonzero((seen > 0) & (100 * seen >= threshold * (sizes[i] + sizes - seen)))
+        if len(others):
+            yield i, others, seen[others]
+
+
+def _links(found: Found, k: int, threshold: int, count: bool) -> DataFrame:
+    """(a, b, overlap), a < b, of all linked classes, or with ``count`` (id, n_links) of those with a link."""
+    sizes = found.parts.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / LINK_BLOCK).cast("int").alias("blocks"))
+    placed = found.parts.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = other.select(F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
+                         F.col("node").alias("id"), (F.col("block") > F.col("other")).cast("long").alias("grp"))
+    cells = written(cells, "link-cells")
 
-    ``class_id`` is the smallest id with an equal set, ``component_id`` the smallest id reachable by links.
-    """
+    def work(members: list[tuple]) -> list[tuple]:
+        ids = [i for i, _, _ in members]
+        links = all_links([np.frombuffer(d, np.uint64) for _, _, d in members], [g for _, g, _ in members], threshold)
+        if not count:
+            return [(min(ids[i], ids[j]), max(ids[i], ids[j]), c)
+                    for i, others, overlaps in links for j, c in zip(others.tolist(), overlaps.tolist())]
+        number = np.zeros(len(ids), np.int64)
+        for i, others, _ in links:
+            number[i] += len(others)
+            number[others] += 1
+        return [(i, n, 0) for i, n in zip(ids, number.tolist()) if n]
+
+    got = _by_cell(_with_sets(cells, found.base, k), work, "a, b, overlap").select("a", "b", "overlap")
+    return got.groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("n_links")) if count else got
+
+
+def _components(docs: DataFrame, k: int, threshold: int, id_col: str, text_col: str) -> Found:
     spark = docs.sparkSession
     prepare(spark)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -442,13 +508,43 @@ def join(docs: DataFrame, k: int = 3, threshold: int = 90, id_col: str = "doc_id
     if not more.isEmpty():
         parts = written(connected_components(links.unionAll(more), "a", "b"), "components")
 
-    found = classes.join(parts, F.col("class_id") == F.col("node"), "left").select(
-        "digest_a", "digest_b", F.col("n").alias("n_class"), "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    out = sets.join(found, (sets["digest_a"] == found["digest_a"]) & (sets["digest_b"] == found["digest_b"])
-                    & (sets["n"] == found["n_class"]) & sets["id"].isNotNull(), "left")
+    return Found(base, sets, classes, parts)
+
+
+def _membership(found: Found, counts: DataFrame | None = None) -> DataFrame:
+    sets, own = found.sets, F.col("class_id")
+    classes = found.classes.join(found.parts, own == F.col("node"), "left")
+    columns = ["digest_a", "digest_b", F.col("n").alias("n_class"), "class_id",
+               F.coalesce("component", "class_id").alias("component_id")]
+    if counts is not None:
+        classes = classes.join(counts, own == counts["id"], "left")
+        columns.append(F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    classes = classes.select(*columns)
+    out = sets.join(classes, (sets["digest_a"] == classes["digest_a"]) & (sets["digest_b"] == classes["digest_b"])
+                    & (sets["n"] == classes["n_class"]) & sets["id"].isNotNull(), "left")
     # the empty set's rows stand alone
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                      F.coalesce("class_id", "id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id"))
+    kept = [F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("class_id", "id").alias("class_id"),
+            F.coalesce("component_id", "id").alias("component_id")]
+    return out.select(*kept, *([] if counts is None else [F.coalesce("n_links", F.lit(0)).alias("n_links")]))
+
+
+def join(docs: DataFrame, k: int = 3, threshold: int = 90, id_col: str = "doc_id", text_col: str = "text",
+         count_links: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, class_id, component_id) of every document; ``threshold`` in hundredths.
+
+    ``class_id`` is the smallest id with an equal set, ``component_id`` the smallest id reachable by links.
+    ``count_links`` adds ``n_links``: how many other classes its class is linked with.
+    """
+    found = _components(docs, k, threshold, id_col, text_col)
+    return _membership(found, _links(found, k, threshold, count=True) if count_links else None)
+
+
+def linked(docs: DataFrame, k: int = 3, threshold: int = 90, id_col: str = "doc_id",
+           text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """((class_a, class_b, overlap) of all linked classes, class_a < class_b; what ``join`` returns)."""
+    found = _components(docs, k, threshold, id_col, text_col)
+    links = _links(found, k, threshold, count=False)
+    return links.select(F.col("a").alias("class_a"), F.col("b").alias("class_b"), "overlap"), _membership(found)
 
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

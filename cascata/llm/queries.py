@@ -78,8 +78,8 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = ngram_join.join(table(spark, sf_dir, "documents"), k=3, threshold=90)
-    return got.select("doc_id", "n_shingles", "component_id", "class_id")
+    got = ngram_join.join(table(spark, sf_dir, "documents"), k=3, threshold=90, count_links=True)
+    return got.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
 def op10_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

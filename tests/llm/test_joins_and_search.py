@@ -74,6 +74,26 @@ def test_join_over_the_documents_table(spark):
     assert got == brute_components(rows, 3, 90)
 
 
+@pytest.mark.parametrize("k,threshold,block", [(3, 90, 512), (5, 80, 3), (1, 50, 4)])
+def test_all_links_equal_all_pairs(spark, k, threshold, block, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LINK_BLOCK", block)          # also components of many blocks
+    rows = near_copies(k, 20, 9) + [(10_000, None), (10_001, "a b"), (10_002, "A  b"), (10_003, "x " * 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sets = {}
+    for i, t in sorted(rows):
+        if shingles(t, k) and shingles(t, k) not in sets.values():
+            sets[i] = shingles(t, k)
+    want = {(a, b): len(sets[a] & sets[b]) for a in sets for b in sets
+            if a < b and sets[a] & sets[b] and 100 * len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b])}
+    links, members = ngram_join.linked(docs, k, threshold)
+    got = [tuple(r) for r in links.select("class_a", "class_b", "overlap").collect()]
+    assert sorted(got) == sorted((*p, c) for p, c in want.items())
+    assert k > 1 or len(got) > len({i for p in want for i in p})           # more than connect them
+    class_of = {r["doc_id"]: r["class_id"] for r in members.collect()}
+    counted = {r["doc_id"]: r["n_links"] for r in ngram_join.join(docs, k, threshold, count_links=True).collect()}
+    assert counted == {i: sum(class_of[i] in p for p in want) for i, _ in rows}
+
+
 def test_hot_group_of_near_copies_is_one_component(spark):
     rng = random.Random(3)
     base = [f"t{i}" for i in range(120)]
