@@ -43,9 +43,10 @@ def split_words(text: Column) -> Column:
 def folded(text: Column) -> Column:
     """The words after full lower-casing, a coarser form than A-Z only, and much cheaper: it only picks candidates.
 
-    Lower-casing turns no word character into a separator, so words keep their numbers.
+    Lower-casing turns no word character into a separator, so words keep their numbers.  A capital sigma, the one
+    letter whose lower case depends on what is around it, separators too, is replaced first: equal words fold equally.
     """
-    return split_words(F.lower(text.cast("string")))
+    return split_words(F.lower(F.replace(text.cast("string"), F.lit("\u03a3"), F.lit("\u03c3"))))
 
 
 def exact(words: Column) -> Column:

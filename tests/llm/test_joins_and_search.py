@@ -282,3 +282,12 @@ def test_contaminated_documents_go_and_spans_are_cut(spark):
             assert len(tokens(r["text"])) < max(len(tokens(t)) for t in source)
     back = {(r["doc_id"], r["text"]) for r in cut.collect()}
     assert (102, "x SHORT éa item") in back and (100, None) in back and (103, "!") in back
+
+
+def test_capital_sigma_before_other_separators_is_still_a_hit(spark):
+    words = "one two three four five six seven eight nine ten \u039f\u0394\u039f\u03a3 \u03b1\u03b2\u03b3 end"
+    docs = spark.createDataFrame([(1, words.replace(" \u03b1", ".\u03b1")), (2, words.replace(" \u03b1", "'\u03b1")),
+                                  (3, words), (4, words.replace("\u03a3", "\u03c3"))], "doc_id long, text string")
+    bench = spark.createDataFrame([("a", words)], "item_id string, text string")
+    got = {r["doc_id"]: r["n_hit"] for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {1: 13, 2: 13, 3: 13, 4: 0}
