@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascata.llm import (block_topk, byte_bpe, chat_format, compression_langid, decontaminate, disclosure_pii,
-                         neighbour_quality, ngram_join, token_planes, unigram_counts)
+from cascata.llm import (ball_simhash, block_topk, byte_bpe, chat_format, compression_langid, decontaminate,
+                         disclosure_pii, neighbour_quality, ngram_join, token_planes, treap_search, turn_repair,
+                         unigram_counts)
 from cascata.llm.common import held_out, scratch, table
 
 QUALITY_THRESHOLD = 0.3
@@ -86,10 +87,35 @@ def op10_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_ball_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, radius=2)
+
+
+def damaged(talks: DataFrame) -> DataFrame:
+    """``conversations`` damaged by crc32 of ``conv_id:turn`` mod 20; ``present`` is false where a row is dropped."""
+    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(value("conv_id"), F.lit(":"), value("turn")).cast("binary")) % 20
+    return (talks.select("conv_id", "turn", value("role").alias("role"), value("text").alias("text"), kind.alias("kind"))
+            .select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+                    F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", ""))
+                    .otherwise(F.col("text")).alias("text"),
+                    F.explode(F.when(F.col("kind") == 3, F.array(F.lit(True), F.lit(True)))
+                              .otherwise(F.array(F.col("kind") != 0))).alias("present")))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.digests(damaged(table(spark, sf_dir, "conversations")), present="present")
+
+
+def op13_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_neighbour_quality, op2_token_planes, op3_disclosure_pii, op4_compression_langid, op5_decontaminate,
-        op6_chat_format, op7_block_topk, op8_byte_bpe, op9_ngram_join, op10_unigram_counts)}
+        op6_chat_format, op7_block_topk, op8_byte_bpe, op9_ngram_join, op10_unigram_counts, op11_ball_simhash,
+        op12_turn_repair, op13_treap_search)}
 
 
 _W = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -145,5 +171,26 @@ FROM g
 """
 
 
+_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS t FROM documents),
+total AS (SELECT count(*)::BIGINT AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d WHERE len(t) > 0),
+it AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark),
+tf AS (SELECT row, doc_id, len(t)::BIGINT AS n, term, count(*)::BIGINT AS tf
+       FROM (SELECT row, doc_id, t, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM it)
+       GROUP BY row, doc_id, len(t), term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+s AS (SELECT item_id, row, doc_id,
+             sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+      FROM it JOIN tf USING (term) JOIN w USING (term), total GROUP BY item_id, row, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, row) AS INTEGER) AS rank,
+             doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op5_decontaminate": OP5_SQL, "op6_chat_format": OP6_SQL, "op7_block_topk": OP7_SQL}
+    return {"op5_decontaminate": OP5_SQL, "op6_chat_format": OP6_SQL, "op7_block_topk": OP7_SQL,
+            "op13_treap_search": OP13_SQL}

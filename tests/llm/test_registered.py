@@ -22,6 +22,9 @@ COLUMNS = {
     "op8_byte_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op9_ngram_join": ["doc_id", "n_shingles", "component_id"],
     "op10_unigram_counts": ["doc_id", "n_tokens"],
+    "op11_ball_simhash": ["doc_id", "fingerprint", "component_id"],
+    "op12_turn_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    "op13_treap_search": ["item_id", "rank", "doc_id", "score"],
 }
 
 
