@@ -36,7 +36,7 @@ def test_every_operator_is_registered():
 def test_columns_and_rows(spark, name):
     got = queries.queries()[name](spark, BASE)
     assert got.columns[:len(COLUMNS[name])] == COLUMNS[name]
-    if "doc_id" in got.columns:
+    if "doc_id" in got.columns and "rank" not in got.columns:
         assert got.count() == spark.read.parquet(f"{BASE}/documents.parquet").count()
 
 
