@@ -23,8 +23,8 @@ hash per language (a documented bound on rows); ranking is over hashes and is
 pruned before the shuffle, so a hot language costs each map task at most
 ``per_language`` rows.  The sampled rows' whole texts are counted inside tasks,
 and the driver gets the words that fit the dictionaries: languages x
-``DICTIONARY_BYTES`` at most, which are broadcast for prediction, a map over
-Arrow batches; the number of languages is checked against ``MAX_LANGUAGES``.
+``DICTIONARY_BYTES`` at most, and never more than ``ALL_DICTIONARY_BYTES``,
+which are broadcast for prediction, a map over Arrow batches.
 
 Defined results: null texts, texts without a letter and every text when no
 label was learned give ``und`` with score 0; equal sizes go to the first
@@ -35,6 +35,8 @@ table none; other columns are not read.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -50,22 +52,21 @@ PER_LANGUAGE = 1000
 DICTIONARY_BYTES = 110_000
 # Texts without the word that a language's frequencies are shrunk by.
 SMOOTHING = 20
-# Words of other languages that an allowance is measured on, in characters, and from how many languages.
+# Words of each other language that an allowance is measured on, in characters.
 FOREIGN_CHARS = 2 * 2048
-FOREIGN_LANGUAGES = 16
 BLOCK_CHARS = 2048
 LEVEL = 9
-# Short texts give few bytes to compare: a deeper match search.
-SHORT_CHARS = 512
-SHORT_LEVEL = 12
 MIN_MARGIN = 0.02
-MAX_LANGUAGES = 1000
+# Bytes of all dictionaries together: beyond a thousand languages, each gets an equal part of them.
+ALL_DICTIONARY_BYTES = 110_000_000
 # Distinct words counted at a time within a task.
 COUNT_BUFFER = 500_000
 # Bits of size difference that make the runner-up half as likely, for the score.
 SCORE_BITS = 64.0
 
-_NO_LETTER = re.compile(r"[\W\d_]+")
+# all but letters: what is no word character, and the digits and numeric signs among them
+_NUMERIC = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and unicodedata.category(c)[0] != "L")
+_NO_LETTER = re.compile(f"[\\W_{re.escape(_NUMERIC)}]+")
 
 
 def normalise(text: str | None) -> str:
@@ -84,9 +85,6 @@ def word_counts(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))
     keys = rows.select("lang", "h", "t").distinct().withColumn("r", rank).where(F.col("r") <= per_language).drop("r")
     keys = written(keys, "language-sample")
-    languages = keys.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
-    if languages > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: raise the bound if that is meant")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -120,8 +118,9 @@ def train(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", t
     own = words.withColumn("top", F.max("f").over(Window.partitionBy("word"))).where(2 * F.col("f") >= F.col("top"))
     # the commonest words that fit
     length = F.sum(F.octet_length("word") + 1).over(Window.partitionBy("lang").orderBy(F.desc("n"), F.desc("word")))
-    kept = own.withColumn("bytes", length).where(F.col("bytes") <= size)
     found: dict[str, list[tuple[int, str]]] = {r["lang"]: [] for r in texts.collect()}
+    size = min(size, ALL_DICTIONARY_BYTES // max(1, len(found)))
+    kept = own.withColumn("bytes", length).where(F.col("bytes") <= size)
     for r in kept.select("lang", "n", "word").toLocalIterator():
         found[r["lang"]].append((r["n"], r["word"]))
     return {lang: _content(found[lang]) for lang in sorted(found)}
@@ -155,9 +154,8 @@ def _content(words: list[tuple[int, str]]) -> bytes:
 class Compressors:
     def __init__(self, contents: dict[str, bytes]):
         self.languages = sorted(contents)
-        self.plain, self.short = ([self._compressor(contents[lang], level) for lang in self.languages]
-                                  for level in (LEVEL, SHORT_LEVEL))
-        self.bare = [self._compressor(b"", level) for level in (LEVEL, SHORT_LEVEL)]
+        self.own = [self._compressor(contents[lang], LEVEL) for lang in self.languages]
+        self.bare = self._compressor(b"", LEVEL)
         self.allowances = self._allowances(contents)
 
     @staticmethod
@@ -171,9 +169,7 @@ class Compressors:
 
     def _allowances(self, contents: dict[str, bytes]) -> list[float]:
         """Per language, the share that its dictionary saves on the commonest words of the others."""
-        step = max(1, len(self.languages) // FOREIGN_LANGUAGES)
-        # of at most about twice FOREIGN_LANGUAGES languages, evenly chosen
-        samples = {lang: contents[lang][-FOREIGN_CHARS:].decode(errors="ignore") for lang in self.languages[::step]}
+        samples = {lang: contents[lang][-FOREIGN_CHARS:].decode(errors="ignore") for lang in self.languages}
         out = []
         for i, lang in enumerate(self.languages):
             own = bare = 0
@@ -188,12 +184,8 @@ class Compressors:
     def sizes(self, text: str, which: list[int] | None = None) -> tuple[list[int], int]:
         """Total compressed bytes of all blocks of a normalised text: per language, and without a dictionary."""
         blocks = [text[i:i + BLOCK_CHARS].encode() for i in range(0, len(text), BLOCK_CHARS)]
-        short = len(text) < SHORT_CHARS
-        chosen = self.short if short else self.plain
-        if which is not None:
-            chosen = [chosen[i] for i in which]
-        bare = self.bare[short]
-        return [sum(len(c.compress(b)) for b in blocks) for c in chosen], sum(len(bare.compress(b)) for b in blocks)
+        chosen = self.own if which is None else [self.own[i] for i in which]
+        return [sum(len(c.compress(b)) for b in blocks) for c in chosen], sum(len(self.bare.compress(b)) for b in blocks)
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """(best language, score 0..1, margin to the runner-up as a share of the best size)."""
