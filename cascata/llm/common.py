@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 import cascata
 from cascata.session import checkpoint_root
 
-# Rows per Arrow batch handed to a Python worker: bounds its memory when texts are long.
+# Rows and bytes per Arrow batch handed to a Python worker: bound its memory, by bytes where texts are long.
 ARROW_ROWS = 500
+ARROW_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,8 @@ def prepare(spark: SparkSession) -> None:
     package among the session's Python files, so that workers can import it wherever the driver did."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > ARROW_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_shipped_package", None) is None:
         root = Path(cascata.__file__).parent
@@ -54,6 +57,11 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def as_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct called ``row``: other columns beside it cannot clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """True where crc32 of the id as text leaves no remainder mod 5 (a null id counts as empty text)."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cascata.llm.common import written
+from cascata.llm.common import as_row, written
 
 WINDOW = 13
 # About 300 bytes a window: 200 MB at most is sent to an executor.
@@ -73,7 +73,9 @@ def hits(docs: DataFrame, windows: DataFrame) -> DataFrame | None:
     ``docs`` has doc (any key), w (words) and f (their folded form).
     """
     known = windows.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("size")).alias("sizes")).first()
-    side = F.broadcast(windows) if known["n"] <= BROADCAST_WINDOWS else windows
+    if known["n"] > BROADCAST_WINDOWS:
+        return _shuffled_hits(docs, windows, known["sizes"])
+    side = F.broadcast(windows)
     found = None
     for size in known["sizes"]:
         # one pass per window size that occurs: at most n, and items shorter than n words are rare
@@ -88,6 +90,22 @@ def hits(docs: DataFrame, windows: DataFrame) -> DataFrame | None:
     return found
 
 
+def _shuffled_hits(docs: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """``hits`` of more windows than are broadcast: only (doc, size, p, hash) of each position is shuffled, in one scan
+    for all sizes; the words of documents with a candidate are fetched to verify it."""
+    def positions(size: Column) -> Column:
+        last = F.size("w") - size + 1
+        return F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda p: F.struct(
+            size.alias("size"), p.alias("p"), F.xxhash64(F.slice("f", p, size)).alias("hash"))))
+
+    at = docs.select("doc", F.explode(F.flatten(F.filter(F.array(*[positions(F.lit(s)) for s in sizes]),
+                                                         lambda x: x.isNotNull()))).alias("at")).select("doc", "at.*")
+    close = written(at.join(windows, ["size", "hash"]).select("doc", "p", "size", "window", "items").distinct(), "candidates")
+    texts = docs.select("doc", "w").join(close.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"])
+    same = exact(F.slice("w", F.col("p"), F.col("size"))).between(F.col("window"), F.col("window"))
+    return close.join(texts, "doc").where(same).select("doc", "p", "size", "items")
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc (id and a hash of the text: rows that share an id stay apart), w, f."""
     return docs.select(_key(id_col, text_col).alias("doc"), split_words(F.col(text_col)).alias("w"),
@@ -146,9 +164,10 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_
     sizes = docs.select(_key(id_col, text_col).alias("key"), F.size(split_words(F.col(text_col))).alias("n_words"))
     bad = written(sizes.join(per_doc, F.col("key") == F.col("doc"))
                   .where(is_contaminated(hit_words(F.col("spans")), F.col("n_words")))
-                  .select(F.col("key").alias("_bad")).distinct(), "contaminated")
+                  .select("key").distinct(), "contaminated")
     side = F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad
-    return docs.join(side, _key(id_col, text_col) == F.col("_bad"), "left_anti")
+    rows = docs.select(as_row(docs), _key(id_col, text_col).alias("key"))
+    return rows.join(side, "key", "left_anti").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id",

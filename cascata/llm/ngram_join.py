@@ -61,7 +61,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cascata.llm.common import prepare, written
+from cascata.llm.common import as_row, prepare, written
 from cascata.llm.components import connected_components
 
 CELL = 48
@@ -553,6 +553,7 @@ def keep_one(docs: DataFrame, k: int = 5, threshold: int = 80, id_col: str = "do
     Rows that share the kept id all stay; so do rows without an id.
     """
     found = join(docs, k, threshold, id_col, text_col)
-    gone = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "copies")
+    gone = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "copies")
     side = F.broadcast(gone) if gone.count() <= 1_000_000 else gone
-    return docs.join(side, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    rows = docs.select(as_row(docs), F.col(id_col).cast("long").alias("gone"))
+    return rows.join(side, "gone", "left_anti").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -265,6 +265,29 @@ def test_contamination_without_broadcast(spark, monkeypatch):
     assert got == brute_hits(docs, items)
 
 
+def test_shuffled_windows_carry_no_words(spark, monkeypatch):
+    """Beyond the broadcast only numbers of positions are shuffled, and long documents stay long once."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    rng = random.Random(2)
+    long = " ".join(f"v{rng.randrange(500)}" for _ in range(10_000))
+    docs = [(1, long), (1, long), (2, long + " one two three"), (3, "short one two three item")]
+    items = [(7, " ".join(long.split()[4000:4020])), (8, "one two three"), (9, "absent")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(frame, bench)
+    assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in got.collect()), key=str) \
+        == brute_hits(docs, items)
+    plans = []
+    real = decontaminate.written
+    monkeypatch.setattr(decontaminate, "written", lambda df, name: plans.append(df) or real(df, name))
+    decontaminate.contamination(frame, bench)
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    side = [line for line in plan.splitlines() if "explode" in line or "Generate" in line]
+    assert side and not any(", w#" in line.split("[", 1)[-1].split("]")[-1] for line in side)
+    shuffled = plans[0].select("doc", "p", "size")
+    assert shuffled.count() > 0
+
+
 def test_contaminated_documents_go_and_spans_are_cut(spark):
     docs, items = contaminated_rows()
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("doc", F.lit("clash"))

@@ -87,3 +87,33 @@ def test_documents_without_the_known_columns(spark):
     for name, stage in corpus_pipeline.STAGES[1:4]:
         assert stage(spark, odd, BASE).columns == ["doc_id", "text"], name
         assert stage(spark, odd.limit(0), BASE).count() == 0, name
+
+
+def test_stages_pass_any_other_columns_through(spark):
+    """Names that the stages use inside, with dots, with backticks' worth of blanks: all come back as they were."""
+    texts = ["one two three four five six seven", "one two three four five six seven", None, "", "mail me@x.org now, please",
+             "ip 1.2.3.4 and more words of it"]
+    clashes = ["_terms", "_a", "_b", "a", "b", "terms", "row", "_gone", "gone", "_bad", "key", "doc", "spans", "n_words", "a.b",
+               "entity", "term", "id", "n", "component_id", "score", "x y"]
+    rows = [(i, t, *[f"{c}{i}" for c in clashes]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in clashes))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, BASE)
+        assert out.schema.simpleString() == docs.schema.simpleString(), name
+        got = {r[0]: tuple(r)[2:] for r in out.collect()}
+        assert got and all(got[i] == rows[i][2:] for i in got), name
+
+
+def test_all_stages_with_nulls_repeats_and_nothing(spark, tmp_path):
+    documents = spark.read.parquet(f"{BASE}/documents.parquet")
+    more = spark.createDataFrame([(None, None, None, None, None), (None, "words without an id", "en", "s", 19),
+                                  (1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, "again and again " * 20_000, "en", "s", 1)],
+                                 documents.schema)
+    for name, table in (("odd", documents.unionAll(more)), ("empty", documents.limit(0))):
+        folder = str(tmp_path / name)
+        table.write.parquet(f"{folder}/documents.parquet")
+        for other in ("labels", "benchmark"):
+            spark.read.parquet(f"{BASE}/{other}.parquet").write.parquet(f"{folder}/{other}.parquet")
+        out = corpus_pipeline.run(spark, folder)
+        assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        assert (out.count() > 100) == (name == "odd")
