@@ -93,7 +93,7 @@ def _clean(values) -> list[float]:
 
 def bucket_boundaries(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_BUCKET,
                       min_buckets: int | None = None, samples_per_bucket: int = SAMPLES_PER_BUCKET,
-                      seed: int = 7, bounded_input: bool = False) -> list[float]:
+                      seed: int = 7, bounded_input: bool = False, rows: int | None = None) -> list[float]:
     """Approximate equi-depth boundaries of ``order_col`` (sorted, distinct).
 
     Pass 1 counts the rows, which fixes ``B = max(min_buckets,
@@ -123,7 +123,7 @@ def bucket_boundaries(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS
                       F.percentile_approx("_k", _grid(min_buckets), max(10_000, 4 * min_buckets)).alias("q")).first()
         n, first = row["n"], row["q"]
     else:
-        n = key.count()
+        n = key.count() if rows is None else rows
     if n == 0:
         return []
     buckets = max(1, min(n, max(min_buckets, math.ceil(n / rows_per_bucket))))
@@ -174,14 +174,17 @@ def dense_boundaries(n: int, rows_per_bucket: int = ROWS_PER_BUCKET, min_buckets
 
 
 def order_boundaries(df: DataFrame, order_by: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET,
-                     min_buckets: int | None = None) -> list:
-    """Boundaries over the whole order: numbers for a single numeric order column, else order tuples."""
+                     min_buckets: int | None = None, rows: int | None = None) -> list:
+    """Boundaries over the whole order: numbers for a single numeric order column, else order tuples.
+
+    ``rows`` is the number of rows where it is known already.
+    """
     dtype = dict(df.dtypes)[order_by[0]]
     if len(order_by) == 1 and dtype not in ("string", "binary"):
-        return bucket_boundaries(df, order_by[0], rows_per_bucket, min_buckets)
+        return bucket_boundaries(df, order_by[0], rows_per_bucket, min_buckets, rows=rows)
     if min_buckets is None:
         min_buckets = max(2, df.sparkSession.sparkContext.defaultParallelism)
-    n = df.count()
+    n = df.count() if rows is None else rows
     return tuple_boundaries(df, order_by, max(1, min(n, max(min_buckets, math.ceil(n / rows_per_bucket)))))
 
 
@@ -237,14 +240,13 @@ def group_keys(df: DataFrame, partition_by: Sequence[str], schema: T.StructType
     return keys, restore
 
 
-def hot_groups(df: DataFrame, keys: Mapping[str, Column], buckets: int,
+def hot_groups(df: DataFrame, keys: Mapping[str, Column], buckets: int, n: int,
                samples_per_bucket: int = SAMPLES_PER_BUCKET, seed: int = 11) -> list[int]:
-    """Hashes of the groups that hold half a bucket of rows or more, as far as a sample tells.
+    """Hashes of the groups that hold half a bucket of the ``n`` rows or more, as far as a sample tells.
 
     At most ``2 * buckets`` values come back.  A group missed or named by mistake is only computed the other way,
     with the same result.
     """
-    n = df.count()
     if n == 0 or buckets <= 1:
         return []
     rows = df.select(F.xxhash64(*keys.values()).alias("_h"))
@@ -271,9 +273,10 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
     ``split_all`` says that every group is large (tasks, not keys), so that no
     sample of the groups is taken.
 
-    The input is read four times (count, boundary sample, window, totals), and
-    twice more, its group columns only, where there are groups to tell apart;
-    pass ``materialize=True`` when it is expensive to recompute (joins,
+    The input is read four times (count, boundary sample, window, totals); with
+    groups, a sample of their keys tells whether any is large enough to be cut,
+    and if none is (always, where all rows fit one bucket) it is read twice:
+    count and window; pass ``materialize=True`` when it is expensive to recompute (joins,
     aggregations, another running total) to write it once to the checkpoint
     folder and read that instead.
 
@@ -290,32 +293,42 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
         df = materialize_frame(df)
     addends = {f"_v_{n}": F.coalesce(F.col(e) if isinstance(e, str) else e, F.lit(0))
                for n, e in sums.items()}
-    if boundaries is None:
-        boundaries = order_boundaries(df, order_by, rows_per_bucket, min_buckets)
     gkeys, restore = group_keys(df, partition_by)
+    hot = None          # which groups are cut: None means all, of whatever size
+    if partition_by and not split_all:
+        # first, as mostly there are none: then no boundaries are sought, and a group is one window partition.  A group
+        # is small when it fits one bucket, whatever the number of cores, as there are other groups for those
+        n = df.count()
+        hot = hot_groups(df, gkeys, min(n, max(min_buckets or 1, math.ceil(n / rows_per_bucket))), n)
+        if hot != [] and boundaries is None:
+            boundaries = order_boundaries(df, order_by, rows_per_bucket, min_buckets, rows=n)
+    elif boundaries is None:
+        boundaries = order_boundaries(df, order_by, rows_per_bucket, min_buckets)
     if not gkeys:
         gkeys = {GROUP: F.lit(0)}
     group = list(gkeys)
     base = df.withColumns(addends).withColumns(gkeys)
-    hot = None
-    if partition_by and initial is None and boundaries and not split_all:
-        hot = hot_groups(df, gkeys, len(boundaries) + 1)
-    if hot == []:
-        base = base.withColumn(BUCKET, F.lit(0))
-    else:
+    if hot != []:
         base = with_order_bucket(base, order_by, boundaries)
     if hot:
         # groups of less than half a bucket stay whole: one window partition each, no offsets
         base = base.withColumn(HOT, F.xxhash64(*group).isin(hot))
         base = base.withColumn(BUCKET, F.when(F.col(HOT), F.col(BUCKET)).otherwise(F.lit(0)))
     base = base.drop(*restore)          # rebuilt from the key columns after the join
-    keys = [*group, BUCKET]
+    keys = group if hot == [] else [*group, BUCKET]
 
     frame = (Window.partitionBy(*keys).orderBy(*order_by)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = base.withColumns({n: F.sum(f"_v_{n}").over(frame) for n in names})
     columns = [*(c for c in df.columns if c not in names), *names]
+    carried = None
+    if initial is not None and partition_by:
+        ikeys, _ = group_keys(initial, partition_by, df.schema)
+        carried = initial.select(*(e.alias(k) for k, e in ikeys.items()), *(F.col(n).alias(f"_c_{n}") for n in names))
     if hot == []:
+        if carried is not None:
+            local = local.join(carried, group, "left").withColumns(
+                {n: F.col(n) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in names})
         return local.withColumns(restore).select(*columns)
 
     # narrow second read: only keys, bucket and addends, combined map-side
@@ -325,10 +338,7 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
     offsets = totals.select(*keys, *(F.coalesce(F.sum(f"_t_{n}").over(earlier),
                                                 F.lit(0)).alias(f"_o_{n}") for n in names))
     if initial is not None:
-        if partition_by:
-            ikeys, _ = group_keys(initial, partition_by, df.schema)
-            carried = initial.select(*(e.alias(k) for k, e in ikeys.items()),
-                                     *(F.col(n).alias(f"_c_{n}") for n in names))
+        if carried is not None:
             offsets = offsets.join(carried, group, "left")
         else:
             # a single carried row: read it as literals instead of joining
@@ -336,6 +346,11 @@ def running_totals(df: DataFrame, sums: Mapping[str, Column | str], order_by: Se
             offsets = offsets.withColumns({f"_c_{n}": F.lit(row[n] if row else 0) for n in names})
         offsets = offsets.withColumns({f"_o_{n}": F.col(f"_o_{n}") + F.coalesce(F.col(f"_c_{n}"), F.lit(0))
                                        for n in names}).drop(*(f"_c_{n}" for n in names))
+        if hot:
+            # the other groups have what was carried, and no buckets
+            whole = carried.where(~F.xxhash64(*group).isin(hot))
+            offsets = offsets.unionByName(whole.select(*group, F.lit(0).alias(BUCKET),
+                                                       *(F.col(f"_c_{n}").alias(f"_o_{n}") for n in names)))
     if not partition_by and len(boundaries) + 1 <= BROADCAST_MAX_BUCKETS:
         # one row per bucket: the size is known before the join and checked here;
         # beyond the limit Spark (AQE) decides from the measured size

@@ -135,7 +135,9 @@ class RunningTotalsWriter:
             touched = sorted(r[0] for r in batch.select(self._bucket(n_buckets)).distinct().collect())  # <= n_buckets
             prev = self._totals(spark, manifest, touched)
             dtype = dict(batch.dtypes)[self.order_by[0]]
-            if len(self.order_by) == 1 and dtype not in ("string", "binary"):
+            if self.partition_by:
+                bounds = None           # sought only if a group is large
+            elif len(self.order_by) == 1 and dtype not in ("string", "binary"):
                 # the persisted batch is cheap to re-read: count and boundaries in one pass, if few sketches meet
                 few = batch.rdd.getNumPartitions() <= SKETCH_FAN_IN
                 bounds = bucket_boundaries(batch, self.order_by[0], bounded_input=few)
