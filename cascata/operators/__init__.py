@@ -1,6 +1,6 @@
 """DataFrame operators."""
 
-from cascata.operators.counting import lines, rename, tokenize_text, tokens, word_count
+from cascata.operators.counting import lines, range_tokens, rename, tokenize_text, tokens, word_count
 from cascata.operators.keyed import key_value, latest_per_key
 from cascata.operators.lineage import materialize
 from cascata.operators.prefix import (bucket_boundaries, dense_boundaries, order_boundaries, running_totals, with_bucket,
@@ -16,7 +16,7 @@ from cascata.operators.sharding import (key_task, merged_shard_total, replicated
 
 __all__ = [
     "FunctionRegistry", "bucket_boundaries", "default_registry", "dense_boundaries", "key_task", "key_value",
-    "keyed_sequence", "latest_per_key", "lines", "materialize", "merged_shard_total", "order_boundaries", "outcome_counts", "receipts",
+    "keyed_sequence", "latest_per_key", "lines", "materialize", "merged_shard_total", "order_boundaries", "outcome_counts", "range_tokens", "receipts",
     "rename", "replicate", "replicated_running_sum", "replicated_source_sharded_sum", "respond",
     "running_count", "running_sum", "running_sum_with_outcome", "running_totals", "sequence_number",
     "shard_task", "sharded_running_sum", "shuffled_running_sum", "snapshot_per_event", "split_outcomes", "tokenize_text",

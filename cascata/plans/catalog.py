@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from cascata import functions as X
 from cascata import operators as O
 from cascata import streaming as S
+from cascata.functions import sql as sql_functions
 from cascata.session import scratch_folder
-from cascata.sinks import ParquetKeyedStore, paths, records_per_file, start_rolling_text
+from cascata.sinks import (ParquetKeyedStore, RollingTextWriter, paths, records_per_file, start_rolling_text,
+                           write_rolled_text)
 from cascata.sources.tables import read_table, stream_table
 from cascata.sources.text import directory_lines
 
@@ -217,6 +219,41 @@ def outcome_counts(spark, base):
     return O.outcome_counts(read_table(spark, base, "lineitem"), "l_quantity", "n")
 
 
+# ---- functions by name, long lines ------------------------------------------------
+
+@query("sql_tokenize", _ORACLES["tokenize"])
+def sql_tokenize(spark, base):
+    """P1 through the SQL surface: table functions called by name, inlined by Catalyst."""
+    sql_functions.register(spark)
+    read_table(spark, base, "documents").select("doc_id", "text").createOrReplaceTempView("_tokenized_documents")
+    return spark.sql("SELECT d.doc_id, t.word FROM _tokenized_documents AS d, LATERAL text_tokens(d.text) AS t")
+
+
+@query("sql_functions", """
+SELECT event_id, CASE WHEN user_id > 0 AND user_id <= 10 THEN 'ack' ELSE 'fail' END AS outcome,
+       'add user:' || coalesce(event_type, 'null') AS result,
+       CASE WHEN event_type IS NULL THEN 'fail' ELSE 'ack' END AS decoded, event_type AS text FROM events""")
+def sql_functions_by_name(spark, base):
+    """F1, F2, P3 and P4 as SQL functions."""
+    sql_functions.register(spark)
+    _events(spark, base).createOrReplaceTempView("_function_events")
+    return spark.sql("""SELECT event_id, range_outcome(user_id) AS outcome, add_user(event_type) AS result,
+                               decode_outcome(CAST(event_type AS BINARY)) AS decoded,
+                               decode_text(CAST(event_type AS BINARY)) AS text FROM _function_events""")
+
+
+@query("range_tokenize", r"""
+WITH t AS (SELECT doc_id, CASE WHEN regexp_full_match(text, ',+') THEN [] ELSE string_split(rtrim(text, ','), ',') END AS w
+           FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, word, CAST(position AS BIGINT) AS position
+FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS position FROM t)""")
+def range_tokenize(spark, base):
+    """P1 on whole texts as single lines, cut into ranges that are split in parallel."""
+    docs = read_table(spark, base, "documents").select("doc_id", "text")
+    out = O.range_tokens(docs, "text", ["doc_id"], range_bytes=512, position="position")
+    return out.select("doc_id", "word", F.col("position").cast("bigint").alias("position"))
+
+
 # ---- per-task state -----------------------------------------------------------
 
 @query("sharded_running_sum", f"""
@@ -447,6 +484,28 @@ def delimited_record(spark, base):
     return orders.select("o_orderkey", X.delimited_columns(orders, list(_ORDER_FIELDS)).alias("record"))
 
 
+_LINE_FIELDS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+ROLL_AT = 256 * 1024        # smaller than the sink's 5 MB, so that files roll on the small tables too
+
+_ROLLED_SQL = ("WITH r AS (SELECT l_orderkey, l_linenumber, concat_ws('|', "
+               + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in _LINE_FIELDS) + f""") AS record FROM lineitem),
+s AS (SELECT strlen(record) + 1 AS size, sum(strlen(record) + 1) OVER (ORDER BY l_orderkey, l_linenumber, record
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM r)
+SELECT CAST((upto - size) // {ROLL_AT} AS BIGINT) AS file, count(*) AS records, CAST(sum(size) AS BIGINT) AS bytes
+FROM s GROUP BY 1""")
+
+
+@query("rolled_files", _ROLLED_SQL)
+def rolled_files(spark, base):
+    """K3: '|'-delimited lineitem records written in order to files that roll by their bytes; the files read back."""
+    items = read_table(spark, base, "lineitem")
+    records = items.select("l_orderkey", "l_linenumber", X.delimited_columns(items, list(_LINE_FIELDS)).alias("value"))
+    folder = f"{scratch_folder(spark, 'rolled')}/files"
+    write_rolled_text(records, folder, ["l_orderkey", "l_linenumber", "value"], roll_bytes=ROLL_AT)
+    return (spark.read.schema("value string, file bigint").text(folder).groupBy("file")
+            .agg(F.count(F.lit(1)).alias("records"), F.sum(F.octet_length("value") + 1).cast("bigint").alias("bytes")))
+
+
 @query("latest_per_key", """
 SELECT key, arg_max(value, seq) AS value FROM (
   SELECT event_type AS key, event_id AS seq,
@@ -474,7 +533,8 @@ def latest_per_key(spark, base):
 
 STREAMED = ("stream_running_count_by_key", "stream_word_count", "stream_running_sum", "stream_dead_letter",
             "stream_request_response", "stream_latest_per_key", "stream_sharded_running_sum",
-            "stream_delimited_record", "stream_directory_lines")
+            "stream_delimited_record", "stream_directory_lines", "stream_sparse_sharded_running_sum",
+            "stream_receipts", "stream_rolled_records", "stream_failing_files")
 
 
 SLICES = 4
@@ -650,3 +710,89 @@ def dead_letter_replay(spark, base):
         S.replay_dead_letters(spark, f"{scratch}/dead", f"{scratch}/resolved", ["msg_id"], wider, f"{scratch}/replayed",
                               replay_id)
     return spark.read.parquet(f"{scratch}/replayed").select("msg_id", "num")
+
+
+@query("stream_sparse_sharded_running_sum", f"""
+SELECT event_id, num, CAST(n % {N_SHARDS} AS INTEGER) AS task,
+       CAST(sum(num) OVER (PARTITION BY n % {N_SHARDS} ORDER BY n
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_sum
+FROM (SELECT event_id, user_id AS num, row_number() OVER (ORDER BY event_id) AS n FROM events WHERE user_id % 7 <> 0)""")
+def stream_sparse_sharded_running_sum(spark, base):
+    """G1 as a stream over ids with gaps: dense number, then the sum per task, both carried in one state."""
+    def run(events, scratch):
+        writer = S.ShuffledSumWriter("num", ["event_id"], N_SHARDS, f"{scratch}/out", f"{scratch}/state")
+        rows = events.where(F.col("user_id") % 7 != 0).select("event_id", F.col("user_id").alias("num"))
+        return S.start_running_totals(rows, writer, f"{scratch}/checkpoint", available_now=True)
+
+    scratch = _in_slices(spark, base, "events", "event_id", run)
+    return spark.read.parquet(f"{scratch}/out").select("event_id", "num", "task", "running_sum")
+
+
+@query("stream_receipts", """
+SELECT msg_id, outcome, CAST(count(*) OVER (PARTITION BY outcome) AS BIGINT) AS n FROM (
+  SELECT event_id AS msg_id, CASE WHEN user_id > 0 AND user_id <= 10 THEN 'ack' ELSE 'fail' END AS outcome FROM events)""")
+def stream_receipts(spark, base):
+    """T2/T3 + T5: receipts of committed batches, with the messages per outcome as the commits observed them."""
+    def run(events, scratch):
+        router = S.range_router("msg_id", "num", f"{scratch}/receipts", f"{scratch}/ok", f"{scratch}/dead",
+                                commits=f"{scratch}/commits")
+        return S.start(events.select(F.col("event_id").alias("msg_id"), F.col("user_id").alias("num")), router,
+                       f"{scratch}/checkpoint", available_now=True)
+
+    scratch = _in_slices(spark, base, "events", "event_id", run)
+    commits = S.BatchCommits(f"{scratch}/commits")
+    seen = [commits.counts(spark, b) for b in commits.numbers(spark)]
+    n = F.when(F.col("outcome") == "ack", sum(c["ack"] for c in seen)).otherwise(sum(c["fail"] for c in seen))
+    return commits.committed(spark, f"{scratch}/receipts").select("msg_id", "outcome", n.cast("bigint").alias("n"))
+
+
+@query("dead_letter_attempts", """
+SELECT event_id AS msg_id, CASE WHEN user_id <= 20 THEN 'resolved' ELSE 'open' END AS state,
+       CAST(CASE WHEN user_id <= 15 THEN 2 ELSE 3 END AS INTEGER) AS attempts
+FROM events WHERE NOT (user_id > 0 AND user_id <= 10) AND user_id > 0""")
+def dead_letter_attempts(spark, base):
+    """T4: dead letters replayed twice under wider ranges, with the times that each was tried."""
+    scratch = scratch_folder(spark, "attempts")
+    router = S.range_router("msg_id", "num", f"{scratch}/receipts", f"{scratch}/ok", f"{scratch}/dead",
+                            commits=f"{scratch}/commits")
+    messages = _events(spark, base).where("user_id > 0").select(F.col("event_id").alias("msg_id"), F.col("user_id").alias("num"))
+    book = S.DeadLetterBook(f"{scratch}/book", f"{scratch}/dead", f"{scratch}/commits")
+    router(messages, 0)
+    for replay_id, top in ((0, 15), (1, 20)):
+        book.replay(spark, replay_id, lambda df, top=top: F.when(F.col("num").between(1, top), "ack").otherwise("fail"),
+                    f"{scratch}/replayed")
+    done = spark.read.parquet(f"{scratch}/replayed").select("msg_id", F.lit("resolved").alias("state"), "attempts")
+    return done.unionByName(book.letters(spark).select("msg_id", F.lit("open").alias("state"), "attempts"))
+
+
+@query("stream_rolled_records", _ORACLES["delimited_record"])
+def stream_rolled_records(spark, base):
+    """K3 as a stream: order records into files that roll by their bytes, a new file per micro-batch, read back."""
+    def run(orders, scratch):
+        writer = RollingTextWriter(
+            f"{scratch}/files", ["o_orderkey", "value"], roll_bytes=ROLL_AT,
+            render=lambda df: df.select("o_orderkey", X.delimited_columns(df, list(_ORDER_FIELDS)).alias("value")))
+        return S.start(orders, writer, f"{scratch}/checkpoint", available_now=True)
+
+    scratch = _in_slices(spark, base, "orders", "o_orderkey", run)
+    text = spark.read.text(f"{scratch}/files")
+    return text.select(F.split("value", r"\|", 2).getItem(0).cast("bigint").alias("o_orderkey"),
+                       F.col("value").alias("record"))
+
+
+@query("stream_failing_files", _ORACLES["stream_directory_lines"])
+def stream_failing_files(spark, base):
+    """S2's failure path: one text file cannot be read at first; the stream goes on and reads it once it is mended."""
+    scratch = scratch_folder(spark, "failing")
+    docs = read_table(spark, base, "documents").where(F.col("text").isNotNull())
+    docs.select("text").repartition(4).write.option("lineSep", "\n").text(f"{scratch}/in/texts")
+    texts = f"{scratch}/in/texts"
+    bad = sorted(n for n in paths.children(spark, texts) if n.startswith("part-"))[0]
+    paths.spoil(spark, f"{texts}/{bad}")
+    ledger = S.FileLedger(f"{scratch}/ledger", f"{scratch}/out", f"{scratch}/staged")
+    S.start_ledgered_lines(spark, f"{scratch}/in", ledger, f"{scratch}/checkpoint", available_now=True).awaitTermination()
+    ledger.retry(spark)         # still as bad
+    paths.mend(spark, f"{texts}/{bad}")
+    ledger.retry(spark)
+    ledger.retry(spark)         # nothing is left to be tried
+    return spark.read.parquet(f"{scratch}/out").select("line")

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cascata.functions.text import delimited_columns
+from cascata.operators.prefix import running_totals
 
 # Fixed values that must equal the reference's for right results.
 ROLL_BYTES = 5 * 1024 * 1024   # a new file is started at 5 MB
@@ -74,3 +77,59 @@ def start_rolling_text(records: DataFrame, path: str, checkpoint: str, max_recor
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return w.start()
+
+
+# ---- rolling by the bytes written -----------------------------------------------
+
+FILE = "file"
+
+
+def with_file_number(records: DataFrame, order_by: Sequence[str], value: str = "value", roll_bytes: int = ROLL_BYTES,
+                     name: str = FILE, **kw) -> DataFrame:
+    """Adds the number (from 0) of the file each record belongs to when records are written in order, one a line.
+
+    A record's place is the bytes of all records before it (a running total, so no task sees them all); file ``n`` takes
+    those that start in its ``roll_bytes``.  So every file but the last is within one record of ``roll_bytes``, whatever
+    the records' lengths.  A null record is an empty line.
+    """
+    size = F.coalesce(F.octet_length(value), F.lit(0)) + F.lit(1)
+    ends = running_totals(records, {"_end": size}, order_by, **kw)
+    return ends.withColumn(name, F.floor((F.col("_end") - size) / roll_bytes).cast("bigint")).drop("_end")
+
+
+def _write_numbered(numbered: DataFrame, path: str, order_by: Sequence[str], value: str, name: str) -> None:
+    """One text file per file number, its records in order; a task writes one file after another."""
+    placed = numbered.repartitionByRange(name).sortWithinPartitions(name, *order_by)
+    placed.select(F.coalesce(F.col(value), F.lit("")).alias("value"), name).write.mode("overwrite").partitionBy(name).text(path)
+
+
+def write_rolled_text(records: DataFrame, path: str, order_by: Sequence[str], value: str = "value",
+                      roll_bytes: int = ROLL_BYTES, name: str = FILE, **kw) -> None:
+    """Write the records as text files ``<path>/file=<n>/`` that roll at ``roll_bytes`` (replaces ``path``).
+
+    All records that start in one file's bytes go to one task: at most ``roll_bytes`` and one record.
+    """
+    _write_numbered(with_file_number(records, order_by, value, roll_bytes, name, **kw), path, order_by, value, name)
+
+
+class RollingTextWriter:
+    """``foreachBatch``: each micro-batch as rolled text files ``<path>/batch_id=<b>/file=<n>/``.
+
+    A batch starts a new file, as its files are committed with it; a replayed batch replaces its own.  ``order_by`` is
+    the order of the records; ``render`` turns a batch into them (a ``value`` column beside the order columns).
+    """
+
+    def __init__(self, path: str, order_by: Sequence[str], render: Callable[[DataFrame], DataFrame] | None = None,
+                 value: str = "value", roll_bytes: int = ROLL_BYTES) -> None:
+        self.path = path.rstrip("/")
+        self.order_by = list(order_by)
+        self.render = render
+        self.value = value
+        self.roll_bytes = roll_bytes
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        batch = (self.render(batch_df) if self.render else batch_df).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_rolled_text(batch, f"{self.path}/batch_id={batch_id}", self.order_by, self.value, self.roll_bytes)
+        finally:
+            batch.unpersist()

@@ -27,6 +27,12 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p) and fs.getFileStatus(p).isFile())
 
 
+def length(spark: SparkSession, path: str) -> int | None:
+    """Bytes of a file, None when there is none."""
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getLen() if fs.exists(p) else None
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct children of ``path`` ([] when it does not exist)."""
     fs, p = _fs(spark, path)
@@ -88,3 +94,26 @@ def rename_parts(spark: SparkSession, folder: str, extension: str) -> None:
             fs, p = _fs(spark, f"{folder}/{name}")
             _, q = _fs(spark, f"{folder}/{name.rsplit('.', 1)[0]}{extension}")
             fs.rename(p, q)
+
+
+def _checksum(path: str) -> str:
+    folder, _, name = path.rpartition("/")
+    return f"{folder}/.{name}.crc"
+
+
+def spoil(spark: SparkSession, path: str) -> None:
+    """Make a local file unreadable, for trying out what happens then: its checksums no longer fit."""
+    fs, p = _fs(spark, _checksum(path))
+    if fs.exists(p) and hasattr(fs, "getRawFileSystem"):
+        raw = fs.getRawFileSystem()
+        size = raw.getFileStatus(p).getLen()
+        out = raw.create(p, True)
+        out.write(bytearray(b"crc\x00\x00\x00\x02\x00" + b"\xff" * (size - 8)))
+        out.close()
+
+
+def mend(spark: SparkSession, path: str) -> None:
+    """Undo ``spoil``: the file stays as it is, without checksums."""
+    fs, p = _fs(spark, _checksum(path))
+    if hasattr(fs, "getRawFileSystem"):
+        fs.getRawFileSystem().delete(p, False)

@@ -26,7 +26,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascata.operators.prefix import SKETCH_FAN_IN, bucket_boundaries, order_boundaries, running_totals
+from cascata.operators.prefix import (SKETCH_FAN_IN, bucket_boundaries, dense_boundaries, order_boundaries,
+                                      running_totals)
+from cascata.operators.sharding import NUM, shard_task
 from cascata.sinks import paths
 from cascata.sinks.files import BatchPartitionSink
 
@@ -152,6 +154,52 @@ class RunningTotalsWriter:
             batch.unpersist()
 
 
+class ShuffledSumWriter(RunningTotalsWriter):
+    """``foreachBatch``: shuffle grouping over ``n_tasks`` tasks, rows dealt evenly in order, one running sum per task.
+
+    Two steps in one micro-batch: a row's dense number over the whole stream, whatever its ids, then the running sum of
+    the task ``number mod n_tasks``.  Both continue from one state table, a row per task with its rows and its sum: the
+    rows of all tasks together are the last number given.  So there is one state version per batch, written last, and no
+    crash leaves one step ahead of the other.
+    """
+
+    ROWS = "_rows"
+
+    def __init__(self, value: str, order_by: Sequence[str], n_tasks: int, sink: Callable[[DataFrame, int], None] | str,
+                 state_path: str, name: str = "running_sum", task_name: str = "task", retain: int = 2,
+                 prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        super().__init__({name: value, self.ROWS: F.lit(1)}, order_by, sink, state_path, [task_name], retain, prepare,
+                         state_buckets=1)
+        self.n_tasks = n_tasks
+        self.task_name = task_name
+        self.name = name
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        batch = (self.prepare(batch_df) if self.prepare else batch_df).persist(StorageLevel.MEMORY_AND_DISK)
+        dealt = None
+        try:
+            manifest = self.manifest_before(spark, batch_id)
+            prev = self._totals(spark, manifest, [0])
+            given = prev.agg(F.coalesce(F.sum(self.ROWS), F.lit(0))).first()[0] if prev is not None else 0
+            new = batch.count()
+            numbered = running_totals(batch, {NUM: F.lit(1)}, self.order_by,
+                                      boundaries=order_boundaries(batch, self.order_by, rows=new))
+            dealt = (numbered.withColumn(NUM, F.col(NUM) + F.lit(given).cast("bigint"))
+                     .withColumn(self.task_name, shard_task(NUM, self.n_tasks)).persist(StorageLevel.MEMORY_AND_DISK))
+            bounds = [b + given for b in dense_boundaries(new, min_buckets=spark.sparkContext.defaultParallelism)]
+            out = running_totals(dealt, {self.name: self.sums[self.name]}, [NUM], [self.task_name],
+                                 initial=None if prev is None else prev.select(self.task_name, self.name),
+                                 boundaries=bounds, split_all=True)
+            self.sink(out.drop(NUM), batch_id)
+            self._save(dealt, prev, manifest, [0], 1, batch_id)
+            self._prune(spark)
+        finally:
+            if dealt is not None:
+                dealt.unpersist()
+            batch.unpersist()
+
+
 def start_running_totals(stream: DataFrame, writer: RunningTotalsWriter, checkpoint: str,
                          query_name: str | None = None, available_now: bool = False,
                          processing_time: str | None = None):

@@ -1,0 +1,282 @@
+"""Rolling files, streamed shuffle grouping, commits, dead letter attempts, failing files, SQL functions, long lines."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from cascata import functions as X
+from cascata import operators as O
+from cascata import streaming as S
+from cascata.functions import sql as sql_functions
+from cascata.sinks import RollingTextWriter, paths, with_file_number, write_rolled_text
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+# ---- rolling by bytes ---------------------------------------------------------
+
+@pytest.mark.parametrize("lengths", [(2_000, 9_000), (10, 1_000_000), (0, 0)])
+def test_files_roll_within_one_record(spark, tmp_path, lengths):
+    rng = random.Random(lengths[1])
+    roll = 5 * 1024 * 1024
+    sizes = [min(lengths[1], int(lengths[0] + rng.expovariate(1) * (lengths[1] - lengths[0]) / 3)) for _ in range(60)]
+    copies = int(2.5 * roll / sum(sizes)) if 0 < lengths[1] < 10_000 else 1
+    rows = [(i, n) for i, n in enumerate(sizes * copies)]
+    records = spark.createDataFrame(rows, "id long, n int").select("id", F.repeat(F.lit("x"), F.col("n")).alias("value")).repartition(6)
+    path = str(tmp_path / "out")
+    write_rolled_text(records, path, ["id"])
+    got = {r["file"]: (r["n"], r["b"]) for r in spark.read.schema("value string, file bigint").text(path).groupBy("file").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("value") + 1).alias("b")).collect()}
+    want, upto = {}, 0
+    for _, n in rows:
+        have = want.get(upto // roll, (0, 0))
+        want[upto // roll] = (have[0] + 1, have[1] + n + 1)
+        upto += n + 1
+    assert got == want
+    if lengths[1]:
+        assert len(got) > 1 and all(abs(b - roll) <= max(sizes) + 1 for f, (_, b) in got.items() if f < max(got))
+    # one file each, in order
+    for f in got:
+        assert len([n for n in paths.children(spark, f"{path}/file={f}") if n.startswith("part-")]) == 1
+
+
+def test_records_keep_their_order_and_nulls_are_empty_lines(spark, tmp_path):
+    records = spark.createDataFrame([(i, None if i == 5 else f"r{i}") for i in range(50)], "id long, value string").repartition(4)
+    path = str(tmp_path / "out")
+    write_rolled_text(records, path, ["id"], roll_bytes=40)
+    lines = []
+    for f in sorted(int(n.split("=")[1]) for n in paths.children(spark, path) if n.startswith("file=")):
+        lines += [r["value"] for r in spark.read.text(f"{path}/file={f}").coalesce(1).collect()]
+    assert lines == ["" if i == 5 else f"r{i}" for i in range(50)]
+    assert with_file_number(records.limit(0), ["id"]).count() == 0
+
+
+def test_a_replayed_batch_replaces_its_files(spark, tmp_path):
+    writer = RollingTextWriter(str(tmp_path / "out"), ["id"], roll_bytes=100)
+    a = spark.range(30).select("id", F.concat(F.lit("row "), F.col("id")).alias("value"))
+    for batch, df in ((0, a), (1, a.where("id > 20")), (1, a.where("id > 20")), (2, a.limit(0))):
+        writer(df, batch)
+    got = spark.read.text(str(tmp_path / "out"))
+    assert sorted(r["value"] for r in got.collect()) == sorted([f"row {i}" for i in range(30)] + [f"row {i}" for i in range(21, 30)])
+
+
+# ---- shuffle grouping as a stream ------------------------------------------------
+
+def test_streamed_shuffle_grouping_of_sparse_ids_and_a_crash(spark, tmp_path):
+    rng = random.Random(1)
+    ids = sorted(rng.sample(range(10 ** 6), 400))
+    rows = [(i, rng.randint(-5, 50)) for i in ids]
+    frame = spark.createDataFrame(rows, "id long, v long")
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    writer = S.ShuffledSumWriter("v", ["id"], 3, out, state)
+    cuts = [-1, ids[100], ids[101], ids[300], 10 ** 6]
+    for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+        batch = frame.where((F.col("id") > lo) & (F.col("id") <= hi)).repartition(3)
+        if b == 2:          # the output is there, the state isn't: neither number nor sums have moved on
+            sink = writer.sink
+            writer.sink = lambda df, n: (sink(df, n), (_ for _ in ()).throw(RuntimeError("crash")))
+            with pytest.raises(RuntimeError):
+                writer(batch, b)
+            writer.sink = sink
+        writer(batch, b)
+    writer(frame.limit(0), 4)
+    want, sums = [], [0, 0, 0]
+    for n, (i, v) in enumerate(rows, 1):
+        sums[n % 3] += v
+        want.append((i, v, n % 3, sums[n % 3]))
+    got = spark.read.parquet(out).select("id", "v", "task", "running_sum")
+    assert rows_of(got) == sorted(want, key=str)
+    batch = O.shuffled_running_sum(frame, "v", ["id"], 3).select("id", "v", "task", "running_sum")
+    assert rows_of(batch) == rows_of(got)
+
+
+def test_carried_totals_of_hot_and_small_groups(spark):
+    rows = [(i, "hot" if i % 2 else f"k{i % 60}", i) for i in range(4000)] + [(5000, None, 7)]
+    frame = spark.createDataFrame(rows, "id long, k string, v long")
+    initial = spark.createDataFrame([("hot", 1000), ("k2", 50), (None, 3), ("absent", 9)], "k string, s long")
+    before = {"hot": 1000, "k2": 50, None: 3}
+    want, sums = {}, {}
+    for i, k, v in rows:
+        sums[k] = sums.get(k, before.get(k, 0)) + v
+        want[i] = sums[k]
+    for size in (100, 10 ** 9):
+        got = O.running_totals(frame, {"s": "v"}, ["id"], ["k"], initial=initial, rows_per_bucket=size)
+        assert {r["id"]: r["s"] for r in got.collect()} == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("_bucket" in plan) == (size == 100)
+
+
+def test_the_second_batch_of_small_groups_has_no_buckets(spark, tmp_path, monkeypatch):
+    plans = []
+    writer = S.RunningTotalsWriter({"n": F.lit(1)}, ["id"], lambda df, b: plans.append(
+        (df._jdf.queryExecution().executedPlan().toString(), rows_of(df))), str(tmp_path / "state"), partition_by=["k"])
+    frame = spark.range(2000).select("id", (F.col("id") % 50).alias("k"))
+    for b in range(3):
+        writer(frame.where((F.col("id") >= 600 * b) & (F.col("id") < 600 * (b + 1))), b)
+    assert all("bucketizer" not in p.lower() and "_bucket" not in p for p, _ in plans)
+    assert [r for _, rows in plans for r in rows if r[0] == 1799] == [(1799, 49, 36)]
+
+
+# ---- commits, receipts, attempts ------------------------------------------------
+
+def test_receipts_rows_and_letters_appear_together(spark, tmp_path):
+    p = {n: str(tmp_path / n) for n in ("receipts", "ok", "dead", "commits")}
+    router = S.range_router("id", "num", p["receipts"], p["ok"], p["dead"], commits=p["commits"])
+    commits = S.BatchCommits(p["commits"])
+    messages = spark.range(40).select("id", (F.col("id") % 15).alias("num"))
+    router(messages.where("id < 20"), 0)
+    good = router.dead
+    for broken in ("ok", "dead"):
+        keep = getattr(router, broken)
+        setattr(router, broken, lambda df, b: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):
+            router(messages.where("id >= 20"), 1)
+        setattr(router, broken, keep)
+        # the receipts of batch 1 are written, but no reader sees a part of it
+        assert spark.read.parquet(p["receipts"]).where("batch_id = 1").count() == 20
+        assert commits.last(spark) == 0
+        for table in ("receipts", "ok", "dead"):
+            assert commits.committed(spark, p[table]).agg(F.max("batch_id")).first()[0] == 0
+    assert router.dead is good
+    router(messages.where("id >= 20"), 1)
+    router(messages.where("id >= 30"), 1)       # committed: not written again
+    assert commits.committed(spark, p["receipts"]).count() == 40
+    counts = [commits.counts(spark, b) for b in commits.numbers(spark)]
+    for outcome in ("ack", "fail"):
+        assert sum(c[outcome] for c in counts) == commits.committed(spark, p["receipts"]).where(F.col("outcome") == outcome).count()
+    want = {r["outcome"]: r["n"] for r in O.outcome_counts(messages, "num").collect()}
+    assert want == {k: sum(c[k] for c in counts) for k in ("ack", "fail")}
+
+
+def test_counts_are_observed_without_a_job_of_their_own(spark, tmp_path):
+    def jobs(commits):
+        group = f"jobs-{commits}"
+        spark.sparkContext.setJobGroup(group, group)
+        router = S.range_router("id", "num", str(tmp_path / f"r{commits}"), str(tmp_path / f"o{commits}"),
+                                str(tmp_path / f"d{commits}"), commits=str(tmp_path / "c") if commits else None)
+        router(spark.range(10).select("id", F.col("id").alias("num")), 0)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    try:
+        assert jobs(True) == jobs(False) > 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_letters_count_their_attempts_and_resolved_ones_are_gone(spark, tmp_path):
+    p = {n: str(tmp_path / n) for n in ("receipts", "ok", "dead", "commits", "book", "replayed")}
+    router = S.range_router("id", "num", p["receipts"], p["ok"], p["dead"], commits=p["commits"])
+    book = S.DeadLetterBook(p["book"], p["dead"], p["commits"])
+    up_to = lambda top: lambda df: F.when(F.col("num") <= top, "ack").otherwise("fail")
+    router(spark.range(11, 31).select("id", F.col("id").alias("num")), 0)
+    assert book.replay(spark, 0, up_to(15), p["replayed"]) == {"resolved": 5, "failing": 15}
+    assert book.replay(spark, 0, up_to(99), p["replayed"]) == {"resolved": 5, "failing": 15}        # over: nothing happens
+    router(spark.range(31, 36).select("id", F.col("id").alias("num")), 1)
+    assert {(r["id"], r["attempts"]) for r in book.letters(spark).collect()} == {(i, 2) for i in range(16, 31)} | {(i, 1) for i in range(31, 36)}
+    mark = S.BatchCommits.mark
+    with pytest.MonkeyPatch.context() as m:      # dies before its marker: repeated as it was
+        m.setattr(S.BatchCommits, "mark", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):
+            book.replay(spark, 1, up_to(32), p["replayed"])
+    assert S.BatchCommits.mark is mark
+    assert book.replay(spark, 1, up_to(32), p["replayed"]) == {"resolved": 17, "failing": 3}
+    assert {(r["id"], r["attempts"]) for r in book.letters(spark).collect()} == {(33, 2), (34, 2), (35, 2)}
+    done = {r["id"]: r["attempts"] for r in spark.read.parquet(p["replayed"]).collect()}
+    assert done == {i: 2 if i <= 15 or i > 30 else 3 for i in range(11, 33)}
+    assert paths.children(spark, f"{p['book']}/open") == ["replay_id=1"]
+    plan = book.letters(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+# ---- files that fail ---------------------------------------------------------------
+
+def write(spark, path, text):
+    paths.write_text(spark, path, text)
+
+
+def test_a_failing_file_is_kept_and_read_once_mended(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    texts = {"a b.txt": "one\r\ntwo\n\nthree", "bad.txt": "x\ny\n" * 400, "empty.txt": "", "d%41+é.txt": "p\rq\n",
+             "no.csv": "not read\n", "deep/e.txt": "\n"}
+    for name, text in texts.items():
+        write(spark, f"{src}/{name}", text)
+    paths.spoil(spark, f"{src}/bad.txt")
+    ledger = S.FileLedger(str(tmp_path / "ledger"), out, str(tmp_path / "staged"))
+
+    def run():
+        S.start_ledgered_lines(spark, src, ledger, str(tmp_path / "ck"), available_now=True).awaitTermination()
+
+    def states():
+        return {r["path"].rsplit("/", 1)[1]: (r["state"], r["attempts"]) for r in ledger.read(spark).collect()}
+
+    def lines():
+        return sorted((r["path"].rsplit("/", 1)[1], r["line"]) for r in spark.read.parquet(out).collect())
+
+    good = sorted([("a b.txt", x) for x in ("one", "two", "", "three")] + [("d%41+é.txt", "p"), ("d%41+é.txt", "q"), ("e.txt", "")])
+    run()
+    want = {n.rsplit("/", 1)[-1]: ("done", 1) for n in texts if n.endswith("txt") and texts[n]} | {"bad.txt": ("failed", 1)}
+    assert states() == want and lines() == good
+    write(spark, f"{src}/new.txt", "more\n")
+    run()           # a new file: the bad one is tried with it
+    assert states() == want | {"bad.txt": ("failed", 2), "new.txt": ("done", 1)}
+    paths.mend(spark, f"{src}/bad.txt")
+    ledger.retry(spark)
+    assert states()["bad.txt"] == ("done", 3)
+    ledger.retry(spark)
+    run()
+    assert lines() == sorted(good + [("new.txt", "more")] + [("bad.txt", x) for x in ("x", "y")] * 400)
+    assert states()["bad.txt"] == ("done", 3)
+
+
+# ---- functions in SQL ---------------------------------------------------------------
+
+LINES = ["a,b,,", "", ",", ",,,", ",a", "a,,b", "a", None, " a , b ", "é,ü,,x,"]
+
+
+def test_sql_functions_equal_the_column_expressions(spark):
+    sql_functions.register(spark)
+    texts = [*LINES, "a,b\nc,,\r\n,\rd", "\n", "x\n", "x\r\n\r\n", "\r"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    frame.createOrReplaceTempView("sql_texts")
+    got = spark.sql("SELECT id, split_tokens(t) AS a, split_lines(t) AS b, add_user(t) AS c, decode_text(CAST(t AS BINARY)) AS d, "
+                    "decode_outcome(CAST(t AS BINARY)) AS e, range_outcome(id) AS f FROM sql_texts")
+    want = frame.select("id", X.split_tokens("t"), X.split_lines("t"), X.prefixed("add user:", "t"),
+                        X.decode_utf8(F.col("t").cast("binary")), X.decode_outcome(F.col("t").cast("binary")), X.range_outcome("id"))
+    assert rows_of(got) == rows_of(want)
+    tabled = spark.sql("SELECT s.id, w.word FROM sql_texts AS s, LATERAL text_tokens(s.t) AS w")
+    assert rows_of(tabled) == rows_of(O.tokenize_text(frame, "t", ["id"]))
+    lines = spark.sql("SELECT s.id, w.word FROM sql_texts AS s, LATERAL tokens(s.t) AS w")
+    assert rows_of(lines) == rows_of(O.tokens(frame, "t", ["id"]))
+    for q in (got, tabled, lines):
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Exchange" not in plan and "Join" not in plan
+
+
+# ---- lines larger than a task ---------------------------------------------------------
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_range_tokens_equal_tokens(spark, size):
+    rng = random.Random(size)
+    texts = [*LINES, "," * 20 + "x" + "," * 20, "abcdefghijkl", "a,bcdefghijklmn,o", "é" * 9 + "," + "😀" * 5, "😀,😀,", ",,é"]
+    texts += ["".join(rng.choice("a,é😀,,b") for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = O.range_tokens(frame, "t", ["id"], range_bytes=size, position="at")
+    want = frame.select("id", F.posexplode(X.split_tokens("t")).alias("at", "word")).select("id", "word", "at")
+    assert rows_of(got) == rows_of(want)
+
+
+LONG_LINE = 48 * 1024 * 1024        # the test session's heap is 1 GB
+
+
+def test_one_long_line_is_split_by_several_tasks(spark):
+    unit = "some words, and others,,"
+    n = LONG_LINE // len(unit)
+    line = spark.range(1).select("id", F.concat(F.repeat(F.lit(unit), (F.col("id") + n).cast("int")), F.lit("end,,,")).alias("t"))
+    got = O.range_tokens(line, "t", ["id"], range_bytes=LONG_LINE // 25, position="at", spread=8)
+    r = got.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.max("at").alias("last"), F.countDistinct("word").alias("w")).collect()
+    assert sum(x["n"] for x in r) == 3 * n + 1 and max(x["last"] for x in r) == 3 * n
+    assert sum(x["n"] > n / 8 for x in r) >= 4
+    assert sorted(x[0] for x in got.select("word").distinct().collect()) == ["", " and others", "end", "some words"]
