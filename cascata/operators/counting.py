@@ -37,9 +37,8 @@ def range_tokens(df: DataFrame, line_col: str, key: Sequence[str], range_bytes:
     position are put together again; a token may run over any number of ranges.  The last position with a token that
     is not empty, over all ranges, ends the line: empty tokens after it are dropped, as ``tokens`` drops them.
 
-    Only the ranges are shuffled, and per range one row of numbers; the row that holds the line must be read whole by
-    the task that cuts it, but is not split, exploded or copied there.  ``key`` must identify the line; null lines give
-    no rows.
+    Only the ranges are shuffled, and per range one row of numbers; the task that cuts a line must hold it, but not its
+    tokens.  ``key`` must identify the line; null lines give no rows.
     """
     ids = list(key)
     raw = df.where(F.col(line_col).isNotNull()).select(

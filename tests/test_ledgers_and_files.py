@@ -268,7 +268,7 @@ def test_range_tokens_equal_tokens(spark, size):
     assert rows_of(got) == rows_of(want)
 
 
-LONG_LINE = 48 * 1024 * 1024        # the test session's heap is 1 GB
+LONG_LINE = 8 * 1024 * 1024         # the test session's heap is 1 GB
 
 
 def test_one_long_line_is_split_by_several_tasks(spark):
