@@ -66,7 +66,8 @@ def range_tokens(df: DataFrame, line_col: str, key: Sequence[str], range_bytes:
     numbers = numbers.withColumn("_offset", F.coalesce(F.sum("_separators").over(before), F.lit(0)))
     numbers = numbers.select("_id", "_range", "_offset", F.max(F.col("_offset") + F.col("_filled")).over(whole).alias("_end"),
                              F.sum("_separators").over(whole).alias("_all"))
-    placed = cut.join(numbers, ["_id", "_range"]).select(
+    # a merge join: the ranges stay in their tasks, whatever their size
+    placed = cut.join(numbers.hint("merge"), ["_id", "_range"]).select(
         "_id", "_range", "_last", "_offset", F.size("_pieces").alias("_n"),
         # a line without separators is one token, empty or not
         F.when(F.col("_all") == 0, 0).otherwise(F.coalesce("_end", F.lit(-1))).alias("_end"), F.posexplode("_pieces"))
