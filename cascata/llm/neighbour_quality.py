@@ -8,13 +8,19 @@ sample's unit vectors and labels are broadcast.  Every document's cosines with
 the whole sample are computed exactly, a block of documents times the sample
 matrix at a time; the k nearest vote with their label, weighted by similarity.
 
-Bounds: the fit reads ``per_class`` labelled rows per label (those of lowest
-id hash, ranked before the shuffle), so it neither grows with the corpus nor
-depends on its order; the broadcast is 2 * per_class * dims floats.  Scoring is
-a map over whole texts: no shuffle.
+Bounds: the fit reads ``per_class`` distinct labelled texts per label, those of
+lowest hash of id and text.  They are chosen by hashes alone: a cut of the hash
+that leaves about ``SLACK`` times as many, set from the counted classes, comes
+before the ranking, and only the chosen texts are fetched.  So the fit neither
+grows with the corpus nor depends on its order.  ``KEPT_TERMS`` commonest terms
+of the sample (a documented parameter of the fit; a rarer class 4-gram is in few
+texts and has no axis) are projected.  The broadcast is 2 * per_class * dims
+floats.  Scoring is a map over whole texts: no shuffle.
 
 Defined results: a null or empty text has the zero vector and gets the
-sample's share of label 1 (prior); similarities tie by sample order; a
+sample's share of label 1 (prior); cosines are rounded to ``DECIMALS``, so that
+equal vectors are equally similar whatever block they are in, and similarities
+tie by sample order, which is by hash of id and text; a
 sample without rows gives every text 0.5; repeated rows give repeated rows; an
 empty table gives none; labels, lang, source and ids never enter a vector;
 other columns are kept only by ``classify``'s caller, never read.
@@ -30,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cascata.llm.common import prepare
+from cascata.llm.common import as_row, prepare, written
 
 PER_CLASS = 2500
 DIMS = 48
@@ -41,6 +47,12 @@ BIGRAM_BITS = 10
 TERMS = CLASSES ** GRAM + (1 << BIGRAM_BITS) + 16
 # Vectors are compared in blocks of this many documents.
 BLOCK = 256
+# Terms of the sample that are projected.
+KEPT_TERMS = 4000
+# Rows a class that a cut of the hash leaves for the ranking, as a multiple of those wanted.
+SLACK = 8
+# Places of a cosine that count.
+DECIMALS = 6
 # Sharpness of the similarity weights.
 POWER = 8.0
 
@@ -111,12 +123,13 @@ class Model:
             return np.full(len(texts), 0.5)
         out = np.empty(len(texts))
         k = min(self.neighbours, len(self.labels))
+        sample = self.vectors.astype(np.float64).T
         for i in range(0, len(texts), BLOCK):
-            block = np.stack([self.vector(t) for t in texts[i:i + BLOCK]])
-            cosines = block @ self.vectors.T
-            near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+            block = np.stack([self.vector(t) for t in texts[i:i + BLOCK]]).astype(np.float64)
+            cosines = np.round(block @ sample, DECIMALS)
+            near = nearest(cosines, k)
             near_cos = np.take_along_axis(cosines, near, 1)
-            vote = np.clip(near_cos, 0, 1).astype(np.float64) ** POWER * self.weight[near]
+            vote = np.clip(near_cos, 0, 1) ** POWER * self.weight[near]
             total = vote.sum(axis=1)
             ones = (vote * self.labels[near]).sum(axis=1)
             known = (np.abs(block).sum(axis=1) > 0) & (total > 0)
@@ -124,14 +137,36 @@ class Model:
         return out
 
 
-def fit(labelled: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-        per_class: int = PER_CLASS, dims: int = DIMS, neighbours: int = NEIGHBOURS) -> Model:
-    """Latent-semantic vectors of at most ``per_class`` rows of each label (0 and 1)."""
-    rows = labelled.select(F.col(label_col).cast("int").alias("y"), F.xxhash64(F.col(id_col)).alias("h"),
-                           F.col(text_col).cast("string").alias("text")).where(F.col("y").isin(0, 1))
-    totals = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rank = F.row_number().over(Window.partitionBy("y").orderBy("h", "text"))
-    prepare(labelled.sparkSession)
+def nearest(cosines: np.ndarray, k: int) -> np.ndarray:
+    """Per row, the places of the k largest, equal ones by place, in order of place."""
+    bar = np.partition(cosines, cosines.shape[1] - k, axis=1)[:, -k][:, None]
+    at = cosines == bar
+    taken = (cosines > bar) | at & (np.cumsum(at, axis=1) <= k - (cosines > bar).sum(axis=1, keepdims=True))
+    return np.nonzero(taken)[1].reshape(len(cosines), k)
+
+
+def sample_keys(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, per_class: int
+                ) -> tuple[DataFrame, dict[int, int]]:
+    """((y, id, t, h) of the sampled distinct texts, t and h being hashes of the text, and of it and the id; distinct
+    labelled texts of each class).  Ids and hashes are shuffled, no text."""
+    wanted = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1))
+    ids = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("t"))
+    keys = written(ids.distinct().join(wanted.distinct(), "id").withColumn("h", F.xxhash64("id", "t")), "labelled-keys")
+    totals = {r["y"]: r["n"] for r in keys.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    lowest, span = -(1 << 63), (1 << 64) - 1
+    cut = F.lit(None).cast("long")
+    for y, n in totals.items():
+        cut = F.when(F.col("y") == y, lowest + min(span, span * SLACK * per_class // n)).otherwise(cut)
+    rank = F.row_number().over(Window.partitionBy("y").orderBy("h", "id"))
+    chosen = keys.where(F.col("h") <= cut).withColumn("r", rank).where(F.col("r") <= per_class).drop("r")
+    return written(chosen, "sample-keys"), totals
+
+
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text",
+        per_class: int = PER_CLASS, dims: int = DIMS, neighbours: int = NEIGHBOURS, kept_terms: int = KEPT_TERMS) -> Model:
+    """Latent-semantic vectors of at most ``per_class`` texts of each label (0 and 1); ``labels`` has ids and labels."""
+    prepare(docs.sparkSession)
+    keys, totals = sample_keys(docs, labels, label_col, id_col, text_col, per_class)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,9 +177,12 @@ def fit(labelled: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
                  pa.array([np.sqrt(g[1]).astype(np.float32) for g in got], pa.list_(pa.float32()))],
                 ["y", "h", "ids", "weights"])
 
-    sample = rows.withColumn("r", rank).where(F.col("r") <= per_class).select("y", "h", "text")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    texts = texts.withColumn("t", F.xxhash64("text")).join(F.broadcast(keys.select("id", "t").distinct()), ["id", "t"], "left_semi")
+    sample = (texts.groupBy("id", "t").agg(F.first("text").alias("text")).join(F.broadcast(keys), ["id", "t"])
+              .select("y", "h", "text"))
     got = sample.mapInArrow(run, "y int, h long, ids array<int>, weights array<float>").toArrow()
-    order = np.argsort(got.column("h").to_numpy(), kind="stable")
+    order = np.lexsort((got.column("y").to_numpy(), got.column("h").to_numpy()))
     y = got.column("y").to_numpy()[order].astype(np.float64)
     n = len(y)
     prior = totals.get(1, 0) / max(1, sum(totals.values()))
@@ -160,7 +198,7 @@ def fit(labelled: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
     used, column = np.unique(ids, return_inverse=True)
     df = np.bincount(column, minlength=len(used))
     idf = np.log((1 + n) / (1 + df)) + 0.5
-    keep = np.argsort(-df, kind="stable")[:4000]         # the commonest terms carry the shape of a text
+    keep = np.argsort(-df, kind="stable")[:kept_terms]     # the commonest terms carry the shape of a text
     place = np.full(len(used), -1)
     place[keep] = np.arange(len(keep))
     matrix = np.zeros((n, len(keep)), np.float32)
@@ -200,13 +238,15 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def keep_good(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that score below ``threshold``; same columns, a map without a shuffle."""
+    rows = docs.select(as_row(docs), F.col(text_col).cast("string").alias("text"))
     spark = docs.sparkSession
     prepare(spark)
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = sent.value.scores(batch.column(text_col).to_pylist())
-            yield batch.filter(pa.array(scores >= threshold))
+            scores = sent.value.scores(batch.column("text").to_pylist())
+            yield batch.select(["row"]).filter(pa.array(scores >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    kept = rows.mapInArrow(run, rows.select("row").schema)
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -19,9 +19,8 @@ QUALITY_THRESHOLD = 0.3
 
 def quality_model(spark: SparkSession, sf_dir: str) -> neighbour_quality.Model:
     """Fitted on the labelled documents outside the held-out fold."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return neighbour_quality.fit(docs.join(labels, "doc_id").where(~held_out()))
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    return neighbour_quality.fit(table(spark, sf_dir, "documents"), labels)
 
 
 def op1_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
