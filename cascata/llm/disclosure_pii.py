@@ -16,16 +16,18 @@ out.  A term at or over ``GENERALISE`` is replaced by a placeholder in every
 document that holds e and t, one at or over ``REMOVE`` is deleted.
 
 Jobs: (1) digests of the texts, to find those with copies; (2) a map over each
-distinct text that writes (text, entity, term) of those with base spans, and
-the counts of all terms, combined within the task; (3) sums by (entity, term),
-by entity and by term, joined by shuffle; nothing but counts of rows passes the
+distinct text that writes the entities and, apart from them, the terms of those
+with base spans, and the counts of all terms, combined within the task; (3) the
+number of a term's texts, set against the most that could reach the threshold
+beside any of a text's entities, leaves the terms that may tell
+something, and only these meet the entities; sums by (entity, term) give the
+scores; all joins are by shuffle, and nothing but counts of rows passes the
 driver; (4) a map over all texts with each one's disclosing terms joined by its
-digest (broadcast while they are counted to be few, else shuffled).  A distinct
-text with base spans costs its entities times its distinct words in rows.
+digest (broadcast while they are counted to be few, else shuffled).
 
 Defined results: a null or empty text has no spans; repeated rows count once
 and are judged alike; an empty table gives none; other columns are not read
-(``sanitise`` passes them through).  Texts are told apart by 128 bits of hash.
+(``sanitise`` passes them through, whatever their names).  Texts are told apart by 128 bits of hash.
 """
 
 from __future__ import annotations
@@ -35,19 +37,15 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cascata.llm.common import prepare, written
+from cascata.llm.common import as_row, prepare, written
 
-WINDOW = 8
-MIN_SUPPORT = 3
 GENERALISE = 0.8
 REMOVE = 0.95
-TERMS_PER_PASS = 1_000_000
 # Texts with a term that hold the entity as often as any, added to those seen.
 SMOOTHING = 2.0
 # Terms of texts, about 40 bytes each, and digests of texts with copies up to which they are broadcast.
@@ -95,7 +93,7 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
         return []
     out = [(a, 0, b) for a, b in _emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in m.group().split("."))):
             out.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
@@ -113,10 +111,6 @@ def entity(kind: int, value: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{kind}:{plain}") - (1 << 63)
 
 
-def term_hash(term: str) -> int:
-    return xxhash.xxh3_64_intdigest(term) - (1 << 63)
-
-
 def _outside(words: list[tuple[int, int, str]], spans: list[tuple[int, int, int]]) -> list[tuple[int, int, str]]:
     """The words that overlap no span; both lists are by start."""
     out, i, reach = [], 0, 0
@@ -133,90 +127,6 @@ def _words(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), m.group().lower()) for m in _WORD.finditer(text)]
 
 
-def contexts_of(text: str | None) -> list[tuple[int, int, list[str]]]:
-    """(entity, context hash, distinct terms near it) of each base span."""
-    spans = base_spans(text)
-    if not spans:
-        return []
-    words = _outside(_words(text), spans)
-    starts = np.array([w[0] for w in words])
-    out = []
-    for a, kind, b in spans:
-        lo, hi = np.searchsorted(starts, [a, b])
-        near = [w[2] for w in words[max(0, lo - WINDOW):lo] + words[hi:hi + WINDOW]]
-        out.append((entity(kind, text[a:b]), term_hash(" ".join(near)), sorted({w for w in near if len(w) > 1})))
-    return out
-
-
-def _key(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(id_col), F.col(text_col))
-
-
-def contexts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, entity, context, terms) of every base span, key being a hash of id and text."""
-    prepare(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(k, *c) for k, t in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist())
-                    for c in contexts_of(t)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(),
-                                                                          pa.list_(pa.string())))],
-                ["key", "entity", "context", "terms"])
-
-    rows = docs.select(_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "key long, entity long, context long, terms array<string>")
-
-
-def document_counts(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, n_docs) for each of the distinct ``terms``: in how many documents it occurs.  See ``disclosures``."""
-    spark = docs.sparkSession
-    prepare(spark)
-    total = terms.count()
-    passes = -(-total // TERMS_PER_PASS)
-    counted = None
-    for i in range(passes):
-        part = terms.where(F.pmod(F.xxhash64("term"), F.lit(passes)) == i) if passes > 1 else terms
-        sent = spark.sparkContext.broadcast(frozenset(r["term"] for r in part.collect()))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            wanted = sent.value
-            seen: dict[str, int] = {}
-            for batch in batches:
-                for t in batch.column("text").to_pylist():
-                    for w in wanted.intersection(_WORD.findall(t.lower())) if t else ():
-                        seen[w] = seen.get(w, 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()),
-                                                                                          pa.int64())], ["term", "n"])
-
-        rows = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "term string, n long")
-        counted = rows if counted is None else counted.unionAll(rows)
-    if counted is None:
-        return terms.withColumn("n_docs", F.lit(0).cast("long"))
-    return counted.groupBy("term").agg(F.sum("n").alias("n_docs"))
-
-
-def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", min_support: int = MIN_SUPPORT,
-                threshold: float = GENERALISE) -> DataFrame:
-    """(entity, term, support, disclosure) of the terms over the threshold; ``found`` are the corpus's contexts.
-
-    An older measure over contexts of ``WINDOW`` words; ``find`` and ``sanitise`` use ``scores``.
-    """
-    n_docs = docs.count()
-    of_entity = (found.select("entity", "context").distinct().groupBy("entity")
-                 .agg(F.count(F.lit(1)).alias("n_e")))
-    pairs = (found.select("entity", "context", F.explode("terms").alias("term")).distinct()
-             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("support")).where(F.col("support") >= min_support))
-    pairs = written(pairs.join(of_entity, "entity"), "disclosure-pairs")
-    counts = document_counts(docs, pairs.select("term").distinct(), text_col)
-    n = F.lit(float(n_docs))
-    pmi = F.log2(F.col("support") * n / (F.greatest("n_docs", "support") * F.col("n_e")))
-    ic = F.log2(n / F.col("n_e"))
-    rows = pairs.join(counts, "term").withColumn("disclosure", F.when(ic > 0, pmi / ic).otherwise(0.0))
-    return rows.where(F.col("disclosure") >= threshold).select("entity", "term", "support", "disclosure")
-
-
 def spans_of(text: str | None, terms: dict[str, float]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base spans, all spans): the base spans and, for disclosing terms, their occurrences outside them."""
     base = base_spans(text)
@@ -262,8 +172,8 @@ def distinct_texts(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame,
 
 
 def holdings(texts: DataFrame) -> DataFrame:
-    """Of distinct texts: (a, b, entity, term) for all that hold an entity, a row without term for each entity;
-    and (term, n), the texts with a term, in parts to be summed."""
+    """Of distinct texts: (a, b, entity) and (a, b, term) of all that hold an entity, each in rows of its own; and
+    (term, n), the texts with a term, in parts to be summed, without a and b."""
     prepare(texts.sparkSession)
     types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64())
     names = ["a", "b", "entity", "term", "n"]
@@ -283,11 +193,11 @@ def holdings(texts: DataFrame) -> DataFrame:
                 spans = base_spans(text)
                 if spans:
                     terms = {w for _, _, w in _outside(_words(text), spans) if len(w) > 1}
-                    held = [None, *terms]
-                    for e in {entity(k, text[x:y]) for x, k, y in spans}:
-                        for i in range(0, len(held), ROW_BUFFER):
-                            part = held[i:i + ROW_BUFFER]
-                            yield made(([a] * len(part), [b] * len(part), [e] * len(part), part, [None] * len(part)))
+                    held = [(e, None) for e in {entity(k, text[x:y]) for x, k, y in spans}] + [(None, t) for t in terms]
+                    for i in range(0, len(held), ROW_BUFFER):
+                        part = held[i:i + ROW_BUFFER]
+                        m = len(part)
+                        yield made(([a] * m, [b] * m, [h[0] for h in part], [h[1] for h in part], [None] * m))
                 else:
                     terms = {w.lower() for w in set(_WORD.findall(text)) if len(w.lower()) > 1}
                 seen.update(terms)
@@ -299,33 +209,55 @@ def holdings(texts: DataFrame) -> DataFrame:
     return texts.select("a", "b", "text").mapInArrow(run, "a long, b long, entity long, term string, n long")
 
 
-def scores(held: DataFrame, n_texts: int, threshold: float = GENERALISE) -> DataFrame:
-    """(entity, term, support, disclosure) of the terms over the threshold; ``held`` are the ``holdings``."""
-    of_entity = held.where("entity is not null and term is null").groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    of_term = held.where("entity is null").groupBy("term").agg(F.sum("n").alias("n_t"))
-    pairs = (held.where("entity is not null and term is not null").groupBy("entity", "term")
-             .agg(F.count(F.lit(1)).alias("support")))
+def most_texts(n_e: Column, n: Column, threshold: float) -> Column:
+    """In how many texts a term may be at most if it is to reach the threshold: all of the entity's texts hold it then."""
+    share = n_e / n
+    least = F.pow(share, F.lit(1.0 - threshold))
+    return F.coalesce(F.try_divide(n_e + SMOOTHING * share, least) - SMOOTHING, F.lit(float("inf"))) * 1.000001
+
+
+def candidates(held: DataFrame, n_texts: int, threshold: float = GENERALISE) -> DataFrame:
+    """(a, b, entity, n_e, term, n_t): the entities of each text with those of its terms that are in few enough texts.
+
+    Entities and terms of a text meet only then: common terms never do.
+    """
+    n = F.lit(float(n_texts))
+    entities = held.where("entity is not null").select("a", "b", "entity")
+    of_entity = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).withColumn(
+        "most", most_texts(F.col("n_e"), n, threshold))
+    entities = entities.join(of_entity, "entity")
+    of_term = held.where("a is null").groupBy("term").agg(F.sum("n").alias("n_t"))
+    of_text = entities.groupBy("a", "b").agg(F.max("most").alias("text_most"))
+    rare = (held.where("a is not null and term is not null").select("a", "b", "term").join(of_term, "term")
+            .join(of_text, ["a", "b"]).where("n_t <= text_most").drop("text_most"))
+    return rare.join(entities, ["a", "b"]).where("n_t <= most").drop("most")
+
+
+def scores(pairs: DataFrame, n_texts: int, threshold: float = GENERALISE) -> DataFrame:
+    """(entity, term, support, disclosure) of the terms over the threshold; ``pairs`` are the ``candidates``."""
     n = F.lit(float(n_texts))
+    rows = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("support"), F.first("n_e").alias("n_e"),
+                                               F.first("n_t").alias("n_t"))
     p = (F.col("support") + SMOOTHING * F.col("n_e") / n) / (F.col("n_t") + SMOOTHING)
     ic = F.log2(n / F.col("n_e"))
-    rows = pairs.join(of_entity, "entity").join(of_term, "term").withColumn(
-        "disclosure", F.when(ic > 0, F.log2(p * n / F.col("n_e")) / ic).otherwise(0.0))
+    rows = rows.withColumn("disclosure", F.when(ic > 0, F.log2(p * n / F.col("n_e")) / ic).otherwise(0.0))
     return rows.where(F.col("disclosure") >= threshold).select("entity", "term", "support", "disclosure")
 
 
 def _with_terms(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` with ``_terms``: its disclosing terms of the entities each document holds, with their disclosure."""
+    """(row, text, terms): each row of ``docs`` as one struct, its text, and its disclosing terms of the entities it
+    holds, with their disclosure."""
     texts, n_texts = distinct_texts(docs, text_col)
     held = written(holdings(texts), "holdings")
-    telling = scores(held, n_texts).select("entity", "term", "disclosure")
-    per_text = written(held.where("entity is not null").select("a", "b", "entity", "term").join(telling, ["entity", "term"])
+    pairs = written(candidates(held, n_texts), "disclosure-pairs")
+    telling = scores(pairs, n_texts).select("entity", "term", "disclosure")
+    per_text = written(pairs.select("a", "b", "entity", "term").join(telling, ["entity", "term"])
                        .groupBy("a", "b", "term").agg(F.max("disclosure").alias("d")), "disclosing-terms")
     few = per_text.count() <= BROADCAST_ROWS
-    per_text = per_text.groupBy(F.col("a").alias("_a"), F.col("b").alias("_b")).agg(
-        F.sort_array(F.collect_list(F.struct("term", "d"))).alias("_terms"))
-    a, b = _digests(F.col(text_col).cast("string"))
-    return docs.join(F.broadcast(per_text) if few else per_text, (a == F.col("_a")) & (b == F.col("_b")), "left").drop(
-        "_a", "_b")
+    per_text = per_text.groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("term", "d"))).alias("terms"))
+    rows = docs.select(as_row(docs), F.col(text_col).cast("string").alias("text"))
+    rows = rows.select("row", "text", *_digests(F.col("text")))
+    return rows.join(F.broadcast(per_text) if few else per_text, ["a", "b"], "left").select("row", "text", "terms")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -337,7 +269,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             base, every = [], []
-            for text, terms in zip(batch.column("text").to_pylist(), batch.column("_terms").to_pylist()):
+            for text, terms in zip(batch.column("text").to_pylist(), batch.column("terms").to_pylist()):
                 b, e = spans_of(text, {t["term"]: t["d"] for t in terms or ()})
                 base.append(b)
                 every.append(e)
@@ -348,7 +280,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                  pa.array([render(e) for e in every], pa.string()), counts[4]],
                 ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_term"])
 
-    return _with_terms(rows, "text").mapInArrow(
+    return _with_terms(rows, "text").select("row.doc_id", "text", "terms").mapInArrow(
         run, f"doc_id {dtype}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, "
              "n_term long")
 
@@ -356,16 +288,16 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with its texts cleaned; same columns, null texts stay null."""
     prepare(docs.sparkSession)
-    names = docs.columns
+    with_terms = _with_terms(docs, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             new = []
-            for text, terms in zip(batch.column(text_col).to_pylist(), batch.column("_terms").to_pylist()):
+            for text, terms in zip(batch.column("text").to_pylist(), batch.column("terms").to_pylist()):
                 known = {t["term"]: t["d"] for t in terms or ()}
                 _, spans = spans_of(text, known)
                 new.append(cleaned(text, spans, known) if spans else text)
-            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if c == text_col else batch.column(c)
-                                              for c in names], names)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(new, pa.string())], ["row", "text"])
 
-    return _with_terms(docs, text_col).mapInArrow(run, docs.schema)
+    clean = with_terms.mapInArrow(run, with_terms.select("row", "text").schema)
+    return clean.select(*[(F.col("text") if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])
