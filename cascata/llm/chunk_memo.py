@@ -23,7 +23,7 @@ _SPACE_CUT = re.compile(r"(?<=\S)(?= )")
 _CUT = re.compile(r"(?<=[^\W_])(?=[.,!?;:\n])|(?<=\S\n)(?=\S)")
 # Longer words are encoded but not remembered.
 MEMO_CHARS = 64
-MEMO_WORDS = 800_000
+MEMO_WORDS = 400_000
 
 
 class TwoGenerations(dict):
