@@ -1,17 +1,20 @@
 """N-gram Jaccard join: T-occurrence search over inverted lists (DivideSkip), and its components.
 
 1. A map over whole texts makes each document's set of distinct word k-shingles
-   (64-bit hashes) and a 128-bit digest of the set, and counts shingles that
-   are frequent within the task.  Equal digests are one class; from here on a
+   (64-bit hashes) and a 128-bit digest of the set, and counts all shingles by
+   ``SLOTS`` slots of their hashes.  Equal digests are one class; from here on a
    class is its smallest id, so exact copies cost one row each.
 2. Blocking, exact by the prefix principle: under one global order of shingles
    two sets with Jaccard >= t share one of each one's first
-   |x| - ceil(t |x|) + 1 shingles.  The order puts frequent shingles last (a
-   bounded broadcast of the most frequent ones; it only saves work, any order
-   is exact).  Prefix postings are narrow rows (shingle, class, size); shingles
-   with one class drop out.
+   |x| - ceil(t |x|) + 1 shingles.  The order puts shingles of full slots last
+   (the slots' counts, summed over all documents, are a broadcast of one byte a
+   slot whatever the data's size; it only saves work, any order is exact).  A
+   slot's chance neighbours add to it by the square root of the corpus, a
+   passage of many documents in proportion, so passages stand out more as the
+   corpus grows.  Prefix postings are narrow rows (shingle, class, size);
+   shingles with one class drop out.
 3. Search cells: each shingle's smallest class (the pivot) with its other
-   classes, at most ``CELL`` at a time.  A cell first sees its sets' histograms
+   classes, at most ``CELL`` and about ``CELL_SHINGLES`` shingles at a time.  A cell first sees its sets' histograms
    (counts per range of shingle hashes, 1/32 of a set's bytes): the sum of the
    smaller counts is an upper bound of an overlap, so sets without a partner
    that could reach the threshold leave before any set is fetched.  Then an
@@ -29,12 +32,12 @@
    out by its histograms.
 5. Where all links are asked for (``linked``, the links counted by ``join``):
    a link lies within a component, so each component's classes are dealt by
-   hash to blocks of about ``LINK_BLOCK``, every pair of blocks is a cell, and
-   each pair of classes meets in one cell, whatever connects it.  There the
-   inverted lists of a cell's sets are counted whole for each set.  Counts of
-   links are summed within the cell; pairs leave it only for ``linked``.
+   hash to blocks of about ``LINK_BLOCK`` or ``CELL_SHINGLES`` shingles, every
+   pair of blocks is a cell, and each pair of classes meets in one cell, whatever
+   connects it.  There each set is searched by T-occurrence as before.  Counts
+   of links are summed within the cell; pairs leave it only for ``linked``.
 
-Nothing is collected but the bounded list of frequent shingles.  For components
+Nothing is collected but the slots' counts, one byte each.  For components
 alone, a group of thousands of near copies costs cells in proportion to its
 size, as its pivots connect it; its links number up to the square of its
 size, and so do the comparisons and the rows of ``linked`` (the counts don't).
@@ -52,30 +55,39 @@ from __future__ import annotations
 
 import heapq
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from cascata.llm.common import as_row, prepare, written
 from cascata.llm.components import connected_components
 
 CELL = 48
+# Shingles of a cell's sets, about; a larger set is alone with its partner.
+CELL_SHINGLES = 1 << 20
+# Cost of probing a long list against that of merging it: lists are probed one by one, arrays with all candidates at once.
+LIST_PROBE, ARRAY_PROBE = 0.1, 0.002
 # Classes of a shingle that are compared by their histograms at a time.
 BLOCK = 256
 # Classes of a component in a block of the search for all its links.
 LINK_BLOCK = 512
 # Ids of the documents whose sets a search fetches, 8 bytes each, up to which they are broadcast.
 BROADCAST_IDS = 2_000_000
-# Most frequent shingles that are ordered by their counts; 16 bytes each are broadcast.
-FREQUENT = 200_000
-FREQUENT_IN_TASK = 4
+# Slots of shingle hashes whose documents are counted, and of a slice of them: 4 bytes each in a task, 1 in the broadcast.
+SLOTS = 1 << 22
+SLICE = 1 << 16
 # Shingles counted at a time within a task.
-COUNT_BUFFER = 2_000_000
+COUNT_BUFFER = 1_000_000
+# Sets' digests that a task remembers, so as not to send a copy's prefix again.
+SEEN_DIGESTS = 200_000
 _MEMO_WORDS = 400_000
 
 
@@ -149,50 +161,55 @@ def prefix_size(n: int, threshold: int) -> int:
     return n - -(-threshold * n // 100) + 1
 
 
-def divide_skip(query: np.ndarray, index: dict[int, list[int]], needed: int, allowed: np.ndarray) -> list[tuple[int, int]]:
+def divide_skip(query: np.ndarray, index: dict, needed: int, allowed: np.ndarray) -> list[tuple[int, int]]:
     """(set number, overlap) of the indexed sets that hold at least ``needed`` of the query's shingles.
 
-    ``index`` maps a shingle to the ascending numbers of the sets that hold it; ``allowed`` marks numbers of interest.
+    ``index`` maps a shingle to the ascending numbers of the sets that hold it, all lists or all arrays; ``allowed``
+    marks numbers of interest, of arrays those beyond its end are of none.
     """
     lists = sorted((index[s] for s in query.tolist() if s in index), key=len)
     if len(lists) < needed:
         return []
     # L long lists: survivors of the short ones must occur there at least needed - L times
     longest = len(lists[-1])
-    n_long = min(needed - 1, int(needed / (0.1 * math.log2(longest + 1) + 1)))
+    arrays = not isinstance(lists[-1], list)
+    n_long = min(needed - 1, int(needed / ((ARRAY_PROBE if arrays else LIST_PROBE) * math.log2(longest + 1) + 1)))
     short, long = lists[:len(lists) - n_long], lists[len(lists) - n_long:]
-    out = []
-    merged = heapq.merge(*short)
-    current, count = next(merged, None), 1
-    while current is not None:
-        following = next(merged, None)
-        if following == current:
-            count += 1
-            continue
-        if count >= needed - n_long and allowed[current]:
-            left = n_long
-            for entry in long:
-                at = np.searchsorted(entry, current) if isinstance(entry, np.ndarray) else _probe(entry, current)
-                if at < len(entry) and entry[at] == current:
-                    count += 1
-                left -= 1
-                if count + left < needed:
-                    break
-            if count >= needed:
-                out.append((current, count))
-        current, count = following, 1
-    return out
-
-
-def _probe(entry: list[int], value: int) -> int:
-    lo, hi = 0, len(entry)
-    while lo < hi:
-        mid = (lo + hi) // 2
-        if entry[mid] < value:
-            lo = mid + 1
-        else:
-            hi = mid
-    return lo
+    if arrays:
+        short = [entry[:np.searchsorted(entry, len(allowed))].tolist() for entry in short]
+    found, counts = [], []
+    for number, run in groupby(heapq.merge(*short)):
+        count = len(list(run))
+        if count >= needed - n_long and allowed[number]:
+            found.append(number)
+            counts.append(count)
+    if not long or not found:
+        return list(zip(found, counts))
+    if not arrays:
+        return [(number, total) for number, count in zip(found, counts)
+                if (total := _probed(long, number, count, needed)) >= needed]
+    # many candidates against long arrays: all of them probe a list at once
+    candidates, totals = np.array(found), np.array(counts)
+    for left, entry in zip(range(n_long - 1, -1, -1), long):
+        at = np.searchsorted(entry, candidates)
+        totals += entry[np.minimum(at, len(entry) - 1)] == candidates
+        within = totals + left >= needed
+        if not within.all():
+            candidates, totals = candidates[within], totals[within]
+            if not len(candidates):
+                break
+    return list(zip(candidates.tolist(), totals.tolist()))
+
+
+def _probed(long: list[list[int]], number: int, count: int, needed: int) -> int:
+    left = len(long)
+    for entry in long:
+        at = bisect_left(entry, number)
+        count += at < len(entry) and entry[at] == number
+        left -= 1
+        if count + left < needed:
+            break
+    return count
 
 
 def search(sets: list[np.ndarray], threshold: int, group: list[int] | None = None) -> list[tuple[int, int, int]]:
@@ -237,48 +254,87 @@ def search(sets: list[np.ndarray], threshold: int, group: list[int] | None = Non
     return links
 
 
+def slots_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """Rows (id, n, digest_a, digest_b, ranges) per document and (shingle, seen) per frequent shingle of a task."""
+    """Rows (id, n, digest_a, digest_b, ranges) per document and (slice, counts) per task and slice of slots."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Shingler(k)
+        counts = np.zeros(SLOTS, np.uint32)
         held: list[np.ndarray] = []
         size = 0
-
-        def counts() -> pa.RecordBatch:
-            values, seen = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0), np.empty(0))
-            often = seen >= FREQUENT_IN_TASK
-            values, seen = values[often].astype(np.uint64).view(np.int64), seen[often].astype(np.int64)
-            none = pa.nulls(len(values), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(values), pa.binary()),
-                                               pa.array(values), pa.array(seen)], names)
-
-        names = ["id", "n", "digest_a", "digest_b", "ranges", "shingle", "seen"]
+        names = ["id", "n", "digest_a", "digest_b", "ranges", "slice", "counts"]
         for batch in batches:
             sets = [make.hashes(t) for t in batch.column("text").to_pylist()]
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             pairs = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            none = pa.nulls(len(sets), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(pairs[:, 0]),
-                 pa.array(pairs[:, 1]), pa.array([histogram(s) if len(s) else None for s in sets], pa.binary()), none, none], names)
+                 pa.array(pairs[:, 1]), pa.array([histogram(s) if len(s) else None for s in sets], pa.binary()),
+                 pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
             held += sets
             size += sum(map(len, sets))
             if size > COUNT_BUFFER:
-                yield counts()
+                _count(counts, held)
                 held, size = [], 0
-        yield counts()
+        _count(counts, held)
+        packed = [(i, _pack(counts[at:at + SLICE])) for i, at in enumerate(range(0, SLOTS, SLICE))
+                  if counts[at:at + SLICE].any()]
+        none = pa.nulls(len(packed), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [none, none, none, none, pa.nulls(len(packed), pa.binary()), pa.array([i for i, _ in packed], pa.int32()),
+             pa.array([c for _, c in packed], pa.binary())], names)
 
     return docs.select("id", "text").mapInArrow(
-        run, "id long, n long, digest_a long, digest_b long, ranges binary, shingle long, seen long")
+        run, "id long, n long, digest_a long, digest_b long, ranges binary, slice int, counts binary")
+
+
+def _count(counts: np.ndarray, sets: list[np.ndarray]) -> None:
+    if sets:
+        counts += np.bincount(slots_of(np.concatenate(sets)), minlength=SLOTS).astype(np.uint32)
+
+
+def _pack(counts: np.ndarray) -> bytes:
+    """A slice's counts in the narrowest integers that hold them; compressed."""
+    most = int(counts.max())
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(counts.astype(f"<u{width}").tobytes())
 
 
-def prefixes(docs: DataFrame, k: int, threshold: int, frequent) -> DataFrame:
-    """(shingle, digest_a, digest_b, n): each document's first shingles under the global order, by its set's digest."""
+def slot_ranks(counted: DataFrame) -> np.ndarray:
+    """One byte per slot from rows (slice, counts): eight steps to a doubling of the slot's count over all tasks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, packed in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
+                own = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), f"<u{packed[0]}")
+                if i not in sums:
+                    sums[i] = np.zeros(SLICE, np.uint64)
+                sums[i] += own
+        ranks = [np.minimum(8 * np.log2(s + 1.0), 255).astype(np.uint8).tobytes() for s in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(ranks, pa.binary())],
+                                         ["slice", "ranks"])
+
+    out = np.zeros(SLOTS, np.uint8)
+    # a task sums its slices as they come; at most SLOTS bytes reach the driver
+    for row in counted.select("slice", "counts").repartition("slice").mapInArrow(run, "slice int, ranks binary").collect():
+        out[row["slice"] * SLICE:(row["slice"] + 1) * SLICE] = np.frombuffer(row["ranks"], np.uint8)
+    return out
+
+
+def prefixes(docs: DataFrame, k: int, threshold: int, ranks) -> DataFrame:
+    """(shingle, digest_a, digest_b, n): each document's first shingles under the global order, by its set's digest.
+
+    Rows of equal sets may come once or more often.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Shingler(k)
-        known, rank = frequent.value
+        rank = ranks.value
+        seen: set[bytes] = set()
         for batch in batches:
             digests, shingles, sizes = [], [], []
             for text in batch.column("text").to_pylist():
@@ -287,13 +343,14 @@ def prefixes(docs: DataFrame, k: int, threshold: int, frequent) -> DataFrame:
                 if not n:
                     continue
                 digest = xxhash.xxh3_128_digest(own.tobytes())
+                if digest in seen:
+                    continue
+                if len(seen) >= SEEN_DIGESTS:
+                    seen.clear()
+                seen.add(digest)
                 take = prefix_size(n, threshold)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                    place = np.where(known[at] == own, rank[at] + 1, 0)
-                    own = own[np.lexsort((own, place))]
                 digests.append(np.tile(np.frombuffer(digest, "<i8"), (take, 1)))
-                shingles.append(own[:take].view(np.int64))
+                shingles.append(own[np.lexsort((own, rank[slots_of(own)]))[:take]].view(np.int64))
                 sizes.append(np.full(take, n, np.int32))
             if shingles:
                 pairs = np.concatenate(digests)
@@ -343,13 +400,14 @@ def hopeful(cells: DataFrame, histograms: DataFrame, threshold: int) -> DataFram
 
 
 def hopeful_pairs(cells: DataFrame, histograms: DataFrame, threshold: int) -> DataFrame:
-    """(a, b), a < b: the distinct pairs of different ``grp`` within reach that some cell of ``cells`` holds."""
+    """(a, b, n), a < b: distinct pairs of different ``grp`` within reach in some cell, n the larger set's size."""
     def work(members: list[tuple]) -> list[tuple]:
-        return [(members[i][0], members[j][0], 0) for i, j in could_link([_counts(d) for _, _, d in members], threshold)
-                if members[i][1] != members[j][1]]
+        counts = [_counts(d) for _, _, d in members]
+        return [(members[i][0], members[j][0], max(int(counts[i].sum()), int(counts[j].sum())))
+                for i, j in could_link(counts, threshold) if members[i][1] != members[j][1]]
 
     rows = cells.join(histograms.select("id", F.col("ranges").alias("data")), "id")
-    return _by_cell(rows, work, "x, y, none").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return _by_cell(rows, work, "x, y, n").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "n").distinct()
 
 
 class Found(NamedTuple):
@@ -391,31 +449,35 @@ def search_cells(cells: DataFrame, docs: DataFrame, k: int, threshold: int) -> D
 
 def all_links(sets: list[np.ndarray], sides: list[int], threshold: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(i, others, overlaps): every link of the sets, once; only those across, where there are two sides."""
-    sizes = np.array([len(s) for s in sets])
-    side = np.array(sides)
+    order = np.argsort([len(s) for s in sets], kind="stable")
+    sizes = np.array([len(sets[i]) for i in order])
+    side = np.array(sides)[order]
     two = bool((side != side[0]).any())
-    values, local, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    values, local, counts = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True, return_counts=True)
     ends = np.concatenate([[0], np.cumsum(counts)])
-    # the inverted lists, one after the other
+    # the inverted lists, one after the other: sets by their place in the order of sizes
     holders = np.repeat(np.arange(len(sets)), sizes)[np.argsort(local, kind="stable")]
+    index = {v: holders[ends[v]:ends[v + 1]] for v in np.flatnonzero(counts > 1).tolist()}
     at = np.concatenate([[0], np.cumsum(sizes)])
-    for i in range(len(sets)):
-        if two and side[i]:
+    for p, i in enumerate(order.tolist()):
+        allowed = 100 * sizes[:p] >= threshold * sizes[p]          # smaller sets that can reach the threshold
+        if two:
+            allowed &= side[:p] != side[p]
+        if not allowed.any():
             continue
-        own = local[at[i]:at[i + 1]]
-        own = own[counts[own] > 1]
-        if not len(own):
-            continue
-        seen = np.bincount(np.concatenate([holders[ends[v]:ends[v + 1]] for v in own.tolist()]), minlength=len(sets))
-        seen[side == 0 if two else np.arange(len(sets)) <= i] = 0
-        others = np.flatnonzero((seen > 0) & (100 * seen >= threshold * (sizes[i] + sizes - seen)))
-        if len(others):
-            yield i, others, seen[others]
+        needed = overlap_needed(int(sizes[:p][allowed].min()), int(sizes[p]), threshold)
+        found = [(q, c) for q, c in divide_skip(local[at[p]:at[p + 1]], index, needed, allowed)
+                 if c >= overlap_needed(int(sizes[q]), int(sizes[p]), threshold)]
+        if found:
+            others, overlaps = np.array(found, np.int64).T
+            yield i, order[others], overlaps
 
 
 def _links(found: Found, k: int, threshold: int, count: bool) -> DataFrame:
     """(a, b, overlap), a < b, of all linked classes, or with ``count`` (id, n_links) of those with a link."""
-    sizes = found.parts.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / LINK_BLOCK).cast("int").alias("blocks"))
+    weighed = found.parts.join(found.classes.select(F.col("class_id").alias("node"), "n"), "node")
+    sizes = weighed.groupBy("component").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / LINK_BLOCK, 2 * F.sum("n") / CELL_SHINGLES)).cast("int").alias("blocks"))
     placed = found.parts.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = other.select(F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
@@ -438,6 +500,12 @@ def _links(found: Found, k: int, threshold: int, count: bool) -> DataFrame:
     return got.groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("n_links")) if count else got
 
 
+def _part(order: WindowSpec) -> Column:
+    """The cell of a pivot's partner: at most CELL of them, and about CELL_SHINGLES shingles (of ``n`` each)."""
+    before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    return F.struct(F.floor((F.row_number().over(order) - 1) / CELL), F.floor(before / CELL_SHINGLES))
+
+
 def _components(docs: DataFrame, k: int, threshold: int, id_col: str, text_col: str) -> Found:
     spark = docs.sparkSession
     prepare(spark)
@@ -445,18 +513,14 @@ def _components(docs: DataFrame, k: int, threshold: int, id_col: str, text_col:
     # the texts are read three times: for the sets' digests, for their prefixes, and those of the cells for their sets
     first = written(shingle_sets(base, k), "shingle-sets")
     sets = first.where("n is not null").select("id", "n", "digest_a", "digest_b")
-    frequent = (first.where("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen"))
-                .orderBy(F.desc("seen"), "shingle").limit(FREQUENT).toPandas())
-    by_count = frequent["seen"].rank(method="first").to_numpy(np.int64)     # rarer first
-    known = frequent["shingle"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(known)
-    sent = spark.sparkContext.broadcast((known[order], by_count[order]))
+    sent = spark.sparkContext.broadcast(slot_ranks(first.where("slice is not null")))
 
     usable = sets.where("id is not null and n > 0")
     classes = written(usable.groupBy("digest_a", "digest_b", "n").agg(F.min("id").alias("class_id")), "classes")
     grouped = Window.partitionBy("shingle")
     keys = ["digest_a", "digest_b", "n"]
-    shared = (prefixes(base.where("id is not null"), k, threshold, sent).distinct()
+    # one shuffle, on shingles, serves the distinct rows as well as the windows
+    shared = (prefixes(base.where("id is not null"), k, threshold, sent).repartition("shingle").distinct()
               .withColumn("m", F.count(F.lit(1)).over(grouped)).where("m > 1").join(classes, keys)
               .withColumnRenamed("class_id", "id"))
     shared = written(shared.select("shingle", "id", "n", "m", F.min("id").over(grouped).alias("pivot")),
@@ -468,8 +532,7 @@ def _components(docs: DataFrame, k: int, threshold: int, id_col: str, text_col:
     sizes = shared.groupBy("id").agg(F.first("n").alias("pivot_n")).withColumnRenamed("id", "pivot")
     spokes = shared.where("id <> pivot").select("pivot", "id", "n").distinct().join(sizes, "pivot")
     spokes = spokes.where(F.least("n", "pivot_n") * 100 >= threshold * F.greatest("n", "pivot_n"))
-    number = F.row_number().over(Window.partitionBy("pivot").orderBy("n", "id"))
-    spokes = spokes.select("pivot", "id", F.floor((number - 1) / CELL).alias("part"))
+    spokes = spokes.select("pivot", "id", _part(Window.partitionBy("pivot").orderBy("n", "id")).alias("part"))
     cells = spokes.select(F.xxhash64("pivot", "part").alias("cell"), "id").unionAll(
         spokes.select(F.xxhash64("pivot", "part").alias("cell"), F.col("pivot").alias("id")).distinct())
     cells = written(hopeful(cells.withColumn("grp", F.col("id")), histograms, threshold), "cells")
@@ -500,8 +563,7 @@ def _components(docs: DataFrame, k: int, threshold: int, id_col: str, text_col:
         "cell", "m.id", "m.grp")
     # the same pair meets under many shingles: it is searched once, with others of its smaller id
     pairs = written(hopeful_pairs(cells, histograms, threshold), "more-pairs")
-    number = F.row_number().over(Window.partitionBy("a").orderBy("b"))
-    pairs = pairs.select(F.xxhash64("a", F.floor((number - 1) / CELL)).alias("cell"), "a", "b")
+    pairs = pairs.select(F.xxhash64("a", _part(Window.partitionBy("a").orderBy("b"))).alias("cell"), "a", "b")
     cells = pairs.select("cell", F.col("b").alias("id")).unionAll(pairs.select("cell", F.col("a").alias("id")).distinct())
     cells = cells.withColumn("grp", F.col("id"))
     more = written(search_cells(cells, base, k, threshold).select("a", "b"), "more-links")

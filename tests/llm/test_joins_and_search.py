@@ -137,6 +137,22 @@ def test_divide_skip_counts_what_sets_share():
             want = [(p, c) for p, c in brute if c >= needed]
             got = dict(ngram_join.divide_skip(q, index, needed, everyone))
             assert set(got) == {p for p, _ in want}
+            arrays = {x: np.array(entry) for x, entry in index.items()}
+            assert ngram_join.divide_skip(q, arrays, needed, everyone) == want          # whole overlaps, probed in arrays
+            some = np.arange(50) % 3 > 0                                                # numbers beyond its end are of none
+            assert ngram_join.divide_skip(q, arrays, needed, some) == [x for x in want if x[0] < 50 and x[0] % 3]
+
+
+def test_slots_are_ranked_by_the_documents_of_all_tasks(spark):
+    rows = [(i, f"common words here {i}" + (" rare one there" if i < 3 else "")) for i in range(200)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    counted = ngram_join.shingle_sets(docs, 3).where("slice is not null")
+    ranks = ngram_join.slot_ranks(counted)
+    make = ngram_join.Shingler(3)
+    rank = {t: int(ranks[ngram_join.slots_of(make.hashes(t))][0]) for t in ("common words here", "rare one there", "none of these")}
+    assert rank == {"common words here": int(8 * np.log2(201)), "rare one there": int(8 * np.log2(4)), "none of these": 0}
+    none = ngram_join.slot_ranks(ngram_join.shingle_sets(docs.where("id < 0"), 3).where("slice is not null"))
+    assert not none.any() and len(none) == ngram_join.SLOTS
 
 
 def test_histograms_never_rule_out_a_link():
