@@ -597,6 +597,31 @@ def stream_running_sum(spark, base):
     return spark.read.parquet(f"{scratch}/out").select("event_id", "running_sum")
 
 
+@query("stream_snapshot_per_event", _ORACLES["snapshot_per_event"])
+def stream_snapshot_per_event(spark, base):
+    """A5 as a stream: the whole count map after every event, counts carried across micro-batches."""
+    def run(events, scratch):
+        writer = S.SnapshotWriter("word", ["event_id"], f"{scratch}/out", f"{scratch}/state", name="word_count")
+        return S.start_running_totals(events.select("event_id", F.col("event_type").alias("word")), writer,
+                                      f"{scratch}/checkpoint", available_now=True)
+
+    scratch = _in_slices(spark, base, "events", "event_id", run)
+    return spark.read.parquet(f"{scratch}/out").select("event_id", "word", "word_count")
+
+
+@query("stream_replicated_source_sharded_sum", _ORACLES["replicated_source_sharded_sum"])
+def stream_replicated_source_sharded_sum(spark, base):
+    """G5 as a stream: two copies of the source dealt over four tasks, numbers and sums carried in one state."""
+    def run(events, scratch):
+        writer = S.ShuffledSumWriter("num", ["event_id"], COPIES_TASKS, f"{scratch}/out", f"{scratch}/state",
+                                     instances=SOURCE_COPIES)
+        rows = events.select("event_id", F.col("user_id").alias("num"))
+        return S.start_running_totals(rows, writer, f"{scratch}/checkpoint", available_now=True)
+
+    scratch = _in_slices(spark, base, "events", "event_id", run)
+    return spark.read.parquet(f"{scratch}/out").select("event_id", "instance", "task", "num", "running_sum")
+
+
 @query("stream_dead_letter", _ORACLES["dead_letter"])
 def stream_dead_letter(spark, base):
     """T3/T4 as a stream: receipts, acknowledged rows and dead letters per micro-batch."""

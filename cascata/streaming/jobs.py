@@ -119,7 +119,7 @@ class OutcomeRouter:
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        if self.commits and (self.commits.last(spark) or -1) >= batch_id and batch_id in self.commits.numbers(spark):
+        if self.commits and batch_id in self.commits.numbers(spark):
             return
         batch = self.prepare(batch_df) if self.prepare else batch_df
         routed = batch.withColumn("outcome", self.outcome(batch)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -223,6 +223,8 @@ class DeadLetterBook:
         last = self.replays.last(spark)
         if last is not None and last >= replay_id:
             return {k: v for k, v in self.replays.counts(spark, last).items() if k != "through"} if last == replay_id else {}
+        if last is None and not any(n.startswith("batch_id=") for n in paths.children(spark, self.dead_path)):
+            return {"resolved": 0, "failing": 0}        # no message has failed so far
         pending, newest = self._pending(spark, last)
         tried = pending.withColumn("outcome", outcome(pending)).withColumn("attempts", F.col("attempts") + 1)
         tried = tried.persist(StorageLevel.MEMORY_AND_DISK)

@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 from cascata.operators.prefix import (SKETCH_FAN_IN, bucket_boundaries, dense_boundaries, order_boundaries,
                                       running_totals)
+from cascata.operators.running import snapshot_per_event
+from cascata.operators.sequence import replicate
 from cascata.operators.sharding import NUM, shard_task
 from cascata.sinks import paths
 from cascata.sinks.files import BatchPartitionSink
@@ -161,18 +163,25 @@ class ShuffledSumWriter(RunningTotalsWriter):
     the task ``number mod n_tasks``.  Both continue from one state table, a row per task with its rows and its sum: the
     rows of all tasks together are the last number given.  So there is one state version per batch, written last, and no
     crash leaves one step ahead of the other.
+
+    With ``instances`` the source runs that many times, as in ``replicated_source_sharded_sum``: row ``n`` (from 0) of
+    copy ``i`` has position ``instances * n + i`` and goes to task ``position mod n_tasks``.  A checkpoint's number of
+    instances and tasks stays as it was when its state was begun.
     """
 
     ROWS = "_rows"
 
     def __init__(self, value: str, order_by: Sequence[str], n_tasks: int, sink: Callable[[DataFrame, int], None] | str,
                  state_path: str, name: str = "running_sum", task_name: str = "task", retain: int = 2,
-                 prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
+                 prepare: Callable[[DataFrame], DataFrame] | None = None, instances: int | None = None,
+                 instance_name: str = "instance") -> None:
         super().__init__({name: value, self.ROWS: F.lit(1)}, order_by, sink, state_path, [task_name], retain, prepare,
                          state_buckets=1)
         self.n_tasks = n_tasks
         self.task_name = task_name
         self.name = name
+        self.instances = instances
+        self.instance_name = instance_name
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
@@ -182,13 +191,20 @@ class ShuffledSumWriter(RunningTotalsWriter):
             manifest = self.manifest_before(spark, batch_id)
             prev = self._totals(spark, manifest, [0])
             given = prev.agg(F.coalesce(F.sum(self.ROWS), F.lit(0))).first()[0] if prev is not None else 0
+            given //= self.instances or 1           # the state counts every copy
             new = batch.count()
             numbered = running_totals(batch, {NUM: F.lit(1)}, self.order_by,
                                       boundaries=order_boundaries(batch, self.order_by, rows=new))
-            dealt = (numbered.withColumn(NUM, F.col(NUM) + F.lit(given).cast("bigint"))
-                     .withColumn(self.task_name, shard_task(NUM, self.n_tasks)).persist(StorageLevel.MEMORY_AND_DISK))
+            numbered = numbered.withColumn(NUM, F.col(NUM) + F.lit(given).cast("bigint"))
+            order, position = [NUM], F.col(NUM)
+            if self.instances:
+                numbered = replicate(numbered, self.instances, self.instance_name)
+                order = [NUM, self.instance_name]
+                position = (F.col(NUM) - 1) * F.lit(self.instances) + F.col(self.instance_name)
+            dealt = (numbered.withColumn(self.task_name, shard_task(position, self.n_tasks))
+                     .persist(StorageLevel.MEMORY_AND_DISK))
             bounds = [b + given for b in dense_boundaries(new, min_buckets=spark.sparkContext.defaultParallelism)]
-            out = running_totals(dealt, {self.name: self.sums[self.name]}, [NUM], [self.task_name],
+            out = running_totals(dealt, {self.name: self.sums[self.name]}, order, [self.task_name],
                                  initial=None if prev is None else prev.select(self.task_name, self.name),
                                  boundaries=bounds, split_all=True)
             self.sink(out.drop(NUM), batch_id)
@@ -200,6 +216,35 @@ class ShuffledSumWriter(RunningTotalsWriter):
             batch.unpersist()
 
 
+class SnapshotWriter(RunningTotalsWriter):
+    """``foreachBatch``: after every event the whole count map, over all events of the stream so far.
+
+    A micro-batch's events are written out by ``snapshot_per_event`` from the counts that earlier batches left.  All of
+    those are read, as every event shows every key; only the buckets of the batch's own keys are written anew.
+    """
+
+    def __init__(self, key: str, order_by: Sequence[str], sink: Callable[[DataFrame, int], None] | str, state_path: str,
+                 name: str = "count", retain: int = 2, prepare: Callable[[DataFrame], DataFrame] | None = None,
+                 state_buckets: int = 64) -> None:
+        super().__init__({name: F.lit(1)}, order_by, sink, state_path, [key], retain, prepare, state_buckets)
+        self.key = key
+        self.name = name
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        batch = (self.prepare(batch_df) if self.prepare else batch_df).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            manifest = self.manifest_before(spark, batch_id)
+            n_buckets = manifest["n_buckets"] if manifest else self.state_buckets
+            touched = sorted(r[0] for r in batch.select(self._bucket(n_buckets)).distinct().collect())  # <= n_buckets
+            every = self._totals(spark, manifest, list(range(n_buckets)))
+            self.sink(snapshot_per_event(batch, self.key, self.order_by, self.name, initial=every), batch_id)
+            self._save(batch, self._totals(spark, manifest, touched), manifest, touched, n_buckets, batch_id)
+            self._prune(spark)
+        finally:
+            batch.unpersist()
+
+
 def start_running_totals(stream: DataFrame, writer: RunningTotalsWriter, checkpoint: str,
                          query_name: str | None = None, available_now: bool = False,
                          processing_time: str | None = None):

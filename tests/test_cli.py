@@ -99,3 +99,100 @@ def test_running_count_job_into_jdbc(spark, tmp_path):
               "--jdbc-url", url, "--jdbc-driver", driver])
     rows = read_jdbc(spark, url, "wc", {"driver": driver}).collect()
     assert sorted((r.word, r.word_count) for r in rows) == [("apple", 1), ("apple", 2), ("orange", 1)]
+
+
+def _slices(spark, tmp_path, name, table, cuts, column):
+    """The table's rows as parts of one folder, one file a slice."""
+    src = str(tmp_path / name)
+    for lo, hi in zip([-1, *cuts], [*cuts, 10 ** 12]):
+        table.where((F.col(column) > lo) & (F.col(column) <= hi)).coalesce(1).write.mode("append").parquet(src)
+    return src
+
+
+def test_running_sum_streams_equal_the_batch_jobs(spark, tmp_path):
+    ev = spark.read.parquet(f"{BASE}/events.parquet").select("event_id", "user_id", "event_type").where("event_id < 300")
+    src = _slices(spark, tmp_path, "src", ev, [90, 91, 200], "event_id")
+    base = ["running-sum", "--input", src, "--order", "event_id", "--value", "user_id", "--key", "event_type"]
+    for grouping in ("global", "key", "shuffle", "fields", "all", "replicated-source"):
+        out = [str(tmp_path / f"{grouping}-{kind}") for kind in ("batch", "stream")]
+        more = ["--grouping", grouping, "--tasks", "4"]
+        cli.main([*base, *more, "--output", out[0]])
+        for _ in range(2):          # the second run finds nothing new
+            cli.main([*base, *more, "--output", out[1], "--checkpoint", str(tmp_path / f"{grouping}-ck"), "--state",
+                      str(tmp_path / f"{grouping}-state"), "--available-now"])
+        batch, stream = spark.read.parquet(out[0]), spark.read.parquet(out[1])
+        assert _same(stream.select(*batch.columns), batch), grouping
+
+
+def test_running_sum_asks_for_what_it_needs(spark, tmp_path):
+    import pytest
+    base = ["running-sum", "--input", "x", "--output", "y", "--order", "a", "--value", "b"]
+    with pytest.raises(SystemExit):
+        cli.main([*base, "--grouping", "key"])
+    with pytest.raises(SystemExit):
+        cli.main([*base, "--checkpoint", str(tmp_path / "ck")])
+
+
+def test_tracked_sum_and_replays(spark, tmp_path, capsys):
+    import json
+    rows = [(i, (i * 7) % 31 - 3) for i in range(200)] + [(200, None)]
+    table = spark.createDataFrame(rows, "id long, num long")
+    src, out = _slices(spark, tmp_path, "src", table, [70, 150], "id"), str(tmp_path / "out")
+    for _ in range(2):
+        cli.main(["tracked-sum", "--input", src, "--output", out, "--id", "id", "--value", "num", "--checkpoint",
+                  str(tmp_path / "ck"), "--state", str(tmp_path / "state"), "--available-now"])
+    total, sums = 0, {}
+    for i, v in rows:
+        total += v or 0
+        sums[i] = total
+    good = {i for i, v in rows if v is not None and 0 < v <= 10}
+    receipts = {r.id: r.outcome for r in spark.read.parquet(f"{out}/receipts").collect()}
+    assert receipts == {i: "ack" if i in good else "fail" for i, _ in rows}
+    assert {r.id: r.running_sum for r in spark.read.parquet(f"{out}/ok").collect()} == {i: sums[i] for i in good}
+    dead = {r.id: r.running_sum for r in spark.read.parquet(f"{out}/dead").collect()}
+    assert dead == {i: s for i, s in sums.items() if i not in good}
+    capsys.readouterr()
+    replay = ["replay", "--output", out, "--value", "num", "--high", "20"]
+    wider = {i for i, v in rows if v is not None and 10 < v <= 20}
+    left = len(rows) - len(good) - len(wider)
+    cli.main(replay)
+    assert json.loads(capsys.readouterr().out) == {"replay_id": 0, "resolved": len(wider), "failing": left}
+    cli.main([*replay, "--replay-id", "0"])         # done already
+    assert json.loads(capsys.readouterr().out) == {"replay_id": 0, "resolved": len(wider), "failing": left}
+    cli.main(replay)
+    assert json.loads(capsys.readouterr().out) == {"replay_id": 1, "resolved": 0, "failing": left}
+    assert {r.id for r in spark.read.parquet(f"{out}/replayed").collect()} == wider
+
+
+def test_replay_where_nothing_failed(spark, tmp_path, capsys):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    spark.createDataFrame([(1, 1), (2, 10)], "id long, num long").write.parquet(src)
+    cli.main(["tracked-sum", "--input", src, "--output", out, "--id", "id", "--value", "num", "--checkpoint",
+              str(tmp_path / "ck"), "--state", str(tmp_path / "state"), "--available-now"])
+    capsys.readouterr()
+    cli.main(["replay", "--output", out, "--value", "num"])
+    assert '"resolved": 0, "failing": 0' in capsys.readouterr().out
+
+
+def test_snapshots_of_lines_across_runs(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    run = ["running-count", "--snapshots", "--input", str(src), "--output", out, "--state", str(tmp_path / "state"),
+           "--checkpoint", str(tmp_path / "ck"), "--available-now"]
+    (src / "a.txt").write_text("apple\norange\napple\n")
+    cli.main(run)
+    (src / "b.txt").write_text("banana\napple")
+    cli.main(run)
+    got = spark.read.parquet(out).groupBy("batch_id", "seq").agg(F.map_from_entries(F.sort_array(F.collect_list(
+        F.struct("word", "word_count")))).alias("m")).orderBy("batch_id", "seq").collect()
+    assert [dict(r.m) for r in got] == [{"apple": 1}, {"apple": 1, "orange": 1}, {"apple": 2, "orange": 1},
+                                        {"apple": 2, "banana": 1, "orange": 1}, {"apple": 3, "banana": 1, "orange": 1}]
+
+
+def test_jdbc_connection_from_a_file(spark, tmp_path):
+    file = tmp_path / "connection.properties"
+    file.write_text("# connection\nurl = jdbc:x:y;a=b\nuser=me\npassword: s\\=1\ndriver=D\n")
+    url, properties = cli.jdbc_connection(spark, None, None, str(file))
+    assert url == "jdbc:x:y;a=b" and properties == {"user": "me", "password": "s=1", "driver": "D"}
+    assert cli.jdbc_connection(spark, "jdbc:z", "E", str(file)) == ("jdbc:z", {"user": "me", "password": "s=1", "driver": "E"})
+    assert cli.jdbc_connection(spark, None, None, None) == (None, {})

@@ -93,6 +93,29 @@ def test_streamed_shuffle_grouping_of_sparse_ids_and_a_crash(spark, tmp_path):
     assert rows_of(batch) == rows_of(got)
 
 
+def test_streamed_snapshots_and_a_crash(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["a", "b", "c", None, f"k{i % 40}"])) for i in range(120)]
+    frame = spark.createDataFrame(rows, "id long, w string")
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    writer = S.SnapshotWriter("w", ["id"], out, state, state_buckets=4)
+    for b, (lo, hi) in enumerate([(0, 50), (50, 51), (51, 90), (90, 120)]):
+        batch = frame.where((F.col("id") >= lo) & (F.col("id") < hi)).repartition(3)
+        if b == 2:          # the output is there, the state isn't
+            sink = writer.sink
+            writer.sink = lambda df, n: (sink(df, n), (_ for _ in ()).throw(RuntimeError("crash")))
+            with pytest.raises(RuntimeError):
+                writer(batch, b)
+            writer.sink = sink
+        writer(batch, b)
+    writer(frame.limit(0), 4)
+    want, counts = [], {}
+    for i, w in rows:
+        counts[w] = counts.get(w, 0) + 1
+        want += [(i, k, n) for k, n in counts.items()]
+    assert rows_of(spark.read.parquet(out).select("id", "w", "count")) == sorted(want, key=str)
+
+
 def test_carried_totals_of_hot_and_small_groups(spark):
     rows = [(i, "hot" if i % 2 else f"k{i % 60}", i) for i in range(4000)] + [(5000, None, 7)]
     frame = spark.createDataFrame(rows, "id long, k string, v long")
