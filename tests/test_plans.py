@@ -94,6 +94,12 @@ def test_snapshots_are_neither_shuffled_nor_sorted_once_written_out(spark):
         assert "Exchange" not in above and "Sort" not in above and "Window" not in above, name
 
 
+def test_snapshots_are_written_out_without_copies_of_their_pages(spark):
+    for name in ("snapshot_per_event", "snapshot_per_event_many_keys"):
+        text = plan(catalog.queries()[name](spark, BASE))
+        assert "Generate explode(sequence(" in text and "slice(" not in text, name
+
+
 def test_small_groups_get_the_plain_keyed_window(spark):
     from cascata import operators as O
     df = spark.range(0, 20_000).select("id", (F.col("id") % 5_000).alias("k"))
