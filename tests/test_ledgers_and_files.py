@@ -9,6 +9,7 @@ from cascata import functions as X
 from cascata import operators as O
 from cascata import streaming as S
 from cascata.functions import sql as sql_functions
+from cascata.plans import catalog
 from cascata.sinks import RollingTextWriter, paths, with_file_number, write_rolled_text
 
 
@@ -254,6 +255,18 @@ def test_a_failing_file_is_kept_and_read_once_mended(spark, tmp_path):
     assert states()["bad.txt"] == ("done", 3)
 
 
+def test_failing_files_are_more_where_there_is_more_text(spark, monkeypatch):
+    base = "/root/testdata/sf0.001"
+    size = spark.read.parquet(f"{base}/documents.parquet").agg(F.sum(F.octet_length("text") + 1)).first()[0]
+    few = catalog.stream_failing_files(spark, base)
+    monkeypatch.setattr(catalog, "TEXT_FILE_BYTES", size // 9 + 1)
+    more = catalog.stream_failing_files(spark, base)
+    assert rows_of(few) == rows_of(more)
+    for got, files in ((few, 4), (more, 9)):
+        ledger = S.FileLedger(got.inputFiles()[0].split("/out/")[0] + "/ledger", "", "").read(spark)
+        assert sorted(r["state"] for r in ledger.collect()) == ["done"] * files
+
+
 # ---- functions in SQL ---------------------------------------------------------------
 
 LINES = ["a,b,,", "", ",", ",,,", ",a", "a,,b", "a", None, " a , b ", "é,ü,,x,"]
