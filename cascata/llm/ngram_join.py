@@ -25,11 +25,15 @@
    connected inside the cell are not looked up again, so a cell returns at most
    one edge per set.
 4. Links become components.  Where a shingle's classes still lie in more than
-   one component, pairs that met no pivot remain: its classes are cut into
-   blocks, every pair of blocks is a cell, and the pairs of different components
-   that their histograms leave within reach are searched, each once.  So each
-   pair that shares a prefix shingle is searched, already connected, or ruled
-   out by its histograms.
+   one component, pairs that met no pivot remain: those of the shingle's largest
+   component and the others are cut into blocks of ``BLOCK`` classes or about
+   ``CELL_SHINGLES`` shingles, every pair of blocks but two of the largest
+   component is a cell, and the cell's sets are searched that have a partner of
+   another component within reach of their histograms and share no earlier such
+   shingle with it.  Rows are classes of a cell, never pairs: they grow with a
+   group's size times the blocks of its classes outside its largest component.
+   So each pair that shares a prefix shingle is searched, already connected, or
+   ruled out by its histograms.
 5. Where all links are asked for (``linked``, the links counted by ``join``):
    a link lies within a component, so each component's classes are dealt by
    hash to blocks of about ``LINK_BLOCK`` or ``CELL_SHINGLES`` shingles, every
@@ -75,8 +79,10 @@ CELL = 48
 CELL_SHINGLES = 1 << 20
 # Cost of probing a long list against that of merging it: lists are probed one by one, arrays with all candidates at once.
 LIST_PROBE, ARRAY_PROBE = 0.1, 0.002
-# Classes of a shingle that are compared by their histograms at a time.
-BLOCK = 256
+# Classes of a shingle in a block of those that are compared by their histograms.
+BLOCK = 2048
+# Earlier shingles of a class by which a pair is known to meet elsewhere; it saves work only.
+EARLIER = 64
 # Classes of a component in a block of the search for all its links.
 LINK_BLOCK = 512
 # Ids of the documents whose sets a search fetches, 8 bytes each, up to which they are broadcast.
@@ -133,23 +139,37 @@ def _counts(packed: bytes) -> np.ndarray:
 
 def could_link(histograms: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
     """The pairs whose sizes and histograms leave the threshold within reach."""
+    return [(i, j) for i, others in within_reach(histograms, threshold) for j in others.tolist()]
+
+
+def within_reach(histograms: list[np.ndarray], threshold: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, others): every pair whose sizes and histograms leave the threshold within reach, once."""
     sizes = np.array([int(h.sum()) for h in histograms])
     order = np.argsort(sizes, kind="stable")
     ascending = sizes[order]
     # partners of larger size, as far as the sizes allow
     last = np.searchsorted(100 * ascending, 100 * (100 * ascending // threshold), side="right")
-    out = []
-    for p, i in enumerate(order):
-        others = order[p + 1:last[p]]
-        if not len(others):
+    # larger sets have as many ranges or more: sets of equally many lie one after the other
+    widths = np.array([len(histograms[i]) for i in order])
+    first = np.flatnonzero(np.diff(widths, prepend=0))
+    tables = [(a, b, np.stack([histograms[i] for i in order[a:b]]).astype(np.int32))
+              for a, b in zip(first.tolist(), [*first[1:].tolist(), len(order)])]
+    width = 0
+    for p, i in enumerate(order.tolist()):
+        if last[p] <= p + 1:
             continue
-        own = histograms[i].astype(np.int32)
-        # fold the finer ones: a range of the smaller set's histogram is the sum of its parts
-        folded = np.stack([histograms[j].reshape(len(own), -1).sum(axis=1, dtype=np.int32) for j in others])
-        most = np.minimum(own, folded).sum(axis=1, dtype=np.int64)
+        if widths[p] != width:
+            # fold the finer ones: a range of the smaller set's histogram is the sum of its parts
+            width = int(widths[p])
+            folded = [(a, b, t.reshape(b - a, width, -1).sum(axis=2, dtype=np.int32))
+                      for a, b, t in tables if t.shape[1] >= width and a < last[p:][widths[p:] == width].max()]
+            own_at, own = next((a, t) for a, _, t in folded)
+        most = np.concatenate([np.minimum(own[p - own_at], t[max(0, p + 1 - a):last[p] - a]).sum(axis=1, dtype=np.int64)
+                               for a, b, t in folded if b > p + 1 and a < last[p]])
+        others = order[p + 1:last[p]]
         within = 100 * most >= threshold * (sizes[i] + sizes[others] - most)
-        out += [(int(i), int(j)) for j in others[within]]
-    return out
+        if within.any():
+            yield i, others[within]
 
 
 def overlap_needed(a: int, b: int, threshold: int) -> int:
@@ -175,21 +195,22 @@ def divide_skip(query: np.ndarray, index: dict, needed: int, allowed: np.ndarray
     arrays = not isinstance(lists[-1], list)
     n_long = min(needed - 1, int(needed / ((ARRAY_PROBE if arrays else LIST_PROBE) * math.log2(longest + 1) + 1)))
     short, long = lists[:len(lists) - n_long], lists[len(lists) - n_long:]
-    if arrays:
-        short = [entry[:np.searchsorted(entry, len(allowed))].tolist() for entry in short]
-    found, counts = [], []
-    for number, run in groupby(heapq.merge(*short)):
-        count = len(list(run))
-        if count >= needed - n_long and allowed[number]:
-            found.append(number)
-            counts.append(count)
-    if not long or not found:
-        return list(zip(found, counts))
     if not arrays:
+        found, counts = [], []
+        for number, run in groupby(heapq.merge(*short)):
+            count = len(list(run))
+            if count >= needed - n_long and allowed[number]:
+                found.append(number)
+                counts.append(count)
         return [(number, total) for number, count in zip(found, counts)
                 if (total := _probed(long, number, count, needed)) >= needed]
-    # many candidates against long arrays: all of them probe a list at once
-    candidates, totals = np.array(found), np.array(counts)
+    # arrays are merged by counting, and all candidates probe a long one at once
+    merged = np.concatenate([entry[:np.searchsorted(entry, len(allowed))] for entry in short])
+    totals = np.bincount(merged, minlength=len(allowed))
+    candidates = np.flatnonzero((totals >= needed - n_long) & allowed)
+    if not len(candidates):
+        return []
+    totals = totals[candidates]
     for left, entry in zip(range(n_long - 1, -1, -1), long):
         at = np.searchsorted(entry, candidates)
         totals += entry[np.minimum(at, len(entry) - 1)] == candidates
@@ -218,7 +239,8 @@ def search(sets: list[np.ndarray], threshold: int, group: list[int] | None = Non
     ``group`` numbers sets that are known to be connected already.
     """
     n = len(sets)
-    parent = list(range(n)) if group is None else [group.index(g) for g in group]
+    first: dict[int, int] = {}
+    parent = list(range(n)) if group is None else [first.setdefault(g, i) for i, g in enumerate(group)]
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -232,9 +254,12 @@ def search(sets: list[np.ndarray], threshold: int, group: list[int] | None = Non
     shared = set(values[counts > 1].tolist())
     kept = [[s for s in own.tolist() if s in shared] for own in sets]
     order = sorted(range(n), key=lambda i: (sizes[i], i))
-    index: dict[int, list[int]] = {}
+    index: dict[int, list[int] | np.ndarray] = {}
     links = []
     place = {i: p for p, i in enumerate(order)}
+    many = n > CELL + 1
+    if many:            # arrays, as in ``all_links``: numbers from the query's own on are not allowed
+        index = inverted([np.array(kept[i], np.uint64) for i in order])
     roots = np.array([place[root(i)] for i in order])
     for p, i in enumerate(order):
         own = sizes[i]
@@ -249,11 +274,20 @@ def search(sets: list[np.ndarray], threshold: int, group: list[int] | None = Non
                     if count >= overlap_needed(int(sizes[j]), int(own), threshold) and roots[p] != roots[q]:
                         links.append((i, j, count))
                         roots[roots == roots[q]] = roots[p]
-        for s in kept[i]:
+        for s in () if many else kept[i]:
             index.setdefault(s, []).append(p)
     return links
 
 
+def inverted(sets: list[np.ndarray]) -> dict[int, np.ndarray]:
+    """shingle -> ascending numbers of the sets that hold it."""
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    holders = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[order]
+    distinct, at = np.unique(values[order], return_index=True)
+    return dict(zip(distinct.tolist(), np.split(holders, at[1:])))
+
+
 def slots_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
 
@@ -392,22 +426,28 @@ def _by_cell(rows: DataFrame, work, schema: str) -> DataFrame:
 def hopeful(cells: DataFrame, histograms: DataFrame, threshold: int) -> DataFrame:
     """The rows of ``cells`` (cell, id, grp) that have a partner within reach."""
     def work(members: list[tuple]) -> list[tuple]:
-        pairs = could_link([_counts(d) for _, _, d in members], threshold)
-        return [(*members[i][:2], 0) for i in sorted({x for p in pairs for x in p})]
+        near = {x for i, others in within_reach([_counts(d) for _, _, d in members], threshold) for x in (i, *others.tolist())}
+        return [(*members[i][:2], 0) for i in sorted(near)]
 
     rows = cells.join(histograms.select("id", F.col("ranges").alias("data")), "id")
     return _by_cell(rows, work, "id, grp, none").select("cell", "id", "grp")
 
 
-def hopeful_pairs(cells: DataFrame, histograms: DataFrame, threshold: int) -> DataFrame:
-    """(a, b, n), a < b: distinct pairs of different ``grp`` within reach in some cell, n the larger set's size."""
+def hopeful_across(cells: DataFrame, histograms: DataFrame, threshold: int) -> DataFrame:
+    """The rows of ``cells`` (cell, id, grp, earlier) that have a partner of another ``grp`` within reach which shares
+    none of their ``earlier`` shingles; with such a partner they meet in an earlier shingle's cell."""
     def work(members: list[tuple]) -> list[tuple]:
-        counts = [_counts(d) for _, _, d in members]
-        return [(members[i][0], members[j][0], max(int(counts[i].sum()), int(counts[j].sum())))
-                for i, j in could_link(counts, threshold) if members[i][1] != members[j][1]]
-
-    rows = cells.join(histograms.select("id", F.col("ranges").alias("data")), "id")
-    return _by_cell(rows, work, "x, y, n").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "n").distinct()
+        earlier = [frozenset(d["earlier"]) for _, _, d in members]
+        groups = np.array([g for _, g, _ in members])
+        near = set()
+        for i, others in within_reach([_counts(d["ranges"]) for _, _, d in members], threshold):
+            met = [j for j in others[groups[others] != groups[i]].tolist() if earlier[i].isdisjoint(earlier[j])]
+            near.update(met, [i] if met else [])
+        return [(*members[i][:2], 0) for i in sorted(near)]
+
+    rows = cells.join(histograms.select("id", "ranges"), "id")
+    rows = rows.select("cell", "id", "grp", F.struct("ranges", "earlier").alias("data"))
+    return _by_cell(rows, work, "id, grp, none").select("cell", "id", "grp")
 
 
 class Found(NamedTuple):
@@ -500,10 +540,10 @@ def _links(found: Found, k: int, threshold: int, count: bool) -> DataFrame:
     return got.groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("n_links")) if count else got
 
 
-def _part(order: WindowSpec) -> Column:
-    """The cell of a pivot's partner: at most CELL of them, and about CELL_SHINGLES shingles (of ``n`` each)."""
+def _part(order: WindowSpec, most: int = CELL) -> Column:
+    """The cell of a pivot's partner: at most ``most`` of them, and about CELL_SHINGLES shingles (of ``n`` each)."""
     before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
-    return F.struct(F.floor((F.row_number().over(order) - 1) / CELL), F.floor(before / CELL_SHINGLES))
+    return F.struct(F.floor((F.row_number().over(order) - 1) / most), F.floor(before / CELL_SHINGLES))
 
 
 def _components(docs: DataFrame, k: int, threshold: int, id_col: str, text_col: str) -> Found:
@@ -544,28 +584,25 @@ def _components(docs: DataFrame, k: int, threshold: int, id_col: str, text_col:
               .select("shingle", "id", "n", F.coalesce("component", "id").alias("grp")))
     open_ = placed.groupBy("shingle").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi")
     rest = placed.join(open_.select("shingle"), "shingle")
-    number = F.row_number().over(Window.partitionBy("shingle").orderBy("n", "id"))
-    rest = rest.withColumn("block", F.floor((number - 1) / BLOCK)).withColumn(
-        "last", F.max("block").over(Window.partitionBy("shingle")))
-    rest = written(rest.select("shingle", "id", "n", "grp", "block", "last"), "open-shingles")
-    # blocks are by size: only pairs of blocks whose sizes can reach the threshold
-    blocks = rest.groupBy("shingle", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("last").alias("last"))
-    pairs = (blocks.select("shingle", F.col("block").alias("i"), F.col("hi").alias("hi_i"),
-                           F.explode(F.sequence("block", "last")).alias("j"))
-             .join(blocks.select("shingle", F.col("block").alias("j"), F.col("lo").alias("lo_j")), ["shingle", "j"])
-             .where(F.col("hi_i") * 100 >= threshold * F.col("lo_j")))
-    cells = pairs.select("shingle", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    cells = cells.join(rest, ["shingle", "block"]).select("shingle", "i", "j", "id", "grp")
-    # many shingles of one passage name the same classes: equal cells are searched once
-    listed = cells.groupBy("shingle", "i", "j").agg(F.sort_array(F.collect_set(F.struct("id", "grp"))).alias("members"))
-    listed = listed.where(F.size(F.array_distinct("members.grp")) > 1).select("members").distinct()
-    cells = listed.select(F.xxhash64("members").alias("cell"), F.explode("members").alias("m")).select(
-        "cell", "m.id", "m.grp")
-    # the same pair meets under many shingles: it is searched once, with others of its smaller id
-    pairs = written(hopeful_pairs(cells, histograms, threshold), "more-pairs")
-    pairs = pairs.select(F.xxhash64("a", _part(Window.partitionBy("a").orderBy("b"))).alias("cell"), "a", "b")
-    cells = pairs.select("cell", F.col("b").alias("id")).unionAll(pairs.select("cell", F.col("a").alias("id")).distinct())
-    cells = cells.withColumn("grp", F.col("id"))
+    # pairs within the shingle's largest component need no search
+    largest = (rest.groupBy("shingle", "grp").agg(F.count(F.lit(1)).alias("members")).groupBy("shingle")
+               .agg(F.max_by("grp", F.struct("members", "grp")).alias("largest")))
+    rest = rest.join(largest, "shingle").withColumn("main", F.col("grp") == F.col("largest"))
+    listed = rest.groupBy("id").agg(F.slice(F.sort_array(F.collect_list("shingle")), 1, EARLIER).alias("listed"))
+    rest = rest.join(listed, "id").withColumn("earlier", F.filter("listed", lambda x: x < F.col("shingle")))
+    block = _part(Window.partitionBy("shingle", "main").orderBy("n", "id"), BLOCK)
+    rest = written(rest.select("shingle", "id", "n", "grp", "earlier", F.struct("main", block.alias("part")).alias("block")),
+                   "open-shingles")
+    # only pairs of blocks whose sizes can reach the threshold
+    blocks = rest.groupBy("shingle", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    side = lambda x: blocks.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("block", "lo", "hi")))
+    pairs = side("i").join(side("j"), "shingle").where(
+        "block_i <= block_j and not (block_i.main and block_j.main)").where(
+        (F.col("hi_i") * 100 >= threshold * F.col("lo_j")) & (F.col("hi_j") * 100 >= threshold * F.col("lo_i")))
+    cells = pairs.select("shingle", F.xxhash64("shingle", "block_i", "block_j").alias("cell"),
+                         F.explode(F.array_distinct(F.array("block_i", "block_j"))).alias("block"))
+    cells = cells.join(rest, ["shingle", "block"]).select("cell", "id", "grp", "earlier")
+    cells = written(hopeful_across(cells, histograms, threshold), "more-cells")
     more = written(search_cells(cells, base, k, threshold).select("a", "b"), "more-links")
     if not more.isEmpty():
         parts = written(connected_components(links.unionAll(more), "a", "b"), "components")

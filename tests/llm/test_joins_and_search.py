@@ -106,6 +106,37 @@ def test_hot_group_of_near_copies_is_one_component(spark):
     assert {r["component_id"] for r in got.collect()} == {0}
 
 
+def test_rows_compared_grow_with_a_group_and_not_with_its_square(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 32)
+    search, made = ngram_join.hopeful_across, []
+    monkeypatch.setattr(ngram_join, "hopeful_across", lambda cells, *a: (made.append(cells.count()), search(cells, *a))[1])
+    for copies in (200, 400):       # one group of near copies, and texts that are near to it but linked with nothing
+        rng = random.Random(3)
+        rows = []
+        for i in range(copies + 30):
+            text = [f"t{n}" for n in range(100)]
+            for n in rng.sample(range(100), 3 if i < copies else 13):
+                text[n] = f"u{i}-{n}"
+            rows.append((i, " ".join(text)))
+        got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == {i: 0 if i < copies else i for i, _ in rows}
+    assert made[0] > 0 and made[1] < 2.6 * made[0]
+
+
+def test_search_in_arrays_finds_what_search_in_lists_does(monkeypatch):
+    rng = np.random.default_rng(7)
+    base = rng.choice(1 << 40, 60, replace=False).astype(np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, 60 - rng.integers(0, 14), replace=False),
+                                      rng.integers(0, 1 << 40, 2).astype(np.uint64)])) for _ in range(120)]
+    group = [i // 7 * 7 for i in range(120)]
+    for known in (None, group):
+        in_arrays = ngram_join.search(sets, 80, known)
+        with monkeypatch.context() as m:
+            m.setattr(ngram_join, "CELL", 1000)
+            in_lists = ngram_join.search(sets, 80, known)
+        assert in_arrays and sorted(in_arrays) == sorted(in_lists)
+
+
 def test_keep_one_keeps_columns_and_clean_rows(spark):
     rows = [(5, "a b c d e f g h", "x", 1), (3, "A b c d e f g h", "y", 2), (9, "q r s t u v w", "z", 3),
             (None, "a b c d e f g h", "n", 4), (11, None, "m", 5)]
