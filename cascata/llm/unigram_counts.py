@@ -1,7 +1,8 @@
 """Token counts under a unigram vocabulary, without building the tokens.
 
 An Aho-Corasick automaton enumerates every vocabulary match that ends at a
-position; dynamic programming over positions carries the best score so far and
+position (one-character pieces, which match nearly everywhere, are looked up in
+a table of characters instead); dynamic programming over positions carries the best score so far and
 the number of pieces on that path.  Ties are the unigram tokenizer's: starts
 are visited in ascending order and a path is replaced only by a strictly
 better one, so among equal scores the longest last piece stays.  A character
@@ -27,6 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -57,9 +59,15 @@ def vocabulary(path: str) -> list[tuple[str, float]]:
 class UnigramCounter:
     def __init__(self, entries: list[tuple[str, float]], limit: int = MEMO_SEGMENTS):
         self.automaton = ahocorasick.Automaton()
-        for i, (piece, _) in enumerate(entries):
-            self.automaton.add_word(piece, i)
+        self.singles: dict[str, float] = {}
+        for i, (piece, score) in enumerate(entries):
+            if len(piece) == 1:
+                self.singles[piece] = score
+            else:
+                self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
+        self.chars = np.array(sorted(map(ord, self.singles)), np.uint32)
+        self.char_scores = np.array([self.singles[chr(c)] for c in self.chars.tolist()])
         self.lengths = np.array([len(p) for p, _ in entries])
         self.scores = np.array([s for _, s in entries])
         self.entries = [(len(p), s) for p, s in entries]
@@ -81,6 +89,8 @@ class UnigramCounter:
             while match is not None and match[0] == end - 1:
                 here.append(self.entries[match[1]])
                 match = next(matches, None)
+            if seg[end - 1] in self.singles:
+                here.append((1, self.singles[seg[end - 1]]))
             here.sort(reverse=True)                       # longest first: ascending starts
             for length, score in here:
                 single = single or length == 1
@@ -101,23 +111,29 @@ class UnigramCounter:
         sizes = np.array([len(s) for s in segs])
         text = self.gap.join(segs)
         offsets = np.cumsum(sizes + 1) - sizes - 1        # a gap, in no vocabulary entry, keeps matches apart
-        found = np.array(list(self.automaton.iter(text)), np.int64).reshape(-1, 2)
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(text)), np.int64).reshape(-1, 2)
         ends, lengths, scores = found[:, 0], self.lengths[found[:, 1]], self.scores[found[:, 1]]
-        seg = np.searchsorted(offsets, ends, side="right") - 1
+        at_char = np.repeat(np.arange(len(segs), dtype=np.int32), sizes + 1)     # a gap counts to the segment before it
+        seg = at_char[ends]
         local = ends - offsets[seg] + 1
         n, width = len(segs), int(sizes.max()) + 1
         best = np.full((width, n), -np.inf)
         count = np.zeros((width, n), np.int64)
         best[0] = 0.0
-        single = np.zeros((width, n), bool)
-        single[local[lengths == 1], seg[lengths == 1]] = True
-        order = np.lexsort((-lengths, local))             # by end, longest first: ascending starts
-        local, lengths, seg, scores = local[order], lengths[order], seg[order], scores[order]
         code = local * (int(lengths.max(initial=0)) + 1) - lengths
+        if code.max(initial=0) < 1 << 16:
+            code = code.astype(np.uint16)                 # sorted in one pass per byte
+        order = np.argsort(code, kind="stable")           # by end, longest first: ascending starts
+        local, lengths, seg, scores = local[order], lengths[order], seg[order], scores[order]
+        code = code[order].astype(np.int64)
         cuts = np.flatnonzero(np.diff(code, prepend=-1, append=-1))
         at = 0
         points = np.frombuffer(text.encode("utf-32-le"), "<u4")
-        char_bytes = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
+        # a character's own piece is its shortest match; without one it stands alone, a token per byte
+        known = np.isin(points, self.chars)
+        alone_score = np.full(len(points), self.unknown)
+        alone_score[known] = self.char_scores[np.searchsorted(self.chars, points[known])]
+        alone_count = np.where(known, 1, 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))
         for end in range(1, width):
             while at < len(cuts) - 1 and local[cuts[at]] == end:
                 a, b = cuts[at], cuts[at + 1]
@@ -128,12 +144,13 @@ class UnigramCounter:
                 which = which[won]
                 best[end, which] = s[won]
                 count[end, which] = count[start, which] + 1
-            alone = np.flatnonzero(~single[end] & (sizes >= end))
-            s = best[end - 1, alone] + self.unknown
+            alone = np.flatnonzero(sizes >= end)
+            char = offsets[alone] + end - 1
+            s = best[end - 1, alone] + alone_score[char]
             won = s > best[end, alone]
-            alone = alone[won]
+            alone, char = alone[won], char[won]
             best[end, alone] = s[won]
-            count[end, alone] = count[end - 1, alone] + char_bytes[offsets[alone] + end - 1]
+            count[end, alone] = count[end - 1, alone] + alone_count[char]
         every = np.arange(n)
         return list(zip(count[sizes, every].tolist(), best[sizes, every].tolist()))
 
@@ -152,8 +169,8 @@ class UnigramCounter:
         memo.update((w, self.segment(MARK + w)) for w in long)
         out = []
         for parts in cut:
-            got = list(map(memo.__getitem__, parts))
-            out.append((sum(g[0] for g in got), math.fsum(g[1] for g in got), len(got)))
+            counts, scores = zip(*map(memo.__getitem__, parts)) if parts else ((), ())
+            out.append((sum(counts), math.fsum(scores), len(parts)))
         for w in long:
             del memo[w]
         return out

@@ -135,6 +135,14 @@ def test_unigram_counts_equal_the_library(frame, texts):
         assert got[i]["n_tokens"] == len(library.encode(t or "", add_special_tokens=False).ids), repr(t)
 
 
+def test_unigram_one_character_pieces_are_looked_up():
+    uni = unigram_counts.UnigramCounter(unigram_counts.vocabulary(P.path("piece_bpe_32k.model")))
+    assert "e" not in uni.automaton and "e" in uni.singles
+    rng = random.Random(5)
+    words = ["▁" + "".join(rng.choice("aeinst'é漢\U0001F600\u0e01.") for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    assert uni.segments(words) == [uni.segment(w) for w in words]
+
+
 def test_unigram_ties_keep_the_longest_last_piece():
     entries = [("<unk>", -9.0), ("▁", 0.0), ("a", -1.0), ("b", -1.0), ("c", -1.0), ("ab", -2.0), ("bc", -2.0), ("abc", -3.0)]
     one = unigram_counts.UnigramCounter(entries)
