@@ -64,14 +64,19 @@ COUNT_BUFFER = 500_000
 # Bits of size difference that make the runner-up half as likely, for the score.
 SCORE_BITS = 64.0
 
-# all but letters: what is no word character, and the digits and numeric signs among them
-_NUMERIC = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and unicodedata.category(c)[0] != "L")
-_NO_LETTER = re.compile(f"[\\W_{re.escape(_NUMERIC)}]+")
+# all but letters: what is no word character, the digits, and the few other numeric signs among word characters; those
+# are sought apart, as a class of all three tries each sign at every character
+_NO_LETTER = re.compile(r"[\W\d_]+")
+_SIGNS = frozenset(c for c in map(chr, range(sys.maxunicode + 1))
+                   if c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L")
 
 
 def normalise(text: str | None) -> str:
     """Lower-case words of letters, one space between; empty when there is no letter."""
-    return _NO_LETTER.sub(" ", text.lower()).strip() if text else ""
+    plain = (text or "").lower()
+    for sign in _SIGNS.intersection(plain):
+        plain = plain.replace(sign, " ")
+    return _NO_LETTER.sub(" ", plain).strip()
 
 
 def word_counts(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",

@@ -4,6 +4,8 @@ import base64
 import hashlib
 import random
 import re
+import time
+import unicodedata
 import zlib
 
 import numpy as np
@@ -135,6 +137,23 @@ def test_unigram_counts_equal_the_library(frame, texts):
         assert got[i]["n_tokens"] == len(library.encode(t or "", add_special_tokens=False).ids), repr(t)
 
 
+def test_normalised_texts_keep_letters_and_are_quick():
+    rng = random.Random(9)
+    signs = [chr(c) for c in range(0x3000) if not 0xD800 <= c < 0xE000] + list("漢𝟗𐄇²½Ⅷ㊀")
+    for text in ["".join(signs), *("".join(rng.choices(signs, k=60)) for _ in range(300))]:
+        kept = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in text.lower())
+        assert compression_langid.normalise(text) == " ".join(kept.split())
+    text = "éa word and ano ther, then " * 4000
+    compression_langid.normalise(text)
+    spent = []
+    for work in (lambda: compression_langid.normalise(text), lambda: re.sub(r"[\W\d_]+", " ", text.lower())):
+        start = time.process_time()
+        for _ in range(5):
+            work()
+        spent.append(time.process_time() - start)
+    assert spent[0] < 3 * spent[1]
+
+
 def test_unigram_one_character_pieces_are_looked_up():
     uni = unigram_counts.UnigramCounter(unigram_counts.vocabulary(P.path("piece_bpe_32k.model")))
     assert "e" not in uni.automaton and "e" in uni.singles
