@@ -12,7 +12,8 @@
    slot's chance neighbours add to it by the square root of the corpus, a
    passage of many documents in proportion, so passages stand out more as the
    corpus grows.  Prefix postings are narrow rows (shingle, class, size);
-   shingles with one class drop out.
+   those without another class of their shingle whose size allows a link drop
+   out, so most of what is shared by chance goes no further.
 3. Search cells: each shingle's smallest class (the pivot) with its other
    classes, at most ``CELL`` and about ``CELL_SHINGLES`` shingles at a time.  A cell first sees its sets' histograms
    (counts per range of shingle hashes, 1/32 of a set's bytes): the sum of the
@@ -24,16 +25,19 @@
    ones, and those that reach the required overlap are links.  Pairs already
    connected inside the cell are not looked up again, so a cell returns at most
    one edge per set.
-4. Links become components.  Where a shingle's classes still lie in more than
-   one component, pairs that met no pivot remain: those of the shingle's largest
-   component and the others are cut into blocks of ``BLOCK`` classes or about
-   ``CELL_SHINGLES`` shingles, every pair of blocks but two of the largest
-   component is a cell, and the cell's sets are searched that have a partner of
-   another component within reach of their histograms and share no earlier such
-   shingle with it.  Rows are classes of a cell, never pairs: they grow with a
-   group's size times the blocks of its classes outside its largest component.
-   So each pair that shares a prefix shingle is searched, already connected, or
-   ruled out by its histograms.
+4. Links become components.  Where a shingle's classes other than its pivot
+   still lie in more than one component, pairs that met no pivot remain.  Classes
+   without one of another component whose size allows a link drop out; the
+   others of all shingles with the same largest component are put together, each
+   class once with its shingles there.  Those of the largest component and the
+   rest are cut into blocks of ``BLOCK`` classes or about ``CELL_SHINGLES``
+   shingles, every pair of blocks but two of the largest component is a cell, and
+   the cell's sets are searched that have a partner of another component within
+   reach of their histograms and share such a shingle with it.  Rows are classes
+   of a cell, never pairs nor one for each shingle: they grow with a group's size
+   times the blocks of its classes outside its largest component.  So each pair
+   that shares a prefix shingle is searched, already connected, or ruled out by
+   its sizes or histograms.
 5. Where all links are asked for (``linked``, the links counted by ``join``):
    a link lies within a component, so each component's classes are dealt by
    hash to blocks of about ``LINK_BLOCK`` or ``CELL_SHINGLES`` shingles, every
@@ -81,8 +85,6 @@ CELL_SHINGLES = 1 << 20
 LIST_PROBE, ARRAY_PROBE = 0.1, 0.002
 # Classes of a shingle in a block of those that are compared by their histograms.
 BLOCK = 2048
-# Earlier shingles of a class by which a pair is known to meet elsewhere; it saves work only.
-EARLIER = 64
 # Classes of a component in a block of the search for all its links.
 LINK_BLOCK = 512
 # Ids of the documents whose sets a search fetches, 8 bytes each, up to which they are broadcast.
@@ -434,19 +436,19 @@ def hopeful(cells: DataFrame, histograms: DataFrame, threshold: int) -> DataFram
 
 
 def hopeful_across(cells: DataFrame, histograms: DataFrame, threshold: int) -> DataFrame:
-    """The rows of ``cells`` (cell, id, grp, earlier) that have a partner of another ``grp`` within reach which shares
-    none of their ``earlier`` shingles; with such a partner they meet in an earlier shingle's cell."""
+    """The rows of ``cells`` (cell, id, grp, shingles) that have a partner of another ``grp`` within reach which shares
+    one of their ``shingles``."""
     def work(members: list[tuple]) -> list[tuple]:
-        earlier = [frozenset(d["earlier"]) for _, _, d in members]
+        shingles = [frozenset(d["shingles"]) for _, _, d in members]
         groups = np.array([g for _, g, _ in members])
         near = set()
         for i, others in within_reach([_counts(d["ranges"]) for _, _, d in members], threshold):
-            met = [j for j in others[groups[others] != groups[i]].tolist() if earlier[i].isdisjoint(earlier[j])]
+            met = [j for j in others[groups[others] != groups[i]].tolist() if not shingles[i].isdisjoint(shingles[j])]
             near.update(met, [i] if met else [])
         return [(*members[i][:2], 0) for i in sorted(near)]
 
     rows = cells.join(histograms.select("id", "ranges"), "id")
-    rows = rows.select("cell", "id", "grp", F.struct("ranges", "earlier").alias("data"))
+    rows = rows.select("cell", "id", "grp", F.struct("ranges", "shingles").alias("data"))
     return _by_cell(rows, work, "id, grp, none").select("cell", "id", "grp")
 
 
@@ -546,6 +548,35 @@ def _part(order: WindowSpec, most: int = CELL) -> Column:
     return F.struct(F.floor((F.row_number().over(order) - 1) / most), F.floor(before / CELL_SHINGLES))
 
 
+def _size_partner(threshold: int, *order: str, among: Column | None = None) -> Column:
+    """Whether another row of the shingle (one of ``among``) has a size ``n`` that allows a link; ``order`` breaks ties."""
+    size = F.col("n") if among is None else F.when(among, F.col("n"))
+    ends = Window.unboundedPreceding, -1
+    # the nearest smaller and the nearest larger size, each from the rows before in one order
+    below = F.max(size).over(Window.partitionBy("shingle").orderBy("n", *order).rowsBetween(*ends))
+    above = F.min(size).over(Window.partitionBy("shingle").orderBy(F.desc("n"), *map(F.desc, order)).rowsBetween(*ends))
+    return F.coalesce(100 * below >= threshold * F.col("n"), F.lit(False)) | F.coalesce(
+        100 * F.col("n") >= threshold * above, F.lit(False))
+
+
+def _open_shingles(shared: DataFrame, parts: DataFrame, threshold: int) -> DataFrame:
+    """(largest, id, n, grp, main, shingles): classes of shingles that several components share, pivots aside.
+
+    A class comes once for each component that is the largest of some of its shingles, with those shingles.
+    """
+    placed = (shared.where("m > 2 and id <> pivot").join(parts, F.col("id") == F.col("node"), "left")
+              .select("shingle", "id", "n", F.coalesce("component", "id").alias("grp")))
+    open_ = placed.groupBy("shingle").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi")
+    rest = placed.join(open_.select("shingle"), "shingle")
+    # pairs within the shingle's largest component need no search
+    largest = (rest.groupBy("shingle", "grp").agg(F.count(F.lit(1)).alias("members")).groupBy("shingle")
+               .agg(F.max_by("grp", F.struct("members", "grp")).alias("largest")))
+    rest = rest.join(largest, "shingle").withColumn("main", F.col("grp") == F.col("largest"))
+    rest = rest.withColumn("partner", F.when(F.col("main"), _size_partner(threshold, "id", among=~F.col("main")))
+                           .otherwise(_size_partner(threshold, "id"))).where("partner")
+    return rest.groupBy("largest", "id", "n", "grp", "main").agg(F.collect_list("shingle").alias("shingles"))
+
+
 def _components(docs: DataFrame, k: int, threshold: int, id_col: str, text_col: str) -> Found:
     spark = docs.sparkSession
     prepare(spark)
@@ -560,9 +591,13 @@ def _components(docs: DataFrame, k: int, threshold: int, id_col: str, text_col:
     grouped = Window.partitionBy("shingle")
     keys = ["digest_a", "digest_b", "n"]
     # one shuffle, on shingles, serves the distinct rows as well as the windows
-    shared = (prefixes(base.where("id is not null"), k, threshold, sent).repartition("shingle").distinct()
-              .withColumn("m", F.count(F.lit(1)).over(grouped)).where("m > 1").join(classes, keys)
-              .withColumnRenamed("class_id", "id"))
+    shared = prefixes(base.where("id is not null"), k, threshold, sent).repartition("shingle").distinct()
+    # the nearest sizes, one before and one after
+    by_size = Window.partitionBy("shingle").orderBy("n", "digest_a", "digest_b")
+    shared = (shared.withColumns({"below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size)})
+              .where((100 * F.col("below") >= threshold * F.col("n")) | (100 * F.col("n") >= threshold * F.col("above")))
+              .withColumn("m", F.count(F.lit(1)).over(grouped)).drop("below", "above")
+              .join(classes, keys).withColumnRenamed("class_id", "id"))
     shared = written(shared.select("shingle", "id", "n", "m", F.min("id").over(grouped).alias("pivot")),
                      "shared-prefixes")
     histograms = (first.select("id", "n", "ranges").join(classes.select(F.col("class_id").alias("id")), "id", "left_semi")
@@ -579,29 +614,19 @@ def _components(docs: DataFrame, k: int, threshold: int, id_col: str, text_col:
     links = written(search_cells(cells, base, k, threshold).select("a", "b"), "links")
     parts = written(connected_components(links, "a", "b"), "components")
 
-    # shingles whose classes aren't all connected, and had pairs without their pivot
-    placed = (shared.where("m > 2").join(parts, F.col("id") == F.col("node"), "left")
-              .select("shingle", "id", "n", F.coalesce("component", "id").alias("grp")))
-    open_ = placed.groupBy("shingle").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi")
-    rest = placed.join(open_.select("shingle"), "shingle")
-    # pairs within the shingle's largest component need no search
-    largest = (rest.groupBy("shingle", "grp").agg(F.count(F.lit(1)).alias("members")).groupBy("shingle")
-               .agg(F.max_by("grp", F.struct("members", "grp")).alias("largest")))
-    rest = rest.join(largest, "shingle").withColumn("main", F.col("grp") == F.col("largest"))
-    listed = rest.groupBy("id").agg(F.slice(F.sort_array(F.collect_list("shingle")), 1, EARLIER).alias("listed"))
-    rest = rest.join(listed, "id").withColumn("earlier", F.filter("listed", lambda x: x < F.col("shingle")))
-    block = _part(Window.partitionBy("shingle", "main").orderBy("n", "id"), BLOCK)
-    rest = written(rest.select("shingle", "id", "n", "grp", "earlier", F.struct("main", block.alias("part")).alias("block")),
-                   "open-shingles")
+    # classes that aren't all connected, and had pairs without their pivot
+    rest = _open_shingles(shared, parts, threshold)
+    block = _part(Window.partitionBy("largest", "main").orderBy("n", "id"), BLOCK)
+    rest = written(rest.withColumn("block", F.struct("main", block.alias("part"))).drop("main"), "open-shingles")
     # only pairs of blocks whose sizes can reach the threshold
-    blocks = rest.groupBy("shingle", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    side = lambda x: blocks.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("block", "lo", "hi")))
-    pairs = side("i").join(side("j"), "shingle").where(
+    blocks = rest.groupBy("largest", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    side = lambda x: blocks.select("largest", *(F.col(c).alias(f"{c}_{x}") for c in ("block", "lo", "hi")))
+    pairs = side("i").join(side("j"), "largest").where(
         "block_i <= block_j and not (block_i.main and block_j.main)").where(
         (F.col("hi_i") * 100 >= threshold * F.col("lo_j")) & (F.col("hi_j") * 100 >= threshold * F.col("lo_i")))
-    cells = pairs.select("shingle", F.xxhash64("shingle", "block_i", "block_j").alias("cell"),
+    cells = pairs.select("largest", F.xxhash64("largest", "block_i", "block_j").alias("cell"),
                          F.explode(F.array_distinct(F.array("block_i", "block_j"))).alias("block"))
-    cells = cells.join(rest, ["shingle", "block"]).select("cell", "id", "grp", "earlier")
+    cells = cells.join(rest, ["largest", "block"]).select("cell", "id", "grp", "shingles")
     cells = written(hopeful_across(cells, histograms, threshold), "more-cells")
     more = written(search_cells(cells, base, k, threshold).select("a", "b"), "more-links")
     if not more.isEmpty():

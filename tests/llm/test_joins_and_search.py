@@ -123,6 +123,25 @@ def test_rows_compared_grow_with_a_group_and_not_with_its_square(spark, monkeypa
     assert made[0] > 0 and made[1] < 2.6 * made[0]
 
 
+def test_classes_are_compared_once_for_a_component_and_only_with_sizes_that_allow_a_link(spark, monkeypatch):
+    search, made = ngram_join.hopeful_across, []
+    monkeypatch.setattr(ngram_join, "hopeful_across", lambda cells, *a: (
+        made.extend(r["id"] for r in cells.collect()), search(cells, *a))[1])
+    rng = random.Random(5)
+    rows = []
+    for i in range(80):             # near copies that share many prefix words, and texts near to them without a link
+        text = [f"t{n}" for n in range(100)]
+        for n in rng.sample(range(100), 3 if i < 60 else 13):
+            text[n] = f"u{i}-{n}"
+        rows.append((i, " ".join(text)))
+    for i in range(80, 170):        # one word shared by three texts of very different lengths
+        rows.append((i, " ".join([f"z{i // 3}", *(f"v{i}-{n}" for n in range((10, 40, 160)[i % 3]))])))
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: 0 if i < 60 else i for i, _ in rows}
+    # those outside the largest component also meet each other
+    assert made and max(made) < 80 and len(made) <= 2 * len(set(made))
+
+
 def test_search_in_arrays_finds_what_search_in_lists_does(monkeypatch):
     rng = np.random.default_rng(7)
     base = rng.choice(1 << 40, 60, replace=False).astype(np.uint64)
