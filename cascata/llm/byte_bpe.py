@@ -20,7 +20,6 @@ import hashlib
 import heapq
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cascata.llm.chunk_memo import ChunkMemo
-from cascata.llm.common import prepare
+from cascata.llm.common import kept, prepare
 
 _MASK = (1 << 64) - 1
 
@@ -173,10 +172,9 @@ class ByteBpe:
         return b"".join(map(self.table.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
 def coder(path: str, pattern: str) -> ByteBpe:
     """One coder per Python worker and vocabulary."""
-    return ByteBpe(path, pattern)
+    return kept(("byte_bpe", path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

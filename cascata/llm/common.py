@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Hashable
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +43,20 @@ def prepare(spark: SparkSession) -> None:
         sc._shipped_package = archive.name
 
 
+_kept: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """``make()``, remembered by this Python worker until another key is asked for.
+
+    Workers outlive their stage: the tables and memos of one operator must not stay beside those of the next.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder, deleted when the driver's JVM ends."""
     path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

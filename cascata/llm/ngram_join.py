@@ -75,7 +75,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from cascata.llm.common import as_row, prepare, written
+from cascata.llm.common import as_row, kept, prepare, written
 from cascata.llm.components import connected_components
 
 CELL = 48
@@ -96,7 +96,7 @@ SLICE = 1 << 16
 COUNT_BUFFER = 1_000_000
 # Sets' digests that a task remembers, so as not to send a copy's prefix again.
 SEEN_DIGESTS = 200_000
-_MEMO_WORDS = 400_000
+_MEMO_WORDS = 100_000
 
 
 class Shingler:
@@ -126,6 +126,11 @@ class Shingler:
         return np.unique(out)
 
 
+def shingler(k: int) -> Shingler:
+    """One per Python worker."""
+    return kept(("ngram_join", k), lambda: Shingler(k))
+
+
 def histogram(hashes: np.ndarray) -> bytes:
     """Counts of a set's hashes in 2^b equal ranges, about 2 to a range; the first byte is the counts' width."""
     bits = max(0, len(hashes).bit_length() - 2)
@@ -299,7 +304,7 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = Shingler(k)
+        make = shingler(k)
         counts = np.zeros(SLOTS, np.uint32)
         held: list[np.ndarray] = []
         size = 0
@@ -331,7 +336,7 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
 
 def _count(counts: np.ndarray, sets: list[np.ndarray]) -> None:
     if sets:
-        counts += np.bincount(slots_of(np.concatenate(sets)), minlength=SLOTS).astype(np.uint32)
+        np.add.at(counts, slots_of(np.concatenate(sets)), np.uint32(1))       # in place: a bincount takes 48 MB
 
 
 def _pack(counts: np.ndarray) -> bytes:
@@ -368,7 +373,7 @@ def prefixes(docs: DataFrame, k: int, threshold: int, ranks) -> DataFrame:
     Rows of equal sets may come once or more often.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = Shingler(k)
+        make = shingler(k)
         rank = ranks.value
         seen: set[bytes] = set()
         for batch in batches:
@@ -467,7 +472,7 @@ def _with_sets(cells: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     sets = docs.join(side, "id", "left_semi")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = Shingler(k)
+        make = shingler(k)
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([make.hashes(t).tobytes() for t in batch.column("text").to_pylist()],

@@ -32,7 +32,6 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cascata.llm.chunk_memo import ChunkMemo
-from cascata.llm.common import prepare
+from cascata.llm.common import kept, prepare
 from cascata.operators.prefix import BUCKET, bucket_boundaries, with_bucket
 
 BLOCK = 4096
@@ -70,9 +69,8 @@ class LibraryCoder:
                 for e in self.tokenizer.encode_batch_fast(cuts, add_special_tokens=False)] if cuts else []
 
 
-@lru_cache(maxsize=2)
 def library_coder(path: str) -> LibraryCoder:
-    return LibraryCoder(path)
+    return kept(("token_planes", path), lambda: LibraryCoder(path))
 
 
 def split_planes(ids: np.ndarray, planes: str = "bit") -> tuple[int, list[bytes]]:

@@ -142,6 +142,23 @@ def test_classes_are_compared_once_for_a_component_and_only_with_sizes_that_allo
     assert made and max(made) < 80 and len(made) <= 2 * len(set(made))
 
 
+def test_a_worker_drops_the_tables_of_the_operator_before():
+    import gc
+    import weakref
+
+    import public_tokenizers
+
+    from cascata.llm import byte_bpe
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coder = byte_bpe.coder(path, public_tokenizers.PATTERN)
+    assert byte_bpe.coder(path, public_tokenizers.PATTERN) is coder
+    held = weakref.ref(coder)
+    del coder
+    assert ngram_join.shingler(3) is ngram_join.shingler(3)
+    gc.collect()
+    assert held() is None
+
+
 def test_search_in_arrays_finds_what_search_in_lists_does(monkeypatch):
     rng = np.random.default_rng(7)
     base = rng.choice(1 << 40, 60, replace=False).astype(np.uint64)
