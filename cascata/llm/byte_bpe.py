@@ -164,7 +164,7 @@ class ByteBpe:
                 ids.extend(merge_bytes(raw, self.ranks, self.byte_pairs))
         return array("I", ids).tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
         return self.memo.texts(texts)
 
@@ -185,7 +185,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path, pattern)
         for batch in batches:
-            ids = bpe.encode(batch.column("text").to_pylist())
+            ids = bpe.encode(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                 ["doc_id", "n_tokens", "ids"])
@@ -216,7 +216,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path, pattern)
         for batch in batches:
-            ids = bpe.encode(batch.column("text").to_pylist())
+            ids = bpe.encode(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
                  pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),

@@ -80,6 +80,23 @@ def test_memo_forgets_but_stays_right(texts):
     assert small.texts(texts) == want
 
 
+def test_memo_takes_columns_and_remembers_cuts_not_what_lies_between_spaces(texts):
+    import pyarrow as pa
+    from cascata.llm.chunk_memo import ChunkMemo
+    bpe = byte_bpe.coder(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    odd = [*texts, "a\x00b \x00", "\u3000 a\u3000b", "\U0001F600.\n\U0001F600 \U0001F600", "é.\né\n é", "日.\n日\n\n 日", "\n"]
+    memo = ChunkMemo(lambda cuts: [bpe.cut(c) for c in cuts])
+    want = [bpe.cut(t or "") for t in odd]
+    for kind in (pa.string(), pa.large_string()):
+        assert memo.texts(pa.array(odd, kind)) == want
+        assert memo.texts(pa.array(odd, kind)[7:-1]) == want[7:-1]
+        assert memo.texts(pa.array([], kind)) == [] and memo.texts(pa.array([None, ""], kind)) == [b"", b""]
+    few = ["w" + chr(97 + i % 26) + chr(97 + i // 26) for i in range(60)]
+    memo = ChunkMemo(lambda cuts: [bpe.cut(c) for c in cuts])
+    memo.texts([" ".join(f"{a},\n{b}" for a in few for b in few)])
+    assert len(memo.known) < 4 * len(few)
+
+
 # --- token files ---------------------------------------------------------------------------------------------
 
 
@@ -103,6 +120,29 @@ def test_token_files_hold_the_library_ids_in_order(spark, frame, texts, monkeypa
             start += r["n_tokens"]
 
 
+def test_new_words_go_through_the_library_many_to_a_string(texts):
+    coder = token_planes.LibraryCoder(P.path("byte_bpe_50k.json"))
+    library = coder.tokenizer
+    strings = []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            strings.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    coder.tokenizer = Counted()
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdeéß日9-'") for _ in range(rng.randint(1, 12))) for _ in range(6000)]
+    cuts = [" " + w for w in words] + ["bare", " ", "  two", " a b", " end\n", " <|endoftext|>", "<|endoftext|>"]
+    want = [np.array(library.encode(c, add_special_tokens=False).ids, "<u2").tobytes() for c in cuts]
+    assert coder.cuts(cuts) == want
+    assert len(strings) < 100
+    coder.spaced[:] = False     # a vocabulary whose pieces do not show where words begin
+    assert coder.cuts(cuts) == want
+    assert coder.memo.texts(texts) == [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u2").tobytes()
+                                       for t in texts]
+
+
 def test_token_files_of_nulls_repeats_and_nothing(spark):
     path = P.path("byte_bpe_50k.json")
     rows = spark.createDataFrame([(None, "b"), (1, "a"), (1, "a"), (0, None)], "doc_id long, text string")
