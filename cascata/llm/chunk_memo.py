@@ -25,7 +25,9 @@ import pyarrow as pa
 MEMO_CHARS = 64
 MEMO_WORDS = 400_000
 
-# By code point of the basic plane: letters and digits, and what is no white space (as Python's str has them).
+# By code point of the basic plane: letters and digits, and what is no white space (as Python's str has them); the last
+# stands for all beyond, where no white space is and letters are not told apart.
+_BEYOND = 0xFFFF
 _CHARS = [chr(c) for c in range(1 << 16)]
 _ALNUM = np.array([c.isalnum() for c in _CHARS])
 _SOLID = np.array([not c.isspace() for c in _CHARS])
@@ -38,11 +40,11 @@ _KIND[list(b" ")] = 3
 
 
 def _code_points(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Code points of the UTF-8 characters that start at ``at``; 0xFFFF outside the basic plane."""
+    """Code points of the UTF-8 characters that start at ``at``."""
     lead = data[at].astype(np.int32)
     after = [data[np.minimum(at + i, len(data) - 1)].astype(np.int32) & 0x3F for i in (1, 2)]
     return np.select([lead < 0x80, lead < 0xE0, lead < 0xF0],
-                     [lead, (lead & 0x1F) << 6 | after[0], (lead & 0xF) << 12 | after[0] << 6 | after[1]], 0xFFFF)
+                     [lead, (lead & 0x1F) << 6 | after[0], (lead & 0xF) << 12 | after[0] << 6 | after[1]], _BEYOND)
 
 
 def _before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -57,17 +59,17 @@ def cut_places(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Ascending places in the UTF-8 ``data`` at which texts (that begin and end at ``bounds``) begin, end or are cut."""
     marked = np.flatnonzero(_KIND[data])
     marked = marked[marked > 0]
-    kind = _KIND[data[marked]]
-    before = _code_points(data, _before(data, marked))
-    plain = before != 0xFFFF
-    # a space after white space, or a sign after what is no letter, is no cut
-    fits = plain & np.where(kind == 3, _SOLID[before], _ALNUM[before])
-    after = marked[(kind == 2) & plain & _SOLID[before]] + 1
+    kind, before = _KIND[data[marked]], data[marked - 1]
+    solid, alnum = _SOLID[before], _ALNUM[before]
+    wide = np.flatnonzero(before >= 0x80)
+    points = _code_points(data, _before(data, marked[wide]))
+    solid[wide], alnum[wide] = _SOLID[points], _ALNUM[points]
+    after = marked[(kind == 2) & solid] + 1
     after = after[after < len(data)]
-    after_points = _code_points(data, after)
-    after = after[(after_points != 0xFFFF) & _SOLID[after_points]]
+    after = after[_SOLID[_code_points(data, after)]]
     cuts = np.zeros(len(data) + 1, bool)
-    cuts[marked[fits]] = cuts[after] = cuts[bounds] = True
+    # a space after white space, or a sign after what is no letter, is no cut
+    cuts[marked[np.where(kind == 3, solid, alnum)]] = cuts[after] = cuts[bounds] = True
     return np.flatnonzero(cuts)
 
 

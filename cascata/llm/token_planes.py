@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cascata.llm.chunk_memo import ChunkMemo
-from cascata.llm.common import kept, prepare
+from cascata.llm.common import gathered, kept, prepare
 from cascata.operators.prefix import BUCKET, bucket_boundaries, with_bucket
 
 BLOCK = 4096
@@ -49,8 +49,10 @@ CHUNK_IDS = 1 << 17
 ROWS_PER_SHARD = 200_000
 # New words that go through the library as one string.
 RUN_WORDS = 500
-# How byte-level vocabularies write a space.
-_SPACE = "\u0120"
+# How byte-level vocabularies write a space and a line break.
+_SPACE, _BREAK = "\u0120", "\u010a"
+# Bytes of rows that are encoded together: words repeat, and each different one is looked up once.
+GATHER_BYTES = 4 << 20
 CHUNK_SCHEMA = ("shard int, chunk int, first long, n_ids long, width int, planes string, plane_sizes array<int>, "
                 "payload binary, doc_ids array<long>, doc_sizes array<long>")
 
@@ -58,9 +60,9 @@ CHUNK_SCHEMA = ("shard int, chunk int, first long, n_ids long, width int, planes
 class LibraryCoder:
     """The tokenizers library's encoder behind a bounded memo of chunks; gives 2 or 4 bytes per id.
 
-    A call of the library costs more than a word's merges, so words that start with their only space are encoded
-    ``RUN_WORDS`` to a string: the pattern cuts it before each space, and an id whose piece starts with a space is
-    the first of a word.
+    A call of the library costs more than a word's merges, so words are encoded ``RUN_WORDS`` to a string, each behind
+    its own space or, if it has none, a line break that is dropped again: the pattern cuts the string before each of
+    these, and an id whose piece starts with a space or is the line break is the first of a word.
     """
 
     def __init__(self, path: str):
@@ -71,8 +73,8 @@ class LibraryCoder:
         self.tokenizer.encode_special_tokens = True     # special strings inside a text are ordinary text
         self.dtype = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         pieces = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.spaced = np.zeros(max(pieces.values(), default=0) + 1, bool)
-        self.spaced[[i for piece, i in pieces.items() if piece[0] == _SPACE]] = True
+        self.opens = np.zeros(max(pieces.values(), default=0) + 1, bool)
+        self.opens[[i for piece, i in pieces.items() if piece[:1] == _SPACE or piece == _BREAK]] = True
         self.memo = ChunkMemo(self.cuts)
 
     def ids(self, texts: list[str]) -> list[list[int]]:
@@ -81,19 +83,27 @@ class LibraryCoder:
     def cuts(self, cuts: list[str]) -> list[bytes]:
         code = "H" if self.dtype == "<u2" else "I"
         out = [b""] * len(cuts)
-        alone, words = [], []
+        alone, words, bare = [], [], []
         for i, c in enumerate(cuts):
-            (alone if c.rfind(" ") or c[-1].isspace() else words).append(i)
+            parts = c.split()
+            spaces = len(c) - len(parts[0]) if len(parts) == 1 else 2
+            if not spaces or spaces == 1 and c[0] == " ":
+                words.append(i)
+                bare.append(not spaces)
+            else:
+                alone.append(i)
         for at in range(0, len(words), RUN_WORDS):
-            run = words[at:at + RUN_WORDS]
-            raw = array(code, self.ids(["".join([cuts[i] for i in run])])[0]).tobytes()
+            run, dropped = words[at:at + RUN_WORDS], bare[at:at + RUN_WORDS]
+            text = "".join(["\n" + cuts[i] if d else cuts[i] for i, d in zip(run, dropped)])
+            raw = array(code, self.ids([text])[0]).tobytes()
             ids = np.frombuffer(raw, self.dtype)
-            firsts = np.flatnonzero(self.spaced[ids])
-            if len(firsts) != len(run):     # a vocabulary that does not keep each space at a piece's start
+            firsts = np.flatnonzero(self.opens[ids])
+            if len(firsts) != len(run):     # a vocabulary that has no such pieces
                 alone += run
                 continue
-            bounds = [*(firsts * ids.itemsize).tolist(), len(raw)]
-            for i, a, b in zip(run, bounds, bounds[1:]):
+            size = ids.itemsize
+            starts, ends = ((firsts + dropped) * size).tolist(), [*(firsts[1:] * size).tolist(), len(raw)]
+            for i, a, b in zip(run, starts, ends):
                 out[i] = raw[a:b]
         for i, ids in zip(alone, self.ids([cuts[i] for i in alone])):
             out[i] = array(code, ids).tobytes()
@@ -144,7 +154,7 @@ def encode(docs: DataFrame, path: str, end_id: int = 0, id_col: str = "doc_id",
         coder = library_coder(path)
         end = np.array([end_id], coder.dtype).tobytes()
         size = len(end)
-        for batch in batches:
+        for batch in gathered(batches, GATHER_BYTES):
             ids = [x + end for x in coder.memo.texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("_bucket"), pa.array([len(x) // size for x in ids], pa.int64()),

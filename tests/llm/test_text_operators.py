@@ -133,11 +133,11 @@ def test_new_words_go_through_the_library_many_to_a_string(texts):
     coder.tokenizer = Counted()
     rng = random.Random(4)
     words = ["".join(rng.choice("abcdeéß日9-'") for _ in range(rng.randint(1, 12))) for _ in range(6000)]
-    cuts = [" " + w for w in words] + ["bare", " ", "  two", " a b", " end\n", " <|endoftext|>", "<|endoftext|>"]
+    cuts = [" " + w for w in words] + [w + "." for w in words] + ["bare", "\n", "a\n", "\na", " \n", " b\nc", "\x1c", "", " ", "  two", " a b", " end\n", " <|endoftext|>", "<|endoftext|>"]
     want = [np.array(library.encode(c, add_special_tokens=False).ids, "<u2").tobytes() for c in cuts]
     assert coder.cuts(cuts) == want
     assert len(strings) < 100
-    coder.spaced[:] = False     # a vocabulary whose pieces do not show where words begin
+    coder.opens[:] = False      # a vocabulary whose pieces do not show where words begin
     assert coder.cuts(cuts) == want
     assert coder.memo.texts(texts) == [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u2").tobytes()
                                        for t in texts]
