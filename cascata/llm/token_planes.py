@@ -128,8 +128,9 @@ def split_planes(ids: np.ndarray, planes: str = "bit") -> tuple[int, list[bytes]
     width = top.bit_length()
     out = []
     for b in range(width):
-        bits = (raw[:, :, b // 8] >> (b % 8)) & 1
-        out.append(np.packbits(bits, axis=1, bitorder="little").tobytes())
+        if b % 8 == 0:
+            byte = np.ascontiguousarray(raw[:, :, b // 8])
+        out.append(np.packbits(byte & (1 << b % 8), axis=1, bitorder="little").tobytes())
     return width, out
 
 
@@ -137,12 +138,16 @@ def join_planes(n: int, parts: list[bytes], planes: str = "bit") -> np.ndarray:
     """``split_planes`` undone: the chunk's n ids."""
     blocks = -(-n // BLOCK)
     raw = np.zeros((blocks, BLOCK, 4), np.uint8)
-    for b, part in enumerate(parts):
-        if planes == "byte":
+    if planes == "byte":
+        for b, part in enumerate(parts):
             raw[:, :, b] = np.frombuffer(part, np.uint8).reshape(blocks, BLOCK)
-        else:
-            bits = np.unpackbits(np.frombuffer(part, np.uint8).reshape(blocks, BLOCK // 8), axis=1, bitorder="little")
-            raw[:, :, b // 8] |= bits << (b % 8)
+    else:
+        for b in range(0, len(parts), 8):
+            byte = np.zeros((blocks, BLOCK), np.uint8)
+            for k, part in enumerate(parts[b:b + 8]):
+                bits = np.frombuffer(part, np.uint8).reshape(blocks, BLOCK // 8)
+                byte |= np.unpackbits(bits, axis=1, bitorder="little") << k
+            raw[:, :, b // 8] = byte
     return raw.reshape(-1, 4).view("<u4").reshape(-1)[:n]
 
 
