@@ -110,6 +110,16 @@ def test_snapshot_of_many_keys(spark):
     assert snap.where("seq = 700").agg(F.min("count"), F.max("count"), F.count("*")).first() == (1, 1, 701)
 
 
+def test_snapshot_of_many_keys_is_dealt_evenly_over_tasks(spark):
+    df = spark.range(0, 50_000).select(F.col("id").alias("seq"), (F.col("id") % 5_000).alias("k"))
+    snap = O.snapshot_per_event(df, "k", ["seq"], min_buckets=2, events_per_page=1_000)
+    written = [r["count"] for r in snap.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(written) == 5_000 * 5_001 // 2 + 45_000 * 5_000
+    assert max(written) < sum(written) / 8
+    few = O.snapshot_per_event(df.withColumn("k", F.col("k") % 3), "k", ["seq"], min_buckets=2, events_per_page=1_000)
+    assert few.rdd.getNumPartitions() <= max(3, spark.sparkContext.defaultParallelism)
+
+
 def test_request_response_and_dead_letter(spark):
     req = spark.createDataFrame([("1", "addUser", "ann"), ("2", "addUser", None), ("3", "dropUser", "bob")],
                                 "id string, func string, args string")
